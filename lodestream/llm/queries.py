@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding
+from . import fingerprints, secrets, sharding
 from .base import table
 
 
@@ -14,7 +14,17 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_size(table(spark, sf_dir, "documents"), 40)
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_documents(table(spark, sf_dir, "documents"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op9_fingerprints": op9_fingerprints,
     "op4_sharding": op4_sharding,
 }
 
