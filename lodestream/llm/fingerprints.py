@@ -16,8 +16,8 @@ from pyspark.sql.window import Window
 from .base import let, partitions
 
 WORDS = 5
-FRACTION = 8  # one hash in so many is below the bound
-LEAST = 16
+FRACTION = 4  # one hash in so many is below the bound
+LEAST = 32
 _TOP = 2**63 - 1
 #: Most buckets that the rows are dealt to for finding the next document; their bounds are literals of the plan.
 BUCKETS = 4096
