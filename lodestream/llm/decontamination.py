@@ -144,13 +144,13 @@ def _searched(index):
 def contained_items(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, n_item, n_shared, containment: every item of which a document holds ``threshold`` of the shingles.
 
-    Shingles are five words; words are runs of letters (any script) and digits, A-Z lower-cased, so that case and
+    Shingles are five words; words are runs of letters (any script) and digits, lower-cased, so that case and
     punctuation don't matter. An item of fewer words is one shingle, its whole sequence; without words it is found nowhere, nor is
     anything in such a document. Null texts are empty; rows without an id are left out of both. Repeated rows repeat their rows of the result.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).filter("doc_id is not null")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).filter("item_id is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES) or 1
     out = None
