@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, fingerprints, neardup, pieces, quality, secrets, sharding
+from . import decontamination, fingerprints, licenses, neardup, pieces, quality, secrets, sharding, urls
 from .base import table
 
 
@@ -37,6 +37,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), 2, 80)
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), piece_model())
 
@@ -45,13 +49,19 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op3_decontamination": op3_decontamination,
     "op5_quality": op5_quality,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_licences": op7_licences,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
+    "op10_url_filter": op10_url_filter,
     "op4_sharding": op4_sharding,
 }
 
