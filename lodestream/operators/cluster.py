@@ -19,7 +19,7 @@ from ..plans.staging import staged
 def seed_order(items: DataFrame) -> DataFrame:
     """Adds ord: by feed rank (null: 999), newest first, arrival; within the topic."""
     w = Window.partitionBy("topic").orderBy(F.coalesce("feed_rank", F.lit(999)), F.desc("published_at"), "arrival")
-    return items.withColumn("ord", F.row_number().over(w) - 1)
+    return items.withColumn("ord", (F.row_number().over(w) - 1).cast("long"))
 
 
 def similar_pairs(items: DataFrame, theta: float, important=V.IMPORTANT_TOKENS) -> DataFrame:

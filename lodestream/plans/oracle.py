@@ -139,7 +139,29 @@ _GW, _GN = grams("text")
 GRAMS = "SELECT id, array_to_string(list_slice(w, k, k + 7), ' ') AS gram FROM (SELECT id, w, unnest(range(1, len(w) - 6)) AS k FROM (SELECT {id} AS id, {w} AS w FROM {t}) WHERE len(w) >= 8)"
 _FACT_EXTRA = "(VALUES (-1, 'Microsoft said that Kubernetes clusters grew by 45 percent in the last year. After that the New York Times wrote about 1.5 million users there.'), (-2, 'revenue rose to 3,000 GB of data in the week. Nothing else of note was written in lower case words.')) t(doc_id, text)"
 
+_ORG = "(?i)\\b(" + "|".join(V.ORGANISATIONS) + ")\\b"
+_NAME = "\\b([A-Z][a-z]+(?:" + WS + "+[A-Z][a-z]+){0,3})\\b"
+_NUMBER = "(?i)\\b[0-9][0-9,.]*" + WS + "*(?:" + "|".join(V.UNITS) + ")\\b"
+# Sentence ends are marked, as the regular expressions here have no lookbehind.
+FACTS = f"""WITH d AS (SELECT 'cluster-ai-' || ((doc_id % 50 + 50) % 50) AS cluster_id, CAST(doc_id AS VARCHAR) AS doc_id, 's' || ((doc_id % 3 + 3) % 3) || '.example.com' AS source_domain, 'https://e.example.com/' || doc_id AS url, text AS body
+    FROM (SELECT doc_id, text FROM documents UNION ALL SELECT * FROM {_FACT_EXTRA})),
+  l AS (SELECT *, list_slice(list_filter(string_split(regexp_replace(body, '([.!?]){WS}+', '\\1' || chr(1), 'g'), chr(1)), lambda x: length(x) > 30 AND length(x) < 500), 1, 20) AS ss FROM d),
+  s AS (SELECT * EXCLUDE (ss, body), unnest(ss) AS s, generate_subscripts(ss, 1) AS pos FROM l),
+  e AS (SELECT *, regexp_extract_all(s, '{_ORG}') AS orgs, regexp_extract_all(s, '{_NUMBER}') AS numbers, regexp_extract_all(s, '{_NAME}') AS caps FROM s),
+  f AS (SELECT *, list_concat(orgs, list_filter(caps, lambda x: length(x) > 3 AND x NOT IN {names(V.NO_NAMES)} AND NOT list_contains(list_transform(orgs, lambda o: lower(o)), lower(x)))) AS found FROM e),
+  w AS (SELECT *, coalesce(found[1], 'ai') AS prim, array_to_string(list_slice(list_filter(string_split_regex(regexp_replace(lower(s), '[^a-z0-9\\t\\n\\x0B\\f\\r ]', ' ', 'g'), '[\\t\\n\\x0B\\f\\r ]+'),
+    lambda x: length(x) >= 3 AND x NOT IN {names(V.STATEMENT_STOPWORDS)}), 1, 6), ' ') AS content FROM f WHERE len(found) > 0 OR len(numbers) > 0),
+  t AS (SELECT *, substring(trim(regexp_replace(concat_ws(' ', prim, content), '{WS}+', ' ', 'g')), 1, 120) AS statement FROM w),
+  u AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY cluster_id, doc_id, lower(statement) ORDER BY pos) = 1),
+  v AS (SELECT *, CAST(row_number() OVER (PARTITION BY cluster_id, doc_id ORDER BY pos) AS INT) AS nth, try_cast(regexp_extract(regexp_replace(numbers[1], '[^0-9.]', '', 'g'), '^[0-9]*[.]?[0-9]+') AS DOUBLE) AS value,
+    regexp_extract_all(s, '{NWS}+') AS qw FROM u),
+  facts AS (SELECT substring(sha256(concat_ws('|', cluster_id, statement, doc_id)), 1, 32) AS id, *, list_slice(list_distinct_in_order, 1, 8) AS entities, array_to_string(list_slice(qw, 1, 20), ' ') || CASE WHEN len(qw) > 20 THEN '…' ELSE '' END AS quote
+    FROM (SELECT *, list_filter(found, lambda x, i: list_position(found, x) = i) AS list_distinct_in_order FROM v) WHERE nth <= 8)"""
 ORACLE: dict[str, str] = {
+    "fact_rows": f"""{FACTS}, o AS (SELECT cluster_id, count(DISTINCT {last_labels("regexp_replace(lower(source_domain), '^www[.]', '')", V.CORROBORATION_SUFFIXES)}) AS n FROM d GROUP BY 1)
+        SELECT id, cluster_id, doc_id, nth, statement, array_to_string(entities, '|') AS entities, quote, CASE WHEN value IS NOT NULL THEN prim END AS metric, value, greatest(n, 1) AS corroboration, CASE WHEN n >= 2 THEN 'medium' ELSE 'low' END AS confidence FROM facts JOIN o USING (cluster_id)""",
+    "wire_guard": f"""{FACTS}, n AS (SELECT *, CAST('0x' || substring(id, 1, 4) AS INT) AS n FROM facts)
+        SELECT CASE WHEN n % 11 = 0 THEN 'provenance' WHEN n % 7 = 0 THEN 'verbatim' WHEN n % 5 = 0 THEN 'url' WHEN n % 3 = 0 THEN 'quote' ELSE 'clean' END AS violation, count(*) AS n FROM n GROUP BY 1""",
     "strip_markup": f"SELECT doc_id, CAST(length({strip('text')}) AS BIGINT) AS n, md5({strip('text')}) AS stripped_md5, md5({norm('text')}) AS norm_md5 FROM documents",
     "fingerprint_ids": f"""SELECT arrival AS page_id, fp, topic || '-' || substring(sha256(fp), 1, 32) AS item_id, substring(sha256(url), 1, 40) AS doc_id
         FROM (SELECT *, {norm('title')} || '|' || {path_key('url')} AS fp FROM {PAGE_ITEMS})""",
