@@ -34,9 +34,10 @@ def interaction(entries: Column) -> Column:
     """struct(shares, comments, reactions) from array<struct<key, value>>; the last entry of a metric wins."""
 
     def last(name: str) -> Column:
-        return F.element_at(F.filter(entries, lambda e: metric_of(e["key"]) == name), -1)["value"].alias(name)
+        own = F.filter(entries, lambda e: metric_of(e["key"]) == name)
+        return F.when(F.size(own) > 0, F.element_at(own, -1)["value"]).cast("double").alias(name)
 
-    return F.struct(*[F.when(F.exists(entries, lambda e, n=n: metric_of(e["key"]) == n), last(n)).cast("double").alias(n) for n in V.METRICS])
+    return F.struct(*[last(n) for n in V.METRICS])
 
 
 def topic_coverage(sources: DataFrame, items: DataFrame, floor: int) -> DataFrame:

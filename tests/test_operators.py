@@ -1,0 +1,121 @@
+"""Operators against literal loops, and their invariants."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lodestream.functions import values as V
+from lodestream.operators import cluster, dedup, facts, store
+from lodestream.plans import cycle, queries
+from lodestream.streaming import cycles
+
+
+def greedy(sets, theta):
+    """The literal loop over token sets in seed order."""
+    heads, out = [], []
+    for i, s in enumerate(sets):
+        for h in heads:
+            a = sets[h]
+            both = s & a
+            if s and a and (len(both) + 1.5 * len(both & set(V.IMPORTANT_TOKENS))) / min(len(s), len(a)) >= theta:
+                out.append(h)
+                break
+        else:
+            heads.append(i)
+            out.append(i)
+    return out
+
+
+@pytest.mark.parametrize("theta", [0.5, 0.82])
+def test_leaders_equal_the_literal_loop(spark, theta):
+    r = random.Random(7)
+    words = [f"w{i}" for i in range(12)] + ["kubernetes", "openai"]
+    sets = [set(r.sample(words, r.randint(0, 5))) for _ in range(60)]
+    items = spark.createDataFrame([("t", i, sorted(s)) for i, s in enumerate(sets)], "topic string, ord long, tokens array<string>")
+    got = cluster.leaders(items, cluster.similar_pairs(items, theta)).orderBy("ord").collect()
+    assert [g["leader"] for g in got] == greedy(sets, theta)
+
+
+def test_histogram_sums_to_members(spark, sf):
+    rows = cluster.rollup(queries._clusters(spark, sf)).collect()
+    assert rows and all(sum(r["tier_histogram"].values()) == r["members"] == len(r["member_ids"]) for r in rows)
+
+
+def test_first_wins_is_idempotent(spark):
+    df = spark.createDataFrame([("a", "x", 3), ("a", "x", 1), ("a", "y", 2), (None, "x", 5), (None, "x", 4)], "k string, d string, n int")
+    once = dedup.first_wins(df, ["k", "d"], ["n"])
+    assert sorted(map(tuple, once.collect()), key=repr) == sorted(map(tuple, dedup.first_wins(once, ["k", "d"], ["n"]).collect()), key=repr)
+    assert {r["n"] for r in once.collect()} == {1, 2, 4}
+
+
+def test_budget_counts_a_url_once_a_cluster(spark):
+    rows = [("t", 0, 0, "a"), ("t", 0, 1, "a"), ("t", 0, 2, "b"), ("t", 1, 0, "a"), ("t", 1, 1, "c")]
+    got = dedup.fetch_budget(spark.createDataFrame(rows, "topic string, cluster_ord int, member_ord int, url string"), 3).orderBy("nth").collect()
+    assert [(r["cluster_ord"], r["url"]) for r in got] == [(0, "a"), (0, "b"), (1, "a")]
+
+
+def fact_docs(spark, domains):
+    body = "OpenAI said that 45 percent of users in the Hong Kong office liked it. The new tool was bought by 3 million people in Spain."
+    return spark.createDataFrame([("ai", "c1", f"d{i}", d, "https://x.example.com/", body) for i, d in enumerate(domains)], "topic string, cluster_id string, doc_id string, source_domain string, url string, body string")
+
+
+def test_facts_and_corroboration(spark):
+    docs = fact_docs(spark, ["blog.a.com", "news.a.com"])
+    rows = facts.corroborated(facts.facts(docs), docs).collect()
+    assert len(rows) == 4 and all(len(r["quote"].split()) <= 20 for r in rows)
+    assert {(r["corroboration"], r["confidence"]) for r in rows} == {(1, "low")}
+    first = next(r for r in rows if r["nth"] == 1)
+    assert first["entities"] == ["OpenAI", "Hong Kong"] and first["value"] == 45.0 and first["metric"] == "OpenAI"
+    docs = fact_docs(spark, ["a.com", "b.com"])
+    assert {(r["corroboration"], r["confidence"]) for r in facts.corroborated(facts.facts(docs), docs).collect()} == {(2, "medium")}
+
+
+def test_guard_records_the_first_violation(spark):
+    rows = [(0, True, "", "q"), (1, True, "", "q"), (1, False, " ", "w " * 30), (1, False, "u", "w " * 26), (1, False, "u", "w " * 25), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "provenance_count int, verbatim boolean, url string, quote string")
+    assert [r["violation"] for r in facts.guarded(df).collect()] == ["provenance", "verbatim", "url", "quote", None, "provenance"]
+
+
+def test_store_rejects_unsafe_ids(spark):
+    old = spark.createDataFrame([("a" * 40, 1)], "id string, n int")
+    assert {tuple(r) for r in store.upsert(old, spark.createDataFrame([("a" * 40, 2), ("b" * 40, 3)], "id string, n int")).collect()} == {("a" * 40, 2), ("b" * 40, 3)}
+    with pytest.raises(Exception, match="unsafe"):
+        store.upsert(old, spark.createDataFrame([("../etc/passwd", 2)], "id string, n int")).collect()
+
+
+def test_artifact_is_reproducible_and_checked(spark, sf):
+    a, b = (queries.artifact(spark, sf).first()["artifact"] for _ in range(2))
+    assert a == b and cycle.checked(a) == []
+    body = json.loads(a)
+    assert body["cycle"]["id"] == "2024-03-01T12:00:00.000Z" and sum(map(len, body["data"]["itemsByTopic"].values())) == queries.fingerprint_ids(spark, sf).select("item_id").distinct().count()
+    with pytest.raises(ValueError):
+        cycle.checked(json.dumps(body | {"schemaVersion": "other/v1"}))
+    assert cycle.checked(json.dumps(body | {"contractRevision": 99})) == ["newer revision"]
+    assert cycle.hermetic(spark, queries.NOW).first() == cycle.hermetic(spark, queries.NOW).first()
+
+
+def test_feeds(spark, sf):
+    rows = {r["title"]: r for r in queries.rss_parse(spark, sf).collect()}
+    assert set(rows) == {"First story", "Second", "Atom one"}  # the old one is past the age limit
+    assert rows["First story"]["source_name"] == "Paper" and rows["First story"]["feed_body"].startswith("Body words") and rows["First story"]["feed_rank"] == 0
+    assert rows["Second"]["source_name"] == "Wire" and rows["Atom one"]["url"] == "https://b.example.com/1"
+
+
+def test_catalogue(spark, sf):
+    rows = {(r["topic"], r["domain"]): r for r in queries.catalog_topics(spark, sf).collect()}
+    assert rows["ai", "a.example.com"]["tier"] == "primary" and rows["security", "b.example.com"]["tier"] == "security-news" and rows["platform", "c.example.com"]["tier"] == "news"
+    assert rows["platform", "d.example.com"]["tier"] == "paper" and rows["kubernetes", "h.example.com"]["tier"] == "technical-news" and ("ai", "e.example.com") not in rows
+    assert sum(k[1] == "news.google.com" for k in rows) == 5
+
+
+def test_stream_equals_batch(spark, sf, tmp_path):
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "events.parquet").symlink_to(f"{sf}/events.parquet")
+    stream = cycles.cycle_counts(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+    cycles.run_available(stream, "cycle_counts", str(tmp_path / "cp"))
+    got = {tuple(r) for r in spark.sql("select cast(cycle_start as string), event_type, n from cycle_counts").collect()}
+    want = {tuple(r) for r in cycles.cycle_counts(spark.read.parquet(f"{sf}/events.parquet")).select(F.col("cycle_start").cast("string"), "event_type", "n").collect()}
+    assert got == want and got
