@@ -5,11 +5,12 @@ After Dahlgaard, Knudsen and Thorup, "Fast Similarity Sketching" (FOCS 2017): se
 candidates; links are confirmed on the full shingle sets. With 48 bands of 6 coordinates a pair of
 similarity 0.8 shares no band with a chance of 5e-7.
 
-Documents of one set are one class and take part once. A band's bucket isn't expanded into pairs.
-All its members are held against its smallest one first (star); their components follow. What a
-star leaves apart is held against later stars and, at last, pair by pair - but only where the
-distance to the first centre allows a link at all: 1 - similarity is a metric, so two members
-whose distances to the centre differ by more than the bound can't be linked.
+Documents of one set are one class and take part once. A band's bucket isn't expanded into pairs. Its
+centre, the member that meets most others in all its buckets, is held against every member, and
+components follow from these links. A link that could still join two components has an end
+apart from its bucket's centre. Both ends are known by what they differ in from the centre, and sets this much alike must
+share a large part of these differences: a prefix join over the differences finds the rest of the
+candidates, exactly, in time linear in the differences' size for groups of random edits.
 """
 
 from __future__ import annotations
@@ -27,8 +28,6 @@ from .base import staged
 from .components import components
 
 BANDS, ROWS = 48, 6
-#: Rounds of stars before the rest is compared pair by pair.
-STARS = 3
 
 
 def _signed(k: int, bands: int, rows: int):
@@ -62,15 +61,13 @@ def _sets(k: int):
     return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """a, b, both, na, nb for every pair: the sizes of the full sets and of their intersection."""
-    pairs = staged(pairs, "near-pairs")
-    need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = staged(docs.join(need, "doc_id", "left_semi").mapInArrow(_sets(k), "id long, set array<long>"), "near-sets")
+def _verified(pairs: DataFrame, sets: DataFrame, delta: bool = False) -> DataFrame:
+    """a, b, both, na, nb for every pair: the sizes of the full sets and of their intersection; ``delta``: what b and not a has, then what a and not b has."""
     left = sets.select(F.col("id").alias("a"), F.col("set").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
-    out = pairs.join(right, "b").join(left, "a").select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("both"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
-    return staged(out, "near-verified")
+    both = F.size(F.array_intersect("sa", "sb")).alias("both")
+    rows = pairs.join(right, "b").join(left, "a").select("a", "b", both, F.size("sa").alias("na"), F.size("sb").alias("nb"), *([F.concat(F.array_except("sb", "sa"), F.array_except("sa", "sb")).alias("delta")] * delta))
+    return staged(rows, "near-verified")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -87,31 +84,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: in
         signs.filter("sign is not null and doc_id is not null").groupBy("sign").agg(F.min("doc_id").alias("rep"), F.any_value("keys").alias("keys")), "near-classes"
     )
     held = classes.select("rep", F.explode("keys").alias("key"))
-    full = held.groupBy("key").agg(F.min("rep").alias("c"), F.count("*").alias("m")).filter("m > 1").select("key", "c")
-    members = staged(held.join(full, "key").select("key", "c", "rep"), "near-members")
-
-    same = "100 * both >= {0} * (na + nb - both)".format(percent)
-    done = _verified(members.filter("rep <> c").select(F.col("c").alias("a"), F.col("rep").alias("b")).distinct(), docs, k)
-    far = done.select(F.col("a").alias("c"), F.col("b").alias("rep"), (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("d"))
-    members = staged(
-        members.join(far.groupBy("c", "rep").agg(F.min("d").alias("d")), ["c", "rep"], "left").select("key", "c", "rep", F.coalesce("d", F.lit(0.0)).alias("d")), "near-members"
-    )
-    comp = staged(components(done.filter(same)), "near-components")
-    for turn in range(STARS):
-        apart = _apart(members, comp)
-        if apart.isEmpty():
-            break
-        if turn < STARS - 1:  # another star: the smallest member that the first centre didn't reach
-            other = apart.filter("stranger").groupBy("key").agg(F.min(F.struct("comp", "rep", "d")).alias("o")).select("key", "o.*")
-            other = other.select("key", F.col("comp").alias("ocomp"), F.col("rep").alias("orep"), F.col("d").alias("od"))
-            pairs = apart.join(other, "key").filter("comp <> ocomp").filter(_may_link(percent, "d", "od")).select(F.least("rep", "orep").alias("a"), F.greatest("rep", "orep").alias("b"))
-        else:
-            pairs = _rest(apart, percent)
-        pairs = pairs.distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
-        more = _verified(pairs, docs, k)
-        done = done.unionByName(more)
-        if not more.filter(same).isEmpty():
-            comp = staged(components(done.filter(same)), "near-components")
+    full = held.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
+    members = staged(held.join(full, "key"), "near-members")
+    weight = members.groupBy("rep").agg(F.sum("m").alias("w"))
+    centre = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("w", -F.col("rep"))).alias("c")).select("key", (-F.col("c")["col2"]).alias("a"))
+    pairs = staged(members.join(centre, "key").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "near-pairs")
+
+    need = weight.select(F.col("rep").alias("doc_id"))
+    sets = staged(docs.join(need.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets(k), "id long, set array<long>"), "near-sets")
+    same = f"100 * both >= {percent} * (na + nb - both)"
+    done = _verified(pairs, sets, True)
+    links = done.filter(same).select("a", "b")
+    comp = staged(components(links), "near-components")
+    more = _verified(staged(_across(done, comp, percent), "near-pairs"), sets).filter(same).select("a", "b")
+    if not more.isEmpty():
+        comp = staged(components(links.union(more)), "near-components")
     found = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("sign", F.coalesce("component", "rep").alias("component"))
     comp_of_id = F.coalesce("component", "doc_id")
     return (
@@ -120,32 +107,27 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: in
     )
 
 
-def _may_link(percent: int, x: str, y: str):
-    return F.abs(F.col(x) - F.col(y)) <= 1 - percent / 100 + 1e-9
-
-
-def _apart(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component: key, c, rep, d, comp, stranger (apart from the centre)."""
-    own = comp.select(F.col("node").alias("rep"), F.col("component").alias("rc"))
-    centre = comp.select(F.col("node").alias("c"), F.col("component").alias("cc"))
-    rows = members.join(own, "rep", "left").join(centre, "c", "left")
-    rows = rows.select("key", "c", "rep", "d", F.coalesce("rc", "rep").alias("comp"), (F.coalesce("rc", "rep") != F.coalesce("cc", "c")).alias("stranger"))
-    rows = staged(rows, "near-apart")
-    split = rows.filter("stranger").select("key").distinct()
-    return rows.join(split, "key", "left_semi")
-
+def _across(done: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that meet at a centre and may be linked, one of them at least apart from the centre.
 
-def _rest(apart: DataFrame, percent: int) -> DataFrame:
-    """Pairs of strangers with members of other components whose distances to the centre allow a link.
-
-    Joined by bucket and by cells of the distance, so that the centre's own large component meets only
-    strangers in reach of it.
+    With x, y as differences from the centre, |x ^ y| = |x| + |y| - 2 |x & y|, and a link needs |x ^ y| <= r (nx + ny), r = (100 - percent) /
+    (100 + percent). So |x & y| >= (|x| + |y| - r (nx + ny)) / 2 = need, and a shared element stands among the first |x| - need + 1 of x and
+    of y alike, in any order common to both. Elements that the centre lacks come first: edits seldom agree in these.
     """
-    wide = 1 - percent / 100 + 1e-9
-    cell = F.floor(F.col("d") / wide)
-    left = apart.filter("stranger").select("key", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("d").alias("dy"), F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-    right = apart.select("key", F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("d").alias("dx"), cell.alias("cell"))
-    return (
-        left.join(right, ["key", "cell"]).filter("cx <> cy").filter(_may_link(percent, "dx", "dy"))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    )
+    r = (100 - percent) / (100 + percent)
+    own = comp.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    rows = done.join(own, "b", "left").join(comp.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
+    rows = rows.select("a", F.col("b").alias("v"), F.col("na"), F.col("nb").alias("n"), F.coalesce("cb", "b").alias("c"), (F.coalesce("cb", "b") != F.coalesce("ca", "a")).alias("apart"), "delta", F.size("delta").alias("d"))
+    rows = staged(rows, "near-apart")
+    open_ = rows.filter("apart").select("a").distinct()
+    # the partner is apart: its own difference exceeds r (n + na)
+    x = rows.join(open_, "a", "left_semi").withColumn("last", F.expr(f"cast(d - greatest(1, ceil((d + {r} * (na - n)) / 2 - 1e-6)) + 1 as int)"))
+    y = rows.filter("apart").withColumn("last", F.expr(f"cast(d - greatest(1, ceil((d - {r} * n * (1 + 100 / {percent})) / 2 - 1e-6)) + 1 as int)"))
+
+    def entries(t: DataFrame, tag: str) -> DataFrame:
+        return t.filter("last > 0").select("a", F.col("v").alias(tag), F.col("n").alias("n" + tag), F.col("c").alias("c" + tag), F.col("d").alias("d" + tag), F.posexplode(F.slice("delta", 1, F.col("last"))).alias("p" + tag, "e"))
+
+    need = f"ceil((dx + dy - {r} * (nx + ny)) / 2 - 1e-6)"
+    found = entries(x, "x").join(entries(y, "y"), ["a", "e"]).filter("cx <> cy").filter(f"px < dx - {need} + 1 and py < dy - {need} + 1 and least(dx, dy) >= {need}")
+    pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return pairs.join(done.select("a", "b").union(done.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
