@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MARK = "▁"
 #: Characters of a chunk; longer texts are cut where a space mark follows another character.
@@ -343,4 +344,4 @@ def encoded(docs: DataFrame, path: str, columns: list[str]) -> DataFrame:
     """``columns`` of ``docs`` and ids array<int>, the text's tokens."""
     model = docs.sparkSession.sparkContext.broadcast(open(path, "rb").read())
     rows = docs.select(*columns)
-    return rows.mapInArrow(_ids(path, model), rows.schema.add("ids", "array<int>"))
+    return rows.mapInArrow(_ids(path, model), T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))

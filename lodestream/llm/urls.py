@@ -1,7 +1,7 @@
 """URL filters: rules first, then host word segmentation and multinomial naive Bayes.
 
-Names in hosts are split into words by a unigram Viterbi. Word counts come from the pages' own text and
-URLs; each distinct name fetches the counts of its substrings by a join, so no dictionary is broadcast.
+Names in hosts are split into words by a unigram Viterbi. Word counts come from the pages' own text, paths
+and hyphenated hosts; each distinct name fetches the counts of its substrings by a join, so no dictionary is broadcast.
 The naive Bayes model counts the tokens of all URLs in a hashed space of fixed size. Its classes are
 first guessed from seed words and then fitted once to the tokens that occur beside them.
 """
@@ -46,9 +46,14 @@ def ruled(rules=RULES):
 
 
 def word_counts(pages: DataFrame) -> DataFrame:
-    """word, n over the letters-only words of all pages' text and URLs; combined before the shuffle."""
+    """word, n over the letters-only words of all pages' text, paths and hyphenated hosts; combined before the shuffle."""
     text = F.regexp_replace(F.coalesce(F.col("html"), F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ") if "html" in pages.columns else F.lit("")
-    words = F.concat(F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0)), F.regexp_extract_all(F.lower(F.coalesce("url", F.lit(""))), F.lit("[a-z]+"), F.lit(0)))
+    # a name counts as a word only where a hyphen parts it: else every concatenation would be one
+    url = F.lower(F.coalesce("url", F.lit("")))
+    path = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    found = [F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0)), F.regexp_extract_all(path, F.lit("[a-z]+"), F.lit(0))]
+    parted = F.regexp_extract_all(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("[a-z]+(?=-)|(?<=-)[a-z]+"), F.lit(0))
+    words = F.concat(*found, parted)
     return pages.select(F.explode(words).alias("word")).filter(F.length("word") <= LONGEST_WORD).groupBy("word").agg(F.count("*").alias("n"))
 
 
