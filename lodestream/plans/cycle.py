@@ -95,3 +95,13 @@ def checked(artifact_json: str) -> list[str]:
 
 def describe(df: DataFrame) -> str:
     return df.schema.json()
+
+
+def summary(items: DataFrame) -> DataFrame:
+    """topic, items, clusters, domains: the run in short."""
+    return items.groupBy("topic").agg(F.count("*").alias("items"), F.countDistinct("cluster_id").alias("clusters"), F.countDistinct("source_domain").alias("domains")).orderBy("topic")
+
+
+def exit_code(warnings: list[str]) -> int:
+    """1 if the final guard dropped facts; the artifact is written all the same."""
+    return int(any(w.startswith("[A5]") for w in warnings))

@@ -119,3 +119,47 @@ def test_stream_equals_batch(spark, sf, tmp_path):
     got = {tuple(r) for r in spark.sql("select cast(cycle_start as string), event_type, n from cycle_counts").collect()}
     want = {tuple(r) for r in cycles.cycle_counts(spark.read.parquet(f"{sf}/events.parquet")).select(F.col("cycle_start").cast("string"), "event_type", "n").collect()}
     assert got == want and got
+
+
+def test_documents_and_body_cascade(spark):
+    from lodestream.operators import extract
+
+    long = "<p>" + "open words here " * 40 + "</p>"
+    pages = spark.createDataFrame(
+        [("https://a.org/x?q=1", long, True), ("https://b.org/y?q=2", long, False), ("https://wsj.com/z", long, None), ("https://c.org/", None, True), ("https://d.org/p", "<p>short</p>", True)], "url string, html string, allowed boolean"
+    )
+    rows = {r["url"]: r for r in extract.documents(pages).collect()}
+    assert rows["https://a.org/x?q=1"]["extraction"] == "full" and rows["https://a.org/x?q=1"]["access_policy"] == "allowed"
+    assert rows["https://b.org/y"]["access_policy"] == "robots-disallowed" and rows["https://b.org/y"]["body"] is None
+    assert rows["https://wsj.com/z"]["access_policy"] == "tos-restricted" and rows["https://c.org/"]["extraction"] == "failed" and rows["https://d.org/p"]["access_policy"] == "paywalled"
+    assert extract.eligible(extract.documents(pages)).count() == 1 and "body" not in extract.without_body(extract.documents(pages)).columns
+    items = spark.createDataFrame(
+        [(1, "u1", "a.org", "h", "f" * 300), (2, "u2", "a.org", "h", "f" * 300), (3, "u3", "news.google.com", "h" * 60, None), (4, "u4", "a.org", "h" * 60, None), (5, "u5", "a.org", "h", None)],
+        "id int, url string, source_domain string, summary_hint string, feed_body string",
+    )
+    stored = spark.createDataFrame([("u1", "full", "stored"), ("u2", "failed", "x")], "url string, extraction string, body string")
+    fetched = spark.createDataFrame([("u4", "got")], "url string, body string")
+    got = extract.chosen_bodies(items, stored, fetched).orderBy("id").collect()
+    assert [r["body_origin"] for r in got] == ["store", "feed", "hint", "fetch", "none"]
+
+
+def test_a_failing_source_is_a_row(spark, tmp_path):
+    from lodestream.sources import landed
+
+    landed.register(spark)
+    (tmp_path / "a.xml").write_text("<rss/>")
+    (tmp_path / "big.xml").write_text("x" * 2000)
+    paths = ",".join(str(tmp_path / n) for n in ("a.xml", "big.xml", "none.xml"))
+    rows = {r["source"].rpartition("/")[2]: r for r in spark.read.format("landed_feeds").option("paths", paths).option("maxBytes", "1000").load().collect()}
+    assert rows["a.xml"]["ok"] and not rows["big.xml"]["ok"] and "FileNotFoundError" in rows["none.xml"]["error"]
+
+
+def test_command_line(spark, sf, tmp_path, capsys):
+    from lodestream.__main__ import main
+
+    assert main(["--now", "yesterday", "--no-network"]) == 2 and "INVALID_ARGUMENT" in capsys.readouterr().err
+    outs = [tmp_path / "a.json", tmp_path / "b.json"]
+    assert [main(["--no-network", "--now", "2024-03-01T01:02:03Z", "--out", str(o)]) for o in outs] == [0, 0]
+    assert outs[0].read_bytes() == outs[1].read_bytes()
+    assert main(["--tables", sf, "--now", "2024-03-01T01:02:03Z", "--floor", "0"]) == 0
+    assert json.loads(capsys.readouterr().out)["data"]["clustersByTopic"]
