@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import decontamination, fingerprints, licenses, neardup, pieces, quality, secrets, sharding, toxicity, urls
 from .base import table
+from .oracle import ORACLE  # noqa: F401
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,5 +70,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_filter": op10_url_filter,
     "op4_sharding": op4_sharding,
 }
-
-ORACLE: dict[str, str] = {}
