@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir); an own one only where the session names none."""
-    where = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    where = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    where = where or spark.sparkContext.getCheckpointDir()
     if where is None:
         where = tempfile.mkdtemp(prefix="lodestream-")
         spark.sparkContext.setCheckpointDir(where)
