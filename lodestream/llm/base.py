@@ -2,41 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.staging import shared_dir, staged  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it.
-
-    Only where the session names none (tests, local mode) is an own one set.
-    """
-    where = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if where is None:
-        where = spark.sparkContext.getCheckpointDir()
-    if where is None:
-        where = tempfile.mkdtemp(prefix="lodestream-")
-        spark.sparkContext.setCheckpointDir(where)
-    return where
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
-
-    Cuts the lineage: a lost executor costs the tasks it ran, not the plan behind the table.
-    """
-    path = f"{shared_dir(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def let(value: Column, body) -> Column:
     """Bind ``value`` once and use it many times in ``body`` (a lambda over the bound column)."""
     return F.transform(F.array(value), body)[0]
