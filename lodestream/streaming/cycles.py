@@ -11,7 +11,8 @@ from ..functions import values as V
 def cycle_counts(events: DataFrame, time: str = "ts") -> DataFrame:
     """cycle_start, event_type, n; batch or stream. Rows later than the age limit are dropped from a stream."""
     if events.isStreaming:
-        events = events.withWatermark(time, f"{V.MAX_AGE_HOURS} hours")
+        # watermarks need an instant: zoneless times are read in the session's zone
+        events = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, f"{V.MAX_AGE_HOURS} hours")
     return events.groupBy(F.window(time, f"{V.CYCLE_HOURS} hours")["start"].alias("cycle_start"), "event_type").agg(F.count("*").alias("n"))
 
 
