@@ -51,10 +51,17 @@ def _counted(name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alphabet = Alphabet(name)
         total = np.zeros(alphabet.size**3, np.int64)
+        held, size = [], 0
         for batch in batches:
             for text in batch.column("text"):
                 if text.is_valid:
-                    np.add.at(total, alphabet.grams(text.as_py()), 1)
+                    held.append(alphabet.grams(text.as_py()))
+                    size += len(held[-1])
+                    if size > total.size:  # one pass over the table pays only then
+                        total += np.bincount(np.concatenate(held), minlength=total.size)
+                        held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=total.size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["gram", "n"])
 
