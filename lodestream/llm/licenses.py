@@ -78,9 +78,17 @@ RULES = (
     ("{spdx}", ("spdx",)),
     ("All-rights-reserved", ("reserved",)),
 )
-#: A text with none of these has no licence sentence; found by the JVM before any text goes to Python.
-HINT = r"(?i)licen[sc]e|permission|redistribut|free software|unencumbered|rights reserved|warrant|\bmpl\b"
+#: Every form of every sentence has one of these words; found by the JVM, in texts without quotes, before any text goes to Python.
+#: Single words alone: blanks in a sentence may be line ends or punctuation.
+HINT = r"(?i)licen[sc]e|permission|redistribut|unencumbered|reserved|warrant|liab|gpl|\bmpl\b|commons|\bcc\b"
 LONGEST = 1000
+_REF = ("this", "released", "licensed", "distributed", "available")
+#: First words of the sentences that begin with a choice.
+_FIRST = {
+    "mit-ref": (*_REF, "the", "mit"), "gpl-ref": _REF, "lgpl-ref": _REF, "agpl-ref": _REF, "cc-ref": _REF, "bsd-ref": _REF[1:],
+    "bsd-source": ("1", "redistributions"), "bsd-binary": ("2", "redistributions"), "bsd-names": ("3", "neither"),
+}
+_STOPS = tuple(".!?;:")
 _END = re.compile(r"(?<=[.!?;:])\s+|[\r\n]+")
 _DROP = re.compile(r"[^\w./+]+|(?<!\d)\.|\.(?!\d)|/(?!\w)")
 
@@ -95,6 +103,18 @@ def _compiled():
     return out
 
 
+def _heads():
+    """First word -> (identifier, pattern, fixed beginning): every form of a sentence begins with one of its first words."""
+    out: dict[str, list] = {}
+    for name, p in _compiled():
+        fixed = re.match(r"[a-z0-9 ]*", p.pattern)[0]
+        if len(fixed) < len(p.pattern):  # what follows may be a mark on the last character, or go on with the word
+            fixed = fixed[: fixed.rfind(" ") + 1]
+        for word in (fixed.split()[:1]) or _FIRST[name]:
+            out.setdefault(word, []).append((name, p, fixed))
+    return out
+
+
 def normalised(sentence: str) -> str:
     """Lower case, comment signs and punctuation gone but for points between digits, single spaces."""
     return " ".join(_DROP.sub(" ", sentence.lower().replace("'", "").replace('"', "")).split())
@@ -105,36 +125,54 @@ def sentences(text: str) -> list[str]:
     return [s for s in _END.split(text) if s.strip()]
 
 
-def identified(text: str, patterns=None) -> list[tuple[int, str, dict]]:
-    """(place, identifier, its version or kind) of each known sentence, in order; a sentence may run over up to eight lines."""
-    patterns = patterns or _compiled()
-    parts, out, i = [normalised(s)[: LONGEST + 1] for s in sentences(text)], [], 0
-    hint = re.compile(HINT + r"|software|copy|names? of|without|see the|you ")
-    while i < len(parts):
-        hit = None
-        if parts[i] and len(parts[i]) <= LONGEST and hint.search(parts[i]):
-            joined = ""
-            for j in range(i, min(i + 8, len(parts))):
-                joined = f"{joined} {parts[j]}".strip()
-                if len(joined) > LONGEST:
-                    break
-                hit = next(((n, m) for n, p in patterns if (m := p.fullmatch(joined))), None)
-                if hit:
-                    out.append((i, hit[0], {k: v for k, v in hit[1].groupdict().items() if v}))
-                    i = j + 1
-                    break
+def identified(text: str, heads=None) -> list[tuple]:
+    """(place, identifier, its version or kind, last place, sentences and characters before the first and the last) of each known sentence, in order.
+
+    A sentence may run over any number of lines up to LONGEST characters.
+    """
+    heads = heads or _heads()
+    raw = sentences(text)
+    parts = [normalised(s)[: LONGEST + 1] for s in raw]
+    full = [k for k, x in enumerate(parts) if x]  # empty ones (rules, comment signs) are passed over
+    ended, length = [0], [0]
+    for s, x in zip(raw, parts):
+        ended.append(ended[-1] + (s.rstrip()[-1:] in _STOPS))
+        length.append(length[-1] + len(x))
+    out, i = [], 0
+    while i < len(full):
+        hit, first = None, parts[full[i]]
+        able = heads.get(first.split(" ", 1)[0], ())
+        joined = ""
+        for j in range(i, len(full)) if able else ():
+            joined = f"{joined} {parts[full[j]]}" if joined else first
+            if len(joined) > LONGEST:
+                break
+            able = [x for x in able if joined.startswith(x[2]) or x[2].startswith(f"{joined} ")]
+            if not able:
+                break
+            hit = next(((n, m) for n, p, _ in able if (m := p.fullmatch(joined))), None)
+            if hit:
+                a, b = full[i], full[j]
+                out.append((a, hit[0], {k: v for k, v in hit[1].groupdict().items() if v}, b, (ended[a], length[a]), (ended[b], length[b + 1])))
+                i = j + 1
+                break
         if not hit:
             i += 1
     return out
 
 
-def licences(found: list[tuple[int, str, dict]]) -> list[str]:
+def _near(a, b) -> bool:
+    """Few lines between two sentences, or few sentences, however they are wrapped."""
+    return b[0] - a[3] <= GAP + 8 or (b[4][0] - a[5][0] <= GAP + 1 and b[4][1] - a[5][1] <= LONGEST)
+
+
+def licences(found: list[tuple]) -> list[str]:
     """The licences whose rules the identifiers fit, in order of place."""
     out, i = [], 0
     while i < len(found):
         for name, needs in RULES:
             got = found[i : i + len(needs)]
-            if tuple(x[1] for x in got) == needs and all(b[0] - a[0] <= GAP + 8 for a, b in zip(got, got[1:])):
+            if tuple(x[1] for x in got) == needs and all(_near(a, b) for a, b in zip(got, got[1:])):
                 values = {"v": "unversioned", "cc": "", "spdx": ""} | {k: v for x in reversed(got) for k, v in x[2].items()}
                 cc = values["cc"].upper().replace(" ", "-")
                 out.append(name.format(v=values["v"], cc={"ZERO": "0"}.get(cc, cc), spdx=values["spdx"].replace(" ", "-")))
@@ -146,11 +184,11 @@ def licences(found: list[tuple[int, str, dict]]) -> list[str]:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    patterns = _compiled()
+    heads = _heads()
     for batch in batches:
         ids, names = [], []
         for text in batch.column("text"):
-            found = identified(text.as_py(), patterns) if text.is_valid else []
+            found = identified(text.as_py(), heads) if text.is_valid else []
             ids.append(",".join(x[1] for x in found))
             names.append(",".join(dict.fromkeys(licences(found))))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.string()), pa.array(names, pa.string())], ["doc_id", "sentence_ids", "licences"])
@@ -160,7 +198,7 @@ def scan_licences(docs: DataFrame) -> DataFrame:
     """doc_id, sentence_ids, licences (comma-joined, in order, '' if none) for each row of ``docs``.
 
     Null and empty texts have none. Sentences beyond LONGEST characters are no licence sentences. Nothing is shuffled, and only
-    texts with a hint of a licence go to Python. Repeated rows repeat theirs; other columns are ignored.
+    texts with a word that every licence sentence needs go to Python. Repeated rows repeat theirs; other columns are ignored.
     """
-    hinted = F.when(F.col("text").rlike(HINT), F.col("text"))
+    hinted = F.when(F.translate("text", "'\"", "").rlike(HINT), F.col("text"))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), hinted.alias("text")).mapInArrow(_scan, "doc_id long, sentence_ids string, licences string")

@@ -269,6 +269,58 @@ def test_licences(spark):
     assert licenses.scan_licences(frame(spark, [])).count() == 0
 
 
+def forms(tree):
+    """Every form of a parsed pattern with what is optional left out and sets by their first member."""
+    from re import _constants as c
+
+    out = [""]
+    for op, x in tree:
+        if op is c.LITERAL:
+            more = [chr(x)]
+        elif op is c.NOT_LITERAL:
+            more = ["x"]
+        elif op is c.IN:
+            more = ["1" if x[0][0] is c.CATEGORY else chr(x[0][1] if x[0][0] is c.LITERAL else x[0][1][0] if x[0][0] is c.RANGE else ord("x"))]
+        elif op is c.BRANCH:
+            more = [f for b in x[1] for f in forms(b)]
+        elif op is c.SUBPATTERN:
+            more = forms(x[3])
+        else:
+            assert op in (c.MAX_REPEAT, c.MIN_REPEAT), op
+            more = [f * x[0] for f in forms(x[2])]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_no_filter_drops_a_licence_sentence(spark):
+    from re import _parser
+
+    texts = [(n, f) for n, p in licenses._compiled() for f in forms(_parser.parse(p.pattern))]
+    assert len(texts) > 80 and all(p.fullmatch(f) for n, f in texts for m, p in licenses._compiled() if m == n)
+    wrapped = [(n, f.upper().replace(" ", "\n")) for n, f in texts]
+    rows = {x["doc_id"]: x["sentence_ids"] for x in licenses.scan_licences(frame(spark, [f for _, f in texts + wrapped])).collect()}
+    for i, (name, f) in enumerate(texts):
+        assert rows[i], f
+        assert name in rows[i].split(",") or any(m in rows[i] for m, p in licenses._compiled() if p.fullmatch(f)), f
+    for i, (name, f) in enumerate(wrapped, len(texts)):
+        assert rows[i], f
+
+
+def test_licences_of_short_and_wrapped_sentences(spark):
+    import textwrap
+
+    mit = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
+        "furnished to do so, subject to the following conditions:\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n"
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, including fitness."
+    )
+    texts = ["Released under the GPL, version 3.", "Distributed under the GNU AGPL version 3 or later.", "Available under CC BY-SA 4.0.", "All rights\nreserved.", "Released under\nCC-Zero."]
+    texts += ["\n".join(textwrap.fill(x, n) for x in mit.split("\n")) for n in (16, 24, 40, 80)]
+    rows = {x["doc_id"]: x["licences"] for x in licenses.scan_licences(frame(spark, texts)).collect()}
+    assert [rows[i] for i in range(len(texts))] == ["GPL-3", "AGPL-3", "CC-BY-SA-4.0", "All-rights-reserved", "CC-0-unversioned"] + ["MIT"] * 4
+
+
 # --- 8
 def test_pieces_equal_the_library(spark):
     sp = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=piece_model())
