@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
@@ -29,6 +29,16 @@ BLOCK_BYTES = 32 << 20
 MOST_BINS = 8
 OUT = "doc_id long, item_id long, n_item long, n_shared long, containment double"
 _U = np.uint64
+#: Beyond ASCII, whatever is no letter, mark or number parts words; scripts written without blanks have a word a character, its marks included.
+_PARTING = r"[^\x00-\x7F\p{L}\p{M}\p{N}]"
+_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\p{IsYi}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\x{30FC}&&\p{L}]"
+
+
+def parted(text: Column) -> Column:
+    """Lower-cased text whose words beyond ASCII are parted by blanks as those in ASCII are by punctuation."""
+    low = F.lower(text)
+    spaced = F.regexp_replace(F.regexp_replace(low, _PARTING, " "), f"({_UNSPACED}\\p{{M}}*)", " $1 ")
+    return F.when(low.rlike(f"{_PARTING}|{_UNSPACED}"), spaced).otherwise(low)
 
 
 def bins_per_shingle(least: int, threshold: float = THRESHOLD, miss: float = MISS) -> float | None:
@@ -59,9 +69,18 @@ class Index:
         self.threshold = threshold
         ids, texts = [i for i, _ in items], pa.array([t for _, t in items], pa.string())
         self.sets: list[np.ndarray] = []
+        short: dict[int, dict[int, list[int]]] = {}
         for flat in kernels.chunks(texts):
-            sets, bounds = kernels.distinct(*kernels.shingles(*kernels.words(flat, kernels._NOT_ALNUM), WORDS))
-            self.sets += [sets[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+            h, first = kernels.words(flat, kernels._NOT_ALNUM)
+            count = np.diff(first)
+            sets, bounds = kernels.distinct(*kernels.shingles(h, first, WORDS))
+            self.sets += [sets[a:b] if n >= WORDS else sets[:0] for a, b, n in zip(bounds[:-1], bounds[1:], count)]
+            for k in range(1, WORDS):
+                values, bounds = kernels.shingles(h, first, k)
+                for t in np.flatnonzero(count == k):
+                    short.setdefault(k, {}).setdefault(int(values[bounds[t]]), []).append(flat.first + int(t))
+        #: Items of fewer than WORDS words by their number of words: the one shingle's hash, sorted, and the items that have it.
+        self.short = {k: (np.array(sorted(v), _U), [v[x] for x in sorted(v)]) for k, v in short.items()}
         self.ids = np.array(ids, np.int64)
         sizes = np.array([len(s) for s in self.sets], np.int64)
         self.tuned = [bins_per_shingle(int(n), threshold) for n in sizes]
@@ -87,6 +106,17 @@ class Index:
                     signed[part] = rank == least[compact]
             self.keys[a], self.owners[a], self.signed[a] = values, own, signed
 
+    def search_short(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """As `search`, for items of fewer than WORDS words: their words stand in the text in a row."""
+        count, pairs = np.diff(first), set()
+        for k, (keys, which) in self.short.items():
+            values, bounds = kernels.shingles(h, first, k)
+            owner = np.repeat(np.arange(len(count)), np.diff(bounds))
+            at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
+            for i in np.flatnonzero((keys[at] == values) & (count[owner] >= k)):
+                pairs.update((int(owner[i]), j) for j in which[at[i]])
+        return [(t, j, 1, 1) for t, j in sorted(pairs)]
+
     def search(self, sets: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(text, item, its size, shared) for each item that a text contains at the threshold."""
         size = np.diff(bounds)
@@ -130,9 +160,11 @@ def _searched(index):
         for batch in batches:
             docs, found = batch.column("doc_id").to_numpy(zero_copy_only=False), []
             for flat in kernels.chunks(batch.column("text")):
-                sets, bounds = kernels.distinct(*kernels.shingles(*kernels.words(flat, kernels._NOT_ALNUM), WORDS))
+                h, first = kernels.words(flat, kernels._NOT_ALNUM)
+                sets, bounds = kernels.distinct(*kernels.shingles(h, first, WORDS))
                 if len(sets) and len(items.ids):
-                    found += [(int(docs[flat.first + t]), int(items.ids[j]), n, s, s / n) for t, j, n, s in items.search(sets, bounds)]
+                    both = items.search(sets, bounds) + items.search_short(h, first)
+                    found += [(int(docs[flat.first + t]), int(items.ids[j]), n, s, s / n) for t, j, n, s in both]
             names = ["doc_id", "item_id", "n_item", "n_shared", "containment"]
             columns = list(zip(*found)) if found else [[]] * 5
             kinds = [pa.int64()] * 4 + [pa.float64()]
@@ -144,13 +176,13 @@ def _searched(index):
 def contained_items(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, n_item, n_shared, containment: every item of which a document holds ``threshold`` of the shingles.
 
-    Shingles are five words; words are runs of letters (any script) and digits, lower-cased, so that case and
-    punctuation don't matter. An item of fewer words is one shingle, its whole sequence; without words it is found nowhere, nor is
-    anything in such a document. Null texts are empty; rows without an id are left out of both. Repeated rows repeat their rows of the result.
+    Shingles are five words; words are runs of letters (any script), marks and digits, lower-cased, so that case and
+    punctuation don't matter; of scripts without blanks each character is a word. An item of fewer words is one shingle and is
+    found wherever its words stand in a row; without words it is found nowhere, nor is anything in such a document. Null texts are empty; rows without an id are left out of both. Repeated rows repeat their rows of the result.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).filter("doc_id is not null")
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).filter("item_id is not null")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), parted(F.col("text")).alias("text")).filter("doc_id is not null")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), parted(F.col("text")).alias("text")).filter("item_id is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES) or 1
     out = None

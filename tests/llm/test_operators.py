@@ -140,6 +140,15 @@ def test_containment_equals_brute_force(spark):
     assert decontamination.contained_items(frame(spark, texts[:3]), bench.filter("false")).count() == 0
 
 
+def test_short_and_unspaced_items_inside_long_documents(spark):
+    items = ["Blue whale song", "whale", "dolphin", "这是一个测试题目", "おはよう", "“one–two” three’s four\u00a0five six", "ไปไหนมา", "two copies", "Two, copies!", "नमस्ते दुनिया"]
+    long = " ".join(f"w{i}" for i in range(3000))
+    texts = [f"{long} a BLUE-whale, song! {long}", f"{long}今天这是一个测试题目吗{long}", f"みんなおはようございます{long}", f"{long} one-two three's four five, six {long}", f"เขาไปไหนมาแล้ว {long}", f"blue whales song {long}", "two copies", f"x नमस्ते, दुनिया {long}"]
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    got = sorted((x["doc_id"], x["item_id"], x["containment"]) for x in decontamination.contained_items(frame(spark, texts), bench).collect())
+    assert got == [(i, j, 1.0) for i, j in [(0, 0), (0, 1), (1, 3), (2, 4), (3, 5), (4, 6), (6, 7), (6, 8), (7, 9)]]
+
+
 # --- 4
 def test_lpt_equals_the_heap():
     import heapq
