@@ -7,7 +7,9 @@ alphabet (SIZE to the third), whatever the corpus, and is laid out densely for s
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,12 @@ from pyspark.sql import functions as F
 from .base import staged
 
 
+@cache
+def letters() -> np.ndarray:
+    """Which code points are letters of any script, or marks, which belong to the letter before them."""
+    return np.array([unicodedata.category(chr(i))[0] in "LM" for i in range(0x110000)])
+
+
 class Alphabet:
     """A numbering of characters by fixed rules; 0 stands for line ends and other control characters."""
 
@@ -29,13 +37,12 @@ class Alphabet:
             lut[32:127] = 1 + np.arange(95)
             for i in range(31):
                 lut[0xC0 + i] = lut[0xE0 + i] = 96 + i
-        else:  # letters a to z of either case, any other letter, a digit; everything else is a word's bound
+        else:  # letters a to z of either case, any other letter or mark, a digit; everything else is a word's bound
             self.size = 29
+            lut[letters()] = 28
             for i in range(26):
                 lut[65 + i] = lut[97 + i] = 1 + i
             lut[48:58] = 27
-            lut[0xC0:0x250] = 28
-            lut[[0xD7, 0xF7]] = 0
         self.lut = lut
 
     def codes(self, text: str) -> np.ndarray:

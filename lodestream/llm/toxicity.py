@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
-from .charlm import Alphabet, Model
+from .charlm import Alphabet, Model, letters
 
 CUT = 0.3
 #: Labelled documents to learn from, about (chosen by the hash of their ids); the corpus model reads every document.
@@ -209,8 +210,20 @@ class Decoder:
 _PLAIN = re.compile(r"://|@\w+\.|[=:/\\]|\d{5}|[0-9a-f]{16}|([$%#&*])\1\1")
 
 
+@cache
+def _unspaced() -> np.ndarray:
+    """Code points of the letters of scripts written without blanks between words."""
+    out = np.zeros(0x110000, bool)
+    for a, b in ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3040, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF)):
+        out[a : b + 1] = True
+    return out & letters()
+
+
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each word of lower-cased texts and each of its beginnings: hash, text, and the word's hash."""
+    """For each word of lower-cased texts and each of its beginnings: hash, text, and the word's hash.
+
+    In scripts without blanks each run of two, three and four characters is a word, too.
+    """
     lut = Alphabet("letters").lut if not hasattr(features, "lut") else features.lut
     features.lut = lut
     points = np.frombuffer("\n".join(texts).encode("utf-32-le", "replace"), np.uint32)
@@ -228,6 +241,15 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         hashes.append(kernels.mix((sums[starts[some] + k] - sums[starts[some]]) * inverse[starts[some]], k).view(np.int64))
         owners.append(owner[some])
         whole.append(word[some])
+    run = _unspaced()[points]
+    if run.any():
+        total = np.concatenate(([0], np.cumsum(run)))
+        for k in (2, 3, 4):
+            at = np.flatnonzero(total[k:] - total[:-k] == k)
+            h = kernels.mix((sums[at + k] - sums[at]) * inverse[at], 300 + k).view(np.int64)
+            hashes.append(h)
+            owners.append(np.searchsorted(bounds, at, "right") - 1)
+            whole.append(h)
     return np.concatenate(hashes), np.concatenate(owners), np.concatenate(whole)
 
 

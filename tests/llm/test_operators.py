@@ -102,6 +102,21 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.toxicity(frame(spark, []), none).count() == 0
 
 
+@pytest.mark.parametrize("letters, vile, gap", [("абвгдежз", "мерзавец", " "), ("天地玄黄宇宙洪荒日月盈昃", "混蛋", ""), ("कखगघचछजझ", "नीचाधम", " "), ("αβγδεζηθ", "κάθαρμα", " ")])
+def test_toxicity_in_other_scripts(spark, letters, vile, gap):
+    r = random.Random(7)
+    words = ["".join(r.choice(letters) for _ in range(r.randint(2, 6))) for _ in range(300)]
+    texts = []
+    for i in range(600):
+        t = r.choices(words, k=r.randint(10, 30))
+        if i % 4 == 0:
+            t[r.randrange(1, len(t))] = vile
+        texts.append(gap.join(t))
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    held = [x for x in toxicity.toxicity(frame(spark, texts), labels).collect() if x["held_out"]]
+    assert len(held) > 100 and sum(x["predicted"] == (x["doc_id"] % 4 == 0) for x in held) >= 0.98 * len(held)
+
+
 # --- 3
 def words_of(t):
     return re.findall(r"[A-Za-z0-9\u0080-\U0010ffff]+", t.lower())
