@@ -2,8 +2,9 @@
 
 Every historical version of every path is addressed by the SHA-256 of its text. A blob is one row
 from then on, however many paths and versions share it. The ledger says which rule versions have
-read which blob; only (blob, rule version) pairs it lacks are scanned. Findings are joined back to
-all paths by the blob's address.
+read which blob, and every span in it names the rule version that found it; only (blob, rule version)
+pairs it lacks are scanned. Findings of the wanted rule versions alone are joined back to all paths by the
+blob's address, so what a replaced or removed rule found is neither shown nor lost.
 """
 
 from __future__ import annotations
@@ -40,8 +41,10 @@ RULES = (
     Rule("ghtoken", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}"),
 )
-LEDGER = "blob string, rules array<string>, spans array<struct<start:int,kind:int,end:int>>"
 _NONE = "array<struct<kind:int,i:int,gap:int,len:int,ok:boolean>>"
+_SPANS = "array<struct<start:int,kind:int,end:int>>"
+#: A ledger's columns. ``spans``: what those rules found, in code points, end exclusive, each with its rule's name (kind@version).
+LEDGER = "blob string, rules array<string>, spans array<struct<start:int,end:int,rule:string>>"
 
 
 def blob_of(text: Column) -> Column:
@@ -62,45 +65,60 @@ def _matches(text: Column, todo: Column, k: int, rule: Rule) -> Column:
     return F.when(F.array_contains(todo, rule.name) & text.rlike(rule.pattern), rows).otherwise(F.from_json(F.lit("[]"), _NONE))
 
 
-def scan_history(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The ledger after a scan of ``versions`` (a column ``text``; others are ignored).
+def _names(rules: tuple[Rule, ...]) -> Column:
+    return F.array(*[F.lit(r.name) for r in rules])
+
 
-    Returns old rows and one new row for each blob with unseen rules: blob, the rules now applied,
-    their spans by (start, kind's place in ``rules``) in code points, end exclusive. Null texts
-    share the empty text's blob. An empty table adds nothing. A rule with a raised version reads
-    every blob again, others don't. The text moves once, one copy a blob, combined before the
-    shuffle, so a text that a third of all rows share is no hot key.
+def unseen(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The ledger rows (see LEDGER) of the blobs in ``versions`` for rules that ``ledger`` lacks; nothing else is scanned.
+
+    One row for each blob with unseen rules: blob, the rules now applied, their spans by start. ``versions``
+    needs a column ``text``; others, whatever their names, are ignored. Null texts share the empty text's blob.
+    Repeated texts are one blob. Texts of any length are scanned whole. An empty table gives no rows. A rule with
+    a raised version reads every blob again, others don't. The text moves once, one copy a blob, combined
+    before the shuffle, so a text that a third of all rows share is no hot key.
     """
-    names = F.array(*[F.lit(r.name) for r in rules])
-    blobs = versions.groupBy(blob_of(F.col("text")).alias("blob")).agg(F.any_value(F.coalesce("text", F.lit(""))).alias("text"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    blobs = versions.select(blob_of(F.col("text")).alias("blob"), text.alias("text")).groupBy("blob").agg(F.any_value("text").alias("text"))
     if ledger is None:
-        blobs = blobs.withColumn("todo", names)
+        blobs = blobs.withColumn("todo", _names(rules))
     else:
         seen = ledger.groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("seen"))
-        blobs = blobs.join(seen, "blob", "left").withColumn("todo", F.when(F.col("seen").isNull(), names).otherwise(F.array_except(names, "seen")))
-        blobs = blobs.filter(F.size("todo") > 0)
-    text, todo = F.col("text"), F.col("todo")
-    each = F.flatten(F.array(*[_matches(text, todo, k, r) for k, r in enumerate(rules)]))
+        todo = F.when(F.col("seen").isNull(), _names(rules)).otherwise(F.array_except(_names(rules), "seen"))
+        blobs = blobs.join(seen, "blob", "left").withColumn("todo", todo).filter(F.size("todo") > 0)
+    each = F.flatten(F.array(*[_matches(F.col("text"), F.col("todo"), k, r) for k, r in enumerate(rules)]))
     rows = blobs.select("blob", "todo", F.explode_outer(each).alias("m")).select("blob", "todo", "m.*")
     end = F.sum(F.col("gap") + F.col("len")).over(Window.partitionBy("blob", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
-    span = F.when(F.col("ok"), F.struct((F.col("end") - F.col("len")).cast("int").alias("start"), "kind", F.col("end").cast("int").alias("end")))
-    fresh = (
-        rows.withColumn("end", end)
-        .groupBy("blob")
-        .agg(F.any_value("todo").alias("rules"), F.sort_array(F.collect_list(span)).alias("spans"))
-    )
-    fresh = staged(fresh, "secret-ledger")
+    start = (F.col("end") - F.col("len")).cast("int").alias("start")
+    span = F.when(F.col("ok"), F.struct(start, F.col("end").cast("int").alias("end"), F.get(_names(rules), F.col("kind")).alias("rule")))
+    fresh = rows.withColumn("end", end).groupBy("blob").agg(F.any_value("todo").alias("rules"), F.sort_array(F.collect_list(span)).alias("spans"))
+    return staged(fresh, "secret-ledger")
+
+
+def scan_history(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The ledger after a scan of ``versions``: its old rows and those of `unseen`."""
+    fresh = unseen(versions, ledger, rules)
     return fresh if ledger is None else ledger.select("blob", "rules", "spans").unionByName(fresh)
 
 
+def extend(path: str, versions: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Append what ``versions`` adds to the ledger kept as Parquet at ``path`` (made where there is none); the whole ledger.
+
+    Rows are only ever appended. Should two scans of the same blobs overlap, both append equal findings, which `current` shows once.
+    """
+    spark = versions.sparkSession
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    unseen(versions, spark.read.schema(LEDGER).parquet(path) if there else None, rules).write.mode("append").parquet(path)
+    return spark.read.schema(LEDGER).parquet(path)
+
+
 def current(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """blob, spans of ``rules`` alone; blobs without any are left out."""
-    good = F.array(*[F.lit(r.name) for r in rules])
-    return (
-        ledger.filter((F.size("spans") > 0) & F.arrays_overlap("rules", good))
-        .groupBy("blob")
-        .agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    )
+    """blob, spans (start, kind's place in ``rules``, end) that ``rules`` found, each once and in order; blobs without any are left out."""
+    mine = F.filter("spans", lambda s: F.array_contains(_names(rules), s["rule"]))
+    placed = F.transform(mine, lambda s: F.struct(s["start"].alias("start"), (F.array_position(_names(rules), s["rule"]) - 1).cast("int").alias("kind"), s["end"].alias("end")))
+    rows = ledger.select("blob", placed.alias("spans")).filter(F.size("spans") > 0)
+    return rows.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
 
 def _joined(spans: Column, rules: tuple[Rule, ...]) -> Column:
@@ -109,28 +127,32 @@ def _joined(spans: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The columns of ``paths`` (with ``blob``), joined to what the ledger holds; every path keeps its row.
+    """The columns of ``paths`` (with ``blob``) and what the ledger holds of ``rules`` for them; every path keeps its row.
 
-    Adds n_<kind> for the base rules, base_sha256 and spans; a path without findings has zeros and
-    empty strings.
+    Adds n_<kind> for the base rules, base_sha256, spans (as text) and found (as structs); columns of ``paths`` with
+    these names give way. A path without findings, or whose blob is null or unknown, has zeros and empty lists.
     """
-    out = paths.join(current(ledger, rules), "blob", "left")
-    spans = F.coalesce("spans", F.from_json(F.lit("[]"), "array<struct<start:int,kind:int,end:int>>"))
-    out = out.withColumn("spans", spans)
     base = [k for k, r in enumerate(rules) if r.base]
-    of = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
-    return out.withColumns(
-        {f"n_{rules[k].kind}": of(k) for k in base}
-        | {
-            "base_sha256": F.sha2(_joined(F.filter("spans", lambda s: s["kind"].isin(base)), rules), 256),
-            "spans": _joined(F.col("spans"), rules),
-            "found": F.col("spans"),
-        }
+    added = [*[f"n_{rules[k].kind}" for k in base], "base_sha256", "spans", "found"]
+    mine = [c for c in paths.columns if c.lower() not in added]
+    rows = paths.select(F.struct(*[F.col(f"`{c}`") for c in mine]).alias("path"), "blob").join(current(ledger, rules), "blob", "left")
+    spans = F.coalesce("spans", F.from_json(F.lit("[]"), _SPANS))
+    of = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
+    return rows.select(
+        *[F.col("path")[c].alias(c) for c in mine],
+        *[of(k).alias(f"n_{rules[k].kind}") for k in base],
+        F.sha2(_joined(F.filter(spans, lambda s: s["kind"].isin(base)), rules), 256).alias("base_sha256"),
+        _joined(spans, rules).alias("spans"),
+        spans.alias("found"),
     )
 
 
 def scan_documents(docs: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans: one row for each row of ``docs``, from an empty ledger."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans: one row for each row of ``docs``, from an empty ledger.
+
+    Null and empty texts have no findings. Rows without an id and rows that repeat an id or a text keep a row each.
+    Texts of any length are read whole. An empty table gives no rows; other columns are ignored, whatever their names.
+    """
     paths = docs.select(F.col(id_col).alias("doc_id"), blob_of(F.col("text")).alias("blob"))
     return findings(paths, scan_history(docs.select("text"))).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
@@ -138,19 +160,17 @@ def scan_documents(docs: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
 def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     """``docs`` with every found span replaced by ``mask``; overlapping spans become one. n_chars follows the text.
 
-    Other columns, rows without findings and null texts stay as they are.
+    Other columns (of any names), rows without findings and null texts stay as they are. Repeated rows are treated alike;
+    an empty table stays empty.
     """
-    ledger = scan_history(docs.select("text"))
-    rows = docs.withColumn("_blob", blob_of(F.col("text"))).join(current(ledger).withColumnRenamed("blob", "_blob").withColumnRenamed("spans", "_spans"), "_blob", "left")
-    start = "struct(cast('' as string) as done, 0 as at)"
+    found = current(scan_history(docs.select("text"))).select("blob", "spans")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), blob_of(F.col("text")).alias("blob")).join(found, "blob", "left")
+    hidden = mask.replace("\\", "\\\\").replace("'", "\\'")
     cut = F.expr(
-        f"""aggregate(_spans, {start}, (a, s) -> if(s.start >= a.at,
-              struct(concat(a.done, substring(text, a.at + 1, s.start - a.at), '{mask}') as done, s.end as at),
-              struct(a.done as done, greatest(a.at, s.end) as at)), a -> concat(a.done, substring(text, a.at + 1)))"""
+        f"""aggregate(spans, struct(cast('' as string) as done, 0 as at), (a, s) -> if(s.start >= a.at,
+              struct(concat(a.done, substring(doc.text, a.at + 1, s.start - a.at), '{hidden}') as done, s.end as at),
+              struct(a.done as done, greatest(a.at, s.end) as at)), a -> concat(a.done, substring(doc.text, a.at + 1)))"""
     )
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut)
-    rows = rows.withColumn("_text", text)
-    new = {"text": F.col("_text")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast("long"))
-    return rows.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    rows = rows.withColumn("new", F.when(F.col("spans").isNull(), F.col("doc")["text"]).otherwise(cut))
+    new = {"text": F.col("new"), "n_chars": F.when(F.col("spans").isNull(), F.col("doc")["n_chars"]).otherwise(F.length("new").cast("long"))} if "n_chars" in docs.columns else {"text": F.col("new")}
+    return rows.select(*[(new[c] if c in new else F.col("doc")[c]).alias(c) for c in docs.columns])

@@ -50,15 +50,33 @@ def test_secret_spans(spark):
         assert (rows[i]["n_assign"], rows[i]["n_access"], rows[i]["n_hex"]) == tuple(sum(x[1] == k for x in want) for k in range(3))
 
 
-def test_the_ledger_scans_only_what_it_lacks(spark):
-    one = secrets.scan_history(frame(spark, SECRETS[:4]))
-    two = secrets.scan_history(frame(spark, SECRETS), one)
-    assert two.count() == one.count() + len(set(SECRETS[4:])) and two.groupBy("blob").count().filter("count > 1").isEmpty()
-    newer = tuple(r._replace(version=2) if r.kind == "hex" else r for r in secrets.RULES)
-    three = secrets.scan_history(frame(spark, SECRETS), two, newer)
-    fresh = three.join(two.select("blob", "rules"), ["blob", "rules"], "left_anti").collect()
-    assert len(fresh) == len(set(SECRETS)) and all(r["rules"] == ["hex@2"] for r in fresh)
-    assert secrets.scan_history(frame(spark, SECRETS), three, newer).count() == three.count()
+def test_the_ledger_scans_only_what_it_lacks(spark, tmp_path):
+    raised = tuple(r._replace(version=2, pattern="[0-9a-f]{50,}") if r.kind == "hex" else r for r in secrets.RULES)
+    added = (secrets.Rule("note", 1, "same"), *raised)
+    removed = tuple(r for r in added if r.kind != "assign")
+    docs, path = frame(spark, SECRETS), str(tmp_path / "ledger")
+    paths = docs.select("doc_id", secrets.blob_of(F.col("text")).alias("blob"))
+    shown = lambda ledger, rules: {r["doc_id"]: r["spans"] for r in secrets.findings(paths, ledger, rules).collect()}
+    one = secrets.extend(path, frame(spark, SECRETS[:4]))
+    assert one.count() == 4
+    two = secrets.extend(path, docs)
+    assert two.count() == len(set(SECRETS)) and shown(two, secrets.RULES) == shown(secrets.scan_history(docs), secrets.RULES)
+    for rules, todo in ((raised, {"hex@2"}), (added, {"note@1"}), (removed, set()), (secrets.RULES, set())):
+        before = spark.read.parquet(path).count()
+        ledger = secrets.extend(path, docs, rules)
+        assert ledger.count() - before == (len(set(SECRETS)) if todo else 0)
+        assert shown(ledger, rules) == shown(secrets.scan_history(docs, None, rules), rules)
+    assert {x for r in ledger.collect() for x in r["rules"]} == {r.name for r in secrets.RULES} | {"hex@2", "note@1"}
+    twice = ledger.unionByName(ledger)  # two scans that overlapped
+    assert shown(twice, removed) == shown(ledger, removed)
+
+
+def test_findings_and_redaction_keep_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a token=abcdefgh b", "x", "y", "z", "w", 4)], "doc_id long, text string, spans string, _blob string, _text string, `a.b` string, kind int")
+    paths = docs.withColumn("blob", secrets.blob_of(F.col("text")))
+    row = secrets.findings(paths, secrets.scan_history(docs)).first()
+    assert row["spans"] == "assign:2:16" and row["_text"] == "z" and row["kind"] == 4
+    assert tuple(secrets.redact(docs, "['x\\']").first()) == (1, "a ['x\\'] b", "x", "y", "z", "w", 4)
 
 
 def test_redaction(spark):
