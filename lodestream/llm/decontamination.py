@@ -5,10 +5,12 @@ a long document has a tiny Jaccard similarity, so one signature length can't ser
 Documents are partitioned by the size of their shingle sets (powers of two), and each partition has
 its own one-permutation MinHash whose number of bins follows its upper size, tuned so that an item
 at the threshold shares no bin's minimum with a chance of MISS at most. Items are signed once for
-every partition. Candidates are verified on the full sets in the same task: no shuffle at all.
+every partition. A document is sketched first; only its bins' minima are looked up, and only among the
+shingles that its partition's item signatures hold. Candidates so found are verified on the full sets in the same
+task: no shuffle at all.
 
 Items are the stated query set. They are broadcast in blocks of at most BLOCK_BYTES of text; a larger
-set takes more passes over the documents.
+set takes more passes over the documents, one block in memory at a time.
 """
 
 from __future__ import annotations
@@ -22,11 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
+from .base import staged
 
-WORDS, THRESHOLD, MISS = 5, 0.8, 1e-7
+WORDS, THRESHOLD, MISS = 5, 0.8, 1e-6
 BLOCK_BYTES = 32 << 20
-#: More bins for each shingle than so many don't pay: such small items are signed with their whole set.
-MOST_BINS = 8
+#: Bins for each shingle of a partition's largest document. Items too small for the last of these are signed with their whole set.
+BINS = (1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 1, 2, 4)
 OUT = "doc_id long, item_id long, n_item long, n_shared long, containment double"
 _U = np.uint64
 #: Beyond ASCII, whatever is no letter, mark or number parts words; scripts written without blanks have a word a character, its marks included.
@@ -43,9 +46,10 @@ def parted(text: Column) -> Column:
 
 def bins_per_shingle(least: int, threshold: float = THRESHOLD, miss: float = MISS) -> float | None:
     """Bins for each shingle of a partition's largest document, for items of ``least`` shingles or more; None: keep all."""
-    for a in (0.5, 1, 2, 4, MOST_BINS):
+    for a in BINS:
         kept = (1 - math.exp(-1 / a)) * a  # the chance that a shingle is its bin's minimum
-        if (1 - kept) ** math.ceil(threshold * least) <= miss:
+        # the item's other shingles, a share of 1 - threshold, may hide a shared one in the item's own signature
+        if (1 - kept) ** math.ceil(threshold * threshold * least) <= miss:
             return a
     return None
 
@@ -54,16 +58,21 @@ def minima(values: np.ndarray, owner: np.ndarray, bins: np.ndarray) -> np.ndarra
     """Which values are the least of their bin; ``bins`` for each owner."""
     start = np.concatenate(([0], np.cumsum(bins)))
     bin_ = start[owner] + (kernels.mix(values, 5) % bins[owner].astype(_U)).astype(np.int64)
-    order = kernels.mix(values, 6)
+    rank = kernels.mix(values, 6)
     least = np.full(start[-1], _U(2**64 - 1), _U)
-    np.minimum.at(least, bin_, order)
-    return order == least[bin_]
+    np.minimum.at(least, bin_, rank)
+    return rank == least[bin_]
+
+
+def bins_of(a: float, part: int) -> int:
+    """The bins of every signature of a partition, items' and documents' alike."""
+    return max(1, int(a * 2**part))
 
 
 class Index:
     """Signatures of the items for every size partition, and their full sets."""
 
-    PARTS = 40
+    PARTS = 32  # sets of up to 2 ** 31 shingles
 
     def __init__(self, items: list[tuple[int, str | None]], threshold: float):
         self.threshold = threshold
@@ -82,29 +91,35 @@ class Index:
         #: Items of fewer than WORDS words by their number of words: the one shingle's hash, sorted, and the items that have it.
         self.short = {k: (np.array(sorted(v), _U), [v[x] for x in sorted(v)]) for k, v in short.items()}
         self.ids = np.array(ids, np.int64)
+        self.build()
+
+    def build(self) -> None:
+        """Sign the sets for every partition."""
         sizes = np.array([len(s) for s in self.sets], np.int64)
-        self.tuned = [bins_per_shingle(int(n), threshold) for n in sizes]
+        self.tuned = [bins_per_shingle(int(n), self.threshold) for n in sizes]
         flat_sets = np.concatenate(self.sets) if self.sets else np.zeros(0, _U)
         owner = np.repeat(np.arange(len(sizes)), sizes)
         #: The item's class: items of one tuning share the documents' bins.
         self.classes = sorted({a for a, n in zip(self.tuned, sizes) if n}, key=lambda a: a or 1e9)
-        self.keys, self.owners, self.signed = {}, {}, {}
+        self.probed = self.held = 0  # shingles looked up, shingles of the documents seen
+        own_class = {a: np.array([t == a for t in self.tuned])[owner] if len(owner) else np.zeros(0, bool) for a in self.classes}
+        self.tables: dict[tuple[float | None, int], tuple[np.ndarray, np.ndarray]] = {}
         for a in self.classes:
-            mine = np.array([t == a for t in self.tuned])[owner] if len(owner) else np.zeros(0, bool)
-            values, own = flat_sets[mine], owner[mine]
+            values, own = flat_sets[own_class[a]], owner[own_class[a]]
             order = np.argsort(values, kind="stable")
             values, own = values[order], own[order]
-            signed = np.ones((self.PARTS, len(values)), bool)
-            if a is not None:
-                for part in range(self.PARTS):
-                    bins = np.full(len(sizes), max(1, int(a * 2 ** min(part, 30))), np.int64)
+            for part in range(self.PARTS):
+                self.tables[a, part] = values, own
+                if a is not None:
                     # only the bins that hold something are laid out
-                    compact = np.unique(own * (1 << 40) + (kernels.mix(values, 5) % _U(bins[0])).astype(np.int64), return_inverse=True)[1]
+                    bin_ = (kernels.mix(values, 5) % _U(bins_of(a, part))).astype(np.int64)
+                    compact = np.unique(own << 34 | bin_, return_inverse=True)[1]
                     least = np.full(compact.max() + 1 if len(compact) else 0, _U(2**64 - 1), _U)
                     rank = kernels.mix(values, 6)
                     np.minimum.at(least, compact, rank)
-                    signed[part] = rank == least[compact]
-            self.keys[a], self.owners[a], self.signed[a] = values, own, signed
+                    signed = rank == least[compact]
+                    if not signed.all():
+                        self.tables[a, part] = values[signed], own[signed]
 
     def search_short(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
         """As `search`, for items of fewer than WORDS words: their words stand in the text in a row."""
@@ -124,26 +139,20 @@ class Index:
         part = np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64)
         pairs = set()
         for a in self.classes:
-            keys = self.keys[a]
-            at = np.searchsorted(keys, sets)
-            hit = np.flatnonzero(keys[np.minimum(at, len(keys) - 1)] == sets)
-            if not len(hit):
-                continue
-            if a is not None:  # the bins of the texts that share anything at all
-                some = np.unique(owner[hit])
-                local = np.zeros(len(size), np.int64)
-                local[some] = np.arange(len(some))
-                rows = np.concatenate([np.arange(bounds[t], bounds[t + 1]) for t in some])
-                bins = np.maximum(1, (a * 2.0 ** part[some]).astype(np.int64))
-                least = np.zeros(len(sets), bool)
-                least[rows] = minima(sets[rows], local[owner[rows]], bins)
-                hit = hit[least[hit]]
-            for i in hit:
-                t, k = int(owner[i]), int(at[i])
-                while k < len(keys) and keys[k] == sets[i]:
-                    if self.signed[a][part[t], k]:
-                        pairs.add((t, int(self.owners[a][k])))
-                    k += 1
+            sketch = slice(None) if a is None else minima(sets, owner, np.array([bins_of(a, p) for p in part.tolist()], np.int64))
+            values, who = sets[sketch], owner[sketch]
+            self.probed, self.held = self.probed + len(values), self.held + len(sets)
+            of = part[who]
+            for p in np.unique(of).tolist():
+                keys, items = self.tables[a, p]
+                mine = of == p
+                probe, text = values[mine], who[mine]
+                first = np.searchsorted(keys, probe)
+                for i in np.flatnonzero(keys[np.minimum(first, len(keys) - 1)] == probe).tolist():
+                    k = int(first[i])
+                    while k < len(keys) and keys[k] == probe[i]:
+                        pairs.add((int(text[i]), int(items[k])))
+                        k += 1
         out = []
         for t, j in sorted(pairs):
             own, item = sets[bounds[t] : bounds[t + 1]], self.sets[j]
@@ -178,7 +187,9 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
 
     Shingles are five words; words are runs of letters (any script), marks and digits, lower-cased, so that case and
     punctuation don't matter; of scripts without blanks each character is a word. An item of fewer words is one shingle and is
-    found wherever its words stand in a row; without words it is found nowhere, nor is anything in such a document. Null texts are empty; rows without an id are left out of both. Repeated rows repeat their rows of the result.
+    found wherever its words stand in a row; without words it is found nowhere, nor is anything in such a document. Null and
+    empty texts hold nothing; rows without an id are left out of both; very long texts are read whole. Repeated rows, and different
+    rows of one id, have their own rows of the result. An empty table on either side gives none. Other columns are ignored.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), parted(F.col("text")).alias("text")).filter("doc_id is not null")
@@ -187,8 +198,9 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
     blocks = -(-total // BLOCK_BYTES) or 1
     out = None
     for b in range(blocks):
-        mine = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        index = spark.sparkContext.broadcast(Index([(r[0], r[1]) for r in mine.collect()], threshold))
-        found = docs.mapInArrow(_searched(index), OUT)
+        mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
+        index = spark.sparkContext.broadcast(Index([(r[0], r[1]) for r in mine.toLocalIterator()], threshold))  # BLOCK_BYTES of text, about
+        found = staged(docs.mapInArrow(_searched(index), OUT), "contained")
+        index.destroy()
         out = found if out is None else out.unionByName(found)
     return out

@@ -173,6 +173,24 @@ def test_containment_equals_brute_force(spark):
     assert decontamination.contained_items(frame(spark, texts[:3]), bench.filter("false")).count() == 0
 
 
+def test_sketches_find_contained_items_with_fewer_probes():
+    r = np.random.default_rng(4)
+    ids = lambda n: np.unique(r.integers(0, 2**63, n, dtype=np.uint64))
+    for n_item, share in ((11, 1.0), (60, 0.75), (400, 0.15), (5000, 0.05)):
+        items = [ids(n_item) for _ in range(40)]
+        index = decontamination.Index([], 0.8)
+        index.sets, index.ids = items, np.arange(40)
+        index.build()
+        found = wanted = 0
+        for item in items:
+            shared = item[: -(-8 * len(item) // 10)]  # just at the threshold
+            doc = np.sort(np.concatenate((shared, ids(20_000))))
+            hits = index.search(doc, np.array([0, len(doc)]))
+            wanted += 1
+            found += len(hits) == 1 and hits[0][3] == len(shared)
+        assert found == wanted and index.probed <= share * index.held, (n_item, index.probed / index.held)
+
+
 def test_short_and_unspaced_items_inside_long_documents(spark):
     items = ["Blue whale song", "whale", "dolphin", "这是一个测试题目", "おはよう", "“one–two” three’s four\u00a0five six", "ไปไหนมา", "two copies", "Two, copies!", "नमस्ते दुनिया"]
     long = " ".join(f"w{i}" for i in range(3000))
