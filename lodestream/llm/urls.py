@@ -2,8 +2,11 @@
 
 Names in hosts are split into words by a unigram Viterbi. Word counts come from the pages' own text, paths
 and hyphenated hosts; each distinct name fetches the counts of its substrings by a join, so no dictionary is broadcast.
-The naive Bayes model counts the tokens of all URLs in a hashed space of fixed size. Its classes are
-first guessed from seed words and then fitted once to the tokens that occur beside them.
+
+The naive Bayes model is learned from the pages, as one learns from positive and unlabelled examples: unwanted are those that a rule
+blocks and those whose host holds a seed word (a weak label, unless a rule allows the page); all others count as wanted. Its tokens are the
+words of host and path, so words that stand beside blocked ones block as well, and a seed word in a company of wanted ones
+need not. The token space is hashed to a fixed size.
 """
 
 from __future__ import annotations
@@ -20,12 +23,17 @@ from .base import staged
 
 # The rules as (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-# Words whose hosts count as unwanted at first.
+# Words whose hosts count as unwanted among the examples.
 SEEDS = ("ads", "adult", "bet", "bets", "bingo", "casino", "escort", "gambling", "loans", "lottery", "malware", "pharmacy", "phishing", "pills", "poker", "porn", "slots", "spam", "torrent", "tracker", "viagra", "warez", "xxx")
 # Labels that say nothing about a host.
 PLAIN = ("www", "com", "net", "org", "example", "m", "blog")
 BUCKETS = 1 << 18
+#: Letters of the longest word of the unigram model; octets of the longest name a host can have (RFC 1035): a longer one is no name and stays whole.
 LONGEST_WORD, LONGEST_NAME = 24, 63
+#: Substrings of up to so many letters (26 + 26^2 + 26^3 at most) are looked up in a broadcast table; each stands in too many names for a shuffle.
+SHORT = 3
+#: A host with more than one in so many rows is hot; there are fewer such hosts than that.
+HOT = 1000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -87,23 +95,36 @@ def _split(total: int):
 
 
 def host_words(hosts: DataFrame, counts: DataFrame) -> DataFrame:
-    """host, host_words: the words of all names of each distinct host, in order."""
+    """host, n, host_words for each distinct host: how many rows it has and the words of all its names, in order."""
     names = F.filter(F.split("host", r"[^a-z]+"), lambda x: (x != "") & ~x.isin(*PLAIN))
-    hosts = staged(hosts.distinct().select("host", names.alias("names")), "url-hosts")
+    hosts = staged(hosts.groupBy("host").agg(F.count("*").alias("n")).select("host", "n", names.alias("names")), "url-hosts")
     each = hosts.select(F.explode("names").alias("name")).distinct()
     total = counts.agg(F.sum("n")).first()[0] or 1
-    spans = F.expr(
-        f"""flatten(transform(sequence(1, length(name)), s ->
-            transform(sequence(1, least(length(name) - s + 1, {LONGEST_WORD})), k -> substring(name, s, k))))"""
-    )
-    short = each.filter(F.length("name") <= LONGEST_NAME)  # a label of a host has no more; longer ones stay whole
-    parts = short.select("name", F.explode(F.array_distinct(spans)).alias("word"))
-    known = parts.join(counts, "word", "left").groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("p"))
-    known = known.withColumn("p", F.filter("p", lambda x: x["n"].isNotNull()))
-    split = known.select("name", F.col("p.word").alias("words"), F.col("p.n").alias("counts")).mapInArrow(_split(total), "name string, split array<string>")
-    rows = hosts.select("host", F.posexplode_outer("names").alias("i", "name")).join(split, "name", "left")
+    parts = each.filter(F.length("name") <= LONGEST_NAME).select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("s"))
+    size = F.explode(F.sequence(F.lit(1), F.least(F.length("name") - F.col("s") + 1, F.lit(LONGEST_WORD)))).alias("k")
+    parts = parts.select("name", "s", size).select("name", F.expr("substring(name, s, k)").alias("word")).distinct()
+    counts = counts.withColumnRenamed("n", "c")
+    brief = parts.filter(F.length("word") <= SHORT).join(F.broadcast(counts.filter(F.length("word") <= SHORT)), "word")
+    known = brief.unionByName(parts.filter(F.length("word") > SHORT).join(counts.filter(F.length("word") > SHORT), "word"))
+    known = known.groupBy("name").agg(F.collect_list(F.struct("word", "c")).alias("p"))  # some LONGEST_NAME * LONGEST_WORD entries at most
+    rows = each.join(known, "name", "left").select("name", F.col("p.word").alias("words"), F.col("p.c").alias("counts")).filter(F.length("name") <= LONGEST_NAME)
+    split = rows.mapInArrow(_split(total), "name string, split array<string>")
+    rows = hosts.select("host", "n", F.posexplode_outer("names").alias("i", "name")).join(split, "name", "left")
     words = F.coalesce("split", F.when(F.col("name").isNotNull(), F.array("name")), F.array().cast("array<string>"))
-    return rows.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("i", words.alias("w")))).alias("p")).select("host", F.flatten("p.w").alias("host_words"))
+    rows = rows.groupBy("host").agg(F.any_value("n").alias("n"), F.array_sort(F.collect_list(F.struct("i", words.alias("w")))).alias("p"))
+    return staged(rows.select("host", "n", F.flatten("p.w").alias("host_words")), "url-split")
+
+
+def with_host_words(rows: DataFrame, split: DataFrame) -> DataFrame:
+    """``rows`` with the words of their hosts. Hosts with more than 1 in HOT rows, fewer than HOT, are broadcast; the others' rows are shuffled."""
+    total = split.agg(F.sum("n")).first()[0] or 0
+    hot = split.filter(F.col("n") * HOT > total).select("host", F.col("host_words").alias("hot_words"))
+    cold = split.filter(F.col("n") * HOT <= total).select(F.col("host").alias("key"), "host_words")
+    rows = rows.join(F.broadcast(hot), "host", "left")
+    # rows that have their words are dealt out by any key that no host has
+    key = F.when(F.col("hot_words").isNull(), F.col("host")).otherwise(F.concat(F.lit("/"), F.pmod(F.xxhash64("page_id", "path"), F.lit(4096)).cast("string")))
+    rows = rows.withColumn("key", key).join(cold.hint("merge"), "key", "left").drop("key")
+    return rows.withColumn("host_words", F.coalesce("hot_words", "host_words", F.array().cast("array<string>"))).drop("hot_words")
 
 
 def _odds(weights, prior: float):
@@ -120,30 +141,38 @@ def _odds(weights, prior: float):
     return run
 
 
-def judged(pages: DataFrame) -> DataFrame:
+def weights(counts: np.ndarray) -> np.ndarray:
+    """Log odds of each bucket from its counts among unwanted and wanted pages (2 x buckets), with one added to each that any page has."""
+    used = max(1, int((counts.sum(0) > 0).sum()))
+    return np.log((counts[0] + 1) / (counts[0].sum() + used)) - np.log((counts[1] + 1) / (counts[1].sum() + used))
+
+
+def judged(pages: DataFrame, *, held_out: int | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict, host_words, log_odds for each row of ``pages`` (page_id, url; html if there).
 
-    A null url or one without :// has an empty host and path and no rule. URLs without tokens get the
-    prior's verdict. log_odds: of unwanted to wanted; the method blocks above 0. Ties of rules can't occur among different
-    rules that fit one host and path unless they are equal. Repeated rows repeat theirs; other columns are ignored.
+    log_odds: of unwanted to wanted; where no rule fits the method blocks above 0. ``held_out`` (0 to 4): hosts whose hash leaves this
+    remainder by 5 are not learned from, so that verdicts on them can be held against the rules'.
+    A null or empty url, or one without ://, has an empty host and path and no rule. URLs without tokens get the
+    prior's verdict. Urls and pages of any length are read whole. Two rules that fit one host and path differ in length, so ties can't
+    occur. Repeated rows repeat theirs; an empty table gives no rows; other columns are ignored.
     """
     spark = pages.sparkSession
     rows = parsed(pages)
-    split = host_words(rows.select("host"), staged(word_counts(pages), "url-words"))
+    rows = with_host_words(rows, host_words(rows.select("host"), staged(word_counts(pages), "url-words")))
     path_words = F.regexp_extract_all(F.lower("path"), F.lit("[a-z]+"), F.lit(0))
-    rows = rows.join(split, "host", "left").withColumn("host_words", F.coalesce("host_words", F.array().cast("array<string>")))
     tokens = F.concat(F.transform("host_words", lambda w: F.concat(F.lit("h:"), w)), F.transform(path_words, lambda w: F.concat(F.lit("p:"), w)))
     bucket = F.transform(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS)).cast("int"))
-    rows = rows.withColumn("buckets", bucket).withColumn("seeded", F.arrays_overlap("host_words", F.array(*[F.lit(s) for s in SEEDS])))
-    rows = staged(rows, "url-rows")
+    seeded = F.arrays_overlap("host_words", F.array(*[F.lit(s) for s in SEEDS]))
+    bad = F.coalesce(ruled()["verdict"] == "block", seeded)
+    learn = F.lit(True) if held_out is None else F.pmod(F.xxhash64("host"), F.lit(5)) != held_out
+    rows = staged(rows.withColumns({"buckets": bucket, "bad": bad, "learn": learn}), "url-rows")
     counts = np.zeros((2, BUCKETS))
-    for r in rows.select("seeded", F.explode("buckets").alias("b")).groupBy("b").agg(F.count_if("seeded").alias("u"), F.count_if(~F.col("seeded")).alias("w")).collect():  # BUCKETS rows at most
+    known = rows.filter("learn")
+    for r in known.select("bad", F.explode("buckets").alias("b")).groupBy("b").agg(F.count_if("bad").alias("u"), F.count_if(~F.col("bad")).alias("w")).toLocalIterator():  # BUCKETS rows at most
         counts[:, r["b"]] = r["u"], r["w"]
-    got = rows.agg(F.count_if("seeded"), F.count_if(~F.col("seeded"))).first()
-    used = max(1, int((counts.sum(0) > 0).sum()))
-    weights = np.log((counts[0] + 1) / (counts[0].sum() + used)) - np.log((counts[1] + 1) / (counts[1].sum() + used))
+    got = known.agg(F.count_if("bad"), F.count_if(~F.col("bad"))).first()
     prior = math.log((got[0] + 1) / (got[1] + 1))
-    scored = rows.mapInArrow(_odds(spark.sparkContext.broadcast(weights), prior), "page_id long, host string, path string, host_words array<string>, log_odds double")
+    scored = rows.mapInArrow(_odds(spark.sparkContext.broadcast(weights(counts)), prior), "page_id long, host string, path string, host_words array<string>, log_odds double")
     rule = ruled()
     return scored.select(
         "page_id", "host", "path", rule["rule"].alias("rule"), F.coalesce(rule["verdict"], F.when(F.col("log_odds") > 0, "block").otherwise("allow")).alias("verdict"),

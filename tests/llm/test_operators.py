@@ -443,9 +443,64 @@ def test_urls(spark):
     assert urls.judged(pages.filter("false")).count() == 0
 
 
-def test_word_split_takes_the_cheapest_path():
+def test_word_split_equals_all_splits():
+    import itertools
+    import math
+
     counts = {"cheap": 50, "pills": 40, "pi": 5, "che": 1}
     assert urls.split_name("cheappills", counts, 1000) == ["cheap", "pills"] and urls.split_name("", counts, 10) == []
+    r = random.Random(10)
+    for _ in range(60):
+        name = "".join(r.choice("abc") for _ in range(r.randint(1, 9)))
+        counts = {"".join(r.choice("abc") for _ in range(r.randint(1, 4))): r.randint(1, 90) for _ in range(12)}
+        total = sum(counts.values()) + 1
+        cost = lambda w: math.log(total) - math.log(counts[w]) if w in counts else math.log(total) + len(w) * math.log(10)
+        splits = []
+        for cuts in itertools.product((0, 1), repeat=len(name) - 1):
+            ends = [i + 1 for i, c in enumerate(cuts) if c] + [len(name)]
+            splits.append([name[a:b] for a, b in zip([0, *ends], ends)])
+        got = urls.split_name(name, counts, total)
+        assert "".join(got) == name and abs(sum(map(cost, got)) - min(sum(map(cost, x)) for x in splits)) < 1e-9
+
+
+def test_url_scores_equal_plain_counts(spark):
+    import math
+
+    r = random.Random(11)
+    words = ["red", "blue", "green", "casino", "win", "garden", "news", "shop"]
+    text = " ".join(words * 30)
+    pages = [(i, f"https://{r.choice(words)}{r.choice(words)}.{r.choice(['com', 'net', 'org', 'example.com'])}/{r.choice(['en', 'de', 'fr'])}/{r.choice(words)}{i}", text) for i in range(150)]
+    rows = urls.judged(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    tokens = {x["page_id"]: [f"h:{w}" for w in x["host_words"].split()] + [f"p:{w}" for w in re.findall("[a-z]+", x["path"].lower())] for x in rows}
+    assert all(set(x["host_words"].split()) <= set(words) for x in rows)
+    bad = {x["page_id"]: x["verdict"] == "block" if x["rule"] else bool(set(x["host_words"].split()) & set(urls.SEEDS)) for x in rows}
+    n = {k: {} for k in (True, False)}
+    for i, ts in tokens.items():
+        for t in ts:
+            n[bad[i]][t] = n[bad[i]].get(t, 0) + 1
+    used, size = len(set(n[True]) | set(n[False])), {k: sum(v.values()) for k, v in n.items()}
+    prior = math.log((sum(bad.values()) + 1) / (len(bad) - sum(bad.values()) + 1))
+    for x in rows:
+        want = prior + sum(math.log((n[True].get(t, 0) + 1) / (size[True] + used)) - math.log((n[False].get(t, 0) + 1) / (size[False] + used)) for t in tokens[x["page_id"]])
+        assert abs(x["log_odds"] - want) < 1e-9 and (x["rule"] or x["verdict"] == ("block" if want > 0 else "allow"))
+
+
+def test_verdicts_are_not_the_seed_words(spark):
+    """Words that stand beside seeds block without them; a seed among many wanted words doesn't block."""
+    text = "casino win free farm poker garden alphabet shop flowers " * 20
+    urls_ = [f"https://casino-win.example.com/free/{i}" for i in range(30)] + [f"https://poker-win.example.com/free/{i}" for i in range(30)]
+    urls_ += [f"https://garden-shop.example.com/flowers/{i}" for i in range(400)]
+    urls_ += ["https://freewin.example.com/free/1", "https://pokergardenshop.example.com/flowers/shop/garden"]
+    pages = spark.createDataFrame([(i, u, text) for i, u in enumerate(urls_)], "page_id long, url string, html string")
+    rows = {x["page_id"]: x for x in urls.judged(pages).collect()}
+    assert (rows[460]["host_words"], rows[460]["verdict"]) == ("free win", "block")
+    assert (rows[461]["host_words"], rows[461]["verdict"]) == ("poker garden shop", "allow")
+
+
+def test_a_hot_host_keeps_its_rows(spark):
+    rows = [(i, "https://big.example.com/en/x") for i in range(3000)] + [(5000 + i, f"https://small{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}b.example.com/") for i in range(1500)]
+    out = urls.judged(spark.createDataFrame([*rows, (None, None), (None, "x")], "page_id long, url string"))
+    assert out.count() == len(rows) + 2 and out.filter("host = 'big.example.com' and host_words <> 'big'").isEmpty()
 
 
 def test_chunks_keep_texts_whole():
