@@ -10,7 +10,8 @@ centre, the member that meets most others in all its buckets, is held against ev
 components follow from these links. A link that could still join two components has an end
 apart from its bucket's centre. Both ends are known by what they differ in from the centre, and sets this much alike must
 share a large part of these differences: a prefix join over the differences finds the rest of the
-candidates, exactly, in time linear in the differences' size for groups of random edits.
+candidates, exactly. It joins the components that share a difference before their members, so members of one
+component never meet, however many hang on a foreign centre.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
-from .base import staged
+from .base import HOT, hot_join, staged
 from .components import components
 
 BANDS, ROWS = 48, 6
@@ -62,11 +63,19 @@ def _sets(k: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, delta: bool = False) -> DataFrame:
-    """a, b, both, na, nb for every pair: the sizes of the full sets and of their intersection; ``delta``: what b and not a has, then what a and not b has."""
-    left = sets.select(F.col("id").alias("a"), F.col("set").alias("sa"))
+    """a, b, both, na, nb for every pair: the sizes of the full sets and of their intersection; ``delta``: what b and not a has, then what a and not b has.
+
+    A hot centre's set is copied once for each 1 in HOT of all pairs that it has, and its pairs are dealt to the copies.
+    """
+    many = pairs.groupBy("a").agg(F.count("*").alias("n"))
+    total = pairs.count()
+    hot = F.broadcast(many.filter(F.col("n") * HOT > total).select("a", F.ceil(F.col("n") * HOT / max(1, total)).cast("int").alias("copies")))  # fewer than HOT rows, 2 * HOT copies
+    copies = F.coalesce("copies", F.lit(1))
+    left = sets.select(F.col("id").alias("a"), F.col("set").alias("sa")).join(hot, "a", "left").select("a", "sa", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
     right = sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
+    dealt = pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), copies).cast("int").alias("copy"))
     both = F.size(F.array_intersect("sa", "sb")).alias("both")
-    rows = pairs.join(right, "b").join(left, "a").select("a", "b", both, F.size("sa").alias("na"), F.size("sb").alias("nb"), *([F.concat(F.array_except("sb", "sa"), F.array_except("sa", "sb")).alias("delta")] * delta))
+    rows = dealt.join(right, "b").join(left, ["a", "copy"]).select("a", "b", both, F.size("sa").alias("na"), F.size("sb").alias("nb"), *([F.concat(F.array_except("sb", "sa"), F.array_except("sa", "sb")).alias("delta")] * delta))
     return staged(rows, "near-verified")
 
 
@@ -76,12 +85,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: in
     Words are runs of other than white space, A-Z lower-cased. A set holds the distinct k-word
     shingles; of fewer words the whole sequence is one; without words or text it is empty and linked
     with nothing. Two documents are linked if 100 * |both| >= percent * |either|. Rows that repeat an id are one
-    document of the graph. component_id: the smallest id reachable. Rows without an id keep none and are never kept for it.
+    document of the graph. component_id: the smallest id reachable, which settles ties. Rows without an id get the component of an
+    equal set that has one, else none, and are never kept. Texts of any length are read whole; an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signs = staged(docs.mapInArrow(_signed(k, bands, rows), "doc_id long, n long, sign binary, keys array<long>"), "near-signs")
     classes = staged(
-        signs.filter("sign is not null and doc_id is not null").groupBy("sign").agg(F.min("doc_id").alias("rep"), F.any_value("keys").alias("keys")), "near-classes"
+        signs.filter("sign is not null and doc_id is not null").groupBy("sign").agg(F.min("doc_id").alias("rep"), F.any_value("keys").alias("keys"), F.count("*").alias("n")), "near-classes"
     )
     held = classes.select("rep", F.explode("keys").alias("key"))
     full = held.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
@@ -99,12 +109,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: in
     more = _verified(staged(_across(done, comp, percent), "near-pairs"), sets).filter(same).select("a", "b")
     if not more.isEmpty():
         comp = staged(components(links.union(more)), "near-components")
-    found = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("sign", F.coalesce("component", "rep").alias("component"))
+    found = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("sign", F.coalesce("component", "rep").alias("component"), "n")
+    rows = hot_join(signs.select("doc_id", F.col("n").alias("n_shingles"), "sign"), found, "sign", "component", classes.agg(F.sum("n")).first()[0] or 0, F.xxhash64("doc_id").cast("string").cast("binary"))
     comp_of_id = F.coalesce("component", "doc_id")
-    return (
-        signs.drop("keys").join(found, "sign", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), comp_of_id.alias("component_id"), F.coalesce(F.col("doc_id") == comp_of_id, F.lit(False)).alias("kept"))
-    )
+    return rows.select("doc_id", "n_shingles", comp_of_id.alias("component_id"), F.coalesce(F.col("doc_id") == comp_of_id, F.lit(False)).alias("kept"))
 
 
 def _across(done: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
@@ -128,6 +136,8 @@ def _across(done: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
         return t.filter("last > 0").select("a", F.col("v").alias(tag), F.col("n").alias("n" + tag), F.col("c").alias("c" + tag), F.col("d").alias("d" + tag), F.posexplode(F.slice("delta", 1, F.col("last"))).alias("p" + tag, "e"))
 
     need = f"ceil((dx + dy - {r} * (nx + ny)) / 2 - 1e-6)"
-    found = entries(x, "x").join(entries(y, "y"), ["a", "e"]).filter("cx <> cy").filter(f"px < dx - {need} + 1 and py < dy - {need} + 1 and least(dx, dy) >= {need}")
+    xs, ys = entries(x, "x"), entries(y, "y")
+    meet = staged(xs.select("a", "e", "cx").distinct().join(ys.select("a", "e", "cy").distinct(), ["a", "e"]).filter("cx <> cy"), "near-meet")
+    found = xs.join(meet, ["a", "e", "cx"]).join(ys, ["a", "e", "cy"]).filter(f"px < dx - {need} + 1 and py < dy - {need} + 1 and least(dx, dy) >= {need}")
     pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     return pairs.join(done.select("a", "b").union(done.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import staged
+from .base import hot_join, staged
 
 # The rules as (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -32,8 +32,6 @@ BUCKETS = 1 << 18
 LONGEST_WORD, LONGEST_NAME = 24, 63
 #: Substrings of up to so many letters (26 + 26^2 + 26^3 at most) are looked up in a broadcast table; each stands in too many names for a shuffle.
 SHORT = 3
-#: A host with more than one in so many rows is hot; there are fewer such hosts than that.
-HOT = 1000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -116,15 +114,10 @@ def host_words(hosts: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def with_host_words(rows: DataFrame, split: DataFrame) -> DataFrame:
-    """``rows`` with the words of their hosts. Hosts with more than 1 in HOT rows, fewer than HOT, are broadcast; the others' rows are shuffled."""
+    """``rows`` with the words of their hosts; hot hosts aren't shuffled."""
     total = split.agg(F.sum("n")).first()[0] or 0
-    hot = split.filter(F.col("n") * HOT > total).select("host", F.col("host_words").alias("hot_words"))
-    cold = split.filter(F.col("n") * HOT <= total).select(F.col("host").alias("key"), "host_words")
-    rows = rows.join(F.broadcast(hot), "host", "left")
-    # rows that have their words are dealt out by any key that no host has
-    key = F.when(F.col("hot_words").isNull(), F.col("host")).otherwise(F.concat(F.lit("/"), F.pmod(F.xxhash64("page_id", "path"), F.lit(4096)).cast("string")))
-    rows = rows.withColumn("key", key).join(cold.hint("merge"), "key", "left").drop("key")
-    return rows.withColumn("host_words", F.coalesce("hot_words", "host_words", F.array().cast("array<string>"))).drop("hot_words")
+    spread = F.concat(F.lit("/"), F.pmod(F.xxhash64("page_id", "path"), F.lit(4096)).cast("string"))  # no host has a slash
+    return hot_join(rows, split, "host", "host_words", total, spread).withColumn("host_words", F.coalesce("host_words", F.array().cast("array<string>")))
 
 
 def _odds(weights, prior: float):

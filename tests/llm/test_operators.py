@@ -294,6 +294,31 @@ def test_near_duplicates_equal_brute_force(spark, k):
     assert all(rows[i]["n_shingles"] == len(sets[i]) and rows[i]["kept"] == (want[i] == i) for i in range(len(texts)))
 
 
+def test_foreign_centres_cost_no_squares(spark):
+    """Two templates below the threshold that share bands: rows of the join over differences grow with the group, not with its square."""
+    sizes = {}
+    for n in (150, 300):
+        r = random.Random(12)
+        one = [f"a{i}" for i in range(120)]
+        two = one[:95] + [f"b{i}" for i in range(25)]
+        texts = []
+        for i in range(n):
+            t = list((one, two)[i % 2])
+            t[r.randrange(90)] = f"x{i}"
+            texts.append(" ".join(t))
+        made = []
+        wrapped = neardup.staged
+        neardup.staged = lambda df, name: made.append((name, out := wrapped(df, name))) or out  # noqa: B023
+        try:
+            rows = neardup.near_duplicates(frame(spark, texts), 2, 80).collect()
+        finally:
+            neardup.staged = wrapped
+        want = linked(texts, 2)[1]
+        assert [x["component_id"] for x in sorted(rows, key=lambda x: x["doc_id"])] == want
+        sizes[n] = sum(df.count() for name, df in made if name in ("near-meet", "near-pairs"))
+    assert sizes[300] <= 2.2 * sizes[150] + 50
+
+
 def test_near_duplicates_of_odd_tables(spark):
     assert neardup.near_duplicates(frame(spark, []), 2, 80).count() == 0
     rows = neardup.near_duplicates(frame(spark, ["a b c", "a b c", "a b c", "z"], [5, 5, None, 9]), 2, 80).collect()
