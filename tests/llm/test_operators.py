@@ -444,6 +444,35 @@ def test_fingerprints(spark):
     assert fingerprints.fingerprint_documents(frame(spark, [])).count() == 0
 
 
+def test_fingerprints_of_rows_without_ids_and_of_one_id(spark):
+    r = random.Random(13)
+    rows = [(None, r.choice(["", "same text", None])) for _ in range(60)] + [(None, f"t{i} x") for i in range(40)] + [(7, f"u{i} y") for i in range(50)] + [(i, f"v{i} z w") for i in range(30) if i != 7]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for many in (3, 1 << 14):
+        got = fingerprints.fingerprint_documents(docs, many).collect()
+        assert sorted(str(x["doc_id"]) for x in got) == sorted(str(i) for i, _ in rows)
+        hashes = {t or "": spark.range(1).select(F.xxhash64(F.lit(t or ""))).first()[0] for _, t in rows}
+        order = sorted(rows, key=lambda x: (2**63 - 1 if x[0] is None else x[0], hashes[x[1] or ""], x[1] or ""))
+        want = []
+        for (i, t), (_, n) in zip(order, order[1:] + order[:1]):
+            t, n = t or "", n or ""
+            want.append((str(i), hashlib.sha256((t[: len(t) - len(t) // 2] + n[: len(t) // 2]).encode()).hexdigest()))
+        assert sorted((str(x["doc_id"]), x["edited_sha256"]) for x in got) == sorted(want)
+
+
+def test_fingerprints_hold_the_least_hashes(spark):
+    """The printed hashes against a plain selection from all shingle hashes."""
+    texts = [" ".join(f"w{i * k % 997}" for i in range(n)) for n, k in ((3, 1), (20, 3), (400, 7), (2000, 11))]
+    words = F.split("text", " ")
+    grams = F.transform(F.sequence(F.lit(0), F.size(words) - 5), lambda i: F.xxhash64(*[F.get(F.transform(words, lambda w: F.xxhash64(w)), i + k) for k in range(5)]).bitwiseAND(2**63 - 1))
+    rows = frame(spark, texts).filter("doc_id > 0").select("doc_id", F.array_distinct(grams).alias("g")).collect()
+    prints = {x["doc_id"]: x["fingerprint"] for x in fingerprints.fingerprint_documents(frame(spark, texts)).collect()}
+    for x in rows:
+        below = [h for h in sorted(x["g"]) if h <= (2**63 - 1) // 4]
+        want = below if len(below) >= 32 else sorted(x["g"])[:32]
+        assert prints[x["doc_id"]] == ",".join(f"{h:x}" for h in want)
+
+
 def test_sketches_merge(spark):
     a, b = "w1 w2 w3 " * 3 + " ".join(f"x{i}" for i in range(400)), " ".join(f"y{i}" for i in range(300))
     df = spark.createDataFrame([(a, b)], "a string, b string").select(fingerprints.sketch(F.col("a")).alias("a"), fingerprints.sketch(F.col("b")).alias("b"))
