@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
+from .base import staged
 from .charlm import Alphabet, Model, letters
 
 CUT = 0.3
@@ -28,51 +29,60 @@ SAMPLE = 40_000
 SUPPORT, SURE, Z = 5, 0.95, 3.0
 PREFIXES = (3, 4, 5, 6, 7)
 CHUNK, BLOCK = 1 << 19, 256
-#: Longer tokens (hashes, addresses) are no disguised words.
-LONGEST = 48
+#: Symbols of a token that are decoded at once, and how many more are looked at before those are settled; longer tokens are decoded window by window.
+WINDOW, AHEAD = 2048, 64
 # What a symbol may stand for besides itself.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "li", "+": "t", "€": "e"}
 SEPARATORS = " .-_*~,'·"
 #: Costs in nats: a disguised letter, a digit or sign that is meant, a separator left out or kept, a repeat left out after one or more equal letters.
 SWAP, PLAIN, DROP, KEEP, AGAIN, MANY = 1.0, 2.5, 0.4, 1.0, 3.0, 0.1
+_MARK, _AT_END = "[013457890@$!|+€]", "[013457890@$€]"
 _TRIGGER = re.compile(
-    r"[^\W\d_][013457890@$!|+€]+[^\W\d_]|(?<!\S)[@$!|+€0134578](?=[^\W\d_])|([a-z])\1\1|(?<!\S)[^\W_](?:[ .\-_*~,'·][^\W_](?!\w)){3,}"
+    rf"[^\W\d_]{_MARK}+[^\W\d_]|(?<!\w){_MARK}+(?=[^\W\d_])|[^\W\d_]{_AT_END}+(?!\w)|([a-z])\1\1|(?<!\w)(?:[^\W_]|[@$€])(?:[ .\-_*~,'·](?:[^\W_]|[@$€])(?!\w)){{2,}}"
 )
 _RUN = re.compile(r"(.)\1{3,}")
-_MANY = 2**31
+#: Addresses, numbers of many digits and hashes aren't disguised words.
+_ADDRESS, _PLAIN = re.compile(r"://|@\w+\."), re.compile(r"\d{5}|[0-9a-f]{16}")
 
 
-def _table(chars) -> np.ndarray:
-    out = np.zeros(0x110000, bool)
-    out[[ord(c) for c in chars]] = True
+@cache
+def _kinds() -> np.ndarray:
+    """For each code point: 1 letters, 2 other word characters, 4 marks, 8 what may be part of a disguised word."""
+    out = np.zeros(0x110000, np.uint8)
+    for i in range(0x110000):
+        c = chr(i)
+        if c.isalnum():
+            out[i] = 10 if c.isdecimal() else 9
+    out[ord("_")] = 10
+    for c in LEET:
+        out[ord(c)] |= 12
+    for c in SEPARATORS[1:]:
+        out[ord(c)] |= 8
     return out
 
 
-_MARKS = _table("013457890@$!|+€")
-_PARTS = _table(SEPARATORS)
-_BLANK = _table(" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0")
-
-
 def suspicious(texts: list[str]) -> np.ndarray:
-    """Which lower-cased texts can hold a match of the trigger at all: found on code points, a dozen array operations for all texts."""
+    """Which lower-cased texts can hold a match of the trigger: all that do, and some more; a dozen array operations for all texts.
+
+    Every match has a mark beside a letter, or a run of marks before one, or three equal letters, or three lone characters one apart.
+    """
     bounds = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-    c = np.frombuffer(("\n" + "\n".join(texts) + "\n").encode("utf-32-le", "replace"), np.uint32)  # text i starts at bounds[i] + 1
-    mark = _MARKS[c]
-    plain = ~mark & ~_BLANK[c] & ~_PARTS[c]
+    c = np.frombuffer(("\n\n" + "\n".join(texts) + "\n\n").encode("utf-32-le", "replace"), np.uint32)  # text i starts at bounds[i] + 2
+    kind = _kinds()[c]
+    letter, mark = kind & 1 > 0, kind & 4 > 0
     hits = [np.flatnonzero((c[2:] == c[1:-1]) & (c[1:-1] == c[:-2]) & (c[2:] >= 97) & (c[2:] <= 122))]
-    first = np.flatnonzero(mark[1:] & ~mark[:-1]) + 1  # runs of marks, between other characters or behind a blank
-    after = np.flatnonzero(~mark)
-    end = after[np.minimum(np.searchsorted(after, first), len(after) - 1)]
-    hits.append(first[plain[end] & (plain[first - 1] | _BLANK[c[first - 1]])])
+    sure = mark & (c != ord("!")) & (c != ord("|")) & (c != ord("+"))  # the others end words as they are
+    hits.append(np.flatnonzero((sure[1:] & letter[:-1]) | (letter[1:] & mark[:-1])))
+    single = (kind & 3 > 0) | mark
+    bound = (kind & 3 == 0) | (c == ord("_"))
     lone = np.zeros(len(c), bool)
-    edge = _BLANK[c] | _PARTS[c]
-    lone[1:-1] = ~edge[1:-1] & edge[:-2] & edge[2:]
-    if len(c) > 8:
-        hits.append(np.flatnonzero(lone[:-6] & lone[2:-4] & lone[4:-2] & lone[6:]))
+    lone[1:-1] = single[1:-1] & bound[:-2] & bound[2:]
+    hits.append(np.flatnonzero(lone[:-4] & lone[2:-2] & lone[4:]))
     out = np.zeros(len(texts), bool)
     at = np.concatenate(hits)
-    out[np.minimum(np.searchsorted(bounds, np.maximum(at - 1, 0), "right") - 1, len(texts) - 1)] = True
-    # a mark in front of a mark, or one in a text of other scripts' blanks: rare enough to look at
+    # a hit lies within four places before or behind a character of its text
+    for shift in (-2, 2):
+        out[np.clip(np.searchsorted(bounds, np.maximum(at + shift - 2, 0), "right") - 1, 0, len(texts) - 1)] = True
     return out
 
 
@@ -90,19 +100,42 @@ class Decoder:
         new = sorted({t for t in tokens if t not in self.known}, key=len)
         if len(self.known) > 200_000:
             self.known, new = {}, sorted(set(tokens), key=len)
-        for i in range(0, len(new), BLOCK):
-            self.known.update(zip(new[i : i + BLOCK], self._block(new[i : i + BLOCK])))
+        new = [t for t in new if t]
+        self.known[""] = ""
+        at = 0
+        while at < len(new):  # tokens in order of length: a block's tables are BLOCK tokens of common length, or fewer long ones
+            size = max(1, min(BLOCK, BLOCK * 48 // len(new[min(at + BLOCK, len(new)) - 1])))
+            block = new[at : at + size]
+            self.known.update(zip(block, self._block(block)))
+            at += size
         return [self.known[t] for t in tokens]
 
     def _block(self, tokens: list[str]) -> list[str]:
-        short = [_RUN.sub(r"\1\1\1", t) for t in tokens]
-        n, length, s = len(short), max(map(len, short)), self.s
-        ways = [[self._ways(t, i) for i in range(len(t))] for t in short]
+        whole = [_RUN.sub(r"\1\1\1", t) for t in tokens]
+        if max(map(len, whole)) <= WINDOW + AHEAD:
+            return ["".join(out) for out, _ in self._paths(whole, [0] * len(whole), WINDOW + AHEAD, [(0, 0)] * len(whole))]
+        done = []
+        for t in whole:
+            parts, at, state = [], 0, (0, 0)
+            while at < len(t):
+                out, states = self._paths([t], [at], WINDOW + AHEAD, [state])[0]
+                n = len(out) if at + len(out) == len(t) else WINDOW
+                parts += out[:n]
+                at, state = at + n, states[n - 1]
+            done.append("".join(parts))
+        return done
+
+    def _paths(self, tokens: list[str], froms: list[int], most: int, states: list[tuple[int, int]]) -> list[tuple[list[str], list[tuple[int, int]]]]:
+        """For each token, from a place on and ``most`` symbols at most: what each symbol stands for ('' if left out), and the last two classes after it."""
+        n, s = len(tokens), self.s
+        sizes = [min(most, len(t) - a) for t, a in zip(tokens, froms)]
+        ways = [[self._ways(t, a + i) for i in range(k)] for t, a, k in zip(tokens, froms, sizes)]
         dp = np.full((n, s, s), 1e9, np.float32)
-        dp[:, 0, 0] = 0
+        for j, (a, b) in enumerate(states):
+            dp[j, a, b] = 0
         rows, back = np.arange(n), []
-        for i in range(length):
-            live = np.array([i < len(t) for t in short])
+        for i in range(max(sizes)):
+            live = np.array([i < k for k in sizes])
             new = np.full_like(dp, 1e9)
             how = np.full(dp.shape, -1, np.int8)
             came = np.zeros(dp.shape, np.int8)
@@ -129,23 +162,22 @@ class Decoder:
                 win = stay < new[j]
                 new[j] = np.where(win, stay, new[j])
                 how[j] = np.where(win, 100, how[j])
+            new -= np.where(live[:, None, None], new.min((1, 2), keepdims=True), 0)  # only differences count: long tokens stay exact
             dp = np.where(live[:, None, None], new, dp)
             back.append((how, came))
-        end = (dp + self.by_last[0][None]).reshape(n, -1).argmin(1)
         out = []
-        for j, t in enumerate(short):
-            a, b = divmod(int(end[j]), s)
-            letters = []
-            for i in range(len(t) - 1, -1, -1):
-                how, came = back[i][0][j, a, b], back[i][1][j, a, b]
+        for j, (t, at, size) in enumerate(zip(tokens, froms, sizes)):
+            last = dp[j] + (self.by_last[0] if at + size == len(t) else 0)
+            a, b = divmod(int(last.reshape(-1).argmin()), s)
+            letters, after = [""] * size, [(0, 0)] * size
+            for i in range(size - 1, -1, -1):
+                after[i] = a, b
+                how = back[i][0][j, a, b]
                 if how == 100:
                     continue
-                if how < 0:
-                    letters = list(t[::-1])
-                    break
-                letters.append(chr(96 + b) if 1 <= b <= 26 else t[i])
-                a, b = int(came), a
-            out.append("".join(letters[::-1]))
+                letters[i] = chr(96 + b) if 1 <= b <= 26 else t[at + i]
+                a, b = int(back[i][1][j, a, b]), a
+            out.append((letters, after))
         return out
 
     def _ways(self, t: str, i: int) -> tuple[list[tuple[int, float]], float | None, int | None]:
@@ -172,9 +204,19 @@ class Decoder:
             drop, only = (MANY if run + ahead - i > 2 else AGAIN), cls
         return choices, drop, only
 
+    @staticmethod
+    def _address(t: str, a: int, b: int) -> bool:
+        """Whether the token, up to blanks, holds an address. Blanks inside a spaced word don't end it."""
+        while a > 0 and not t[a - 1].isspace():
+            a -= 1
+        while b < len(t) and not t[b].isspace():
+            b += 1
+        return bool(_ADDRESS.search(t, a, b))
+
     def restore(self, texts: list[str]) -> list[str]:
         """Lower-cased texts with their suspicious tokens decoded."""
         texts = [t.lower() for t in texts]
+        kinds = _kinds()
         found: list[list[tuple[int, int]]] = []
         for t, worth in zip(texts, suspicious(texts)):
             spans, to = [], 0
@@ -185,14 +227,14 @@ class Decoder:
                 if m.start() < to:
                     continue
                 a, b = m.start(), m.end()
-                while a > to and not t[a - 1].isspace():
+                while a > to and kinds[ord(t[a - 1])] & 8:
                     a -= 1
-                while b < len(t) and not t[b].isspace():
+                while b < len(t) and kinds[ord(t[b])] & 8:
                     b += 1
                 to = b
-                while b > a and not (t[b - 1].isalnum() or t[b - 1] in "@$"):
+                while b > a and not (t[b - 1].isalnum() or t[b - 1] in "@$€"):
                     b -= 1
-                if 3 <= b - a and len(_RUN.sub(r"\1\1\1", t[a:b])) <= LONGEST and not _PLAIN.search(t[a:b]):
+                if 3 <= b - a and not _PLAIN.search(t, a, b) and not self._address(t, a, b):
                     spans.append((a, b))
             found.append(spans)
         whole = iter(self.decode([t[a:b] for t, s in zip(texts, found) for a, b in s]))
@@ -206,10 +248,6 @@ class Decoder:
         return out
 
 
-#: Addresses, assignments, numbers of many digits and hashes aren't disguised words.
-_PLAIN = re.compile(r"://|@\w+\.|[=:/\\]|\d{5}|[0-9a-f]{16}|([$%#&*])\1\1")
-
-
 @cache
 def _unspaced() -> np.ndarray:
     """Code points of the letters of scripts written without blanks between words."""
@@ -289,16 +327,26 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
         yield first, texts
 
 
-def _looked(cost, wanted, rows: bool):
-    """Per text the features (single and twice) among ``wanted`` or all, or (``rows`` false) per task how many texts have each."""
-
+def _restored(cost):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(cost.value)
+        for batch in batches:
+            for first, texts in _pieces(batch):
+                kept = [batch.column(c).slice(first, len(texts)) for c in ("doc_id", "toxic")]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(decoder.restore(texts), pa.string())], ["doc_id", "toxic", "text"])
+
+    return run
+
+
+def _looked(wanted, rows: bool):
+    """Per restored text the features (single and twice) among ``wanted`` or all, or (``rows`` false) per task how many texts have each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = None if wanted is None else wanted.value
         count = None if base is None else np.zeros((2, len(base)), np.int64)
         for batch in batches:
             for first, texts in _pieces(batch):
-                who, h, more = held(decoder.restore(texts), base)
+                who, h, more = held(texts, base)
                 if not rows:
                     at = np.searchsorted(base, h)
                     np.add.at(count[0], at, 1)
@@ -386,7 +434,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs`` (doc_id, text).
 
     Learns from labels whose crc32(doc_id) mod 4 isn't 2 alone. Null and empty texts get the score of a text without known
-    features. Without labels every text has one low score. Rows without an id are scored, too, and not held out. Repeated rows repeat theirs.
+    features. Without labels every text has one low score. Rows without an id are scored, too, and not held out. Repeated rows repeat theirs;
+    repeated or contradicting labels of an id count as toxic if one is. Texts of any length are read whole. An empty table gives no rows.
+    Other columns, whatever their names, are ignored.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -396,16 +446,18 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     if n > SAMPLE:
         known = known.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(2**30)) < int(2**30 * SAMPLE / n))
     cost = spark.sparkContext.broadcast(Model(rows, "letters").cost)
-    # About SAMPLE ids, a documented bound: a megabyte. Equal texts count once.
-    learn = rows.join(F.broadcast(known), "doc_id")
-    feats = learn.filter("toxic = 1").mapInArrow(_looked(cost, None, True), "doc_id long, features array<long>")
+    # About SAMPLE ids, a documented bound: a megabyte. Equal texts count once, as toxic if one of them is; they are decoded once.
+    known = F.broadcast(known.withColumn("toxic", F.col("toxic").cast("int")))
+    learn = rows.join(known, "doc_id").groupBy(F.xxhash64("text").alias("doc_id")).agg(F.max("toxic").alias("toxic"), F.any_value("text").alias("text"))
+    learn = staged(learn.mapInArrow(_restored(cost), "doc_id long, toxic int, text string"), "toxic-learn")
+    feats = learn.filter("toxic = 1").mapInArrow(_looked(None, True), "doc_id long, features array<long>")
     often = feats.select(F.explode("features").alias("feature")).groupBy("feature").agg(F.count("*").alias("t")).filter(F.col("t") >= SUPPORT)
     often = {r["feature"]: r["t"] for r in often.toLocalIterator()}  # bounded by the sample
     keys, odds, base = np.zeros(0, np.int64), np.zeros((2, 0)), 0.05
     if often:
         # "twice" features stand among them under hashes that no text has; their words are found through the single ones
         wanted = spark.sparkContext.broadcast(np.sort(np.array(list(often), np.int64)))
-        counted = learn.mapInArrow(_looked(cost, wanted, False), "feature long, once long, twice long").groupBy("feature").agg(F.sum("once").alias("once"), F.sum("twice").alias("twice"))
+        counted = learn.mapInArrow(_looked(wanted, False), "feature long, once long, twice long").groupBy("feature").agg(F.sum("once").alias("once"), F.sum("twice").alias("twice"))
         good = []
         for r in counted.toLocalIterator():
             double = int(twice(np.array([r["feature"]], np.int64))[0])
@@ -413,8 +465,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 good.append(r["feature"])
         good = np.sort(np.array(good, np.int64))
         lexicon = spark.sparkContext.broadcast(good)
-        got = learn.mapInArrow(_looked(cost, lexicon, True), "doc_id long, features array<long>").join(F.broadcast(known), "doc_id")
-        got = got.join(learn.select("doc_id", F.xxhash64("text").alias("h")), "doc_id").groupBy("h").agg(F.max("toxic").alias("toxic"), F.any_value("features").alias("features")).drop("h")
+        got = staged(learn.mapInArrow(_looked(lexicon, True), "doc_id long, features array<long>").join(learn.select("doc_id", "toxic"), "doc_id"), "toxic-features")
         some = got.filter(F.size("features") > 0).toPandas()
         plain = got.filter(F.size("features") == 0).agg(F.count("*"), F.sum("toxic")).first()
         toxic = some["toxic"].to_numpy(np.int64)

@@ -87,7 +87,6 @@ def test_redaction(spark):
 
 # --- 2
 def test_deobfuscation():
-    r = random.Random(1)
     a = toxicity.Alphabet("letters")
     counts = np.ones(a.size**3)
     for w in ["idiot", "moron", "trash", "tool", "letter", "little", "scum", "stupid", "clown", "on", "to", "hidden", "patio", "riot"] * 40:
@@ -96,7 +95,64 @@ def test_deobfuscation():
     d = toxicity.Decoder(-np.log(p).astype(np.float32).ravel())
     got = d.restore(["you 1d10t", "m0r0n here", "such tr@sh now", "i d i o t", "iiiddiiiooot", "a plain little letter", "s.t.u.p.i.d", "mail a.b@x.com 12345"])
     assert got == ["you idiot", "moron here", "such trash now", "idiot", "idiot", "a plain little letter", "stupid", "mail a.b@x.com 12345"]
-    assert r is not None
+    more = d.restore(["an idi07", "you:1d10t!", "t h e m! s c u m)", "i d i o t s t u p i d m o r o n i d i o t s t u p i d m o r o n", "y=m0r0n", "https://x.y/m0r0n"])
+    assert more == ["an idiot", "you:idiot!", "them! scum)", "idiot stupid moron idiot stupid moron", "y=moron", "https://x.y/m0r0n"]
+
+
+def plain_decoder(seed=1):
+    r = np.random.default_rng(seed)
+    a = toxicity.Alphabet("letters")
+    p = r.dirichlet(np.full(a.size, 0.3), a.size * a.size)
+    return toxicity.Decoder(-np.log(np.maximum(p, 1e-9)).astype(np.float32).ravel())
+
+
+def test_decoder_equals_enumeration():
+    import itertools
+
+    d, r = plain_decoder(), random.Random(14)
+    for _ in range(150):
+        t = "".join(r.choice("abcde1$!@.- 02") for _ in range(r.randint(1, 7)))
+        t = toxicity._RUN.sub(r"\1\1\1", t + t[-1] * r.choice([0, 0, 1, 2]))
+        ways = [d._ways(t, i) for i in range(len(t))]
+        best = {}
+        for pick in itertools.product(*[[*w[0], *([(None, w[1])] if w[1] is not None else [])] for w in ways]):
+            a = b = 0
+            cost, out = 0.0, ""
+            for i, (c, e) in enumerate(pick):
+                if c is None:
+                    if ways[i][2] is not None and b != ways[i][2]:
+                        break
+                    cost += e
+                    continue
+                cost += e + float(d.by_last[c, a, b])
+                a, b, out = b, c, out + (chr(96 + c) if 1 <= c <= 26 else t[i])
+            else:
+                cost += float(d.by_last[0, a, b])
+                best[out] = min(best.get(out, 1e9), cost)
+        got = d._block([t])[0]
+        assert best[got] <= min(best.values()) + 1e-3, (t, got)
+
+
+def test_long_tokens_are_decoded_window_by_window():
+    d, r = plain_decoder(), random.Random(15)
+    tokens = [" ".join(r.choice("abcdeé1$") for _ in range(n)) for n in (30, 200, 900)]
+    whole = d._block(tokens)
+    old = toxicity.WINDOW, toxicity.AHEAD
+    toxicity.WINDOW, toxicity.AHEAD = 40, 30
+    try:
+        assert d._block(tokens) == whole
+    finally:
+        toxicity.WINDOW, toxicity.AHEAD = old
+
+
+def test_the_prefilter_keeps_every_match():
+    r = random.Random(16)
+    letters = "abz é1340$@!|+€2_ .-*~,'·\t\n()=:/\u2003ß²"
+    texts = ["s c u m!", "s c u m)", "t h e m!", "s\u2003c u m", "idi07", "a$$", "@$$hole", "f.u.c", "1!a", "x a5"]
+    texts += ["".join(r.choice(letters) for _ in range(r.randint(0, 9))) for _ in range(30_000)]
+    flags = np.concatenate([toxicity.suspicious(texts[i : i + 500]) for i in range(0, len(texts), 500)])
+    assert not [t for t, f in zip(texts, flags) if not f and toxicity._TRIGGER.search(t)]
+    assert all(flags[:10]) and not toxicity.suspicious(["plain words, and 1985 numbers!", "", "x"]).any()
 
 
 def test_toxicity_on_held_out_rows(spark):
