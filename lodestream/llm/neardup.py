@@ -124,12 +124,26 @@ def _across(done: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
     """
     r = (100 - percent) / (100 + percent)
     own = comp.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    rows = done.join(own, "b", "left").join(comp.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
+    total = done.count()
+    at = done.groupBy("a").agg(F.count("*").alias("n")).join(comp.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a")
+    rows = hot_join(done.join(own, "b", "left"), at, "a", "ca", total, F.xxhash64("b"))
     rows = rows.select("a", F.col("b").alias("v"), F.col("na"), F.col("nb").alias("n"), F.coalesce("cb", "b").alias("c"), (F.coalesce("cb", "b") != F.coalesce("ca", "a")).alias("apart"), "delta", F.size("delta").alias("d"))
     rows = staged(rows, "near-apart")
-    open_ = rows.filter("apart").select("a").distinct()
+    some, ys, test = _meetings(rows, total, percent)
+    found = some.join(ys, ["a", "e", "cy"]).filter(test)
+    pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return pairs.join(done.select("a", "b").union(done.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
+
+
+def _meetings(rows: DataFrame, total: int, percent: int) -> tuple[DataFrame, DataFrame, str]:
+    """Members (a, e, cy, x, ...) that may meet one of a foreign component in a shared difference; those components' members; the test of a pair of both.
+
+    ``rows``: a, v, na, n, c, apart, delta, d as `_across` makes them, ``total`` of them.
+    """
+    r = (100 - percent) / (100 + percent)
+    open_ = rows.groupBy("a").agg(F.max("apart").alias("open"), F.count("*").alias("n")).filter("open")
     # the partner is apart: its own difference exceeds r (n + na)
-    x = rows.join(open_, "a", "left_semi").withColumn("last", F.expr(f"cast(d - greatest(1, ceil((d + {r} * (na - n)) / 2 - 1e-6)) + 1 as int)"))
+    x = hot_join(rows.withColumnRenamed("n", "nv"), open_, "a", "open", total, F.xxhash64("v")).filter("open").withColumnRenamed("nv", "n").withColumn("last", F.expr(f"cast(d - greatest(1, ceil((d + {r} * (na - n)) / 2 - 1e-6)) + 1 as int)"))
     y = rows.filter("apart").withColumn("last", F.expr(f"cast(d - greatest(1, ceil((d - {r} * n * (1 + 100 / {percent})) / 2 - 1e-6)) + 1 as int)"))
 
     def entries(t: DataFrame, tag: str) -> DataFrame:
@@ -137,7 +151,7 @@ def _across(done: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
 
     need = f"ceil((dx + dy - {r} * (nx + ny)) / 2 - 1e-6)"
     xs, ys = entries(x, "x"), entries(y, "y")
-    meet = staged(xs.select("a", "e", "cx").distinct().join(ys.select("a", "e", "cy").distinct(), ["a", "e"]).filter("cx <> cy"), "near-meet")
-    found = xs.join(meet, ["a", "e", "cx"]).join(ys, ["a", "e", "cy"]).filter(f"px < dx - {need} + 1 and py < dy - {need} + 1 and least(dx, dy) >= {need}")
-    pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return pairs.join(done.select("a", "b").union(done.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
+    # a component's bounds stand for its members first: what x may meet there must pass the same tests with the least need and the latest place
+    meet = ys.groupBy("a", "e", "cy").agg(F.min(F.expr(f"dy - {r} * ny")).alias("w"), F.max(F.expr(f"dy / 2 - py + {r} * ny / 2")).alias("z"))
+    some = xs.join(meet, ["a", "e"]).filter(f"cx <> cy and px < dx - ceil((dx - {r} * nx + w) / 2 - 1e-6) + 1 and (dx - {r} * nx) / 2 < 1 + z + 1e-6")
+    return some.drop("w", "z"), ys, f"px < dx - {need} + 1 and py < dy - {need} + 1 and least(dx, dy) >= {need}"
