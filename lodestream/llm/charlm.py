@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import staged
+from .quality import discounts
 
 
 @cache
@@ -31,18 +32,12 @@ class Alphabet:
     def __init__(self, name: str):
         self.name = name
         lut = np.zeros(0x110000, np.int16)
-        if name == "full":  # ASCII, Latin-1 letters of either case as one, others by their remainder
-            self.size = 160
-            lut[128:] = 127 + np.arange(128, 0x110000) % 33
-            lut[32:127] = 1 + np.arange(95)
-            for i in range(31):
-                lut[0xC0 + i] = lut[0xE0 + i] = 96 + i
-        else:  # letters a to z of either case, any other letter or mark, a digit; everything else is a word's bound
-            self.size = 29
-            lut[letters()] = 28
-            for i in range(26):
-                lut[65 + i] = lut[97 + i] = 1 + i
-            lut[48:58] = 27
+        # letters a to z of either case, any other letter or mark, a digit; everything else is a word's bound
+        self.size = 29
+        lut[letters()] = 28
+        for i in range(26):
+            lut[65 + i] = lut[97 + i] = 1 + i
+        lut[48:58] = 27
         self.lut = lut
 
     def codes(self, text: str) -> np.ndarray:
@@ -75,19 +70,9 @@ def _counted(name: str):
     return run
 
 
-def _discounts(counts: DataFrame) -> list[float]:
-    """Modified Kneser-Ney's discounts for counts of 0, 1, 2 and 3 or more."""
-    n1, n2, n3, n4 = (float(x or 0) for x in counts.agg(*[F.sum((F.col("n") == k).cast("long")) for k in (1, 2, 3, 4)]).first())
-    if not (n1 and n2 and n3):
-        return [0.0, 0.5, 0.5, 0.5]
-    y = n1 / (n1 + 2 * n2)
-    raw = [0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-    return [0.0, *[min(max(d, 0.05), k - 0.05) for k, d in zip((1, 2, 3), raw[1:])]]
-
-
 def _level(counts: DataFrame, size: int) -> DataFrame:
     """gram, low (the gram without its first character), part (n less discount over the context's total), gap (the mass the context leaves)."""
-    d = _discounts(counts)
+    d = discounts(counts)
     off = F.element_at(F.array(*[F.lit(x) for x in d]), F.least(F.col("n"), F.lit(3)).cast("int") + 1)
     rows = counts.withColumn("context", F.expr(f"gram div {size}")).withColumn("off", off)
     totals = rows.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("gap"))
@@ -118,7 +103,3 @@ class Model:
             p = full.reshape([a] * level)
         self.cost = -np.log(np.maximum(p, 1e-12)).astype(np.float32).reshape(-1)
         self.name = name
-
-    def nats(self, text: str) -> float:
-        """Mean negative log probability of a character, the closing line end counted."""
-        return float(self.cost[self.alphabet.grams(text)].mean())

@@ -304,6 +304,73 @@ def test_quality(spark):
     assert quality.perplexities(frame(spark, []), labels).count() == 0
 
 
+def plain_kneser_ney(texts, trusted):
+    """For each text its mean nats, by plain dictionaries."""
+    import math
+    import zlib
+    from collections import Counter
+
+    o = quality.ORDER
+    grams = lambda t: [("\x02" * (o - 1) + t + "\x03")[i : i + o] for i in range(len(t) + 1)]
+    level = Counter()
+    for i in trusted:
+        t = texts[i] or ""
+        level.update((1 - zlib.crc32(t.encode()) % 2, g) for g in grams(t) if t)
+    levels = []
+    for k in range(o, 0, -1):
+        n = Counter(level.values())
+        if n[1] and n[2] and n[3]:
+            y = n[1] / (n[1] + 2 * n[2])
+            raw = [1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3]]
+            d = [0, *[min(max(x, 0.05), j - 0.05) for j, x in zip((1, 2, 3), raw)]]
+        else:
+            d = [0, 0.5, 0.5, 0.5]
+        total, off = Counter(), Counter()
+        for (m, g), c in level.items():
+            total[m, g[:-1]] += c
+            off[m, g[:-1]] += d[min(c, 3)]
+        levels.insert(0, ({key: (c - d[min(c, 3)]) / total[key[0], key[1][:-1]] for key, c in level.items()}, {key: off[key] / total[key] for key in total}))
+        level = Counter((m, g[1:]) for m, g in level)
+
+    def p(m, g):
+        out = 1 / 0x110000
+        for k, (part, gap) in enumerate(levels, 1):
+            h = g[o - k :]
+            out = part.get((m, h), 0) + gap.get((m, h[:-1]), 1) * out
+        return out
+
+    return [-sum(math.log(p(zlib.crc32(t.encode()) % 2, g)) for g in grams(t)) / (len(t) + 1) if t else None for t in (x or "" for x in texts)], levels
+
+
+def test_perplexities_equal_plain_kneser_ney(spark):
+    r = random.Random(17)
+    texts = [" ".join("".join(r.choice(["ba", "ko", "ri", "тэн", "水"]) for _ in range(r.randint(1, 4))) for _ in range(r.randint(1, 30))) for _ in range(60)]
+    texts += [*ODD, "x\x02y\x03z", "unseen 語 \U0001f600"]
+    trusted = [*range(0, 40, 2), 61, 63]
+    ids = spark.createDataFrame([(i,) for i in trusted], "doc_id long")
+    want, levels = plain_kneser_ney([t and t.replace("\x02", "\x1a").replace("\x03", "\x1a") for t in texts], trusted)
+    docs = frame(spark, texts).select("doc_id", "text", "lang")
+    got = {x["doc_id"]: x["nats"] for x in quality.scored(docs, ids).collect()}
+    assert len(got) == len(texts)
+    for i, w in enumerate(want):
+        assert (got[i] is None) == (w is None) and (w is None or abs(got[i] - w) < 1e-5 * max(1, w)), (i, got[i], w)
+    # over all characters a context's probabilities sum to one
+    part, gap = levels[0]
+    for m in (0, 1):
+        assert abs(sum(v for (k, _), v in part.items() if k == m) + gap[m, ""] - 1) < 1e-9
+
+
+def test_small_blocks_give_the_same_questions():
+    from lodestream.llm import ngrams
+
+    texts = [b"abra cadabra", b"", "тэн 水".encode(), b"abra cadabra"] * 3
+    shard, models, chars, keys = ngrams.questions(texts, 5)
+    assert len(set(keys.tolist())) == len(keys) and (np.diff(shard) >= 0).all()
+    for s in range(5):
+        m, c = ngrams.read(ngrams.written(models[shard == s], chars[shard == s]))
+        assert (m == models[shard == s]).all() and (c == chars[shard == s]).all() and (ngrams.keys_of(c, m) == keys[shard == s]).all()
+
+
 def test_kneser_ney_sums_to_one(spark):
     from lodestream.llm.charlm import Model
 
@@ -371,8 +438,10 @@ def test_foreign_centres_cost_no_squares(spark):
             neardup.staged = wrapped
         want = linked(texts, 2)[1]
         assert [x["component_id"] for x in sorted(rows, key=lambda x: x["doc_id"])] == want
-        sizes[n] = sum(df.count() for name, df in made if name in ("near-meet", "near-pairs"))
-    assert sizes[300] <= 2.2 * sizes[150] + 50
+        apart = next(df for name, df in made if name == "near-apart")
+        some, ys, test = neardup._meetings(apart, apart.count(), 80)
+        sizes[n] = apart.filter("apart").count() + some.count() + some.join(ys, ["a", "e", "cy"]).filter(test).count()
+    assert 0 < sizes[300] <= 2.2 * sizes[150] + 50
 
 
 def test_near_duplicates_of_odd_tables(spark):
