@@ -21,7 +21,7 @@ from . import kernels
 
 ORDER, FOLDS = 4, 2
 #: Bytes of text of a block (whole texts, at least one) and of the pieces in which it is worked on.
-BLOCK, PIECE = 16 << 20, 1 << 20
+BLOCK, PIECE = 8 << 20, 1 << 20
 #: Marks before a text's first and behind its last character; in a text they count as U+001A.
 FIRST, LAST = "\x02", "\x03"
 BLOCKS = "block long, marked boolean, ids array<long>, langs array<string>, sizes array<int>, lens array<int>, packed binary"
@@ -30,7 +30,7 @@ _P, _Q = _U(0x9DDFEA08EB382D69), _U(0xC2B2AE3D27D4EB4F)
 
 
 def pack(bits, bits_size: int):
-    """Rows (doc_id, text, lang, mark) to BLOCKS; documents whose mark is among ``bits`` and others are packed apart."""
+    """Rows (doc_id, text, lang, size, mark) to BLOCKS; documents whose mark is among ``bits`` and others are packed apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -50,12 +50,11 @@ def pack(bits, bits_size: int):
             return pa.RecordBatch.from_arrays([pa.array(d, k) for d, k in zip(data, kinds)], ["block", "marked", "ids", "langs", "sizes", "lens", "packed"])
 
         for batch in batches:
-            for i, t, lang, mark in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "lang", "mark"))):
+            raw = batch.column("text").cast(pa.binary())
+            for i, t, lang, n, mark in zip(*(c.to_pylist() for c in (batch.column("doc_id"), raw, *(batch.column(c) for c in ("lang", "size", "mark"))))):
                 kind = bool(mark is not None and marked[mark])
-                t = t or ""
-                raw = t.encode("utf-8", "replace")
-                held[kind].append((i, lang, raw, len(t)))
-                size[kind] += len(raw)
+                held[kind].append((i, lang, t or b"", n))
+                size[kind] += len(t or b"")
                 if size[kind] >= BLOCK:
                     yield block(kind)
         for kind in (False, True):
@@ -101,42 +100,73 @@ class Grams:
     def __init__(self, texts: list[bytes], models: list[int]):
         clean = [t.decode("utf-8", "replace") for t in texts]
         clean = [t.replace(FIRST, "\x1a").replace(LAST, "\x1a") if FIRST in t or LAST in t else t for t in clean]
+        some = [(i, len(t) + 1) for i, t in enumerate(clean) if t]
         self.points = np.frombuffer("".join(FIRST * (ORDER - 1) + t + LAST for t in clean if t).encode("utf-32-le"), np.uint32)
-        self.at = np.flatnonzero(self.points != ord(FIRST))
-        some = np.array([bool(t) for t in clean], bool)
-        self.owner = np.repeat(np.flatnonzero(some), [len(t) + 1 for t in clean if t])
-        self.model = np.array(models, np.int64)[self.owner] if len(self.owner) else np.zeros(0, np.int64)
-        self.keys = keys_of(self.chars(self.at), self.model)
+        if not some:
+            self.at, self.owner, self.model, self.keys = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _U)
+            return
+        who, sizes = (np.array(x, np.int64) for x in zip(*some))
+        # every place but a text's first ORDER - 1 ends an n-gram
+        ends = np.ones(len(self.points), bool)
+        starts = np.concatenate(([0], np.cumsum(sizes + ORDER - 1)[:-1]))
+        for k in range(ORDER - 1):
+            ends[starts + k] = False
+        self.at = np.flatnonzero(ends)
+        self.owner = np.repeat(who, sizes)
+        self.model = np.array(models, np.int64)[self.owner]
+        wide, n = self.points.astype(_U), len(self.points) - ORDER + 1
+        acc = wide[:n].copy()
+        for k in range(1, ORDER):
+            acc *= _P
+            acc += wide[k : n + k]
+        weight = _U(int(_Q) * int(_P) ** ORDER % 2**64)
+        self.keys = kernels.mix(acc[ends[ORDER - 1 :]] + self.model.astype(_U) * weight, 55)
 
     def chars(self, at: np.ndarray) -> np.ndarray:
         return np.stack([self.points[at - (ORDER - 1 - k)] for k in range(ORDER)], axis=1) if len(at) else np.zeros((0, ORDER), np.uint32)
 
 
-class Tally:
-    """Distinct n-grams with their models and numbers, gathered piece by piece."""
+class Known:
+    """A growing set of keys, numbered as they came. Most lookups are one step in a table of the keys' leading bits; keys that lost their place there are searched."""
 
     def __init__(self):
-        self.parts: list[tuple] = []
-        self.size = 0
-        self.done = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
-
-    def add(self, g: Grams, take: np.ndarray | None = None) -> None:
-        keys, at = (g.keys, g.at) if take is None else (g.keys[take], g.at[take])
-        models = g.model if take is None else g.model[take]
-        keys, first, n = np.unique(keys, return_index=True, return_counts=True)
-        self.parts.append((keys, n, g.chars(at[first]), models[first]))
-        self.size += len(keys)
-        if self.size > 1 << 20:
-            self.all()
-
-    def all(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """keys (sorted), counts, code points, models."""
-        if self.parts:
-            columns = [np.concatenate(c) for c in zip(self.done, *self.parts)]
-            keys, first, which = np.unique(columns[0], return_index=True, return_inverse=True)
-            self.done = keys, np.bincount(which, weights=columns[1]).astype(np.int64), columns[2][first], columns[3][first]
-            self.parts, self.size = [], 0
-        return self.done
+        self.keys, self.chars, self.models = np.zeros(0, _U), np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
+        self._laid()
+
+    def _laid(self) -> None:
+        n = len(self.keys)
+        self.shift = _U(64 - max(12, (8 * n).bit_length()))
+        self.table = np.full(1 << (64 - int(self.shift)), -1, np.int32)
+        place = (self.keys >> self.shift).astype(np.int64)
+        self.table[place] = np.arange(n, dtype=np.int32)
+        lost = np.flatnonzero(self.table[place] != np.arange(n))
+        self.lost = lost[np.argsort(self.keys[lost])]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The keys' numbers, -1 for unknown ones."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int32)
+        out = self.table[(keys >> self.shift).astype(np.int64)]
+        miss = np.flatnonzero((self.keys[out] != keys) | (out < 0))
+        out[miss] = -1
+        if len(self.lost) and len(miss):
+            lost = self.keys[self.lost]
+            at = np.minimum(np.searchsorted(lost, keys[miss]), len(lost) - 1)
+            hit = lost[at] == keys[miss]
+            out[miss[hit]] = self.lost[at[hit]]
+        return out
+
+    def add(self, g: Grams) -> np.ndarray:
+        """The numbers of a piece's n-grams, new ones put in."""
+        out = self.find(g.keys)
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            keys, first = np.unique(g.keys[new], return_index=True)
+            some = new[first]
+            self.keys, self.chars, self.models = np.concatenate((self.keys, keys)), np.concatenate((self.chars, g.chars(g.at[some]))), np.concatenate((self.models, g.model[some]))
+            self._laid()
+            out[new] = self.find(g.keys[new])
+        return out
 
 
 def strings(chars: np.ndarray) -> list[str]:
@@ -149,15 +179,22 @@ def points_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
 
 
-def questions(texts: list[bytes], shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """What some texts ask of the model: distinct n-grams by shard, model and characters, in that order: shards, models, code points, keys."""
-    tally = Tally()
-    for _, some in pieces(texts):
-        tally.add(Grams(some, [fold(t) for t in some]))
-    keys, _, chars, models = tally.all()
-    shard = (keys % _U(shards)).astype(np.int64)
-    order = np.lexsort((*(chars[:, k] for k in reversed(range(ORDER))), models, shard))
-    return shard[order], models[order], chars[order], keys[order]
+def known(texts: list[bytes], counted: list | None = None) -> Known:
+    """The distinct n-grams of some texts; ``counted`` takes, for each piece, its first text, how many there are, the owners and the numbers of its n-grams."""
+    out = Known()
+    for first, some in pieces(texts):
+        g = Grams(some, [fold(t) for t in some])
+        numbers = out.add(g)
+        if counted is not None:
+            counted.append((first, len(some), g.owner.astype(np.int32), numbers))
+    return out
+
+
+def asked(of: Known, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """What is asked of the model: shards, and the n-grams' numbers, by shard, model and characters."""
+    shard = (of.keys % _U(shards)).astype(np.int64)
+    order = np.lexsort((*(of.chars[:, k] for k in reversed(range(ORDER))), of.models, shard))
+    return shard[order], order
 
 
 def written(models: np.ndarray, chars: np.ndarray) -> bytes:

@@ -37,12 +37,12 @@ def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """model, gram, n of the trusted documents (their places: ``some``) of each block; a text trains the models of the other folds."""
     for batch in batches:
         for packed, lens, some in zip(*(batch.column(c) for c in ("packed", "lens", "some"))):
-            texts, tally = ngrams.unpack(packed.as_py(), lens.as_py()), ngrams.Tally()
+            texts, seen, n = ngrams.unpack(packed.as_py(), lens.as_py()), ngrams.Known(), np.zeros(0, np.int64)
             for _, piece in ngrams.pieces([texts[i] for i in some.as_py()]):
                 for k in range(1, ngrams.FOLDS):
-                    tally.add(ngrams.Grams(piece, [(ngrams.fold(t) + k) % ngrams.FOLDS for t in piece]))
-            _, n, chars, models = tally.all()
-            yield pa.RecordBatch.from_arrays([pa.array(models, pa.int32()), pa.array(ngrams.strings(chars), pa.string()), pa.array(n, pa.int64())], ["model", "gram", "n"])
+                    numbers = seen.add(ngrams.Grams(piece, [(ngrams.fold(t) + k) % ngrams.FOLDS for t in piece]))
+                    n = np.pad(n, (0, len(seen.keys) - len(n))) + np.bincount(numbers, minlength=len(seen.keys))
+            yield pa.RecordBatch.from_arrays([pa.array(seen.models, pa.int32()), pa.array(ngrams.strings(seen.chars), pa.string()), pa.array(n, pa.int64())], ["model", "gram", "n"])
 
 
 def _asked(shards: int):
@@ -51,7 +51,9 @@ def _asked(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, packed, lens in zip(*(batch.column(c) for c in ("block", "packed", "lens"))):
-                shard, models, chars, _ = ngrams.questions(ngrams.unpack(packed.as_py(), lens.as_py()), shards)
+                known = ngrams.known(ngrams.unpack(packed.as_py(), lens.as_py()))
+                shard, order = ngrams.asked(known, shards)
+                models, chars = known.models[order], known.chars[order]
                 at = np.searchsorted(shard, np.arange(shards + 1))
                 some = [s for s in range(shards) if at[s] < at[s + 1]]
                 data = [ngrams.written(models[at[s] : at[s + 1]], chars[at[s] : at[s + 1]]) for s in some]
@@ -108,16 +110,15 @@ def _summed(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for packed, lens, ids, langs, sizes, answers in zip(*(batch.column(c) for c in ("packed", "lens", "ids", "langs", "sizes", "answers"))):
-                texts = ngrams.unpack(packed.as_py(), lens.as_py())
-                *_, keys = ngrams.questions(texts, shards)
-                nats = np.concatenate([np.frombuffer(x["nats"], np.float32) for x in sorted(answers.as_py() or [], key=lambda x: x["shard"])] or [np.zeros(0, np.float32)])
-                order = np.argsort(keys)
-                keys, nats = keys[order], nats[order].astype(np.float64)
-                total, count = np.zeros((2, len(texts)))
-                for first, some in ngrams.pieces(texts):
-                    g = ngrams.Grams(some, [ngrams.fold(t) for t in some])
-                    at, mine = np.searchsorted(keys, g.keys), slice(first, first + len(some))
-                    total[mine], count[mine] = np.bincount(g.owner, nats[at], len(some)), np.bincount(g.owner, minlength=len(some))
+                pieces: list[tuple] = []
+                known = ngrams.known(ngrams.unpack(packed.as_py(), lens.as_py()), pieces)
+                _, order = ngrams.asked(known, shards)
+                nats = np.zeros(len(known.keys))
+                if len(order):
+                    nats[order] = np.concatenate([np.frombuffer(x["nats"], np.float32) for x in sorted(answers.as_py(), key=lambda x: x["shard"])])
+                total, count = np.zeros((2, len(lens)))
+                for first, n, owner, numbers in pieces:
+                    total[first : first + n], count[first : first + n] = np.bincount(owner, nats[numbers], n), np.bincount(owner, minlength=n)
                 mean = pa.array(total / np.maximum(count, 1), pa.float64(), mask=count == 0)
                 yield pa.RecordBatch.from_arrays([ids.values, langs.values, sizes.values, mean], ["doc_id", "lang", "size", "nats"])
 
@@ -176,7 +177,7 @@ def scored(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     mark = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
     bits = np.zeros(BITS, bool)
     bits[[r[0] for r in trusted.select(mark).distinct().toLocalIterator()]] = True  # BITS rows at most
-    rows = docs.select("doc_id", "text", "lang", F.when(F.col("doc_id").isNotNull(), mark).alias("mark"))
+    rows = docs.select("doc_id", "text", "lang", F.length(F.coalesce("text", F.lit(""))).alias("size"), F.when(F.col("doc_id").isNotNull(), mark).alias("mark"))
     blocks = staged(rows.mapInArrow(ngrams.pack(spark.sparkContext.broadcast(np.packbits(bits)), BITS), ngrams.BLOCKS), "quality-blocks")
     places = blocks.filter("marked").select("block", F.posexplode("ids").alias("at", "doc_id")).join(trusted, "doc_id", "left_semi")
     places = places.groupBy("block").agg(F.collect_list("at").alias("some"))  # no more than a block holds

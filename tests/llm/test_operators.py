@@ -360,15 +360,26 @@ def test_perplexities_equal_plain_kneser_ney(spark):
         assert abs(sum(v for (k, _), v in part.items() if k == m) + gap[m, ""] - 1) < 1e-9
 
 
-def test_small_blocks_give_the_same_questions():
+def test_questions_survive_packing(monkeypatch):
     from lodestream.llm import ngrams
 
-    texts = [b"abra cadabra", b"", "тэн 水".encode(), b"abra cadabra"] * 3
-    shard, models, chars, keys = ngrams.questions(texts, 5)
-    assert len(set(keys.tolist())) == len(keys) and (np.diff(shard) >= 0).all()
+    r = random.Random(18)
+    texts = [b"abra cadabra", b"", "тэн 水".encode(), b"abra cadabra", *("".join(r.choice("abcdefgh тэн") for _ in range(r.randint(0, 400))).encode() for _ in range(300))]
+    monkeypatch.setattr(ngrams, "PIECE", 2000)
+    pieces = []
+    known = ngrams.known(texts, pieces)
+    plain = {}
+    for first, n, owner, numbers in pieces:
+        g = ngrams.Grams(texts[first : first + n], [ngrams.fold(t) for t in texts[first : first + n]])
+        assert (known.keys[numbers] == g.keys).all() and (g.owner == owner).all() and (ngrams.keys_of(g.chars(g.at), g.model) == g.keys).all()
+        for k, c in zip(g.keys.tolist(), ngrams.strings(g.chars(g.at))):
+            assert plain.setdefault(k, c) == c
+    assert len(plain) == len(known.keys) == len(set(known.keys.tolist())) and ngrams.strings(known.chars) == [plain[k] for k in known.keys.tolist()]
+    shard, order = ngrams.asked(known, 5)
+    assert (np.diff(shard) >= 0).all()
     for s in range(5):
-        m, c = ngrams.read(ngrams.written(models[shard == s], chars[shard == s]))
-        assert (m == models[shard == s]).all() and (c == chars[shard == s]).all() and (ngrams.keys_of(c, m) == keys[shard == s]).all()
+        m, c = ngrams.read(ngrams.written(known.models[order][shard == s], known.chars[order][shard == s]))
+        assert (ngrams.keys_of(c, m) == known.keys[order][shard == s]).all()
 
 
 def test_kneser_ney_sums_to_one(spark):
