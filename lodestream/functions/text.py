@@ -1,5 +1,7 @@
 """Text functions over columns; no Python runs on the executors.
 
+The regular expressions are fixed values: results depend on them to the letter.
+
 White space is the ASCII kinds, U+00A0 and U+FEFF. Lengths and cuts count code points. A null gives a null.
 """
 
@@ -17,6 +19,11 @@ CJK_MORE = r"\x{3400}-\x{4dbf}\x{f900}-\x{faff}"
 TOKEN = rf"[{CJK}{CJK_MORE}]|[^\t\n\x0B\f\r \x{{a0}}\x{{feff}}{CJK}{CJK_MORE}]+"
 
 
+def let(value: Column, body) -> Column:
+    """Bind ``value`` once and use it many times in ``body`` (a lambda over the bound column): what a lambda captures is computed anew for each element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strings(words) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
@@ -56,9 +63,8 @@ def title_tokens(c: Column) -> Column:
 
 def claims(title: Column, hint: Column, terms: Column) -> Column:
     """The first five of the entities and the topic's terms that occur anywhere in title and hint."""
-    text = F.lower(F.concat(title, F.lit(" "), hint))
     wanted = F.array_distinct(F.concat(strings(V.CLAIM_ENTITIES), F.transform(terms, F.lower)))
-    return F.slice(F.filter(wanted, lambda t: F.contains(text, t)), 1, 5)
+    return let(F.lower(F.concat(title, F.lit(" "), hint)), lambda text: F.slice(F.filter(wanted, lambda t: F.contains(text, t)), 1, 5))
 
 
 def html_text(c: Column) -> Column:
@@ -113,8 +119,21 @@ def gram_words(c: Column) -> Column:
 
 def word_grams(c: Column, n: int = V.GRAM_WORDS) -> Column:
     """Distinct n-grams of words, joined by spaces."""
-    bound = F.transform(
-        F.array(gram_words(c)),
-        lambda w: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(n)]))).otherwise(F.array().cast("array<string>")),
-    )
-    return F.array_distinct(bound[0])
+
+    def grams(w: Column) -> Column:
+        return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(n)]))).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(let(gram_words(c), grams))
+
+
+def gram_keys(c: Column, n: int = V.GRAM_WORDS) -> Column:
+    """Distinct n-grams of words as 128-bit keys: structs (a, b) of two hashes."""
+
+    def keys(w: Column) -> Column:
+        def key(i: Column) -> Column:
+            words = [F.get(w, i + k) for k in range(n)]
+            return F.struct(F.xxhash64(*words).alias("a"), F.xxhash64(F.lit("second"), *words).alias("b"))
+
+        return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n), key)).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>"))
+
+    return F.array_distinct(let(gram_words(c), keys))

@@ -59,6 +59,13 @@ def normalize_public_url(url: Column, allow_http: bool = False) -> Column:
     return F.when(F.coalesce(good, F.lit(False)), F.concat(scheme, F.lit("://"), host(u), path, part(u, 4))).otherwise(F.lit(""))
 
 
+def checked_fetch_url(url: Column, hosts: Column | None = None) -> Column:
+    """The normalised URL; an unsafe one, or one whose host isn't among ``hosts`` (an array, if given), fails the job."""
+    safe = normalize_public_url(url)
+    good = (safe != "") if hosts is None else (safe != "") & F.array_contains(hosts, host(safe))
+    return F.when(F.coalesce(good, F.lit(False)), safe).otherwise(F.raise_error(F.concat(F.lit("unsafe URL: "), F.coalesce(F.substring(url, 1, 160), F.lit("")))).cast("string"))
+
+
 def path_key(url: Column) -> Column:
     """Host and path without one trailing slash; an unparsable URL: its first 200 characters, lower-cased."""
     return F.when(part(url, 2) != "", F.concat(host(url), F.regexp_replace(F.when(part(url, 3) == "", F.lit("/")).otherwise(part(url, 3)), "/$", ""))).otherwise(F.substring(F.lower(url), 1, 200))

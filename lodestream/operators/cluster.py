@@ -14,19 +14,24 @@ from pyspark.sql.window import Window
 from ..functions import values as V
 from ..functions.text import strings
 from ..plans.staging import staged
+from .dedup import numbered
+
+
+#: A token of more items than HOT is hot; parts of its join.
+HOT, SALTS = 10_000, 64
 
 
 def seed_order(items: DataFrame) -> DataFrame:
     """Adds ord: by feed rank (null: 999), newest first, arrival; within the topic."""
-    w = Window.partitionBy("topic").orderBy(F.coalesce("feed_rank", F.lit(999)), F.desc("published_at"), "arrival")
-    return items.withColumn("ord", (F.row_number().over(w) - 1).cast("long"))
+    return numbered(items, ["topic"], [F.coalesce("feed_rank", F.lit(999)), F.desc("published_at"), "arrival"], "ord")
 
 
 def similar_pairs(items: DataFrame, theta: float, important=V.IMPORTANT_TOKENS) -> DataFrame:
     """topic, i, j, overlap, weighted, sim for i < j with sim >= theta; items: topic, ord, tokens (distinct).
 
     sim = (overlap + 1.5 * important overlap) / smaller size. An overlap weighs 2.5 at most, so the smaller set's first
-    size - ceil(theta * size / 2.5) + 1 tokens, rarest first, hold a shared one: only these are joined.
+    size - ceil(theta * size / 2.5) + 1 tokens, rarest first, hold a shared one: only these are joined. A token that more than
+    HOT items of a topic have is joined in SALTS parts, by the larger sets' numbers.
     """
     items = items.filter(F.size("tokens") > 0).select("topic", "ord", "tokens", F.size("tokens").alias("n"))
     each = items.select("topic", "ord", "n", F.explode("tokens").alias("token"))
@@ -34,9 +39,11 @@ def similar_pairs(items: DataFrame, theta: float, important=V.IMPORTANT_TOKENS)
     ranked = each.join(df, ["topic", "token"])
     nth = F.row_number().over(Window.partitionBy("topic", "ord").orderBy("df", "token"))
     prefix = ranked.withColumn("nth", nth).filter(F.col("nth") <= F.col("n") - F.ceil(theta * F.col("n") / 2.5 - 1e-9) + 1)
-    a = prefix.select("topic", "token", F.col("ord").alias("a"), F.col("n").alias("na"))
-    b = each.select("topic", "token", F.col("ord").alias("b"), F.col("n").alias("nb"))
-    found = a.join(b, ["topic", "token"]).filter("a <> b and (na < nb or (na = nb and a < b))")
+    hot = F.col("df") > HOT
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    a = prefix.select("topic", "token", F.col("ord").alias("a"), F.col("n").alias("na"), F.explode(salts).alias("salt"))
+    b = ranked.select("topic", "token", F.col("ord").alias("b"), F.col("n").alias("nb"), F.when(hot, F.pmod("ord", F.lit(SALTS)).cast("int")).otherwise(0).alias("salt"))
+    found = a.join(b, ["topic", "token", "salt"]).filter("a <> b and (na < nb or (na = nb and a < b))")
     pairs = found.select("topic", F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).distinct()
     left = items.select("topic", F.col("ord").alias("i"), F.col("tokens").alias("ti"))
     right = items.select("topic", F.col("ord").alias("j"), F.col("tokens").alias("tj"))
@@ -74,7 +81,7 @@ def clustered(items: DataFrame, theta: float = V.THETA) -> DataFrame:
     """Items (topic, ord, tokens, ...) with leader, cluster number in creation order and cluster_id."""
     lead = leaders(items, similar_pairs(items, theta))
     heads = lead.select("topic", "leader").distinct()
-    heads = heads.withColumn("n", F.row_number().over(Window.partitionBy("topic").orderBy("leader")) - 1)
+    heads = numbered(heads, ["topic"], ["leader"], "n")
     out = items.join(lead, ["topic", "ord"]).join(heads, ["topic", "leader"])
     return out.withColumn("cluster_id", F.concat(F.lit("cluster-"), "topic", F.lit("-"), F.col("n").cast("string")))
 
@@ -94,5 +101,5 @@ def rollup(items: DataFrame) -> DataFrame:
 
 def projected(items: DataFrame) -> DataFrame:
     """Items with their cluster's distinct raw domains and members an hour of the cycle."""
-    w = Window.partitionBy("topic", "cluster_id")
-    return items.withColumn("mentions", F.size(F.collect_set("source_domain").over(w)).cast("long")).withColumn("velocity", F.count("*").over(w) / F.lit(V.CYCLE_HOURS))
+    held = items.groupBy("topic", "cluster_id").agg(F.countDistinct("source_domain").alias("mentions"), (F.count("*") / F.lit(V.CYCLE_HOURS)).alias("velocity"))
+    return items.join(held, ["topic", "cluster_id"])

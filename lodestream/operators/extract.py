@@ -10,6 +10,7 @@ from .dedup import first_wins
 
 #: Larger pages are refused.
 PAGE_BYTES = 3_000_000
+SNIPPET_CHARS = 500
 
 
 def bounded(c: Column, limit: int) -> Column:
@@ -22,32 +23,33 @@ def canonical(url: Column) -> Column:
     return F.concat(F.lower(urls.part(url, 1)), F.lit("://"), urls.host(url), F.when(urls.part(url, 3) == "", F.lit("/")).otherwise(urls.part(url, 3)))
 
 
-def documents(pages: DataFrame) -> DataFrame:
-    """Source documents of fetched pages (url, html; allowed by robots, null: yes): id, url, domain, extraction, access_policy, word_count, lang, content_hash, body.
+def documents(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Source documents of fetched pages (url, html; allowed by robots, null: yes; content_type, null: HTML): id, url, domain, extraction, access_policy, word_count, lang, content_hash, body.
 
-    The body is private: drop it before publishing. A page without a body, or one too large, failed.
+    ``keep``: columns of ``pages`` to carry along. The body is private: drop it before publishing. An unsafe URL, another content type, a refusal by robots,
+    a missing page or one too large failed. A paywalled page gives its first 500 characters, and an empty one counts as a word.
     """
-    domain = urls.source_domain(F.col("url"))
-    html = bounded(F.col("html"), PAGE_BYTES)
-    rows = pages.withColumn("domain", domain).withColumn("html", html).withColumn("body", text.main_body(text.html_text(F.col("html"))))
+    column = lambda name, kind: F.col(name) if name in pages.columns else F.lit(None).cast(kind)
+    safe = urls.normalize_public_url(F.col("url"))
+    kind = F.lower(F.coalesce(column("content_type", "string"), F.lit("text/html")))
+    rows = pages.withColumns({"_safe": safe, "_html": bounded(F.col("html"), PAGE_BYTES), "_allowed": F.coalesce(column("allowed", "boolean"), F.lit(True))})
+    rows = rows.withColumn("_domain", urls.source_domain(F.when(F.col("_safe") == "", F.col("url")).otherwise(F.col("_safe")))).withColumn("_text", text.html_text(F.col("_html")))
+    unsafe = (F.col("_safe") == "") | ~(F.contains(kind, F.lit("text/html")) | F.contains(kind, F.lit("application/xhtml")))
     policy = (
-        F.when(domain.isin(*_closed()), "tos-restricted").when(~F.coalesce("allowed", F.lit(True)), "robots-disallowed").when(F.coalesce(text.paywalled(F.col("html"), domain), F.lit(False)), "paywalled")
-        .otherwise("allowed")
+        F.when(F.col("_safe") == "", "tos-restricted").when(~F.col("_allowed"), "robots-disallowed").when(F.col("_html").isNull(), "allowed").when(unsafe, "tos-restricted")
+        .when(F.coalesce(text.paywalled(F.col("_html"), F.col("_domain")), F.lit(False)), "paywalled").otherwise("allowed")
     )
-    words = text.space_words(F.coalesce("body", F.lit("")))
-    failed = F.col("html").isNull() | policy.isin("robots-disallowed", "tos-restricted")
-    url = F.when(failed, canonical(F.col("url"))).otherwise(F.col("url"))
-    return rows.select(
-        ids.doc_id(url).alias("id"), url.alias("url"), "domain", F.when(failed, "failed").when(words > 50, "full").otherwise("snippet").alias("extraction"), policy.alias("access_policy"),
-        F.when(~failed, words).alias("word_count"), F.when(~failed, text.page_lang(F.col("html"))).alias("lang"), ids.content_hash(F.when(failed, F.lit("")).otherwise(F.col("body"))).alias("content_hash"),
-        F.when(~failed, F.col("body")).alias("body"),
-    )
-
-
-def _closed():
-    from ..functions.values import CLOSED_DOMAINS
-
-    return CLOSED_DOMAINS
+    rows = rows.withColumn("_policy", policy).withColumn("_failed", F.col("_html").isNull() | F.col("_policy").isin("robots-disallowed", "tos-restricted"))
+    closed = F.col("_policy") == "paywalled"
+    rows = rows.withColumn("_body", F.when(closed, F.substring("_text", 1, SNIPPET_CHARS)).otherwise(text.main_body(F.col("_text"))))
+    words = F.when(closed, F.size(F.split("_body", f"{text.WS}+"))).otherwise(text.space_words(F.col("_body"))).cast("long")
+    address = F.when(F.col("_failed"), canonical(F.when(F.col("_safe") == "", F.col("url")).otherwise(F.col("_safe")))).otherwise(F.col("_safe"))
+    made = {
+        "id": ids.doc_id(address), "url": address, "domain": F.col("_domain"), "extraction": F.when(F.col("_failed"), "failed").when(closed | (words <= 50), "snippet").otherwise("full"),
+        "access_policy": F.col("_policy"), "word_count": F.when(~F.col("_failed"), words), "lang": F.when(~F.col("_failed"), text.page_lang(F.col("_html"))),
+        "content_hash": ids.content_hash(F.when(F.col("_failed"), F.lit("")).otherwise(F.col("_body"))), "body": F.when(~F.col("_failed"), F.col("_body")),
+    }
+    return rows.select(*[F.col(c) for c in keep or [] if c not in made], *[v.alias(k) for k, v in made.items()])
 
 
 def chosen_bodies(items: DataFrame, stored: DataFrame, fetched: DataFrame) -> DataFrame:

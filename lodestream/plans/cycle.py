@@ -12,6 +12,8 @@ from ..functions import values as V
 from ..functions.ids import fingerprint, item_id
 from ..functions.text import claims, title_tokens
 from ..operators import cluster, dedup, metrics
+from .etl import PUBLIC, Etl
+from .staging import staged
 
 
 def run_id(now: str) -> str:
@@ -45,15 +47,27 @@ def aggregated(raw: DataFrame, topic_rows: DataFrame) -> DataFrame:
     return cluster.projected(cluster.clustered(cluster.seed_order(items_of(raw, topic_rows))))
 
 
-def artifact(spark: SparkSession, items: DataFrame, sources: DataFrame, now: str, floor: int = 20) -> DataFrame:
-    """One row: the envelope as JSON (key ``artifact``) and its warnings. Collects per topic, at the edge, what is published: small by the budget of feeds."""
+def all_items(items: DataFrame) -> DataFrame:
+    """The topic 'all': items of every topic by mentions (desc), topic and place, first of each id, with pos from 0 on; nothing is cut."""
+    merged = dedup.global_merge(items.withColumns({"topic_ord": F.coalesce("topic_ord", F.lit(999)), "item_ord": F.col("ord")}))
+    return dedup.numbered(merged, [], [F.desc("mentions"), "topic_ord", "topic", "item_ord"], "pos")
+
+
+def artifact(spark: SparkSession, items: DataFrame, sources: DataFrame, now: str, floor: int = 20, found: Etl | None = None) -> DataFrame:
+    """One row: the envelope as JSON (key ``artifact``) and its warnings. Collects per topic, at the edge, what is published: small by the budget of feeds.
+
+    ``found``: documents, facts and warnings of the same items (see `etl`); a run with it has their maps and the higher revision.
+    """
     public = F.struct("id", "topic", "title", "source", "source_domain", "url", "tier", "published_at", "summary_hint", "claims", "cluster_id", "mentions", "velocity")
-    by_topic = items.groupBy("topic").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", public.alias("i")))), lambda x: x["i"]).alias("items"))
+    listed = items.select("topic", "ord", public.alias("i")).unionByName(all_items(items).select(F.lit("all").alias("topic"), F.col("pos").alias("ord"), public.alias("i")))
+    by_topic = listed.groupBy("topic").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "i"))), lambda x: x["i"]).alias("items"))
     clusters = cluster.rollup(items)
     columns = F.struct(*[c for c in clusters.columns if c != "topic"])
     by_id = lambda a, b: F.when(a["cluster_id"] < b["cluster_id"], -1).when(a["cluster_id"] > b["cluster_id"], 1).otherwise(0)  # noqa: E731  maps have no order
-    clusters = clusters.groupBy("topic").agg(F.array_sort(F.collect_list(columns), by_id).alias("clusters"))
+    clusters = clusters.select("topic", columns.alias("c")).unionByName(clusters.select(F.lit("all").alias("topic"), columns.alias("c")))
+    clusters = clusters.groupBy("topic").agg(F.array_sort(F.collect_list("c"), by_id).alias("clusters"))
     coverage = metrics.topic_coverage(sources, items, floor)
+    coverage = staged(coverage.unionByName(metrics.global_coverage(coverage, items).withColumn("topic", F.lit("all"))), "coverage")
     rows = by_topic.join(clusters, "topic", "left").join(coverage, "topic", "left")
     warn = F.when(F.col("degraded"), F.concat(F.lit("topic "), "topic", F.lit(": "), F.col("distinct_domains").cast("string"), F.lit(" owners, below the floor")))
     cov = F.struct("configured", "queried", "responded", "distinct_domains", "degraded")
@@ -62,21 +76,36 @@ def artifact(spark: SparkSession, items: DataFrame, sources: DataFrame, now: str
         F.map_from_entries(F.collect_list(F.struct("topic", "clusters"))).alias("clustersByTopic"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("topic", cov.alias("c"))))).alias("coverageByTopic"), F.array_sort(F.collect_list(warn)).alias("warnings"),
     )
-    head = envelope_head(now)
-    literal = [F.lit(v).alias(k) for k, v in head.items() if not isinstance(v, dict)] + [F.struct(*[F.lit(x).alias(k) for k, x in head["cycle"].items()]).alias("cycle")]
-    data = F.struct("itemsByTopic", "clustersByTopic", "coverageByTopic").alias("data")
-    return one.select(F.to_json(F.struct(*literal, "warnings", data)).alias("artifact"), F.size("warnings").alias("n_warnings"))
-
-
-def envelope_head(now: str) -> dict:
-    """Version, run and cycle of an artifact whose time is pinned to ``now`` (ISO 8601, UTC)."""
+    data, warnings = ["itemsByTopic", "clustersByTopic", "coverageByTopic"], F.col("warnings")
+    if found is not None:
+        docs = found.documents.groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("id", *[c for c in PUBLIC if c not in ("id", "topic")]))).alias("documents"))
+        facts = found.facts.groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct("doc_id", "nth", "id", "statement", "entities", "quote", "metric", "value", "url", "source_domain", "corroboration", "confidence"))).alias("facts"))
+        own = found.warnings.agg(F.array_sort(F.collect_list("message")).alias("etl_warnings"))
+        docs = docs.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("topic", "documents")))).alias("documentsByTopic"))
+        facts = facts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("cluster_id", "facts")))).alias("factsByCluster"))
+        for part in (docs, facts, own):  # one row each
+            one = one.join(F.broadcast(part))
+        data, warnings = [*data, "documentsByTopic", "factsByCluster"], F.concat("warnings", "etl_warnings")
+    head = envelope_head(now, found is not None)
+    literal = [F.lit(v).alias(k) for k, v in head.items() if not isinstance(v, (dict, list))] + [F.struct(*[F.lit(x).alias(k) for k, x in head["cycle"].items()]).alias("cycle")]
+    literal.append(F.from_json(F.lit(json.dumps(head["topics"])), "array<struct<id:string,label:string>>").alias("topics"))
+    body = F.to_json(F.struct(*literal, warnings.alias("warnings"), F.struct(*data).alias("data")), {"ignoreNullFields": "false"})
+    return one.select(body.alias("artifact"), F.size(warnings).alias("n_warnings"))
+
+
+def envelope_head(now: str, with_facts: bool = False) -> dict:
+    """Version, run, topics and cycle of an artifact whose time is pinned to ``now`` (ISO 8601, UTC)."""
     import datetime as dt
 
     t = dt.datetime.fromisoformat(now.replace("Z", "+00:00"))
     start = t.replace(hour=t.hour // V.CYCLE_HOURS * V.CYCLE_HOURS, minute=0, second=0, microsecond=0)
     show = lambda x: x.astimezone(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.000Z")
     cycle = {"id": show(start), "windowStart": show(start), "windowEnd": show(start + dt.timedelta(hours=V.CYCLE_HOURS))}
-    return {"schemaVersion": V.SCHEMA_VERSION, "contractRevision": V.REVISION, "artifact": "aggregation", "runId": run_id(now), "generatedAt": show(t), "cycle": cycle}
+    names = [{"id": t[0], "label": t[1]} for t in V.TOPICS]
+    revision = V.REVISION if with_facts else V.REVISION - 1
+    return {
+        "schemaVersion": V.SCHEMA_VERSION, "contractRevision": revision, "artifact": "aggregation", "runId": run_id(now), "upstreamRunId": None, "generatedAt": show(t), "cycle": cycle, "topics": names,
+    }
 
 
 def hermetic(spark: SparkSession, now: str) -> DataFrame:
@@ -105,3 +134,28 @@ def summary(items: DataFrame) -> DataFrame:
 def exit_code(warnings: list[str]) -> int:
     """1 if the final guard dropped facts; the artifact is written all the same."""
     return int(any(w.startswith("[A5]") for w in warnings))
+
+
+def publish(frames: dict[str, DataFrame], folder: str, run: str) -> None:
+    """Write the tables of a run under ``folder`` and, once all are there, make it the current one; readers see the last good run or this one, never parts."""
+    spark = next(iter(frames.values())).sparkSession
+    for name, df in frames.items():
+        df.write.mode("overwrite").parquet(f"{folder}/runs/{run}/{name}")
+    jvm = spark.sparkContext._jvm
+    path = lambda p: jvm.org.apache.hadoop.fs.Path(f"{folder}/{p}")
+    fs = path("x").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(path("CURRENT.next"), True)
+    out.write(bytearray(run.encode()))
+    out.close()
+    fs.delete(path("CURRENT"), False)
+    if not fs.rename(path("CURRENT.next"), path("CURRENT")):
+        raise RuntimeError(f"the run {run} couldn't be made current")
+
+
+def published(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the current run (of the one about to be, should a writer have stopped between its last two steps)."""
+    jvm = spark.sparkContext._jvm
+    path = lambda p: jvm.org.apache.hadoop.fs.Path(f"{folder}/{p}")
+    fs = path("x").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    run = spark.read.text(f"{folder}/CURRENT" if fs.exists(path("CURRENT")) else f"{folder}/CURRENT.next").first()[0]
+    return spark.read.parquet(f"{folder}/runs/{run}/{name}")

@@ -143,25 +143,72 @@ _ORG = "(?i)\\b(" + "|".join(V.ORGANISATIONS) + ")\\b"
 _NAME = "\\b([A-Z][a-z]+(?:" + WS + "+[A-Z][a-z]+){0,3})\\b"
 _NUMBER = "(?i)\\b[0-9][0-9,.]*" + WS + "*(?:" + "|".join(V.UNITS) + ")\\b"
 # Sentence ends are marked, as the regular expressions here have no lookbehind.
-FACTS = f"""WITH d AS (SELECT 'cluster-ai-' || ((doc_id % 50 + 50) % 50) AS cluster_id, CAST(doc_id AS VARCHAR) AS doc_id, 's' || ((doc_id % 3 + 3) % 3) || '.example.com' AS source_domain, 'https://e.example.com/' || doc_id AS url, text AS body
-    FROM (SELECT doc_id, text FROM documents UNION ALL SELECT * FROM {_FACT_EXTRA})),
-  l AS (SELECT *, list_slice(list_filter(string_split(regexp_replace(body, '([.!?]){WS}+', '\\1' || chr(1), 'g'), chr(1)), lambda x: length(x) > 30 AND length(x) < 500), 1, 20) AS ss FROM d),
-  s AS (SELECT * EXCLUDE (ss, body), unnest(ss) AS s, generate_subscripts(ss, 1) AS pos FROM l),
-  e AS (SELECT *, regexp_extract_all(s, '{_ORG}') AS orgs, regexp_extract_all(s, '{_NUMBER}') AS numbers, regexp_extract_all(s, '{_NAME}') AS caps FROM s),
-  f AS (SELECT *, list_concat(orgs, list_filter(caps, lambda x: length(x) > 3 AND x NOT IN {names(V.NO_NAMES)} AND NOT list_contains(list_transform(orgs, lambda o: lower(o)), lower(x)))) AS found FROM e),
-  w AS (SELECT *, coalesce(found[1], 'ai') AS prim, array_to_string(list_slice(list_filter(string_split_regex(regexp_replace(lower(s), '[^a-z0-9\\t\\n\\x0B\\f\\r ]', ' ', 'g'), '[\\t\\n\\x0B\\f\\r ]+'),
-    lambda x: length(x) >= 3 AND x NOT IN {names(V.STATEMENT_STOPWORDS)}), 1, 6), ' ') AS content FROM f WHERE len(found) > 0 OR len(numbers) > 0),
-  t AS (SELECT *, substring(trim(regexp_replace(concat_ws(' ', prim, content), '{WS}+', ' ', 'g')), 1, 120) AS statement FROM w),
-  u AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY cluster_id, doc_id, lower(statement) ORDER BY pos) = 1),
-  v AS (SELECT *, CAST(row_number() OVER (PARTITION BY cluster_id, doc_id ORDER BY pos) AS INT) AS nth, try_cast(regexp_extract(regexp_replace(numbers[1], '[^0-9.]', '', 'g'), '^[0-9]*[.]?[0-9]+') AS DOUBLE) AS value,
-    regexp_extract_all(s, '{NWS}+') AS qw FROM u),
+FACT_DOCS = f"""SELECT 'ai' AS topic, 'cluster-ai-' || ((doc_id % 50 + 50) % 50) AS cluster_id, CAST(doc_id AS VARCHAR) AS doc_id, 's' || ((doc_id % 3 + 3) % 3) || '.example.com' AS source_domain, 'https://e.example.com/' || doc_id AS url, text AS body
+    FROM (SELECT doc_id, text FROM documents UNION ALL SELECT * FROM {_FACT_EXTRA})"""
+# Facts of the documents d (topic, cluster_id, doc_id, source_domain, url, body).
+MINED = f"""ml AS (SELECT *, list_slice(list_filter(string_split(regexp_replace(body, '([.!?]){WS}+', '\\1' || chr(1), 'g'), chr(1)), lambda x: length(x) > 30 AND length(x) < 500), 1, 20) AS ss FROM d),
+  ms AS (SELECT * EXCLUDE (ss, body), unnest(ss) AS s, generate_subscripts(ss, 1) AS pos FROM ml),
+  me AS (SELECT *, regexp_extract_all(s, '{_ORG}') AS orgs, regexp_extract_all(s, '{_NUMBER}') AS numbers, regexp_extract_all(s, '{_NAME}') AS caps FROM ms),
+  mf AS (SELECT *, list_concat(orgs, list_filter(caps, lambda x: length(x) > 3 AND x NOT IN {names(V.NO_NAMES)} AND NOT list_contains(list_transform(orgs, lambda o: lower(o)), lower(x)))) AS found FROM me),
+  mw AS (SELECT *, coalesce(found[1], topic) AS prim, array_to_string(list_slice(list_filter(string_split_regex(regexp_replace(lower(s), '[^a-z0-9\\t\\n\\x0B\\f\\r ]', ' ', 'g'), '[\\t\\n\\x0B\\f\\r ]+'),
+    lambda x: length(x) >= 3 AND x NOT IN {names(V.STATEMENT_STOPWORDS)}), 1, 6), ' ') AS content FROM mf WHERE len(found) > 0 OR len(numbers) > 0),
+  mt AS (SELECT *, substring(trim(regexp_replace(concat_ws(' ', prim, content), '{WS}+', ' ', 'g')), 1, 120) AS statement FROM mw),
+  mu AS (SELECT * FROM mt QUALIFY row_number() OVER (PARTITION BY cluster_id, doc_id, lower(statement) ORDER BY pos) = 1),
+  mv AS (SELECT *, CAST(row_number() OVER (PARTITION BY cluster_id, doc_id ORDER BY pos) AS INT) AS nth, try_cast(regexp_extract(regexp_replace(numbers[1], '[^0-9.]', '', 'g'), '^[0-9]*[.]?[0-9]+') AS DOUBLE) AS value,
+    regexp_extract_all(s, '{NWS}+') AS qw FROM mu),
   facts AS (SELECT substring(sha256(concat_ws('|', cluster_id, statement, doc_id)), 1, 32) AS id, *, list_slice(list_distinct_in_order, 1, 8) AS entities, array_to_string(list_slice(qw, 1, 20), ' ') || CASE WHEN len(qw) > 20 THEN '…' ELSE '' END AS quote
-    FROM (SELECT *, list_filter(found, lambda x, i: list_position(found, x) = i) AS list_distinct_in_order FROM v) WHERE nth <= 8)"""
+    FROM (SELECT *, list_filter(found, lambda x, i: list_position(found, x) = i) AS list_distinct_in_order FROM mv) WHERE nth <= 8)"""
+FACTS = f"WITH d AS ({FACT_DOCS}), {MINED}"
+OWNERS = f"""owners AS (SELECT cluster_id, count(DISTINCT {last_labels("regexp_replace(lower(source_domain), '^www[.]', '')", V.CORROBORATION_SUFFIXES)}) AS n FROM d GROUP BY 1)"""
+_CLOSED = f"""domain IN {names(V.CLOSED_DOMAINS)} OR regexp_matches(html, '(?i)isAccessibleForFree["''\\s]*:\\s*["'']?false') OR regexp_matches(html, '(?i)og:article:access["''\\s]*content=["'']subscriber')
+          OR {' OR '.join(f"contains(lower(html), '{a}=\"{m}\"')" for m in V.PAYWALL_MARKS for a in ('class', 'id'))} OR length(t) < 200"""
+_SAFE = public("trim(url)", False)
+_CANON = f"lower({part('url', 1)}) || '://' || {host('url')} || CASE WHEN {part('url', 3)} = '' THEN '/' ELSE {part('url', 3)} END"
+# The article part of a cycle: what the budget covers, where bodies come from, and the documents d that may be mined.
+ETL = f"""{CLUSTERS}, i AS MATERIALIZED (SELECT arrival, topic, title, source_domain, cluster_id, ord, CAST(regexp_extract(cluster_id, '([0-9]+)$', 1) AS BIGINT) AS n,
+      CASE WHEN arrival % 11 = 0 THEN 'https://news.google.com/rss/' || arrival ELSE url END AS url, CASE WHEN arrival % 22 = 0 THEN repeat(title, 4) ELSE '' END AS hint,
+      CASE WHEN arrival % 3 = 1 THEN repeat(title || ' OpenAI said that it grew by 45 percent there. ', arrival % 12) END AS feed_body FROM c),
+    pg AS MATERIALIZED (SELECT page_id, url, CASE WHEN page_id % 17 = 0 THEN NULL ELSE html END AS html, page_id % 13 <> 0 AS allowed FROM pages),
+    st AS (SELECT substring(sha256(url), 1, 40) AS id, page_id, sha256(url) AS content_hash, repeat(url || ' Stored by Reader Two for 9 million. ', 3) AS body FROM pg WHERE page_id % 7 = 0 AND page_id % 2 = 1),
+    u1 AS (SELECT * FROM i QUALIFY row_number() OVER (PARTITION BY topic, n, url ORDER BY ord) = 1),
+    b AS MATERIALIZED (SELECT * FROM u1 QUALIFY row_number() OVER (PARTITION BY topic ORDER BY n, ord) <= {V.BUDGET}),
+    r AS MATERIALIZED (SELECT b.*, st.id AS s_id, st.page_id, st.content_hash AS s_hash, st.body AS s_body,
+      CASE WHEN st.id IS NOT NULL THEN 'store' WHEN length(b.feed_body) >= 100 THEN 'feed' WHEN {host('b.url')} = 'news.google.com' THEN CASE WHEN length(trim(hint)) >= 50 THEN 'hint' ELSE 'none' END ELSE 'fetch' END AS origin
+      FROM b LEFT JOIN st ON st.id = substring(sha256(b.url), 1, 40)),
+    p1 AS MATERIALIZED (SELECT r.*, pg.html, coalesce(pg.allowed, true) AS allowed, {_SAFE.replace('url', 'r.url')} AS safe, {html('pg.html')} AS t FROM r LEFT JOIN pg ON pg.url = r.url WHERE origin = 'fetch'),
+    p2 AS (SELECT *, {domain("CASE WHEN safe = '' THEN url ELSE safe END")} AS domain FROM p1),
+    p3 AS (SELECT *, CASE WHEN safe = '' THEN 'tos-restricted' WHEN NOT allowed THEN 'robots-disallowed' WHEN html IS NULL THEN 'allowed' WHEN {_CLOSED} THEN 'paywalled' ELSE 'allowed' END AS policy,
+      list_filter(list_transform(string_split_regex(t, '\\n{{2,}}|{WS}{{4,}}'), lambda p: trim(p)), lambda p: length(p) > 80) AS ps FROM p2),
+    p4 AS (SELECT *, html IS NULL OR policy IN ('robots-disallowed', 'tos-restricted') AS failed, CASE WHEN policy = 'paywalled' THEN substring(t, 1, 500) WHEN len(ps) > 0 THEN array_to_string(ps, chr(10) || chr(10)) ELSE trim(substring(t, 1, 500)) END AS body FROM p3),
+    p5 AS (SELECT *, CASE WHEN policy = 'paywalled' THEN CAST(len(string_split_regex(body, '{WS}+')) AS BIGINT) ELSE {count_all('body', NWS + '+')} END AS words, CASE WHEN failed THEN {_CANON.replace('url', "(CASE WHEN safe = '' THEN url ELSE safe END)")} ELSE safe END AS address FROM p4),
+    docs AS MATERIALIZED (
+      SELECT topic, cluster_id, s_id AS id, url, source_domain, 'full' AS extraction, 'allowed' AS access_policy, page_id AS word_count, 'en' AS lang, s_hash AS content_hash, s_body AS body, origin FROM r WHERE origin = 'store'
+      UNION ALL SELECT topic, cluster_id, substring(sha256(url), 1, 40), url, source_domain, CASE WHEN length(feed_body) >= 500 THEN 'full' ELSE 'snippet' END, 'allowed', {count_all('feed_body', NWS + '+')}, 'en', sha256(feed_body), feed_body, origin FROM r WHERE origin = 'feed'
+      UNION ALL SELECT topic, cluster_id, substring(sha256(url), 1, 40), url, source_domain, 'snippet', 'allowed', {count_all('trim(hint)', NWS + '+')}, 'en', sha256(trim(hint)), trim(hint), origin FROM r WHERE origin = 'hint'
+      UNION ALL SELECT topic, cluster_id, substring(sha256(address), 1, 40), address, source_domain, CASE WHEN failed THEN 'failed' WHEN policy = 'paywalled' OR words <= 50 THEN 'snippet' ELSE 'full' END, policy, CASE WHEN NOT failed THEN words END,
+        CASE WHEN NOT failed THEN nullif(lower(regexp_extract(html, '(?i)<html[^>]+lang=["'']([a-zA-Z]+)[a-zA-Z-]*["'']', 1)), '') END, sha256(CASE WHEN failed THEN '' ELSE body END), CASE WHEN NOT failed THEN body END, origin FROM p5),
+    d AS MATERIALIZED (SELECT topic, cluster_id, id AS doc_id, source_domain, url, body FROM docs WHERE extraction <> 'failed' AND access_policy = 'allowed' AND length(body) >= 100 QUALIFY row_number() OVER (PARTITION BY cluster_id, id ORDER BY url, content_hash) = 1)"""
+_GRAM_LIST = lambda c: f"list_transform(range(1, len({grams(c)[0]}) - 6), lambda k: array_to_string(list_slice({grams(c)[0]}, k, k + 7), ' '))"
 ORACLE: dict[str, str] = {
-    "fact_rows": f"""{FACTS}, o AS (SELECT cluster_id, count(DISTINCT {last_labels("regexp_replace(lower(source_domain), '^www[.]', '')", V.CORROBORATION_SUFFIXES)}) AS n FROM d GROUP BY 1)
-        SELECT id, cluster_id, doc_id, nth, statement, array_to_string(entities, '|') AS entities, quote, CASE WHEN value IS NOT NULL THEN prim END AS metric, value, greatest(n, 1) AS corroboration, CASE WHEN n >= 2 THEN 'medium' ELSE 'low' END AS confidence FROM facts JOIN o USING (cluster_id)""",
+    "fact_rows": f"""{FACTS}, {OWNERS}
+        SELECT id, cluster_id, doc_id, nth, statement, array_to_string(entities, '|') AS entities, quote, CASE WHEN value IS NOT NULL THEN prim END AS metric, value, greatest(n, 1) AS corroboration, CASE WHEN n >= 2 THEN 'medium' ELSE 'low' END AS confidence FROM facts JOIN owners USING (cluster_id)""",
     "wire_guard": f"""{FACTS}, n AS (SELECT *, CAST('0x' || substring(id, 1, 4) AS INT) AS n FROM facts)
         SELECT CASE WHEN n % 11 = 0 THEN 'provenance' WHEN n % 7 = 0 THEN 'verbatim' WHEN n % 5 = 0 THEN 'url' WHEN n % 3 = 0 THEN 'quote' ELSE 'clean' END AS violation, count(*) AS n FROM n GROUP BY 1""",
+    "etl_documents": f"{ETL} SELECT topic, cluster_id, id, url, source_domain, extraction, access_policy, word_count, lang, content_hash FROM docs",
+    "etl_bodies": f"{ETL} SELECT cluster_id, id, origin, CAST(length(body) AS BIGINT) AS n, md5(body) AS body_md5 FROM docs",
+    "etl_facts": f"""{ETL}, {MINED}, {OWNERS}
+        SELECT id, topic, cluster_id, doc_id, nth, statement, array_to_string(entities, '|') AS entities, quote, CASE WHEN value IS NOT NULL THEN prim END AS metric, value, greatest(n, 1) AS corroboration, CASE WHEN n >= 2 THEN 'medium' ELSE 'low' END AS confidence
+        FROM facts JOIN owners USING (cluster_id) JOIN (SELECT cluster_id, doc_id, body FROM d) x USING (cluster_id, doc_id) WHERE NOT list_has_any({_GRAM_LIST('statement')}, {_GRAM_LIST('x.body')})""",
+    "etl_guard": f"""{ETL}, {MINED}, lifted AS (SELECT id, cluster_id, doc_id, body, CASE WHEN CAST('0x' || substring(id, 1, 4) AS INT) % 3 = 0 THEN regexp_replace(quote, '…$', '') ELSE statement END AS said FROM facts JOIN (SELECT cluster_id, doc_id, body FROM d) USING (cluster_id, doc_id))
+        SELECT id, cluster_id, doc_id, CASE WHEN list_has_any({_GRAM_LIST('said')}, {_GRAM_LIST('body')}) THEN 'verbatim' END AS violation FROM lifted""",
+    "etl_warnings": f"""{ETL}, {MINED}, w0 AS (SELECT topic, cluster_id, count(*) AS members, count(DISTINCT url) AS urls FROM i GROUP BY ALL), w1 AS (SELECT cluster_id, count(*) AS k FROM b GROUP BY 1),
+        w AS (SELECT topic, cluster_id, 'budget' AS kind FROM w0 LEFT JOIN w1 USING (cluster_id) WHERE coalesce(k, 0) < urls UNION ALL SELECT topic, cluster_id, 'search' FROM r WHERE origin = 'none'
+          UNION ALL SELECT topic, cluster_id, CASE WHEN access_policy = 'robots-disallowed' THEN 'robots' WHEN access_policy = 'paywalled' THEN 'paywall' ELSE 'fetch' END FROM docs WHERE extraction = 'failed' OR (access_policy = 'paywalled' AND origin = 'fetch')
+          UNION ALL SELECT topic, cluster_id, 'empty' FROM w0 WHERE cluster_id NOT IN (SELECT cluster_id FROM d) UNION ALL SELECT DISTINCT topic, cluster_id, 'provider' FROM d
+          UNION ALL SELECT topic, cluster_id, 'A5' FROM facts JOIN (SELECT cluster_id, doc_id, body FROM d) x USING (cluster_id, doc_id) WHERE list_has_any({_GRAM_LIST('statement')}, {_GRAM_LIST('x.body')}))
+        SELECT topic, cluster_id, kind, count(*) AS n FROM w GROUP BY ALL""",
+    "artifact_all": f"""{CLUSTERS}, m AS (SELECT cluster_id, count(DISTINCT source_domain) AS mentions FROM c GROUP BY 1), f AS (SELECT c.id, c.topic, mentions, c.cluster_id, ord FROM c JOIN m USING (cluster_id) QUALIFY row_number() OVER (PARTITION BY c.id ORDER BY mentions DESC, c.topic, ord) = 1)
+        SELECT row_number() OVER (ORDER BY mentions DESC, topic, ord) - 1 AS pos, id, topic, mentions, cluster_id FROM f""",
     "strip_markup": f"SELECT doc_id, CAST(length({strip('text')}) AS BIGINT) AS n, md5({strip('text')}) AS stripped_md5, md5({norm('text')}) AS norm_md5 FROM documents",
     "fingerprint_ids": f"""SELECT arrival AS page_id, fp, topic || '-' || substring(sha256(fp), 1, 32) AS item_id, substring(sha256(url), 1, 40) AS doc_id
         FROM (SELECT *, {norm('title')} || '|' || {path_key('url')} AS fp FROM {PAGE_ITEMS})""",
@@ -216,7 +263,8 @@ ORACLE: dict[str, str] = {
         SELECT page_id, u.host, coalesce(arg_max(kind = 'allow', length(prefix) * 2 + CAST(kind = 'disallow' AS INT)), true) AS allowed FROM u LEFT JOIN r ON r.host = u.host AND starts_with(u.path, r.prefix) GROUP BY page_id, u.host""",
     "error_codes": f"SELECT message, CASE WHEN regexp_matches(message, '(?i)fetch|ECONNREFUSED|ENOTFOUND|timeout|ETIMEDOUT') THEN 'NETWORK_ERROR' WHEN regexp_matches(message, '(?i)JSON|parse|Unexpected token') THEN 'PARSE_ERROR' WHEN regexp_matches(message, 'schema|Schema') THEN 'SCHEMA_ERROR' ELSE 'UNKNOWN_ERROR' END AS code FROM {table(Q.MESSAGES, 'message')}",
     "store_upsert": """WITH d AS (SELECT substring(sha256(source || '/' || doc_id), 1, 40) AS id, sha256(text) AS content_hash, n_chars AS words, doc_id AS arrival FROM documents)
-        SELECT * FROM d WHERE arrival % 2 = 0 AND arrival % 3 <> 0 UNION ALL SELECT id, content_hash, words + 1, arrival FROM d WHERE arrival % 3 = 0""",
+        SELECT id, content_hash, words, arrival FROM d WHERE arrival % 2 = 0 AND arrival % 3 <> 0 AND arrival % 5 <> 0 UNION ALL
+        SELECT id, content_hash, words + 1, arrival FROM d WHERE (arrival % 2 = 1 OR arrival % 3 = 0) AND arrival % 5 <> 0 UNION ALL SELECT id, content_hash, words + 2, arrival + 1000000 FROM d WHERE arrival % 5 = 0""",
     "store_index": """WITH d AS (SELECT sha256(text) AS content_hash, doc_id FROM documents) SELECT content_hash, CAST(min(doc_id) AS VARCHAR) AS id FROM d WHERE doc_id % 5 <> 0 AND content_hash NOT IN (SELECT content_hash FROM d WHERE doc_id % 5 = 0) GROUP BY 1""",
     "customers_without_orders": "SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
     "first_order_per_customer": "SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1",

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, text, urls
 from ..functions import values as V
-from ..operators import cluster, dedup, facts, metrics, store
+from ..operators import cluster, dedup, extract, facts, metrics, store
 from ..sources import catalog, feeds, robots
 from ..streaming import cycles
-from . import cycle
+from . import cycle, etl
 
 FLOOR = 20
 NOW = "2024-03-01T12:34:56Z"
@@ -228,6 +228,58 @@ def wire_guard(spark, sf):
     return facts.guarded(f).groupBy(F.coalesce("violation", F.lit("clean")).alias("violation")).agg(F.count("*").alias("n"))
 
 
+def etl_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Clustered pages as items, a store that knows some of them, and the landed pages: some from a search feed, some with a feed's body, some refused or missing."""
+    n, known = F.col("arrival"), _clusters(spark, sf)
+    said = F.repeat(F.concat("title", F.lit(" OpenAI said that it grew by 45 percent there. ")), (n % 12).cast("int"))
+    items = known.withColumns(
+        {
+            "url": F.when(n % 11 == 0, F.concat(F.lit("https://news.google.com/rss/"), n.cast("string"))).otherwise(F.col("url")), "summary_hint": F.when(n % 22 == 0, F.repeat("title", 4)).otherwise(""),
+            "feed_body": F.when(n % 3 == 1, said),
+        }
+    )
+    pages = _t(spark, sf, "pages").select("page_id", "url", F.expr("if(page_id % 17 = 0, null, html)").alias("html"), (F.col("page_id") % 13 != 0).alias("allowed"))
+    store = pages.filter("page_id % 7 = 0").select(
+        ids.doc_id(F.col("url")).alias("id"), F.expr("if(page_id % 2 = 0, 'failed', 'full')").alias("extraction"), F.lit("allowed").alias("access_policy"), F.col("page_id").alias("word_count"), F.lit("en").alias("lang"),
+        ids.content_hash(F.col("url")).alias("content_hash"), F.repeat(F.concat("url", F.lit(" Stored by Reader Two for 9 million. ")), 3).alias("body"),
+    )
+    return items, store, pages.drop("page_id")
+
+
+def etl_documents(spark, sf):
+    got = etl.run(*etl_inputs(spark, sf)).documents
+    return got.select("topic", "cluster_id", "id", "url", "source_domain", "extraction", "access_policy", "word_count", "lang", "content_hash")
+
+
+def etl_bodies(spark, sf):
+    got = etl.run(*etl_inputs(spark, sf)).documents
+    return got.select("cluster_id", "id", "origin", F.length("body").cast("long").alias("n"), F.md5("body").alias("body_md5"))
+
+
+def etl_facts(spark, sf):
+    f = etl.run(*etl_inputs(spark, sf)).facts
+    return f.select("id", "topic", "cluster_id", "doc_id", "nth", "statement", F.array_join("entities", "|").alias("entities"), "quote", "metric", "value", "corroboration", "confidence")
+
+
+def etl_guard(spark, sf):
+    got = etl.run(*etl_inputs(spark, sf))
+    f = got.screened
+    # every third fact is put as a quotation of its own sentence, so that the guard meets real bodies
+    lifted = F.when(F.conv(F.substring("id", 1, 4), 16, 10).cast("int") % 3 == 0, F.regexp_replace(F.col("quote"), "…$", "")).otherwise(F.col("statement"))
+    bodies = dedup.first_wins(extract.eligible(got.documents), ["cluster_id", "id"], ["url", "content_hash"]).select("cluster_id", F.col("id").alias("doc_id"), "body")
+    f = f.drop("violation", "verbatim").withColumn("statement", lifted).join(bodies, ["cluster_id", "doc_id"])
+    return facts.guarded(f.withColumn("verbatim", facts.overlaps(F.col("statement"), F.col("body")))).select("id", "cluster_id", "doc_id", "violation")
+
+
+def etl_warnings(spark, sf):
+    return etl.run(*etl_inputs(spark, sf)).warnings.groupBy("topic", "cluster_id", "kind").agg(F.count("*").alias("n"))
+
+
+def artifact_all(spark, sf):
+    items = _clusters(spark, sf).withColumn("topic_ord", F.expr("cast(array_position(array('de', 'en', 'es', 'fr'), topic) as int)"))
+    return cycle.all_items(cluster.projected(items)).select("pos", "id", "topic", "mentions", "cluster_id")
+
+
 def fetch_budget(spark, sf):
     d = doc_items(spark, sf).select("topic", (F.col("doc_id") % 17).alias("cluster_ord"), F.col("doc_id").alias("member_ord"), F.sha2("text", 256).alias("url"))
     return dedup.fetch_budget(d, V.BUDGET).select("topic", "cluster_ord", "member_ord", F.col("nth").cast("long").alias("nth"))
@@ -279,8 +331,10 @@ def error_codes(spark, sf):
 def store_upsert(spark, sf):
     d = _t(spark, sf, "documents")
     rows = d.select(ids.doc_id(F.concat("source", F.lit("/"), F.col("doc_id").cast("string"))).alias("id"), ids.content_hash(F.col("text")).alias("content_hash"), F.col("n_chars").alias("words"), F.col("doc_id").alias("arrival"))
-    old, new = rows.filter("arrival % 2 = 0"), rows.filter("arrival % 3 = 0").withColumn("words", F.col("words") + 1)
-    return store.upsert(old, new)
+    # every row is stored, put anew, or both; some are put twice
+    old, new = rows.filter("arrival % 2 = 0"), rows.filter("arrival % 2 = 1 or arrival % 3 = 0").withColumn("words", F.col("words") + 1)
+    again = rows.filter("arrival % 5 = 0").withColumns({"words": F.col("words") + 2, "arrival": F.col("arrival") + 1_000_000})
+    return store.upsert(old, new.union(again))
 
 
 def store_index(spark, sf):
@@ -326,7 +380,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         strip_markup, fingerprint_ids, split_title, url_normalize, owner_domains, blocked_hosts, content_hash, html_text, paywall_flag, cjk_word_count, dedup_first_wins, duplicates_removed,
         cycle_window_counts, metric_key_screen, topic_coverage, global_coverage, claims, title_similarity_edges, leader_clusters, cluster_rollup, cluster_projection, verbatim_overlap, fact_rows,
-        wire_guard, fetch_budget, new_urls, new_domains, global_merge_topk, robots_longest_prefix, catalog_topics, error_codes, store_upsert, store_index, rss_parse, artifact, hermetic_artifact,
+        wire_guard, etl_documents, etl_bodies, etl_facts, etl_guard, etl_warnings, artifact_all, fetch_budget, new_urls, new_domains, global_merge_topk, robots_longest_prefix, catalog_topics, error_codes, store_upsert, store_index, rss_parse, artifact, hermetic_artifact,
         customers_without_orders, first_order_per_customer, supplier_coverage,
     )
 }

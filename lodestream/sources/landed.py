@@ -1,52 +1,56 @@
-"""A Python data source over landed feed files: one row a file with its state, never a failed job."""
+"""Landed feed files to items: one row a source with its state, never a failed job."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from ..functions.text import strip_markup
+from ..functions.urls import host, host_allowed, normalize_public_url, source_domain
+from . import feeds
 
+SEARCH_HOST = "news.google.com"
 
-class _Part(InputPartition):
-    def __init__(self, paths: list[str]):
-        self.paths = paths
 
+def scanned(sources: DataFrame, folder: str, most: int = feeds.FEED_BYTES) -> DataFrame:
+    """``sources`` (source, file, ...) with ok, error, xml, from the files of a folder on any file system that Spark reads.
 
-class _Reader(DataSourceReader):
-    def __init__(self, options):
-        self.paths = [p for p in options.get("paths", "").split(",") if p]
-        self.width = int(options.get("partitions", "10"))
-        self.most = int(options.get("maxbytes", options.get("maxBytes", "1500000")))
+    A file that is missing or too large is an error of its source; the content of a file that is too large isn't read.
+    """
+    files = sources.sparkSession.read.format("binaryFile").load(folder).select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "length", F.when(F.col("length") <= most, F.col("content")).alias("content"))
+    rows = sources.join(files, "file", "left")
+    error = F.when(F.col("length").isNull(), "file not found").when(F.col("length") > most, "body too large")
+    xml = F.make_valid_utf8(F.col("content").cast("string"))
+    return rows.withColumns({"error": error, "ok": error.isNull(), "xml": F.when(error.isNull(), xml)}).drop("length", "content")
 
-    def partitions(self) -> list[_Part]:
-        return [_Part(self.paths[i :: self.width]) for i in range(min(self.width, len(self.paths)))]
 
-    def read(self, partition: _Part) -> Iterator[tuple]:
-        for path in partition.paths:
-            try:
-                with open(path, "rb") as f:
-                    data = f.read(self.most + 1)
-                if len(data) > self.most:
-                    raise ValueError("body too large")
-                yield path, True, None, data.decode("utf-8", "replace")
-            except Exception as e:  # a source's failure is a row, not the job's
-                yield path, False, f"{type(e).__name__}: {e}", None
+def fetch_error(kind: Column, feed_url: Column, domain: Column, query: Column) -> Column:
+    """Why a source may not be read, else null: by its strategy, the search feed's host or the source's own must be the one asked."""
+    own = host(feed_url)
+    bad = (normalize_public_url(feed_url) == "") | ~host_allowed(own, domain)
+    return F.when(kind == "google-news-rss", F.lit(None)).when(kind.isin("rss", "json"), F.when(F.coalesce(bad, F.lit(True)), "unsafe URL")).otherwise("unknown strategy")
 
 
-class LandedFeeds(DataSource):
-    """Options: paths (comma-separated, on a file system that executors share), partitions, maxBytes."""
+def ingested(sources: DataFrame, folder: str, now: Column) -> tuple[DataFrame, DataFrame]:
+    """Raw items of all sources and their states. sources: topic, domain, label, tier, kind, feed_url, query, file.
 
-    @classmethod
-    def name(cls) -> str:
-        return "landed_feeds"
+    A search feed without a query (the topic 'all') has no items and no error; JSON sources are read as feeds.
+    """
+    rows = sources.withColumn("source", F.concat_ws("|", "topic", "domain", "file"))
+    rows = scanned(rows, folder)
+    refused = fetch_error(F.col("kind"), F.col("feed_url"), F.col("domain"), F.col("query"))
+    silent = (F.col("kind") == "google-news-rss") & F.col("query").isNull()
+    rows = rows.withColumn("error", F.when(~silent, F.coalesce(refused, F.col("error")))).withColumns({"ok": F.col("error").isNull(), "xml": F.when(F.col("error").isNull() & ~silent, F.col("xml"))})
+    items = feeds.raw_items(feeds.entries(rows.filter("xml is not null").select("source", "xml")), rows.select("source", "topic", "label", "domain", "tier"), now)
+    return items, rows.select("topic", "domain", "kind", "ok", "error")
 
-    def schema(self) -> str:
-        return "source string, ok boolean, error string, xml string"
 
-    def reader(self, schema) -> _Reader:
-        return _Reader(self.options)
-
-
-def register(spark: SparkSession) -> None:
-    spark.dataSource.register(LandedFeeds)
+def search_results(landed: DataFrame, now: Column) -> DataFrame:
+    """Search results (topic, url, title, domain, published_at, source_label, provider_ord, ord) of landed search feeds (topic, provider_ord, ok, xml); a failed one has none."""
+    rows = landed.filter("ok and xml is not null").withColumn("source", F.concat_ws("|", "topic", "provider_ord"))
+    found = feeds.entries(rows.select("source", "xml")).join(rows.select("source", "topic", "provider_ord"), "source")
+    url = normalize_public_url(F.col("url"), allow_http=True)
+    return found.select(
+        "topic", url.alias("url"), strip_markup(F.coalesce("title", F.lit(""))).alias("title"), source_domain(url).alias("domain"), feeds.published_at(F.col("pub_date"), now).alias("published_at"),
+        F.nullif("source_label", F.lit("")).alias("source_label"), "provider_ord", F.col("rank").cast("long").alias("ord"),
+    ).filter("url <> ''")

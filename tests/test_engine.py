@@ -80,16 +80,84 @@ def test_guard_records_the_first_violation(spark):
 
 def test_store_rejects_unsafe_ids(spark):
     old = spark.createDataFrame([("a" * 40, 1)], "id string, n int")
-    assert {tuple(r) for r in store.upsert(old, spark.createDataFrame([("a" * 40, 2), ("b" * 40, 3)], "id string, n int")).collect()} == {("a" * 40, 2), ("b" * 40, 3)}
-    with pytest.raises(Exception, match="unsafe"):
-        store.upsert(old, spark.createDataFrame([("../etc/passwd", 2)], "id string, n int")).collect()
+    new = [("a" * 40, 2, 1), ("b" * 40, 3, 2), ("b" * 40, 4, 5), ("b" * 40, 9, 3)]
+    assert {tuple(r) for r in store.upsert(old, spark.createDataFrame(new, "id string, n int, arrival int")).collect()} == {("a" * 40, 2), ("b" * 40, 4)}
+    bad = spark.createDataFrame([("../etc/passwd", 2, 1)], "id string, n int, arrival int")
+    for broken in (lambda: store.upsert(old, bad), lambda: store.body_of(bad, old.withColumn("body", F.lit("x")))):
+        with pytest.raises(Exception, match="unsafe"):
+            broken().collect()
+
+
+def test_store_bodies_index_and_listing(spark):
+    a, b = "a" * 40, "b" * 40
+    bodies = spark.createDataFrame([(a, "old")], "id string, body string")
+    puts = spark.createDataFrame([(a, None, 1), (b, "one", 2), (b, "two", 3)], "id string, body string, arrival int")
+    assert {tuple(r) for r in store.bodies_upsert(bodies, puts).collect()} == {(a, "old"), (b, "two")}
+    lines = spark.createDataFrame([('{"hash": "h1", "id": "%s"}' % a, 1), ("{broken", 2), ('{"hash": "h2"}', 3), ('{"hash": "h1", "id": "%s"}' % b, 4)], "value string, line int")
+    index = store.current_index(store.read_index(lines))
+    assert [tuple(r) for r in index.collect()] == [("h1", b)]
+    stored = spark.createDataFrame([(a, "A"), (b, "B")], "id string, title string")
+    wanted = spark.createDataFrame([("h1",), ("h9",), ("h1",)], "content_hash string")
+    assert [tuple(r) for r in store.by_hash(wanted, index, stored).collect()] == [(b, "B")]
+    assert [r["body"] for r in store.body_of(stored.filter("title = 'A'"), bodies).collect()] == ["old"] and [r["id"] for r in store.listing(stored).collect()] == [a, b]
+
+
+def test_raising_forms(spark):
+    from lodestream.functions import urls
+
+    df = spark.createDataFrame([("https://a.example.com/x#f", "w " * 25)], "u string, q string")
+    assert df.select(urls.checked_fetch_url(F.col("u"), F.array(F.lit("a.example.com"))), facts.checked_quote(F.col("q"))).first()[0] == "https://a.example.com/x"
+    for c, match in ((urls.checked_fetch_url(F.lit("http://10.0.0.1/")), "unsafe URL"), (urls.checked_fetch_url(F.col("u"), F.array(F.lit("b.org"))), "unsafe URL"), (facts.checked_quote(F.lit("w " * 26)), "quote too long")):
+        with pytest.raises(Exception, match=match):
+            df.select(c).collect()
+
+
+def test_numbers_equal_a_window(spark):
+    from pyspark.sql.window import Window
+
+    r = random.Random(5)
+    rows = spark.createDataFrame([(r.choice("aab"), r.randint(0, 50), i) for i in range(700)], "k string, x int, i int")
+    for n in ("3", "16"):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got = {x["i"]: x["ord"] for x in dedup.numbered(rows, ["k"], [F.desc("x"), "i"], "ord").collect()}
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        want = rows.withColumn("ord", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("x"), "i")) - 1)
+        assert got == {x["i"]: x["ord"] for x in want.collect()}
+    assert dedup.numbered(rows.filter("false"), ["k"], ["i"], "ord").count() == 0
+
+
+def test_hot_tokens_are_joined_in_parts(spark, monkeypatch):
+    r = random.Random(6)
+    items = spark.createDataFrame([("t", i, ["common", *r.sample(["x", "y", "z", "w"], 2)]) for i in range(60)], "topic string, ord long, tokens array<string>")
+    plain = {tuple(x) for x in cluster.similar_pairs(items, 0.6).collect()}
+    monkeypatch.setattr(cluster, "HOT", 5)
+    assert {tuple(x) for x in cluster.similar_pairs(items, 0.6).collect()} == plain and plain
+
+
+def test_facts_of_another_extractor(spark):
+    docs = spark.createDataFrame([("t", "c1", "d1", "a.com", "https://a.com/", "one two three four five six seven eight nine. " * 5), ("t", "c2", "d2", "b.com", "https://b.com/", "OpenAI said that sales rose by 45 percent in the year. " * 3), ("t", "c3", "d3", "b.com", "https://b.com/3", "x " * 80)], "topic string, cluster_id string, doc_id string, source_domain string, url string, body string")
+    raw = [("c1", "d1", json.dumps({"facts": [{"statement": "A good statement", "quote": "w " * 26, "confidence": "high", "entities": ["", "E"], "quantity": {"metric": "m", "value": 2}}, {"statement": "short"}, {"statement": "one two three four five six seven eight"}]})), ("c2", "d2", "{broken"), ("c1", "gone", '{"facts": [{"statement": "No such document"}]}')]
+    got, fallen = facts.chosen(docs, spark.createDataFrame(raw, "cluster_id string, doc_id string, raw string"))
+    rows = facts.valid(facts.corroborated(got, docs)).collect()
+    one = [x for x in rows if x["cluster_id"] == "c1"]
+    assert len(one) == 1 and one[0]["quote"] is None and one[0]["entities"] == ["E"] and (one[0]["metric"], one[0]["value"], one[0]["confidence"]) == ("m", 2.0, "low") and all(x["schema_ok"] for x in rows)
+    assert [x for x in rows if x["cluster_id"] == "c2"] and {(x["cluster_id"], x["reason"].partition(":")[0]) for x in fallen.collect()} == {("c2", "extractor returned no facts"), ("c3", "extractor unavailable")}
+    assert {x["reason"] for x in facts.chosen(docs)[1].collect()} == {"extractor unavailable: facts by rules"}
+    bad = facts.valid(got.withColumns({"corroboration": F.lit(0), "confidence": F.lit("sure")}))
+    assert {x["violation"] for x in facts.guarded(bad.withColumns({"provenance_count": F.lit(1), "verbatim": F.lit(False)})).collect()} == {"schema"}
 
 
 def test_artifact_is_reproducible_and_checked(spark, sf):
     a, b = (queries.artifact(spark, sf).first()["artifact"] for _ in range(2))
     assert a == b and cycle.checked(a) == []
     body = json.loads(a)
-    assert body["cycle"]["id"] == "2024-03-01T12:00:00.000Z" and sum(map(len, body["data"]["itemsByTopic"].values())) == queries.fingerprint_ids(spark, sf).select("item_id").distinct().count()
+    listed = body["data"]["itemsByTopic"]
+    ids = queries.fingerprint_ids(spark, sf).select("item_id").distinct().count()
+    assert body["cycle"]["id"] == "2024-03-01T12:00:00.000Z" and sum(len(x) for t, x in listed.items() if t != "all") == ids == len(listed["all"])
+    mentions = [x["mentions"] for x in listed["all"]]
+    assert mentions == sorted(mentions, reverse=True) and len(body["data"]["clustersByTopic"]["all"]) == sum(len(x) for t, x in body["data"]["clustersByTopic"].items() if t != "all")
+    assert not body["data"]["coverageByTopic"]["all"]["degraded"]
     with pytest.raises(ValueError):
         cycle.checked(json.dumps(body | {"schemaVersion": "other/v1"}))
     assert cycle.checked(json.dumps(body | {"contractRevision": 99})) == ["newer revision"]
@@ -115,10 +183,22 @@ def test_stream_equals_batch(spark, sf, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "events.parquet").symlink_to(f"{sf}/events.parquet")
     stream = cycles.cycle_counts(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
-    cycles.run_available(stream, "cycle_counts", str(tmp_path / "cp"))
-    got = {tuple(r) for r in spark.sql("select cast(cycle_start as string), event_type, n from cycle_counts").collect()}
-    want = {tuple(r) for r in cycles.cycle_counts(spark.read.parquet(f"{sf}/events.parquet")).select(F.col("cycle_start").cast("string"), "event_type", "n").collect()}
-    assert got == want and got
+    cycles.run_available(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    last = events.agg(F.max("ts")).first()[0]
+    shown = lambda df: {tuple(r) for r in df.select(F.col("cycle_start").cast("string"), "event_type", "n").collect()}
+    done = cycles.cycle_counts(events).filter(F.col("cycle_start") + F.expr("interval 6 hours") <= F.lit(last) - F.expr("interval 36 hours"))
+    assert shown(spark.read.parquet(str(tmp_path / "out"))) == shown(done) and shown(done)
+    # a row far behind the watermark is dropped; newer ones close the cycles that were open
+    from datetime import timedelta
+
+    fresh = events.limit(1).withColumn("ts", F.lit(last) + F.expr("interval 10 days")).union(events.limit(1).withColumn("ts", F.lit(last) - F.expr("interval 300 days")))
+    fresh.coalesce(1).write.parquet(str(tmp_path / "more"))
+    next((tmp_path / "more").glob("*.parquet")).rename(tmp_path / "in" / "late.parquet")
+    for _ in range(2):
+        cycles.run_available(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    whole = cycles.cycle_counts(events)
+    assert shown(spark.read.parquet(str(tmp_path / "out"))) == shown(whole) and last - timedelta(days=1) < last
 
 
 def test_documents_and_body_cascade(spark):
@@ -131,7 +211,7 @@ def test_documents_and_body_cascade(spark):
     rows = {r["url"]: r for r in extract.documents(pages).collect()}
     assert rows["https://a.org/x?q=1"]["extraction"] == "full" and rows["https://a.org/x?q=1"]["access_policy"] == "allowed"
     assert rows["https://b.org/y"]["access_policy"] == "robots-disallowed" and rows["https://b.org/y"]["body"] is None
-    assert rows["https://wsj.com/z"]["access_policy"] == "tos-restricted" and rows["https://c.org/"]["extraction"] == "failed" and rows["https://d.org/p"]["access_policy"] == "paywalled"
+    assert rows["https://wsj.com/z"]["access_policy"] == "paywalled" and rows["https://wsj.com/z"]["extraction"] == "snippet" and rows["https://c.org/"]["extraction"] == "failed" and rows["https://d.org/p"]["access_policy"] == "paywalled"
     assert extract.eligible(extract.documents(pages)).count() == 1 and "body" not in extract.without_body(extract.documents(pages)).columns
     items = spark.createDataFrame(
         [(1, "u1", "a.org", "h", "f" * 300), (2, "u2", "a.org", "h", "f" * 300), (3, "u3", "news.google.com", "h" * 60, None), (4, "u4", "a.org", "h" * 60, None), (5, "u5", "a.org", "h", None)],
@@ -146,12 +226,53 @@ def test_documents_and_body_cascade(spark):
 def test_a_failing_source_is_a_row(spark, tmp_path):
     from lodestream.sources import landed
 
-    landed.register(spark)
-    (tmp_path / "a.xml").write_text("<rss/>")
-    (tmp_path / "big.xml").write_text("x" * 2000)
-    paths = ",".join(str(tmp_path / n) for n in ("a.xml", "big.xml", "none.xml"))
-    rows = {r["source"].rpartition("/")[2]: r for r in spark.read.format("landed_feeds").option("paths", paths).option("maxBytes", "1000").load().collect()}
-    assert rows["a.xml"]["ok"] and not rows["big.xml"]["ok"] and "FileNotFoundError" in rows["none.xml"]["error"]
+    now = F.lit(queries.NOW).cast("timestamp")
+    files = {"a.xml": queries.RSS, "big.xml": "<rss>" + "x" * 1_600_000, "news.xml": queries.RSS, "atom.xml": queries.ATOM, "bad.xml": "no feed"}
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    (tmp_path / "bytes.xml").write_bytes(b"<rss \xff\xfe")
+    rss = lambda d, f, kind="rss", url=None, query="q": ("ai", d, d, "news", kind, url or f"https://{d}/feed", query, f)
+    rows = [
+        rss("a.example.com", "a.xml"), rss("b.example.com", "big.xml"), rss("c.example.com", "none.xml"), rss("news.google.com", "news.xml", "google-news-rss"), rss("news.google.com", "atom.xml", "google-news-rss", query=None),
+        rss("d.example.com", "atom.xml", "json"), rss("e.example.com", "a.xml", url="https://10.0.0.1/feed"), rss("f.example.com", "a.xml", url="https://other.org/feed"), rss("g.example.com", "bad.xml"), rss("h.example.com", "bytes.xml"), rss("i.example.com", "a.xml", "ftp"),
+    ]
+    sources = spark.createDataFrame(rows, "topic string, domain string, label string, tier string, kind string, feed_url string, query string, file string")
+    items, states = landed.ingested(sources, str(tmp_path), now)
+    errors = {(x["domain"], x["kind"]): x["error"] for x in states.filter("not ok").collect()}
+    assert errors == {("b.example.com", "rss"): "body too large", ("c.example.com", "rss"): "file not found", ("e.example.com", "rss"): "unsafe URL", ("f.example.com", "rss"): "unsafe URL", ("i.example.com", "ftp"): "unknown strategy"}
+    assert states.count() == len(rows) and {x["source"].split("|")[1] for x in items.collect()} == {"a.example.com", "news.google.com", "d.example.com"}
+    search = spark.createDataFrame([("ai", 0, True, queries.RSS), ("ai", 1, False, None), ("ai", 2, True, "broken")], "topic string, provider_ord int, ok boolean, xml string")
+    found = landed.search_results(search, now).orderBy("ord").collect()
+    assert [x["url"] for x in found] == ["https://a.example.com/1", "https://a.example.com/2", "https://a.example.com/3"] and found[1]["source_label"] == "Wire" and found[0]["domain"] == "a.example.com"
+
+
+def test_articles_to_guarded_facts(spark, sf, tmp_path):
+    from lodestream.plans import etl
+
+    items, store_, pages = queries.etl_inputs(spark, sf)
+    found = etl.run(items, store_, pages)
+    assert "body" in found.documents.columns and not set(etl.PUBLIC) & {"body", "feed_body", "html"}
+    kinds = {x["kind"] for x in found.warnings.collect()}
+    assert {"provider", "empty", "fetch"} <= kinds <= {"budget", "search", "robots", "paywall", "fetch", "empty", "provider", "A5", "schema"}
+    ready = cluster.projected(items.withColumns({"claims": F.array().cast("array<string>"), "topic_ord": F.lit(0)}))
+    sources = ready.groupBy("topic", "source").agg(F.lit(True).alias("ok"))
+    one = cycle.artifact(spark, ready, sources, queries.NOW, 0, found).first()["artifact"]
+    body = json.loads(one)
+    assert one == cycle.artifact(spark, ready, sources, queries.NOW, 0, found).first()["artifact"] and cycle.checked(one) == [] and body["upstreamRunId"] is None and {t["id"] for t in body["topics"]} >= {"all"}
+    assert sum(map(len, body["data"]["documentsByTopic"].values())) == found.documents.count() and sum(map(len, body["data"]["factsByCluster"].values())) == found.facts.count() > 0
+    assert len(body["warnings"]) == found.warnings.count() and not any("body" in d for ds in body["data"]["documentsByTopic"].values() for d in ds)
+    # a fact that lifts eight words in a row of its document is dropped, recorded, and makes the run's exit code 1
+    lifted = {"statement": "Stored by Reader Two for 9 million and so on", "confidence": "high"}
+    row = found.documents.filter("origin = 'fetch' and extraction = 'full'").first()
+    words = row["body"].split()
+    raw = spark.createDataFrame([(row["cluster_id"], row["id"], json.dumps({"facts": [lifted, {"statement": " ".join(words[5:15])}]}))], "cluster_id string, doc_id string, raw string")
+    got = etl.run(items, store_, pages, raw)
+    assert [x["statement"] for x in got.facts.filter(F.col("cluster_id") == row["cluster_id"]).collect()] == [lifted["statement"]]
+    assert cycle.exit_code(["[A5] x"]) == 1 and cycle.exit_code(["x"]) == 0
+    # published runs replace each other whole
+    for run, frame in (("r1", found.facts), ("r2", found.facts.limit(1))):
+        cycle.publish({"facts": frame, "documents": found.documents.drop("body")}, str(tmp_path / "out"), run)
+        assert cycle.published(spark, str(tmp_path / "out"), "facts").count() == frame.count()
 
 
 def test_command_line(spark, sf, tmp_path, capsys):
@@ -161,5 +282,6 @@ def test_command_line(spark, sf, tmp_path, capsys):
     outs = [tmp_path / "a.json", tmp_path / "b.json"]
     assert [main(["--no-network", "--now", "2024-03-01T01:02:03Z", "--out", str(o)]) for o in outs] == [0, 0]
     assert outs[0].read_bytes() == outs[1].read_bytes()
-    assert main(["--tables", sf, "--now", "2024-03-01T01:02:03Z", "--floor", "0"]) == 0
-    assert json.loads(capsys.readouterr().out)["data"]["clustersByTopic"]
+    assert main(["--tables", sf, "--now", "2024-03-01T01:02:03Z", "--floor", "0", "--with-facts"]) == 0
+    data = json.loads(capsys.readouterr().out)["data"]
+    assert data["clustersByTopic"] and data["factsByCluster"] and data["documentsByTopic"]
