@@ -1,7 +1,8 @@
 """A corpus pipeline over `documents`: quality, near duplicates, benchmark passages, secrets, tokens.
 
-Each stage reads what its predecessor kept. Rows without an id can't be told apart by one: they pass the
-near-duplicate and benchmark stages as they are and are judged by their text elsewhere.
+Each stage reads what its predecessor kept and decides on texts: a row is known by a key of its id and its text, so rows without an
+id and different texts under one id are judged like all others, each by its own text. Stages return the columns of
+documents; other columns, whatever their names, are left behind. Empty tables pass every stage empty. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -15,40 +16,62 @@ from lodestream.llm.base import staged, table
 from lodestream.llm.queries import piece_model
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+_LAST = 2**63 - 1
 
 
-def _of(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    ids = ids.select(F.col("doc_id").alias("_id")).distinct().hint("merge")  # grows with the corpus: never a broadcast
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), how).select(*COLUMNS)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The columns of documents and ``key``, a 64-bit hash of id and text (nulls apart from empty ones); equal rows have equal keys."""
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull(), "text", F.col("text").isNull())
+    return docs.select(*COLUMNS, key.alias("key"))
+
+
+def _as_ids(keyed: DataFrame) -> DataFrame:
+    """What an operator reads: the key in place of the id."""
+    return keyed.drop("doc_id").withColumnRenamed("key", "doc_id")
+
+
+def _of(keyed: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    keys = keys.select(F.col("doc_id").alias("key")).distinct().hint("merge")  # grows with the corpus: never a broadcast
+    return keyed.join(keys, "key", how).select(*COLUMNS)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop what the quality classifier rejects (empty texts too); rows of one id share a fate: one kept keeps all."""
-    verdict = staged(quality.perplexities(docs, table(spark, sf_dir, "labels")).select("doc_id", "kept"), "pipeline-quality")
-    return _of(docs, verdict.filter("kept"), "left_semi")
+    """Drop what the quality classifier rejects; null and empty texts go, too. A label counts for all texts of its id; repeated rows share a fate."""
+    keyed = _keyed(docs)
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("long").alias("id"), "quality")
+    labels = keyed.select(F.col("doc_id").cast("long").alias("id"), "key").join(labels.hint("merge"), "id").select(F.col("key").alias("doc_id"), "quality")
+    verdict = staged(quality.perplexities(_as_ids(keyed), labels).filter("kept").select("doc_id"), "pipeline-quality")
+    return _of(keyed, verdict, "left_semi")
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five words, 0.8) stays: the one of the smallest id; of rows of one id the first text."""
-    found = neardup.near_duplicates(docs, 5, 80).filter("kept")
-    one = _of(docs.filter("doc_id is not null"), found, "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars"))
-    return one.withColumn("_n", nth).filter("_n = 1").select(*COLUMNS).unionByName(docs.filter("doc_id is null").select(*COLUMNS))
+    """One document of each near-duplicate group (five words, 0.8) stays: the one of the smallest id (rows without one come last), ties by the key; of equal rows one.
+
+    Null and blank texts are in no group; each stays, once for each id.
+    """
+    keyed = _keyed(docs)
+    found = staged(neardup.near_duplicates(_as_ids(keyed), 5, 80).select(F.col("doc_id").alias("key"), F.col("component_id").alias("group")).distinct(), "pipeline-groups")
+    ids = keyed.select("key", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("id")).distinct()
+    first = found.join(ids.hint("merge"), "key").groupBy("group").agg(F.min(F.struct("id", "key")).alias("m")).select(F.col("m.key").alias("doc_id"))
+    # of equal rows one; the limit of one row a key is pushed below the shuffle
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("lang", "source", "n_chars"))
+    return _of(keyed.withColumn("nth", nth).filter("nth = 1").drop("nth"), staged(first, "pipeline-first"), "left_semi")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold 0.8 or more of a benchmark item's shingles."""
-    found = staged(decontamination.contained_items(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "pipeline-leaks")
-    return _of(docs, found, "left_anti")
+    """Drop documents that hold 0.8 or more of a benchmark item's shingles; null and empty texts hold none; repeated rows share a fate."""
+    keyed = _keyed(docs)
+    found = decontamination.contained_items(_as_ids(keyed), table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return _of(keyed, staged(found, "pipeline-leaks"), "left_anti")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; found secrets are masked, and n_chars follows."""
+    """Every row stays; found secrets are masked, and n_chars follows. Null texts stay null."""
     return secrets.redact(docs.select(*COLUMNS))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of what is left."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row that is left; a null text counts as empty."""
     return pieces.digests(docs, piece_model())
 
 
@@ -60,7 +83,7 @@ STAGES = [
     ("sentencepiece", tokenise),
 ]
 
-#: SQL can't express the model, the sketches or the tokenizer; tests hold each stage against a brute-force version.
+#: SQL can't express the model, the sketches or the tokenizer; tests/llm/test_pipeline.py holds each stage against a brute-force version.
 ORACLE_SQL = None
 
 
