@@ -21,7 +21,7 @@ from . import kernels
 
 ORDER, FOLDS = 4, 2
 #: Bytes of text of a block (whole texts, at least one) and of the pieces in which it is worked on.
-BLOCK, PIECE = 8 << 20, 1 << 20
+BLOCK, PIECE = 8 << 20, 1 << 18
 #: Marks before a text's first and behind its last character; in a text they count as U+001A.
 FIRST, LAST = "\x02", "\x03"
 BLOCKS = "block long, marked boolean, ids array<long>, langs array<string>, sizes array<int>, lens array<int>, packed binary"
@@ -180,13 +180,13 @@ def points_of(text: str) -> np.ndarray:
 
 
 def known(texts: list[bytes], counted: list | None = None) -> Known:
-    """The distinct n-grams of some texts; ``counted`` takes, for each piece, its first text, how many there are, the owners and the numbers of its n-grams."""
+    """The distinct n-grams of some texts; ``counted`` takes, for each piece, its first text, how many there are, how many n-grams each has, and their numbers."""
     out = Known()
     for first, some in pieces(texts):
         g = Grams(some, [fold(t) for t in some])
         numbers = out.add(g)
         if counted is not None:
-            counted.append((first, len(some), g.owner.astype(np.int32), numbers))
+            counted.append((first, len(some), np.bincount(g.owner, minlength=len(some)), numbers))
     return out
 
 

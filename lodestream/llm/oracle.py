@@ -52,4 +52,34 @@ NEAR = rf"""WITH RECURSIVE s AS MATERIALIZED (SELECT DISTINCT doc_id, CASE WHEN
   SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(m.r, d.doc_id), d.doc_id) AS component_id, coalesce(least(m.r, d.doc_id), d.doc_id) = d.doc_id AS kept
   FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.v = d.doc_id"""
 
-ORACLE = {"op1_secret_scan": _spans(), "op3_decontamination": CONTAINED, "op6_near_duplicates": NEAR}
+# CRC-32 by nibbles: a table of 16 entries, made by the polynomial's rule.
+
+
+def _crc(table: list[int]) -> str:
+    t = "[" + ", ".join(f"{x}::BIGINT" for x in table) + "]"
+    half = lambda c, b: f"xor({t}[(xor({c}, {b}) & 15) + 1], {c} >> 4)"
+    inner = half("c", "b")
+    return f"xor(list_reduce(bs, lambda c, b: {half(inner, '(b >> 4)')}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+def _nibble_table() -> list[int]:
+    out = []
+    for n in range(16):
+        for _ in range(4):
+            n = (n >> 1) ^ (0xEDB88320 if n & 1 else 0)
+        out.append(n)
+    return out
+
+
+# The heap one group at a time; of a run of equal sizes the shards are then given out in order of the text's hash.
+SHARDS = f"""WITH RECURSIVE r AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS t, strlen(coalesce(text, '')) + 16 AS size, sha256(coalesce(text, '')) AS k FROM documents),
+  o AS MATERIALIZED (SELECT k, load, row_number() OVER (ORDER BY load DESC, k) AS i FROM (SELECT k, CAST(sum(size) AS BIGINT) AS load FROM r GROUP BY k)),
+  p AS (SELECT 0::BIGINT AS i, list_transform(range(40), lambda x: 0::BIGINT) AS loads, -1::BIGINT AS shard
+    UNION ALL SELECT o.i, list_transform(loads, lambda x, j: x + CASE WHEN j = list_position(loads, list_min(loads)) THEN load ELSE 0 END), list_position(loads, list_min(loads)) - 1 FROM p JOIN o ON o.i = p.i + 1),
+  a AS (SELECT load, shard, row_number() OVER (PARTITION BY load ORDER BY shard) AS q FROM p JOIN o USING (i)),
+  b AS (SELECT k, load, row_number() OVER (PARTITION BY load ORDER BY k) AS q FROM o),
+  c AS MATERIALIZED (SELECT k, {_crc(_nibble_table())} AS crc FROM (SELECT k, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bs FROM (SELECT DISTINCT k, t FROM r)))
+  SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, CAST(shard AS INT) AS shard, row_number() OVER (PARTITION BY shard ORDER BY substring(sha256(concat_ws(':', doc_id, k)), 1, 2), doc_id, k) - 1 AS slot, NULL::INT AS grown_shard
+  FROM r JOIN b USING (k) JOIN a USING (load, q) JOIN c USING (k)"""
+
+ORACLE = {"op1_secret_scan": _spans(), "op3_decontamination": CONTAINED, "op4_sharding": SHARDS, "op6_near_duplicates": NEAR}

@@ -117,8 +117,8 @@ def _summed(shards: int):
                 if len(order):
                     nats[order] = np.concatenate([np.frombuffer(x["nats"], np.float32) for x in sorted(answers.as_py(), key=lambda x: x["shard"])])
                 total, count = np.zeros((2, len(lens)))
-                for first, n, owner, numbers in pieces:
-                    total[first : first + n], count[first : first + n] = np.bincount(owner, nats[numbers], n), np.bincount(owner, minlength=n)
+                for first, n, each, numbers in pieces:
+                    total[first : first + n], count[first : first + n] = np.bincount(np.repeat(np.arange(n), each), nats[numbers], n), each
                 mean = pa.array(total / np.maximum(count, 1), pa.float64(), mask=count == 0)
                 yield pa.RecordBatch.from_arrays([ids.values, langs.values, sizes.values, mean], ["doc_id", "lang", "size", "nats"])
 

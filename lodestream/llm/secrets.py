@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .base import staged
+from .base import HOT, hot_join, staged
 
 
 class Rule(NamedTuple):
@@ -126,6 +126,16 @@ def _joined(spans: Column, rules: tuple[Rule, ...]) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"], s["end"])), ",")
 
 
+def _with_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` (blob, ...) with the spans of their blobs, an empty list where there are none; a blob that many rows share is no task of its own."""
+    nothing = F.from_json(F.lit("[]"), _SPANS)
+    held = rows.groupBy("blob").agg(F.count("*").alias("n")).join(found.hint("merge"), "blob", "left").withColumn("spans", F.coalesce("spans", nothing))
+    total = rows.count()
+    held = held.filter((F.size("spans") > 0) | (F.col("n") * HOT > total))
+    spread = F.concat(F.lit("/"), F.floor(F.rand(7) * 4096).cast("string"))  # no address has a slash; which task reads a row changes no result
+    return hot_join(rows, held, "blob", "spans", total, spread).withColumn("spans", F.coalesce("spans", nothing))
+
+
 def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The columns of ``paths`` (with ``blob``) and what the ledger holds of ``rules`` for them; every path keeps its row.
 
@@ -135,8 +145,8 @@ def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULE
     base = [k for k, r in enumerate(rules) if r.base]
     added = [*[f"n_{rules[k].kind}" for k in base], "base_sha256", "spans", "found"]
     mine = [c for c in paths.columns if c.lower() not in added]
-    rows = paths.select(F.struct(*[F.col(f"`{c}`") for c in mine]).alias("path"), "blob").join(current(ledger, rules), "blob", "left")
-    spans = F.coalesce("spans", F.from_json(F.lit("[]"), _SPANS))
+    rows = _with_spans(paths.select(F.struct(*[F.col(f"`{c}`") for c in mine]).alias("path"), "blob"), current(ledger, rules))
+    spans = F.col("spans")
     of = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
     return rows.select(
         *[F.col("path")[c].alias(c) for c in mine],
@@ -164,13 +174,14 @@ def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     an empty table stays empty.
     """
     found = current(scan_history(docs.select("text"))).select("blob", "spans")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), blob_of(F.col("text")).alias("blob")).join(found, "blob", "left")
+    rows = _with_spans(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), blob_of(F.col("text")).alias("blob")), found)
+    none = F.size("spans") == 0
     hidden = mask.replace("\\", "\\\\").replace("'", "\\'")
     cut = F.expr(
         f"""aggregate(spans, struct(cast('' as string) as done, 0 as at), (a, s) -> if(s.start >= a.at,
               struct(concat(a.done, substring(doc.text, a.at + 1, s.start - a.at), '{hidden}') as done, s.end as at),
               struct(a.done as done, greatest(a.at, s.end) as at)), a -> concat(a.done, substring(doc.text, a.at + 1)))"""
     )
-    rows = rows.withColumn("new", F.when(F.col("spans").isNull(), F.col("doc")["text"]).otherwise(cut))
-    new = {"text": F.col("new"), "n_chars": F.when(F.col("spans").isNull(), F.col("doc")["n_chars"]).otherwise(F.length("new").cast("long"))} if "n_chars" in docs.columns else {"text": F.col("new")}
+    rows = rows.withColumn("new", F.when(none, F.col("doc")["text"]).otherwise(cut))
+    new = {"text": F.col("new"), "n_chars": F.when(none, F.col("doc")["n_chars"]).otherwise(F.length("new").cast("long"))} if "n_chars" in docs.columns else {"text": F.col("new")}
     return rows.select(*[(new[c] if c in new else F.col("doc")[c]).alias(c) for c in docs.columns])

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +20,7 @@ from pyspark.sql.window import Window
 
 from .base import partitions, staged
 
-#: Row numbers inside a shard are dealt in so many strips, so that no shard is one task.
+#: Row numbers inside a shard are dealt in so many strips, by two digits of a hash of id and text, so that no shard is one task.
 STRIPS = 256
 OVERHEAD = 16
 _PER_PART = 33  # bits that monotonically_increasing_id leaves for the row in a partition
@@ -75,7 +76,8 @@ def shard_by_size(docs: DataFrame, n_shards: int = 40, *, id_col: str = "doc_id"
     size: UTF-8 bytes of the text plus 16. A null text counts as an empty one (size 16, crc 0) and
     shares its group. A null id is an id like any other. Repeated rows are rows of their own with
     slots of their own. An empty table gives no rows. Other columns are ignored.
-    Ties among equal sizes go by the text's SHA-256, ties among equal loads by the shard's number.
+    Ties among equal sizes go by the text's SHA-256 (of a run of equal sizes the first in that order have the shards of the lowest
+    numbers), ties among equal loads by the shard's number. Slots follow the strip, the id and the text's SHA-256. Texts of any length count whole.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -99,9 +101,11 @@ def shard_by_size(docs: DataFrame, n_shards: int = 40, *, id_col: str = "doc_id"
     for part, n in sorted((r[0], r[1]) for r in ranked.groupBy("part").count().collect()):  # one row a partition
         before.append((part, total))
         total += n
-    plan = deal([(r[0], r[1]) for r in ranked.groupBy("load").count().collect()], n_shards)
+    sizes = ranked.groupBy("load").count().toArrow()  # 16 bytes for each different size
+    plan = deal(list(zip(sizes["load"].to_pylist(), sizes["count"].to_pylist())), n_shards)
     before_df = spark.createDataFrame(before, "part long, before long")
-    plan_df = spark.createDataFrame(plan, "load long, first long, ends array<long>, shards array<int>")
+    kinds = {"load": pa.int64(), "first": pa.int64(), "ends": pa.list_(pa.int64()), "shards": pa.list_(pa.int32())}
+    plan_df = spark.createDataFrame(pa.table({c: pa.array([run[i] for run in plan], kind) for i, (c, kind) in enumerate(kinds.items())}))
     placed = (
         ranked.join(before_df, "part")
         .join(plan_df, "load")
@@ -109,7 +113,7 @@ def shard_by_size(docs: DataFrame, n_shards: int = 40, *, id_col: str = "doc_id"
         .select("k", F.expr("shards[size(filter(ends, e -> e <= r))]").alias("shard"))
     )
     dealt = staged(
-        rows.join(placed, "k").withColumn("strip", F.pmod(F.xxhash64("doc_id", "k"), F.lit(STRIPS)).cast("int")), "shard-dealt"
+        rows.join(placed, "k").withColumn("strip", F.conv(F.substring(F.sha2(F.concat_ws(":", "doc_id", F.lower(F.hex("k"))), 256), 1, 2), 16, 10).cast("int")), "shard-dealt"
     )
     strips = dealt.groupBy("shard", "strip").count()  # n_shards * STRIPS rows at most
     strips = strips.withColumn(
