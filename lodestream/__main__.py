@@ -16,7 +16,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--floor", type=int, default=20, help="distinct owners that a topic needs")
     p.add_argument("--no-network", action="store_true", help="the empty artifact")
     p.add_argument("--with-facts", action="store_true", help="read article bodies and mine facts")
-    p.add_argument("--describe", action="store_true", help="the items' schema")
+    p.add_argument("--describe", action="store_true", help="the schemas of what a run publishes")
     return p
 
 
@@ -45,14 +45,14 @@ def main(argv: list[str] | None = None) -> int:
         row = cycle.hermetic(spark, now).first()
     else:
         items = cycle.aggregated(queries.page_items(spark, args.tables), catalog.topics(spark))
-        if args.describe:
-            print(json.dumps(json.loads(cycle.describe(items)), indent=2))
-            return 0
         found = None
         if args.with_facts:
             pages = spark.read.parquet(f"{args.tables}/pages.parquet").select("url", "html")
             nothing = spark.createDataFrame([], "id string, extraction string, access_policy string, word_count long, lang string, content_hash string, body string")
             found = etl.run(items.withColumn("feed_body", F.lit(None).cast("string")), nothing, pages)
+        if args.describe:
+            print(json.dumps(json.loads(cycle.describe(items, found)), indent=2))
+            return 0
         row = cycle.artifact(spark, items, items.groupBy("topic", "source").agg(F.lit(True).alias("ok")), now, args.floor, found).first()
         for s in cycle.summary(items).collect():
             print(f"{s['topic']}: {s['items']} items, {s['clusters']} clusters, {s['domains']} domains", file=sys.stderr)

@@ -53,10 +53,10 @@ def all_items(items: DataFrame) -> DataFrame:
     return dedup.numbered(merged, [], [F.desc("mentions"), "topic_ord", "topic", "item_ord"], "pos")
 
 
-def artifact(spark: SparkSession, items: DataFrame, sources: DataFrame, now: str, floor: int = 20, found: Etl | None = None) -> DataFrame:
+def artifact(spark: SparkSession, items: DataFrame, sources: DataFrame, now: str, floor: int = 20, found: Etl | None = None, said: DataFrame | None = None) -> DataFrame:
     """One row: the envelope as JSON (key ``artifact``) and its warnings. Collects per topic, at the edge, what is published: small by the budget of feeds.
 
-    ``found``: documents, facts and warnings of the same items (see `etl`); a run with it has their maps and the higher revision.
+    ``found``: documents, facts and warnings of the same items (see `etl`); a run with it has their maps and the higher revision. ``said``: messages of `log`.
     """
     public = F.struct("id", "topic", "title", "source", "source_domain", "url", "tier", "published_at", "summary_hint", "claims", "cluster_id", "mentions", "velocity")
     listed = items.select("topic", "ord", public.alias("i")).unionByName(all_items(items).select(F.lit("all").alias("topic"), F.col("pos").alias("ord"), public.alias("i")))
@@ -80,12 +80,16 @@ def artifact(spark: SparkSession, items: DataFrame, sources: DataFrame, now: str
     if found is not None:
         docs = found.documents.groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("id", *[c for c in PUBLIC if c not in ("id", "topic")]))).alias("documents"))
         facts = found.facts.groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct("doc_id", "nth", "id", "statement", "entities", "quote", "metric", "value", "url", "source_domain", "corroboration", "confidence"))).alias("facts"))
-        own = found.warnings.agg(F.array_sort(F.collect_list("message")).alias("etl_warnings"))
+        own = found.warnings.select("message")
+        said = own if said is None else said.select("message").unionByName(own)
         docs = docs.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("topic", "documents")))).alias("documentsByTopic"))
         facts = facts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("cluster_id", "facts")))).alias("factsByCluster"))
-        for part in (docs, facts, own):  # one row each
+        for part in (docs, facts):  # one row each
             one = one.join(F.broadcast(part))
-        data, warnings = [*data, "documentsByTopic", "factsByCluster"], F.concat("warnings", "etl_warnings")
+        data = [*data, "documentsByTopic", "factsByCluster"]
+    if said is not None:
+        one = one.join(F.broadcast(said.agg(F.array_sort(F.collect_list("message")).alias("said"))))  # one row
+        warnings = F.concat("warnings", "said")
     head = envelope_head(now, found is not None)
     literal = [F.lit(v).alias(k) for k, v in head.items() if not isinstance(v, (dict, list))] + [F.struct(*[F.lit(x).alias(k) for k, x in head["cycle"].items()]).alias("cycle")]
     literal.append(F.from_json(F.lit(json.dumps(head["topics"])), "array<struct<id:string,label:string>>").alias("topics"))
@@ -122,8 +126,19 @@ def checked(artifact_json: str) -> list[str]:
     return ["newer revision"] if body.get("contractRevision", 0) > V.REVISION else []
 
 
-def describe(df: DataFrame) -> str:
-    return df.schema.json()
+def describe(df: DataFrame, found: Etl | None = None) -> str:
+    """The schemas of what a run publishes: items, and documents and facts if they are made."""
+    parts = {"items": df} | ({} if found is None else {"documents": found.documents.select(*PUBLIC), "facts": found.facts})
+    return json.dumps({k: json.loads(v.schema.json()) for k, v in parts.items()}, sort_keys=True)
+
+
+def log(states: DataFrame, discovered: DataFrame, removed: DataFrame) -> DataFrame:
+    """topic, message of what a run warns of before articles: failed sources (topic, domain, ok, error), new domains (topic, domain, tier, credibility), repeats removed (topic, removed)."""
+    where = F.concat(F.lit("["), "topic", F.lit("] "))
+    failed = states.filter("not ok").select("topic", F.concat(where, F.lit("source "), "domain", F.lit(": "), "error").alias("message"))
+    new = discovered.select("topic", F.concat(where, F.lit("new domain discovered: "), "domain", F.format_string(" (tier=%s, credibility=%s)", "tier", F.col("credibility").cast("string")), F.lit(", for review")).alias("message"))
+    repeats = removed.filter("removed > 0").select("topic", F.concat(where, F.format_string("%d exact repeats removed", F.col("removed").cast("long"))).alias("message"))
+    return failed.unionByName(new).unionByName(repeats)
 
 
 def summary(items: DataFrame) -> DataFrame:

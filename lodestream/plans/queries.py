@@ -337,6 +337,37 @@ def store_upsert(spark, sf):
     return store.upsert(old, new.union(again))
 
 
+def store_lookup(spark, sf):
+    """Pages as items against a store of some of them, by id; and every document's text by its hash, through the index, as found or not."""
+    p = _t(spark, sf, "pages").select(ids.doc_id(F.col("url")).alias("id"), "page_id")
+    stored = p.filter("page_id % 3 <> 0").select("id", F.expr("if(page_id % 5 = 0, 'failed', 'full')").alias("extraction"))
+    return store.looked_up(p, stored).select("page_id", "hit")
+
+
+def store_by_hash(spark, sf):
+    d = _t(spark, sf, "documents").select(ids.doc_id(F.col("doc_id").cast("string")).alias("id"), ids.content_hash(F.col("text")).alias("content_hash"), "doc_id")
+    index = store.current_index(d.withColumnRenamed("doc_id", "line"))
+    return store.by_hash(d, index, d.filter("doc_id % 2 = 0")).select("id", "doc_id")
+
+
+def store_freshness(spark, sf):
+    e = _t(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("fetched"), F.expr("if(event_id % 3 = 0, null, 'e' || event_id % 7)").alias("etag"), F.expr("if(event_id % 5 = 0, null, 'e' || event_id % 4)").alias("known"))
+    age = F.expr("if(event_id % 2 = 0, null, 5 * 86400000)").cast("long")
+    fetched = F.when(F.col("event_id") % 11 != 0, F.col("fetched"))
+    return e.select("event_id", store.fresh_enough(F.col("etag"), F.col("known"), fetched, F.lit(NOW).cast("timestamp"), age).alias("fresh"))
+
+
+def interaction_metrics(spark, sf):
+    e = _t(spark, sf, "events")
+    entry = lambda key, value: F.struct(key.alias("key"), value.cast("double").alias("value"))
+    entries = F.array(entry(F.lit("Share_Count"), F.col("user_id")), entry(F.col("event_type"), F.col("user_id") + 1), entry(F.lit("likes"), F.col("user_id") + 2), entry(F.lit("shares"), F.col("user_id") + 3), entry(F.lit("userId"), F.col("user_id")))
+    return e.select("event_id", metrics.interaction(entries).alias("m")).select("event_id", "m.*")
+
+
+def run_summary(spark, sf):
+    return cycle.summary(_clusters(spark, sf))
+
+
 def store_index(spark, sf):
     d = _t(spark, sf, "documents").select(ids.content_hash(F.col("text")).alias("content_hash"), F.col("doc_id").cast("string").alias("id"), F.col("doc_id").alias("arrival"))
     old = store.current_index(d.filter("arrival % 5 = 0").withColumnRenamed("arrival", "line"))
@@ -346,7 +377,7 @@ def store_index(spark, sf):
 def rss_parse(spark, sf):
     f = _literal(spark, [("rss1", RSS), ("atom1", ATOM), ("bad", "<html/>")], "source string, xml string")
     src = _literal(spark, [("rss1", "ai", "L", "a.example.com", "news"), ("atom1", "ai", "M", "b.example.com", "primary")], "source string, topic string, label string, domain string, tier string")
-    return feeds.raw_items(feeds.entries(f), src, F.lit(NOW).cast("timestamp"))
+    return feeds.raw_items(feeds.entries(f), src, F.lit(NOW).cast("timestamp")).withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 def artifact(spark, sf):
@@ -380,7 +411,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         strip_markup, fingerprint_ids, split_title, url_normalize, owner_domains, blocked_hosts, content_hash, html_text, paywall_flag, cjk_word_count, dedup_first_wins, duplicates_removed,
         cycle_window_counts, metric_key_screen, topic_coverage, global_coverage, claims, title_similarity_edges, leader_clusters, cluster_rollup, cluster_projection, verbatim_overlap, fact_rows,
-        wire_guard, etl_documents, etl_bodies, etl_facts, etl_guard, etl_warnings, artifact_all, fetch_budget, new_urls, new_domains, global_merge_topk, robots_longest_prefix, catalog_topics, error_codes, store_upsert, store_index, rss_parse, artifact, hermetic_artifact,
+        wire_guard, etl_documents, etl_bodies, etl_facts, etl_guard, etl_warnings, artifact_all, fetch_budget, new_urls, new_domains, global_merge_topk, robots_longest_prefix, catalog_topics, error_codes, store_upsert, store_lookup, store_by_hash, store_freshness, interaction_metrics, run_summary, store_index, rss_parse, artifact, hermetic_artifact,
         customers_without_orders, first_order_per_customer, supplier_coverage,
     )
 }

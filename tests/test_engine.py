@@ -285,3 +285,37 @@ def test_command_line(spark, sf, tmp_path, capsys):
     assert main(["--tables", sf, "--now", "2024-03-01T01:02:03Z", "--floor", "0", "--with-facts"]) == 0
     data = json.loads(capsys.readouterr().out)["data"]
     assert data["clustersByTopic"] and data["factsByCluster"] and data["documentsByTopic"]
+
+
+def test_log_describe_and_catalogue_file(spark, sf, tmp_path):
+    from lodestream.plans import etl
+    from lodestream.sources import catalog
+
+    states = spark.createDataFrame([("ai", "a.org", True, None), ("ai", "b.org", False, "file not found")], "topic string, domain string, ok boolean, error string")
+    new = spark.createDataFrame([("ai", "c.org", "news", 0.6)], "topic string, domain string, tier string, credibility double")
+    removed = spark.createDataFrame([("ai", 3), ("platform", 0)], "topic string, removed int")
+    said = cycle.log(states, new, removed)
+    want = ["[ai] 3 exact repeats removed", "[ai] new domain discovered: c.org (tier=news, credibility=0.6), for review", "[ai] source b.org: file not found"]
+    assert sorted(x["message"] for x in said.collect()) == want
+    items, store_, pages = queries.etl_inputs(spark, sf)
+    found = etl.run(items, store_, pages)
+    parts = json.loads(cycle.describe(items, found))
+    assert set(parts) == {"items", "documents", "facts"} and "body" not in {f["name"] for f in parts["documents"]["fields"]}
+    ready = cluster.projected(items.withColumns({"claims": F.array().cast("array<string>"), "topic_ord": F.lit(0)}))
+    body = json.loads(cycle.artifact(spark, ready, ready.groupBy("topic", "source").agg(F.lit(True).alias("ok")), queries.NOW, 0, None, said).first()["artifact"])
+    assert body["warnings"] == want
+    names = [x.split()[0] for x in catalog.SCHEMA.split(", ")]
+    (tmp_path / "catalog.json").write_text(json.dumps([dict(zip(names, row)) for row in queries.CATALOG]))
+    read = catalog.read_catalog(spark, str(tmp_path / "catalog.json"))
+    assert sorted(map(tuple, read.collect()), key=repr) == sorted(queries.CATALOG, key=repr)
+
+
+def test_word_lists_are_what_the_queries_were_checked_with():
+    """Pins the fixed values that both sides of the comparison with SQL read."""
+    assert {"userid", "sessionid"} <= {k for k in ("userid", "sessionid") if any(f in k for f in V.FORBIDDEN_FRAGMENTS)} and not any(f in "sharecount" for f in V.FORBIDDEN_FRAGMENTS)
+    assert "likes" in V.METRICS["reactions"] and {"shares", "comments", "reactions"} == set(V.METRICS)
+    classes = {d: t for t, _, ds in V.KNOWN_DOMAINS for d in ds}
+    assert (classes["openai.com"], classes["arxiv.org"], classes["infoq.com"]) == ("primary", "paper", "technical-news")
+    assert {"co.uk", "com.cn"} <= set(V.CORROBORATION_SUFFIXES) and [t[0] for t in V.TOPICS] == ["all", "ai", "models", "platform", "kubernetes", "security"]
+    assert (V.QUOTE_WORDS, V.GRAM_WORDS, V.THETA, V.BUDGET, V.CYCLE_HOURS, V.MAX_AGE_HOURS, V.HINT_CHARS) == (25, 8, 0.82, 30, 6, 36, 250)
+    assert {"wsj.com", "ft.com"} <= set(V.CLOSED_DOMAINS) and len(V.ORGANISATIONS) == 11 and len(V.UNITS) == 17
