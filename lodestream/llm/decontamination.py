@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
-from .base import staged
+from .base import small_batches, staged
 
 WORDS, THRESHOLD, MISS = 5, 0.8, 1e-6
 BLOCK_BYTES = 32 << 20
@@ -37,11 +37,14 @@ _PARTING = r"[^\x00-\x7F\p{L}\p{M}\p{N}]"
 _UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\p{IsYi}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\x{30FC}&&\p{L}]"
 
 
+#: A text without any of these has nothing but ASCII and Latin letters, and nothing to part: one class of ranges, where those above look up every character's properties.
+_BEYOND = r"[\x80-\xBF\xD7\xF7\x{250}-\x{10FFFF}]"
+
+
 def parted(text: Column) -> Column:
-    """Lower-cased text whose words beyond ASCII are parted by blanks as those in ASCII are by punctuation."""
-    low = F.lower(text)
-    spaced = F.regexp_replace(F.regexp_replace(low, _PARTING, " "), f"({_UNSPACED}\\p{{M}}*)", " $1 ")
-    return F.when(low.rlike(f"{_PARTING}|{_UNSPACED}"), spaced).otherwise(low)
+    """Text lower-cased beyond ASCII (`kernels.words` does the rest) whose words there are parted by blanks as those in ASCII are by punctuation."""
+    spaced = F.regexp_replace(F.regexp_replace(F.lower(text), _PARTING, " "), f"({_UNSPACED}\\p{{M}}*)", " $1 ")
+    return F.when(F.octet_length(text) == F.length(text), text).when(text.rlike(_BEYOND), spaced).otherwise(F.lower(text))
 
 
 def bins_per_shingle(least: int, threshold: float = THRESHOLD, miss: float = MISS) -> float | None:
@@ -192,6 +195,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
     rows of one id, have their own rows of the result. An empty table on either side gives none. Other columns are ignored.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), parted(F.col("text")).alias("text")).filter("doc_id is not null")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), parted(F.col("text")).alias("text")).filter("item_id is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -229,6 +229,15 @@ def test_containment_equals_brute_force(spark):
     assert decontamination.contained_items(frame(spark, texts[:3]), bench.filter("false")).count() == 0
 
 
+def test_parting_looks_only_where_it_must(spark):
+    r = random.Random(19)
+    texts = ["".join(chr(r.choice([r.randint(9, 126), r.randint(128, 0x24F), r.choice([0x300, 0x4E00, 0x3042, 0x0E01, 0x2019, 0xA0, 0x410, 0x1F600])])) for _ in range(r.randint(0, 12))) for _ in range(3000)]
+    low = F.lower("text")
+    spaced = F.regexp_replace(F.regexp_replace(low, decontamination._PARTING, " "), f"({decontamination._UNSPACED}\\p{{M}}*)", " $1 ")
+    rows = frame(spark, texts).select(F.lower(decontamination.parted(F.col("text"))).alias("a"), spaced.alias("b"))
+    assert rows.filter("not (a <=> b)").isEmpty()
+
+
 def test_sketches_find_contained_items_with_fewer_probes():
     r = np.random.default_rng(4)
     ids = lambda n: np.unique(r.integers(0, 2**63, n, dtype=np.uint64))
