@@ -17,6 +17,17 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+#: Bytes of an Arrow batch that goes to Python, about; texts are long, and memory beside the heap grows with the batch.
+BATCH = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches to BATCH bytes, unless the session has a bound of its own. What an operator returns doesn't depend on it."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, "64m") in ("64m", "64MB", "67108864b", "67108864"):  # the default
+        spark.conf.set(name, str(BATCH))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .base import small_batches
+
 #: Unknown sentences that may stand between two of one rule (headings, list numbers, names).
 GAP = 2
 # Identifier -> normalised sentence. {v} stands for a version number, {who} for any words of the sentence, {end} for its rest, {alone} for a sentence's bound, at its beginning, too.
@@ -179,5 +181,6 @@ def scan_licences(docs: DataFrame) -> DataFrame:
     sentences begin at one word the longer counts. Nothing is shuffled, and only texts with a word that every licence sentence needs go to
     Python. Repeated rows and rows without an id keep a row each; an empty table gives none; other columns, whatever their names, are ignored.
     """
+    small_batches(docs.sparkSession)
     hinted = F.when(F.translate("text", "'\"", "").rlike(HINT), F.col("text"))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), hinted.alias("text")).mapInArrow(_scan, "doc_id long, sentence_ids string, licences string")

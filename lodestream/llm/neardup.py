@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
-from .base import HOT, hot_join, staged
+from .base import HOT, hot_join, small_batches, staged
 from .components import components
 
 BANDS, ROWS = 48, 6
@@ -88,6 +88,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: in
     document of the graph. component_id: the smallest id reachable, which settles ties. Rows without an id get the component of an
     equal set that has one, else none, and are never kept. Texts of any length are read whole; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signs = staged(docs.mapInArrow(_signed(k, bands, rows), "doc_id long, n long, sign binary, keys array<long>"), "near-signs")
     classes = staged(

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .base import small_batches
+
 MARK = "▁"
 #: Characters of a chunk; longer texts are cut where a space mark follows another character.
 CHUNK = 1 << 20
@@ -322,6 +324,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     ``path``: the model file, read on the driver and broadcast (half a megabyte). Rows are coded where they are
     read: nothing is shuffled. Repeated rows repeat theirs; an empty table gives none.
     """
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(open(path, "rb").read())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(_coded(path, model), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

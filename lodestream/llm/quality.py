@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import ngrams
-from .base import partitions, staged
+from .base import partitions, small_batches, staged
 from .ngrams import ORDER
 
 #: Quantiles of trusted documents' mean nats a character, and the margin: so many times the way from the median.
@@ -174,6 +174,7 @@ def probabilities(wanted: DataFrame, levels: list[tuple[DataFrame, DataFrame]])
 def scored(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """doc_id, lang, size, nats of each row of ``docs`` (doc_id, text, lang) under the models trained on the rows whose id is in ``trusted`` (doc_id, distinct)."""
     spark = docs.sparkSession
+    small_batches(spark)
     mark = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
     bits = np.zeros(BITS, bool)
     bits[[r[0] for r in trusted.select(mark).distinct().toLocalIterator()]] = True  # BITS rows at most
