@@ -52,6 +52,22 @@ NEAR = rf"""WITH RECURSIVE s AS MATERIALIZED (SELECT DISTINCT doc_id, CASE WHEN
   SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(m.r, d.doc_id), d.doc_id) AS component_id, coalesce(least(m.r, d.doc_id), d.doc_id) = d.doc_id AS kept
   FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.v = d.doc_id"""
 
+PHRASES = rf"""WITH p AS (SELECT lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM (SELECT coalesce(lang, 'und') AS lang, coalesce({_LOW}, '') AS t FROM documents)),
+  w AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p),
+  o AS MATERIALIZED (SELECT lang, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM w),
+  s1 AS MATERIALIZED (SELECT lang, a, count(*) AS f FROM o GROUP BY ALL),
+  s2 AS MATERIALIZED (SELECT lang, a, b, count(*) AS f FROM o WHERE b IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+  s3 AS MATERIALIZED (SELECT lang, a, b, c, count(*) AS f FROM o WHERE c IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+  n AS (SELECT lang, sum(f)::BIGINT AS n FROM s1 GROUP BY 1),
+  x AS (SELECT lang, a, b, max(f) AS f FROM (SELECT lang, a, b, f FROM s3 UNION ALL SELECT lang, b, c, f FROM s3) GROUP BY ALL),
+  c2 AS (SELECT s2.lang, s2.a || ' ' || s2.b AS phrase, s2.f AS a, u.f AS l, v.f AS r, 1 AS k FROM s2 JOIN s1 u ON u.lang = s2.lang AND u.a = s2.a JOIN s1 v ON v.lang = s2.lang AND v.a = s2.b
+    LEFT JOIN x ON x.lang = s2.lang AND x.a = s2.a AND x.b = s2.b WHERE x.f IS NULL OR 100 * x.f < 50 * s2.f),
+  c3 AS (SELECT s3.lang, s3.a || ' ' || s3.b || ' ' || s3.c AS phrase, s3.f AS a, u.f AS l, v.f AS r, 1 AS k FROM s3 JOIN s1 u ON u.lang = s3.lang AND u.a = s3.a JOIN s2 v ON v.lang = s3.lang AND v.a = s3.b AND v.b = s3.c
+    UNION ALL SELECT s3.lang, s3.a || ' ' || s3.b || ' ' || s3.c, s3.f, u.f, v.f, 2 FROM s3 JOIN s2 u ON u.lang = s3.lang AND u.a = s3.a AND u.b = s3.b JOIN s1 v ON v.lang = s3.lang AND v.a = s3.c),
+  e AS (SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM (SELECT * FROM c2 UNION ALL SELECT * FROM c3)),
+  m AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+  SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM m) JOIN n USING (lang) WHERE rank <= 2000"""
+
 # CRC-32 by nibbles: a table of 16 entries, made by the polynomial's rule.
 
 
@@ -82,4 +98,4 @@ SHARDS = f"""WITH RECURSIVE r AS MATERIALIZED (SELECT doc_id, coalesce(text, '')
   SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, CAST(shard AS INT) AS shard, row_number() OVER (PARTITION BY shard ORDER BY substring(sha256(concat_ws(':', doc_id, k)), 1, 2), doc_id, k) - 1 AS slot, NULL::INT AS grown_shard
   FROM r JOIN b USING (k) JOIN a USING (load, q) JOIN c USING (k)"""
 
-ORACLE = {"op1_secret_scan": _spans(), "op3_decontamination": CONTAINED, "op4_sharding": SHARDS, "op6_near_duplicates": NEAR}
+ORACLE = {"op1_secret_scan": _spans(), "op3_decontamination": CONTAINED, "op4_sharding": SHARDS, "op6_near_duplicates": NEAR, "op11_collocations": PHRASES}

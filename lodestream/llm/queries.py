@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, fingerprints, licenses, neardup, pieces, quality, secrets, sharding, toxicity, urls
+from . import collocations, decontamination, fingerprints, licenses, neardup, pieces, quality, rewrite, secrets, sharding, tokenfiles, toxicity, urls
 from .base import table
 from .oracle import ORACLE  # noqa: F401
 
@@ -58,6 +58,26 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def byte_tokenizer() -> str:
+    """Where this machine keeps the public 50k byte-level tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenfiles.write(table(spark, sf_dir, "documents"), byte_tokenizer(), end_id=2)
+    return tokenfiles.read(files).select("doc_id", "start", "n_tokens", tokenfiles.crc32_of("ids").alias("ids_crc32"))
+
+
+def op13_schema_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rewrite.drifted_clients(table(spark, sf_dir, "clients"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_toxicity": op2_toxicity,
@@ -69,4 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_url_filter": op10_url_filter,
     "op4_sharding": op4_sharding,
+    "op11_collocations": op11_collocations,
+    "op12_token_files": op12_token_files,
+    "op13_schema_rewrite": op13_schema_rewrite,
 }
