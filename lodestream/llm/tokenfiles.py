@@ -13,6 +13,7 @@ All numbers are little-endian.
 
 from __future__ import annotations
 
+import itertools
 import struct
 from collections.abc import Iterator
 
@@ -31,7 +32,7 @@ BLOCK, SHARE = 1024, 0.9
 #: Ids that are packed or read at once, and ids after which a task begins another file.
 RUN, FILE = 1 << 18, 1 << 27
 #: Distinct stretches of text whose ids a worker keeps.
-CACHE = 200_000
+CACHE = 800_000
 _HEAD = struct.Struct("<IHBH")
 _FOOT = struct.Struct("<QQQ")
 
@@ -41,6 +42,21 @@ def _widths(x: np.ndarray) -> np.ndarray:
     return np.frexp(x.astype(np.float64))[1].astype(np.int64)
 
 
+def _bits(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of numbers to rows of bytes, ``width`` bits a number, the highest first."""
+    size = 2 if width <= 16 else 4
+    raw = values.astype(f">u{size}").view(np.uint8).reshape(-1, size)
+    return np.packbits(np.unpackbits(raw, axis=1)[:, 8 * size - width :].reshape(len(values), -1), axis=1)
+
+
+def _values(rows: np.ndarray, n: int, width: int) -> np.ndarray:
+    """The ``n`` numbers of each row of `_bits`."""
+    size = 2 if width <= 16 else 4
+    bits = np.zeros((len(rows) * n, 8 * size), np.uint8)
+    bits[:, 8 * size - width :] = np.unpackbits(rows, axis=1, count=n * width).reshape(-1, width)
+    return np.packbits(bits, axis=1).view(f">u{size}").reshape(len(rows), n).astype(np.uint32)
+
+
 def pack(ids: np.ndarray, share: float = SHARE) -> list[bytes]:
     """The blocks of ``ids`` (u32): all of BLOCK ids but the last."""
     out: list[bytes] = []
@@ -48,20 +64,17 @@ def pack(ids: np.ndarray, share: float = SHARE) -> list[bytes]:
     for part in (ids[:whole].reshape(-1, BLOCK), ids[whole:].reshape(1, -1)):
         if not part.size:
             continue
-        least = part.min(axis=1)
+        n, least = part.shape[1], part.min(axis=1)
         diff = (part - least[:, None]).astype(np.uint32)
-        need = _widths(diff)
-        n = part.shape[1]
-        width = np.partition(need, int(np.ceil(share * n)) - 1, axis=1)[:, int(np.ceil(share * n)) - 1]
-        over = need > width[:, None]
+        place = int(np.ceil(share * n)) - 1
+        width = _widths(np.partition(diff, place, axis=1)[:, place])
+        over = diff > ((np.uint64(1) << width.astype(np.uint64)) - np.uint64(1))[:, None]
         low = np.where(over, np.uint32(0), diff)
         packed: list[bytes] = [b""] * len(part)
-        for w in np.unique(width).tolist():  # blocks of one width together
+        for w in np.unique(width[width > 0]).tolist():  # blocks of one width together
             rows = np.flatnonzero(width == w)
-            if w:
-                bits = (low[rows][:, :, None] >> np.arange(w, dtype=np.uint32)).astype(np.uint8) & 1
-                for r, b in zip(rows.tolist(), np.packbits(bits.reshape(len(rows), n * w), axis=1, bitorder="little")):
-                    packed[r] = b.tobytes()
+            for r, b in zip(rows.tolist(), _bits(low[rows], w)):
+                packed[r] = b.tobytes()
         for r in range(len(part)):
             at = np.flatnonzero(over[r])
             out.append(_HEAD.pack(int(least[r]), n, int(width[r]), len(at)) + packed[r] + at.astype("<u2").tobytes() + diff[r][at].astype("<u4").tobytes())
@@ -76,22 +89,14 @@ def unpack(data: bytes) -> np.ndarray:
         at += _HEAD.size
         size = (n * width + 7) // 8
         groups.setdefault((n, width), []).append((len(out), at))
-        exceptions = at + size
-        out.append((least, n, exceptions, over))
-        at = exceptions + 6 * over
+        out.append((least, n, at + size, over))
+        at += size + 6 * over
     raw = np.frombuffer(data, np.uint8)
     ends = np.cumsum([n for _, n, _, _ in out])
     ids = np.empty(ends[-1] if len(ends) else 0, np.uint32)
     for (n, width), blocks in groups.items():
-        if width:
-            size = (n * width + 7) // 8
-            rows = np.stack([raw[a : a + size] for _, a in blocks])
-            bits = np.unpackbits(rows, axis=1, count=n * width, bitorder="little").reshape(len(blocks), n, width)
-            values = bits[:, :, 0].astype(np.uint32)
-            for k in range(1, width):
-                values |= bits[:, :, k].astype(np.uint32) << np.uint32(k)
-        else:
-            values = np.zeros((len(blocks), n), np.uint32)
+        size = (n * width + 7) // 8
+        values = _values(np.stack([raw[a : a + size] for _, a in blocks]), n, width) if width else np.zeros((len(blocks), n), np.uint32)
         for (b, _), v in zip(blocks, values):
             least, _, exceptions, over = out[b]
             if over:
@@ -169,25 +174,76 @@ class Reader:
         self.file.close()
 
 
+class _Stretches(dict):
+    """Stretches of text to their numbers; new ones are noted."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, stretch: str) -> int:
+        self[stretch] = n = len(self)
+        self.new.append(stretch)
+        return n
+
+
 class Encoder:
     """Ids of whole texts as the tokenizers library gives them, no special tokens added.
 
-    The byte-level pre-tokenizer ends a token before every single blank between two other characters (one that stands
-    alone never ends a token, nor is it part of a longer run), so a text is encoded stretch by stretch, and equal stretches once.
+    The byte-level pre-tokenizer ends a token before a single blank between other characters, around a single line feed, and before a mark behind
+    a letter, so a text is encoded stretch by stretch, and equal stretches once. Where a stretch bounds on other white space, or a mark on anything but a letter, its
+    text is cut more cautiously. A word of LETTERS is one token before merges (the library itself is asked which characters it takes for letters) and goes to
+    the library's model at once; all other stretches go to its encoder.
     """
 
+    LETTERS = "".join(map(chr, (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250))))
+
     def __init__(self, path: str):
         import re
 
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, parted = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
+        spans = [x for _, x in parted("a b.\nc,")]
+        if self.tokenizer.normalizer is not None or spans != [(0, 1), (1, 3), (3, 4), (4, 5), (5, 6), (6, 7)]:
+            raise ValueError("not a byte-level tokenizer of the known kind")
+        letters = "".join(c for c in self.LETTERS if len(parted(f" a{c}b")) == 1)
+        self.shown = {ord(c): parted(c)[0][0] for c in letters + " "}
+        self.word = re.compile(f" ?[{letters}]+").fullmatch
         self.split = re.compile(r"(?<=\S) (?=\S)").split
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Stretches()
+        # of each stretch: where its ids are; whether white space bounds it; whether it is a word, or begins with a mark
         self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.odd, self.lone, self.mark = (np.zeros(0, bool) for _ in range(3))
+
+    def _learn(self) -> None:
+        """The ids of the new stretches."""
+        new, self.known.new = self.known.new, []
+        tokenize, shown, word = self.model.tokenize, self.shown, self.word
+        got = [[t.id for t in tokenize(s.translate(shown))] if word(s) else None for s in new]
+        rest = [i for i, g in enumerate(got) if g is None]
+        odd, lone, mark = np.zeros(len(new), bool), np.ones(len(new), bool), np.zeros(len(new), bool)
+        lone[rest] = False
+        for at in range(0, len(rest), 1000):
+            some = rest[at : at + 1000]
+            for i, e in zip(some, self.tokenizer.encode_batch([new[i] for i in some], add_special_tokens=False)):
+                got[i] = e.ids
+                bare = new[i].removeprefix(" ")
+                odd[i] = new[i] != "\n" and (not bare or bare[0].isspace() or bare[-1].isspace())
+                mark[i] = new[i][:1] in (".", ",")
+        self.flat = np.concatenate((self.flat, np.fromiter(itertools.chain.from_iterable(got), np.uint32)))
+        self.ends = np.concatenate((self.ends, np.cumsum(np.fromiter(map(len, got), np.int64, len(got))) + self.ends[-1]))
+        self.odd, self.lone, self.mark = np.concatenate((self.odd, odd)), np.concatenate((self.lone, lone)), np.concatenate((self.mark, mark))
+
+    def _numbers(self, stretches: list[str]) -> np.ndarray:
+        out = np.fromiter(map(self.known.__getitem__, stretches), np.int64, len(stretches))
+        if self.known.new:
+            self._learn()
+        return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the bounds of each text in them."""
@@ -197,23 +253,25 @@ class Encoder:
         counts = []
         for t in texts:
             if t:
-                first, *rest = self.split(t)
-                parts.append(first)
-                parts += [" " + x for x in rest]
+                parts += self._safe(t) if "\0" in t else t.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(",", "\0,").replace(".", "\0.").split("\0")
             counts.append(len(parts))
-        known = self.known
-        new = list(dict.fromkeys(p for p in parts if p not in known))
-        if new:
-            got = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            ends = np.cumsum([len(g) for g in got]) + self.ends[-1]
-            self.flat = np.concatenate((self.flat, np.fromiter((i for g in got for i in g), np.uint32)))
-            self.ends = np.concatenate((self.ends, ends))
-        number = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+        number, bounds = self._numbers(parts), np.concatenate(([0], np.array(counts, np.int64)))
+        wrong = self.odd[number]
+        wrong[1:] |= self.mark[number[1:]] & ~self.lone[number[:-1]]
+        wrong[bounds[:-1][bounds[:-1] < bounds[1:]]] |= self.mark[number[bounds[:-1][bounds[:-1] < bounds[1:]]]]
+        if wrong.any():
+            bad = np.add.reduceat(np.append(wrong, False), bounds[:-1]) * (np.diff(bounds) > 0) > 0
+            own = [self._numbers(self._safe(t)) if x else number[a:b] for t, x, a, b in zip(texts, bad, bounds[:-1], bounds[1:])]
+            number, bounds = np.concatenate(own), np.concatenate(([0], np.cumsum([len(n) for n in own])))
         sizes = self.ends[number + 1] - self.ends[number]
         after = np.concatenate(([0], np.cumsum(sizes)))
         where = np.arange(after[-1]) + np.repeat(self.ends[number] - after[:-1], sizes)
-        return self.flat[where], after[np.concatenate(([0], np.array(counts, np.int64)))]
+        return self.flat[where], after[bounds]
+
+    def _safe(self, text: str) -> list[str]:
+        """A text's stretches from single blank to single blank."""
+        first, *rest = self.split(text)
+        return [first, *(" " + x for x in rest)]
 
 
 _encoders: dict[str, Encoder] = {}
