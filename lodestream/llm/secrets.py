@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .base import HOT, hot_join, staged
+from .base import HOT, hot_join, let, staged
 
 
 class Rule(NamedTuple):
@@ -41,10 +41,10 @@ RULES = (
     Rule("ghtoken", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}"),
 )
-_NONE = "array<struct<kind:int,i:int,gap:int,len:int,ok:boolean>>"
+_NONE = "array<struct<kind:int,i:int,gap:int,len:int,bgap:int,blen:int,ok:boolean>>"
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
-#: A ledger's columns. ``spans``: what those rules found, in code points, end exclusive, each with its rule's name (kind@version).
-LEDGER = "blob string, rules array<string>, spans array<struct<start:int,end:int,rule:string>>"
+#: A ledger's columns. ``spans``: what those rules found, in code points, end exclusive, each with its rule's name (kind@version) and its place in UTF-8 bytes.
+LEDGER = "blob string, rules array<string>, spans array<struct<start:int,end:int,rule:string,at:int,to:int>>"
 
 
 def blob_of(text: Column) -> Column:
@@ -52,15 +52,18 @@ def blob_of(text: Column) -> Column:
 
 
 def _matches(text: Column, todo: Column, k: int, rule: Rule) -> Column:
-    """The matches of one rule as (kind, i, gap before, length, long enough), in order."""
+    """The matches of one rule as (kind, i, gap before, length, both in bytes, long enough), in order."""
+    sizes = lambda x: F.struct(F.length(x).alias("n"), F.octet_length(x).alias("b"))
     found = F.arrays_zip(
-        F.transform(F.split(text, rule.pattern, -1), F.length).alias("gap"),
-        F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.length).alias("len"),
+        F.transform(F.split(text, rule.pattern, -1), sizes).alias("gap"),
+        F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), sizes).alias("len"),
         F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)), F.length).alias("got"),
     )
     rows = F.transform(
         F.filter(found, lambda x: x["len"].isNotNull()),  # the last gap has no match behind it
-        lambda x, i: F.struct(F.lit(k).alias("kind"), i.alias("i"), x["gap"].alias("gap"), x["len"].alias("len"), (x["got"] >= rule.least).alias("ok")),
+        lambda x, i: F.struct(
+            F.lit(k).alias("kind"), i.alias("i"), x["gap"]["n"].alias("gap"), x["len"]["n"].alias("len"), x["gap"]["b"].alias("bgap"), x["len"]["b"].alias("blen"), (x["got"] >= rule.least).alias("ok")
+        ),
     )
     return F.when(F.array_contains(todo, rule.name) & text.rlike(rule.pattern), rows).otherwise(F.from_json(F.lit("[]"), _NONE))
 
@@ -88,10 +91,12 @@ def unseen(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Ru
         blobs = blobs.join(seen, "blob", "left").withColumn("todo", todo).filter(F.size("todo") > 0)
     each = F.flatten(F.array(*[_matches(F.col("text"), F.col("todo"), k, r) for k, r in enumerate(rules)]))
     rows = blobs.select("blob", "todo", F.explode_outer(each).alias("m")).select("blob", "todo", "m.*")
-    end = F.sum(F.col("gap") + F.col("len")).over(Window.partitionBy("blob", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
-    start = (F.col("end") - F.col("len")).cast("int").alias("start")
-    span = F.when(F.col("ok"), F.struct(start, F.col("end").cast("int").alias("end"), F.get(_names(rules), F.col("kind")).alias("rule")))
-    fresh = rows.withColumn("end", end).groupBy("blob").agg(F.any_value("todo").alias("rules"), F.sort_array(F.collect_list(span)).alias("spans"))
+    w = Window.partitionBy("blob", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    whole = lambda c: F.col(c).cast("int")
+    start, at = (whole("end") - F.col("len")).alias("start"), (whole("to") - F.col("blen")).alias("at")
+    span = F.when(F.col("ok"), F.struct(start, whole("end").alias("end"), F.get(_names(rules), F.col("kind")).alias("rule"), at, whole("to").alias("to")))
+    ends = {"end": F.sum(F.col("gap") + F.col("len")).over(w), "to": F.sum(F.col("bgap") + F.col("blen")).over(w)}
+    fresh = rows.withColumns(ends).groupBy("blob").agg(F.any_value("todo").alias("rules"), F.sort_array(F.collect_list(span)).alias("spans"))
     return staged(fresh, "secret-ledger")
 
 
@@ -118,7 +123,19 @@ def current(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     mine = F.filter("spans", lambda s: F.array_contains(_names(rules), s["rule"]))
     placed = F.transform(mine, lambda s: F.struct(s["start"].alias("start"), (F.array_position(_names(rules), s["rule"]) - 1).cast("int").alias("kind"), s["end"].alias("end")))
     rows = ledger.select("blob", placed.alias("spans")).filter(F.size("spans") > 0)
-    return rows.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+    each_once = lambda s: F.filter(s, lambda x, i: (i == 0) | (x != F.get(s, i - 1)))  # noqa: E731  linear, as array_distinct isn't for structs
+    return rows.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")).select("blob", let(F.col("spans"), each_once).alias("spans"))
+
+
+def masked(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """blob, spans (start, kind, end): the stretches of bytes that ``rules`` found, in order, overlapping ones as one; kind is 0. For `redact`."""
+    mine = F.filter("spans", lambda s: F.array_contains(_names(rules), s["rule"]))
+    rows = ledger.select("blob", F.explode(mine).alias("s")).select("blob", "s.at", "s.to")
+    w = Window.partitionBy("blob").orderBy("at", "to")
+    before = F.max("to").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("new", (F.coalesce(F.col("at") >= before, F.lit(True))).cast("int"))
+    rows = rows.withColumn("nth", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy("blob", "nth").agg(F.min("at").alias("start"), F.max("to").alias("end"))
+    return rows.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", F.lit(0).alias("kind"), "end"))).alias("spans"))
 
 
 def _joined(spans: Column, rules: tuple[Rule, ...]) -> Column:
@@ -173,15 +190,19 @@ def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     Other columns (of any names), rows without findings and null texts stay as they are. Repeated rows are treated alike;
     an empty table stays empty.
     """
-    found = current(scan_history(docs.select("text"))).select("blob", "spans")
+    found = masked(scan_history(docs.select("text")))
     rows = _with_spans(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), blob_of(F.col("text")).alias("blob")), found)
     none = F.size("spans") == 0
-    hidden = mask.replace("\\", "\\\\").replace("'", "\\'")
-    cut = F.expr(
-        f"""aggregate(spans, struct(cast('' as string) as done, 0 as at), (a, s) -> if(s.start >= a.at,
-              struct(concat(a.done, substring(doc.text, a.at + 1, s.start - a.at), '{hidden}') as done, s.end as at),
-              struct(a.done as done, greatest(a.at, s.end) as at)), a -> concat(a.done, substring(doc.text, a.at + 1)))"""
-    )
+
+    # bytes are cut in one step each, code points only by counting from the text's start
+    def cut(x: Column) -> Column:
+        data, spans = x["data"], x["spans"]
+        last = lambda i: F.coalesce(F.get(spans, i - 1)["end"], F.lit(0))
+        kept = F.transform(spans, lambda s, i: F.substring(data, last(i) + 1, s["start"] - last(i)).cast("string"))
+        end = last(F.size(spans))
+        return F.array_join(F.concat(kept, F.array(F.substring(data, end + 1, F.length(data) - end).cast("string"))), mask)
+
+    cut = let(F.struct(F.col("doc")["text"].cast("binary").alias("data"), "spans"), cut)
     rows = rows.withColumn("new", F.when(none, F.col("doc")["text"]).otherwise(cut))
     new = {"text": F.col("new"), "n_chars": F.when(none, F.col("doc")["n_chars"]).otherwise(F.length("new").cast("long"))} if "n_chars" in docs.columns else {"text": F.col("new")}
     return rows.select(*[(new[c] if c in new else F.col("doc")[c]).alias(c) for c in docs.columns])
