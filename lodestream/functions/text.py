@@ -127,7 +127,7 @@ def word_grams(c: Column, n: int = V.GRAM_WORDS) -> Column:
 
 
 def gram_keys(c: Column, n: int = V.GRAM_WORDS) -> Column:
-    """Distinct n-grams of words as 128-bit keys: structs (a, b) of two hashes."""
+    """The n-grams of words as 128-bit keys, structs (a, b) of two hashes; one for each place, as distinct structs would be sought pair by pair."""
 
     def keys(w: Column) -> Column:
         def key(i: Column) -> Column:
@@ -136,4 +136,4 @@ def gram_keys(c: Column, n: int = V.GRAM_WORDS) -> Column:
 
         return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n), key)).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>"))
 
-    return F.array_distinct(let(gram_words(c), keys))
+    return let(gram_words(c), keys)

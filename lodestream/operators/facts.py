@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import values as V
 from ..functions.ids import fact_id
-from ..functions.text import NOT_WS, WS, collapsed, gram_keys, gram_words, let, word_count
+from ..functions.text import NOT_WS, WS, collapsed, gram_keys, gram_words, let, word_count, word_grams
 from ..plans.staging import staged
 from ..functions.urls import etld1
 
@@ -18,8 +18,8 @@ NAMES = f"{_B}([A-Z][a-z]+(?:{WS}+[A-Z][a-z]+){{0,3}}){_E}"
 _WORDS = [u for u in V.UNITS if u.isascii() and u.isalpha()]
 _SIGNS = "".join(u for u in V.UNITS if u not in _WORDS)
 NUMBERS = rf"(?i){_B}[0-9][0-9,.]*{WS}*(?:(?:{'|'.join(_WORDS)}){_E}|[{_SIGNS}](?=[A-Za-z0-9_]))"
-#: Distinct keys of at most 16 MB.
-FEW = 1_000_000
+#: Rows and bits (8 MB) of a Bloom filter, at most.
+PARTS, MOST_BITS = 64, 1 << 26
 
 
 def _all(c: Column, pattern: str) -> Column:
@@ -117,21 +117,44 @@ def checked_quote(quote: Column, limit: int = V.QUOTE_WORDS) -> Column:
     return F.when(F.coalesce(word_count(quote), F.lit(0)) <= limit, quote).otherwise(F.raise_error(message).cast("string"))
 
 
+def _mask(b: Column) -> Column:
+    """A key's three bits of a 64-bit word."""
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(b, 6 * k).bitwiseAND(F.lit(63)).cast("int"))
+    return bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2))
+
+
+def bloom(keys: DataFrame, count: int) -> tuple[DataFrame, int]:
+    """A Bloom filter of keys (a, b) as PARTS rows (part, words), and its words a part: some 16 bits a key, MOST_BITS at most, three of them set in one word each."""
+    words = max(1, min(MOST_BITS, 1 << (16 * count).bit_length()) // 64 // PARTS)
+    set_ = keys.groupBy(F.pmod("a", F.lit(PARTS)).cast("int").alias("part"), word_of(F.col("a"), words).alias("word")).agg(F.bit_or(_mask(F.col("b"))).alias("bits"))
+    id_ = F.col("id")
+    grid = keys.sparkSession.range(PARTS * words).select(F.pmod(id_, F.lit(PARTS)).cast("int").alias("part"), F.shiftright(id_, PARTS.bit_length() - 1).cast("int").alias("word"))
+    cells = F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    return grid.join(set_, ["part", "word"], "left").groupBy("part").agg(F.transform(cells, lambda c: c["bits"]).alias("words")), words
+
+
+def word_of(a: Column, words: int) -> Column:
+    return F.pmod(F.shiftrightunsigned(a, 8), F.lit(words)).cast("int")
+
+
 def verbatim(statements: DataFrame, bodies: DataFrame, n: int = V.GRAM_WORDS) -> DataFrame:
     """Ids of statements (id, text) that share an n-gram of words with any body (text).
 
-    Only 128-bit keys of the grams travel. The bodies' distinct keys are written; up to FEW of them are broadcast, and then no
-    statement's gram is shuffled; beyond that both sides are.
+    Only 128-bit keys of the grams travel. A Bloom filter of the bodies' distinct keys, bounded in size, meets the statements' grams in the
+    task that reads them; what it lets pass is joined to the keys themselves. A filter that is too small for its keys lets more pass, and loses nothing.
+    Time is linear in the texts' lengths: no gram is compared with others of its text.
     """
-    mine = statements.select("id", F.explode(gram_keys(F.col("text"), n)).alias("gram")).select("id", "gram.a", "gram.b")
-    theirs = staged(bodies.select(F.explode(gram_keys(F.col("text"), n)).alias("gram")).distinct().select("gram.a", "gram.b"), "gram-keys")
-    few = theirs.count() <= FEW
-    return mine.join(F.broadcast(theirs) if few else theirs.hint("merge"), ["a", "b"], "left_semi").select("id").distinct()
+    each = lambda df, *more: df.select(*more, F.explode(gram_keys(F.col("text"), n)).alias("gram")).select(*more, "gram.a", "gram.b")
+    theirs = staged(each(bodies).distinct(), "gram-keys")
+    filter_, words = bloom(theirs, theirs.count())
+    mine = each(statements, "id").withColumn("part", F.pmod("a", F.lit(PARTS)).cast("int")).join(F.broadcast(filter_), "part")
+    passed = mine.filter(F.get("words", word_of(F.col("a"), words)).bitwiseAND(_mask(F.col("b"))) == _mask(F.col("b")))
+    return passed.select("id", "a", "b").distinct().join(theirs.hint("merge"), ["a", "b"], "left_semi").select("id").distinct()
 
 
 def overlaps(statement: Column, body: Column, n: int = V.GRAM_WORDS) -> Column:
-    """Whether a statement shares n words in a row with one body."""
-    return F.coalesce(F.arrays_overlap(gram_keys(statement, n), gram_keys(body, n)), F.lit(False))
+    """Whether a statement shares n words in a row with one body; the grams are strings, which are sought by hash."""
+    return F.coalesce(F.arrays_overlap(word_grams(statement, n), word_grams(body, n)), F.lit(False))
 
 
 def guarded(found: DataFrame) -> DataFrame:
