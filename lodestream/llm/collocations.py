@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 from .base import hot_join, partitions, small_batches, staged
 
 #: Bytes of text of a block, and of the pieces in which it is read. Longer texts are cut where a piece of the text ends.
-BLOCK, PIECE = 16 << 20, 1 << 18
+BLOCK, PIECE = 32 << 20, 1 << 18
 #: Bits of a place within its block, and of a block within its task.
 PLACES, BLOCKS = 28, 13
 #: The language of rows without one.
@@ -37,10 +37,10 @@ _TABLE[9] = 32
 for _c in (*b".,;:!?", *range(10, 14)):
     _TABLE[_c] = _BREAK[0]
 _TABLE = bytes(_TABLE)
-_SEQ = ["block", "lang", "place", "word", "n", "seq"]
-_SEQ_KINDS = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
-_PAIRS = ["block", "place", "a", "b", "n", "seq"]
-_PAIRS_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+_SEQ = ["lang", "place", "word", "n", "seq"]
+_SEQ_KINDS = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+_PAIRS = ["place", "a", "b", "n", "seq"]
+_PAIRS_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
 
 class _Numbers(dict):
@@ -100,7 +100,7 @@ class _Block:
         self.seqs.append(np.fromiter(map(self.numbers[lang].__getitem__, words), np.int32, len(words)))
 
     def rows(self, block: int) -> Iterator[pa.RecordBatch]:
-        """The sequence of numbers, then each word with its place and count."""
+        """The sequence of numbers (in the place 0), then each word with its place and count."""
         for lang in list(self.held):
             self.read(lang)
         seq = np.concatenate(self.seqs)
@@ -108,11 +108,11 @@ class _Block:
         if len(n) == 1:
             return
         assert len(n) <= 1 << PLACES
-        yield _batch([[block], [None], [None], [None], [None], [_packed(seq)]], _SEQ, _SEQ_KINDS)
+        yield _batch([[None], [block << PLACES], [None], [None], [_packed(seq)]], _SEQ, _SEQ_KINDS)
         for lang, words in self.numbers.items():
             own = np.fromiter(words.values(), np.int64, len(words))[1:]
             names = pa.array(itertools.islice(words, 1, None), pa.binary()).cast(pa.string())
-            yield _batch([np.full(len(own), block), pa.array([lang]).take(pa.array(np.zeros(len(own), np.int32))), (block << PLACES) + own, names, n[own], pa.nulls(len(own), pa.binary())], _SEQ, _SEQ_KINDS)
+            yield _batch([pa.array([lang]).take(pa.array(np.zeros(len(own), np.int32))), (block << PLACES) + own, names, n[own], pa.nulls(len(own), pa.binary())], _SEQ, _SEQ_KINDS)
 
 
 def _batch(columns: list, names: list[str], kinds: list) -> pa.RecordBatch:
@@ -149,9 +149,9 @@ def _pairs(last: bool):
         if not last:
             out = np.zeros(len(seq), np.int32)
             out[at] = number + 1
-            yield _batch([[block], [None], [None], [None], [None], [_packed(out)]], _PAIRS, _PAIRS_KINDS)
+            yield _batch([[block << PLACES], [None], [None], [None], [_packed(out)]], _PAIRS, _PAIRS_KINDS)
         places = (block << PLACES) + 1 + np.arange(len(keys))
-        yield _batch([np.full(len(keys), block), places, ids[keys // len(ids)], ids[keys % len(ids)], n, pa.nulls(len(keys), pa.binary())], _PAIRS, _PAIRS_KINDS)
+        yield _batch([places, ids[keys // len(ids)], ids[keys % len(ids)], n, pa.nulls(len(keys), pa.binary())], _PAIRS, _PAIRS_KINDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, places, ids = None, [], []
@@ -175,16 +175,17 @@ def _pairs(last: bool):
 
 
 def _named(rows: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
-    """Rows (block, place, keys, n) of keys that occur ``least`` times in all, with f, their count, and id: the first place, one for each key. A key has a row a block at most."""
+    """Rows (place, keys, n) of keys that occur ``least`` times in all, with f, their count, and id: the first place, one for each key. A key has a row a block at most."""
     w = Window.partitionBy(*keys)
     rows = rows.withColumns({"f": F.sum("n").over(w), "id": F.min("place").over(w)}).filter(F.col("f") >= least)
-    return staged(rows.drop("n"), name)
+    return staged(rows.drop("n"), name, "zstd")
 
 
 def _dealt(blocks: DataFrame, named: DataFrame) -> DataFrame:
     """Each block in one task: its ids by place, then its sequence."""
     nothing = lambda kind, name: F.lit(None).cast(kind).alias(name)
-    both = named.select("block", "place", "id", nothing("binary", "seq")).unionByName(blocks.select("block", nothing("long", "place"), nothing("long", "id"), "seq"))
+    block = F.shiftright("place", PLACES).alias("block")
+    both = named.select(block, "place", "id", nothing("binary", "seq")).unionByName(blocks.select(block, nothing("long", "place"), nothing("long", "id"), "seq"))
     return both.repartition(partitions(blocks.sparkSession), "block").sortWithinPartitions("block", F.col("place").asc_nulls_last())
 
 
@@ -205,21 +206,21 @@ def phrases(docs: DataFrame, longest: int = 3, least: int = 10) -> tuple[list[Da
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    read = staged(rows.mapInArrow(_words, "block long, lang string, place long, word string, n long, seq binary"), "phrase-words")
+    read = staged(rows.mapInArrow(_words, "lang string, place long, word string, n long, seq binary"), "phrase-words", "zstd")
     words = read.filter("seq is null").drop("seq")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     named = _named(words, ["lang", "word"], least, "phrase-1")
     none = F.lit(None).cast("long")
     level = named.filter("place = id").select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("pre"), F.array("f").alias("suf"), none.alias("left_id"), none.alias("right_id"))
-    out, blocks = [level], read.filter("seq is not null").select("block", "seq")
+    out, blocks = [level], read.filter("seq is not null").select("place", "seq")
     for k in range(2, longest + 1):
         last = k == longest
-        pairs = _dealt(blocks, named).mapInArrow(_pairs(last), "block long, place long, a long, b long, n long, seq binary")
+        pairs = _dealt(blocks, named).mapInArrow(_pairs(last), "place long, a long, b long, n long, seq binary")
         if last:
             counted = pairs.groupBy("a", "b").agg(F.sum("n").alias("f"), F.min("place").alias("id")).filter(F.col("f") >= least)
         else:
-            pairs = staged(pairs, f"phrase-pairs-{k}")
-            named, blocks = _named(pairs.filter("seq is null").drop("seq"), ["a", "b"], least, f"phrase-{k}"), pairs.filter("seq is not null").select("block", "seq")
+            pairs = staged(pairs, f"phrase-pairs-{k}", "zstd")
+            named, blocks = _named(pairs.filter("seq is null").drop("seq"), ["a", "b"], least, f"phrase-{k}"), pairs.filter("seq is not null").select("place", "seq")
             counted = named.filter("place = id")
         level = staged(counted.select("id", "f", F.col("a").alias("left_id"), F.col("b").alias("right_id")), f"phrase-ids-{k}")
         level = _with(level, out[-1].select("id", "lang", "phrase", "pre"), "left")

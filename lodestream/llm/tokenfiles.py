@@ -13,6 +13,7 @@ All numbers are little-endian.
 
 from __future__ import annotations
 
+import gc
 import itertools
 import struct
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import files
+from . import files, kernels
 from .base import partitions, small_batches, staged
 
 MAGIC = b"LDSTPFR1"
@@ -31,8 +32,10 @@ MAGIC = b"LDSTPFR1"
 BLOCK, SHARE = 1024, 0.9
 #: Ids that are packed or read at once, and ids after which a task begins another file.
 RUN, FILE = 1 << 18, 1 << 27
+#: Characters that are encoded at once, whole texts.
+TEXT = 1 << 20
 #: Distinct stretches of text whose ids a worker keeps.
-CACHE = 800_000
+CACHE = 400_000
 _HEAD = struct.Struct("<IHBH")
 _FOOT = struct.Struct("<QQQ")
 
@@ -174,26 +177,23 @@ class Reader:
         self.file.close()
 
 
-class _Stretches(dict):
-    """Stretches of text to their numbers; new ones are noted."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, stretch: str) -> int:
-        self[stretch] = n = len(self)
-        self.new.append(stretch)
-        return n
+_SPACE, _FEED, _MARKS = 32, 10, (44, 46)
+#: Bytes before which a stretch begins; bytes of other white space, or that may be part of it; letters and digits.
+_CUT, _ODD, _ALNUM = (np.zeros(256, bool) for _ in range(3))
+_CUT[[_SPACE, _FEED, *_MARKS]] = True
+_ODD[[0, 9, 11, 12, 13, *range(28, 32)]] = True
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+#: White space beyond ASCII.
+_WIDE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 class Encoder:
     """Ids of whole texts as the tokenizers library gives them, no special tokens added.
 
-    The byte-level pre-tokenizer ends a token before a single blank between other characters, around a single line feed, and before a mark behind
-    a letter, so a text is encoded stretch by stretch, and equal stretches once. Where a stretch bounds on other white space, or a mark on anything but a letter, its
-    text is cut more cautiously. A word of LETTERS is one token before merges (the library itself is asked which characters it takes for letters) and goes to
-    the library's model at once; all other stretches go to its encoder.
+    The byte-level pre-tokenizer ends a token before a single blank between other characters, around a single line feed, and before a comma or full stop behind
+    a letter or digit. So texts are cut there, all at once in their bytes, and equal stretches, told apart by 128 bits of two hashes, are encoded once. A text in which
+    white space stands in runs, or a mark behind another sign, is cut with more care. A word of LETTERS is one token before merges (the library itself is asked
+    which characters it takes for letters) and goes to the library's model at once; other stretches go to its encoder.
     """
 
     LETTERS = "".join(map(chr, (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250))))
@@ -205,75 +205,127 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, parted = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
-        spans = [x for _, x in parted("a b.\nc,")]
-        if self.tokenizer.normalizer is not None or spans != [(0, 1), (1, 3), (3, 4), (4, 5), (5, 6), (6, 7)]:
+        spans = [x for _, x in parted("a b.\nc1,")]
+        if self.tokenizer.normalizer is not None or spans != [(0, 1), (1, 3), (3, 4), (4, 5), (5, 6), (6, 7), (7, 8)]:
             raise ValueError("not a byte-level tokenizer of the known kind")
         letters = "".join(c for c in self.LETTERS if len(parted(f" a{c}b")) == 1)
         self.shown = {ord(c): parted(c)[0][0] for c in letters + " "}
+        self.blank = self.shown[32] if all(self.shown[ord(c)] == c for c in letters if c.isascii()) else None
         self.word = re.compile(f" ?[{letters}]+").fullmatch
-        self.split = re.compile(r"(?<=\S) (?=\S)").split
+        # all other ASCII signs but the apostrophe are one token with their like
+        self.tailed = re.compile(f"( ?[{letters}]+)([!-&(-/:-@\\[-`{{-~]+)").fullmatch
+        self.tails: dict[str, list[int]] = {}
+        self.split, self.wide = re.compile(r"(?<=\S) (?=\S)").split, re.compile(f"[{_WIDE}]").search
         self.forget()
 
     def forget(self) -> None:
-        self.known = _Stretches()
-        # of each stretch: where its ids are; whether white space bounds it; whether it is a word, or begins with a mark
-        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        self.odd, self.lone, self.mark = (np.zeros(0, bool) for _ in range(3))
-
-    def _learn(self) -> None:
-        """The ids of the new stretches."""
-        new, self.known.new = self.known.new, []
-        tokenize, shown, word = self.model.tokenize, self.shown, self.word
-        got = [[t.id for t in tokenize(s.translate(shown))] if word(s) else None for s in new]
-        rest = [i for i, g in enumerate(got) if g is None]
-        odd, lone, mark = np.zeros(len(new), bool), np.ones(len(new), bool), np.zeros(len(new), bool)
-        lone[rest] = False
-        for at in range(0, len(rest), 1000):
-            some = rest[at : at + 1000]
-            for i, e in zip(some, self.tokenizer.encode_batch([new[i] for i in some], add_special_tokens=False)):
+        self.known: dict[int, int] = {}
+        self.strings: dict[str, int] = {}
+        self.size = 0
+        # of each stretch: its second hash, where its ids are, whether it is a word
+        self.second, self.flat, self.ends, self.lone = np.zeros(1 << 14, np.uint64), np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, bool)
+
+    def _word(self, word: str) -> list[int]:
+        shown = self.blank + word[1:] if word[0] == " " and self.blank and word.isascii() else word.translate(self.shown)
+        return [t.id for t in self.model.tokenize(shown)]
+
+    def _tailed(self, stretch: str) -> list[int] | None:
+        m = self.tailed(stretch)
+        if m is None:
+            return None
+        if m[2] not in self.tails:
+            self.tails[m[2]] = self.tokenizer.encode(m[2], add_special_tokens=False).ids
+        return self._word(m[1]) + self.tails[m[2]]
+
+    def _learn(self, new: list[str], second: np.ndarray) -> np.ndarray:
+        """Numbers for new stretches, and their ids; arrays grow by doubling."""
+        at, to, word = self.size, self.size + len(new), self.word
+        if to + 1 > len(self.ends):
+            grown = lambda x: np.concatenate((x, np.zeros(to + len(x), x.dtype)))
+            self.second, self.ends, self.lone = grown(self.second), grown(self.ends), grown(self.lone)
+        got = [self._word(s) if word(s) else None for s in new]
+        self.lone[at:to] = [g is not None for g in got]
+        got = [self._tailed(s) if g is None else g for s, g in zip(new, got)]
+        hard = [i for i, g in enumerate(got) if g is None]
+        for k in range(0, len(hard), 1000):
+            for i, e in zip(hard[k : k + 1000], self.tokenizer.encode_batch([new[i] for i in hard[k : k + 1000]], add_special_tokens=False)):
                 got[i] = e.ids
-                bare = new[i].removeprefix(" ")
-                odd[i] = new[i] != "\n" and (not bare or bare[0].isspace() or bare[-1].isspace())
-                mark[i] = new[i][:1] in (".", ",")
-        self.flat = np.concatenate((self.flat, np.fromiter(itertools.chain.from_iterable(got), np.uint32)))
-        self.ends = np.concatenate((self.ends, np.cumsum(np.fromiter(map(len, got), np.int64, len(got))) + self.ends[-1]))
-        self.odd, self.lone, self.mark = np.concatenate((self.odd, odd)), np.concatenate((self.lone, lone)), np.concatenate((self.mark, mark))
-
-    def _numbers(self, stretches: list[str]) -> np.ndarray:
-        out = np.fromiter(map(self.known.__getitem__, stretches), np.int64, len(stretches))
-        if self.known.new:
-            self._learn()
-        return out
+        ends = self.ends[at] + np.cumsum(np.fromiter(map(len, got), np.int64, len(got)))
+        if ends[-1] > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros(int(ends[-1]), np.uint32)))
+        self.flat[self.ends[at] : ends[-1]] = np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(ends[-1] - self.ends[at]))
+        self.ends[at + 1 : to + 1], self.second[at:to], self.size = ends, second, to
+        return np.arange(at, to)
+
+    def _by_hash(self, data: bytes, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of stretches of bytes, and which of them share a first hash with another stretch."""
+        p, inverse = kernels.powers(len(raw))
+        hashes = []
+        for code in _CODES:
+            sums = np.zeros(len(raw) + 1, np.uint64)
+            np.cumsum(code[raw] * p[: len(raw)], out=sums[1:])
+            hashes.append(kernels.mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)))
+        keys, first, number = np.unique(hashes[0], return_index=True, return_inverse=True)
+        second, known = hashes[1][first], self.known
+        of = np.fromiter((known.get(k, -1) for k in keys.tolist()), np.int64, len(keys))
+        new = np.flatnonzero(of < 0)
+        if len(new):
+            cut = [data[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
+            of[new] = self._learn(cut, second[new])
+            known.update(zip(keys[new].tolist(), of[new].tolist()))
+        number = of[number]
+        return number, self.second[number] != hashes[1]
+
+    def _by_string(self, text: str) -> np.ndarray:
+        """The numbers of a text's stretches from single blank to single blank."""
+        first, *rest = self.split(text)
+        cut = [first, *(" " + x for x in rest)]
+        new = [s for s in dict.fromkeys(cut) if s not in self.strings]
+        if new:
+            self.strings.update(zip(new, self._learn(new, np.zeros(len(new), np.uint64)).tolist()))
+        return np.fromiter(map(self.strings.__getitem__, cut), np.int64, len(cut))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the bounds of each text in them."""
-        if len(self.known) > CACHE:
+        if self.size > CACHE:
             self.forget()
-        parts: list[str] = []
-        counts = []
-        for t in texts:
-            if t:
-                parts += self._safe(t) if "\0" in t else t.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(",", "\0,").replace(".", "\0.").split("\0")
-            counts.append(len(parts))
-        number, bounds = self._numbers(parts), np.concatenate(([0], np.array(counts, np.int64)))
-        wrong = self.odd[number]
-        wrong[1:] |= self.mark[number[1:]] & ~self.lone[number[:-1]]
-        wrong[bounds[:-1][bounds[:-1] < bounds[1:]]] |= self.mark[number[bounds[:-1][bounds[:-1] < bounds[1:]]]]
-        if wrong.any():
-            bad = np.add.reduceat(np.append(wrong, False), bounds[:-1]) * (np.diff(bounds) > 0) > 0
-            own = [self._numbers(self._safe(t)) if x else number[a:b] for t, x, a, b in zip(texts, bad, bounds[:-1], bounds[1:])]
+        each = [t.encode() for t in texts]
+        lens = np.fromiter(map(len, each), np.int64, len(each))
+        data, begins = b"".join(each), np.concatenate(([0], np.cumsum(lens)))
+        raw = np.frombuffer(data, np.uint8)
+        begin = begins[:-1][lens > 0]
+        if len(raw):
+            start = _CUT[raw]
+            start[1:] |= raw[:-1] == _FEED
+            start[begin] = True
+            starts = np.flatnonzero(start)
+            number, wrong = self._by_hash(data, raw, starts, np.append(starts[1:], len(raw)))
+            head, size = raw[starts], np.diff(starts, append=len(raw))
+            before, opens = np.append(np.uint8(0), raw)[starts], np.zeros(len(starts), bool)
+            opens[np.searchsorted(starts, begin)] = True
+            behind_word = np.append(False, self.lone[number[:-1]])
+            wrong |= (head == _SPACE) & (size == 1)  # a blank before other white space, a mark, or nothing
+            wrong |= (head == _FEED) & (opens | (before == _SPACE) | (before == _FEED))
+            wrong |= np.isin(head, _MARKS) & (opens | ~(_ALNUM[before] | behind_word))
+            row = np.searchsorted(begins, starts, "right") - 1
+            odd = np.bincount(row, wrong, len(each)) > 0
+            odd[np.searchsorted(begins, np.flatnonzero(_ODD[raw]), "right") - 1] = True
+            last = np.flatnonzero(lens > 0)
+            odd[last] |= raw[begins[last + 1] - 1] == _FEED
+            bounds = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(each)))))
+        else:
+            number, bounds, odd = np.zeros(0, np.int64), np.zeros(len(each) + 1, np.int64), np.zeros(len(each), bool)
+        odd |= np.fromiter((not t.isascii() and self.wide(t) is not None for t in texts), bool, len(texts))
+        if odd.any():
+            own = [self._by_string(t) if x and t else number[a:b] for t, x, a, b in zip(texts, odd, bounds[:-1], bounds[1:])]
             number, bounds = np.concatenate(own), np.concatenate(([0], np.cumsum([len(n) for n in own])))
         sizes = self.ends[number + 1] - self.ends[number]
         after = np.concatenate(([0], np.cumsum(sizes)))
         where = np.arange(after[-1]) + np.repeat(self.ends[number] - after[:-1], sizes)
         return self.flat[where], after[bounds]
 
-    def _safe(self, text: str) -> list[str]:
-        """A text's stretches from single blank to single blank."""
-        first, *rest = self.split(text)
-        return [first, *(" " + x for x in rest)]
-
 
+_CODES = [kernels.mix(np.arange(256, dtype=np.uint64), seed) | np.uint64(1) for seed in (211, 212)]
 _encoders: dict[str, Encoder] = {}
 
 
@@ -286,15 +338,16 @@ def _written(tokenizer: str, end_id: int | None, folder: str, per_file: int):
 
         if tokenizer not in _encoders:
             _encoders[tokenizer] = Encoder(tokenizer)
+        gc.disable()  # the lists of ids hold no cycles
         encode, task = _encoders[tokenizer].encode, TaskContext.get().partitionId()
         tail = np.array([] if end_id is None else [end_id], np.uint32)
 
         def docs() -> Iterator[tuple[int | None, np.ndarray]]:
             for batch in batches:
                 texts, ids, at = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist(), 0
-                while at < len(texts):  # about RUN characters at once
+                while at < len(texts):  # about TEXT characters at once
                     to, size = at, 0
-                    while to < len(texts) and (to == at or size + len(texts[to]) <= RUN):
+                    while to < len(texts) and (to == at or size + len(texts[to]) <= TEXT):
                         size += len(texts[to])
                         to += 1
                     flat, bounds = encode(texts[at:to])
