@@ -87,16 +87,16 @@ c.BLOCK, c.PIECE = 400, 50
 
         yield from _words(batches)
 
-    rows = df.mapInArrow(run, "block long, lang string, place long, word string, n long, seq binary").collect()
+    rows = df.mapInArrow(run, "lang string, place long, word string, n long, seq binary").collect()
     words = [r for r in rows if r.seq is None]
-    assert len({r.block for r in words}) > 20 and len({r.place for r in words}) == len(words)
+    assert len({r.place >> collocations.PLACES for r in words}) > 20 and len({r.place for r in words}) == len(words)
     whole = collections.Counter()
     for r in words:
         whole[r.lang, r.word] += r.n
     assert whole["fr", "one"] == whole["fr", "two"] == 503
-    seqs = {r.block: np.frombuffer(zlib.decompress(r.seq), np.int32) for r in rows if r.seq is not None}
+    seqs = {r.place >> collocations.PLACES: np.frombuffer(zlib.decompress(r.seq), np.int32) for r in rows if r.seq is not None}
     for r in words:
-        assert (seqs[r.block] == r.place & ((1 << collocations.PLACES) - 1)).sum() == r.n
+        assert (seqs[r.place >> collocations.PLACES] == r.place & ((1 << collocations.PLACES) - 1)).sum() == r.n
 
 
 def test_counts_beyond_64_bits_are_exact(spark):
