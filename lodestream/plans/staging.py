@@ -26,10 +26,10 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here, and a lost executor costs its tasks alone."""
     path = f"{shared_dir(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
