@@ -15,6 +15,7 @@ from ..functions import values as V
 from ..functions.text import strings
 from ..plans.staging import staged
 from .dedup import numbered
+from .skew import with_value
 
 
 #: A token of more items than HOT is hot; parts of its join.
@@ -26,17 +27,48 @@ def seed_order(items: DataFrame) -> DataFrame:
     return numbered(items, ["topic"], [F.coalesce("feed_rank", F.lit(999)), F.desc("published_at"), "arrival"], "ord")
 
 
+def token_classes(items: DataFrame) -> DataFrame:
+    """topic, ord, tokens, class, size of items (topic, ord, tokens: distinct): class is the least ord of the items with the same tokens, size how many there are.
+
+    Items without tokens resemble nothing and are classes of their own. Sets are compared as sorted arrays; counts are combined before the shuffle, and a set that
+    very many items share is no task of its own.
+    """
+    items = items.select("topic", "ord", F.array_sort("tokens").alias("tokens"))
+    rows = staged(items.filter(F.size("tokens") > 0), "token-sets")
+    held = rows.groupBy("topic", "tokens").agg(F.min("ord").alias("class"), F.count("*").alias("n"))
+    held = held.select("topic", "tokens", F.struct("class", F.col("n").alias("size")).alias("held"), "n")
+    known = with_value(rows, held, ["topic", "tokens"], "held", rows.count(), F.col("ord").cast("long")).select("topic", "ord", "tokens", "held.class", "held.size")
+    alone = items.filter(F.size("tokens") <= 0).select("topic", "ord", "tokens", F.col("ord").alias("class"), F.lit(1).cast("long").alias("size"))
+    return known.unionByName(alone)
+
+
+def representatives(classes: DataFrame) -> DataFrame:
+    """One item of each class of `token_classes`: topic, ord, tokens, size."""
+    return classes.filter("ord = class").select("topic", "ord", "tokens", "size")
+
+
+def links(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``classes`` with links: how many other items each resembles, from the pairs between representatives (topic, i, j). No pair of items is made."""
+    sizes = representatives(classes).select("topic", F.col("ord").alias("class"), "size")
+    both = pairs.select("topic", F.col("i").alias("class"), F.col("j").alias("other")).union(pairs.select("topic", "j", "i"))
+    near = both.join(sizes.select("topic", F.col("class").alias("other"), F.col("size").alias("more")).hint("merge"), ["topic", "other"]).groupBy("topic", "class").agg(F.sum("more").alias("more"))
+    near = near.join(sizes.hint("merge"), ["topic", "class"]).select("topic", "class", F.struct("more").alias("near"), F.col("size").alias("n"))
+    rows = with_value(classes, near, ["topic", "class"], "near", classes.count(), F.col("ord").cast("long"))
+    of_its_own = F.when(F.size("tokens") > 0, F.col("size") - 1).otherwise(0)
+    return rows.select("topic", "ord", "class", "size", (of_its_own + F.coalesce("near.more", F.lit(0))).cast("long").alias("links"))
+
+
 def similar_pairs(items: DataFrame, theta: float, important=V.IMPORTANT_TOKENS) -> DataFrame:
     """topic, i, j, overlap, weighted, sim for i < j with sim >= theta; items: topic, ord, tokens (distinct).
 
     sim = (overlap + 1.5 * important overlap) / smaller size. An overlap weighs 2.5 at most, so the smaller set's first
     size - ceil(theta * size / 2.5) + 1 tokens, rarest first, hold a shared one: only these are joined. A token that more than
-    HOT items of a topic have is joined in SALTS parts, by the larger sets' numbers.
+    HOT items of a topic have is joined in SALTS parts, by the larger sets' numbers. Every pair is a row: give it the `representatives` of classes where items repeat.
     """
     items = items.filter(F.size("tokens") > 0).select("topic", "ord", "tokens", F.size("tokens").alias("n"))
-    each = items.select("topic", "ord", "n", F.explode("tokens").alias("token"))
-    df = each.groupBy("topic", "token").agg(F.count("*").alias("df"))
-    ranked = each.join(df, ["topic", "token"])
+    each = staged(items.select("topic", "ord", "n", F.explode("tokens").alias("token")), "tokens")
+    df = each.groupBy("topic", "token").agg(F.count("*").alias("n")).withColumn("df", F.col("n"))
+    ranked = with_value(each, df, ["topic", "token"], "df", each.count(), F.col("ord").cast("long"))
     nth = F.row_number().over(Window.partitionBy("topic", "ord").orderBy("df", "token"))
     prefix = ranked.withColumn("nth", nth).filter(F.col("nth") <= F.col("n") - F.ceil(theta * F.col("n") / 2.5 - 1e-9) + 1)
     hot = F.col("df") > HOT
@@ -78,11 +110,19 @@ def leaders(items: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def clustered(items: DataFrame, theta: float = V.THETA) -> DataFrame:
-    """Items (topic, ord, tokens, ...) with leader, cluster number in creation order and cluster_id."""
-    lead = leaders(items, similar_pairs(items, theta))
-    heads = lead.select("topic", "leader").distinct()
-    heads = numbered(heads, ["topic"], ["leader"], "n")
-    out = items.join(lead, ["topic", "ord"]).join(heads, ["topic", "leader"])
+    """Items (topic, ord, tokens, ...) with leader, cluster number in creation order and cluster_id.
+
+    Only the first item of each class of equal token sets takes part in the leader rounds: whatever it follows, the others follow, and if it leads, it leads them.
+    """
+    classes = staged(token_classes(items), "token-classes")
+    first = representatives(classes)
+    lead = leaders(first, similar_pairs(first, theta))
+    led = classes.groupBy("topic", "class").agg(F.count("*").alias("n")).join(lead.withColumnRenamed("ord", "class").hint("merge"), ["topic", "class"])
+    lead = staged(with_value(classes.select("topic", "ord", "class"), led, ["topic", "class"], "leader", classes.count(), F.col("ord").cast("long")).select("topic", "ord", "leader"), "led")
+    heads = lead.groupBy("topic", "leader").agg(F.count("*").alias("held"))
+    heads = numbered(heads, ["topic"], ["leader"], "number").select("topic", "leader", "number", F.col("held").alias("n"))
+    lead = with_value(lead, heads, ["topic", "leader"], "number", lead.count(), F.col("ord").cast("long")).withColumnRenamed("number", "n")
+    out = items.join(lead.hint("merge"), ["topic", "ord"])
     return out.withColumn("cluster_id", F.concat(F.lit("cluster-"), "topic", F.lit("-"), F.col("n").cast("string")))
 
 

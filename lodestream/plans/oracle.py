@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..functions import values as V
 from . import queries as Q
+from . import queries_state
 
 WS = r"[\t\n\x0B\f\r \x{a0}\x{feff}]"
 NWS = r"[^\t\n\x0B\f\r \x{a0}\x{feff}]"
@@ -242,7 +243,11 @@ ORACLE: dict[str, str] = {
     "global_coverage": f"""WITH i AS {DOC_ITEMS}, s AS (SELECT topic, source, count(*) >= 3 AS ok FROM i GROUP BY ALL)
         SELECT count(*) AS configured, count(*) AS queried, count(*) FILTER (WHERE ok) AS responded, (SELECT count(DISTINCT {last_labels(owner('source_domain'), V.COVERAGE_SUFFIXES)}) FROM i) AS distinct_domains, false AS degraded FROM s""",
     "claims": f"""SELECT doc_id, array_to_string(list_slice(list_filter({array(V.CLAIM_ENTITIES + ('ere', 'tion', 'ment', 'ci/cd', 'ando'))}, lambda t: contains(lower(title || ' ' || substring(text, 1, 250)), t)), 1, 5), ',') AS claims FROM {DOC_ITEMS}""",
-    "title_similarity_edges": f"WITH o AS MATERIALIZED {ORDERED} SELECT topic, i, j, overlap, weighted, sim FROM {EDGES} WHERE sim >= 0.82",
+    "title_similarity_edges": f"""WITH a AS MATERIALIZED {ORDERED}, o AS MATERIALIZED (SELECT * FROM a WHERE len(tokens) > 0 QUALIFY row_number() OVER (PARTITION BY topic, list_sort(tokens) ORDER BY ord) = 1)
+        SELECT topic, i, j, overlap, weighted, sim FROM {EDGES} WHERE sim >= 0.82""",
+    "title_classes": f"""WITH o AS MATERIALIZED {ORDERED}, e AS MATERIALIZED (SELECT topic, i, j FROM {EDGES} WHERE sim >= 0.82), n AS (SELECT topic, ord, count(*) AS links FROM (SELECT topic, i AS ord FROM e UNION ALL SELECT topic, j FROM e) GROUP BY ALL),
+        k AS (SELECT topic, ord, min(ord) OVER w AS class, count(*) OVER w AS size FROM (SELECT *, CASE WHEN len(tokens) > 0 THEN array_to_string(list_sort(tokens), ' ') ELSE '/' || ord END AS s FROM o) WINDOW w AS (PARTITION BY topic, s))
+        SELECT topic, ord, class, size, coalesce(links, 0) AS links FROM k LEFT JOIN n USING (topic, ord)""",
     "leader_clusters": f"{CLUSTERS} SELECT arrival AS page_id, topic, ord, leader, cluster_id FROM c",
     "cluster_rollup": f"""{CLUSTERS}, t AS (SELECT topic, cluster_id, string_agg(tier || ':' || n, ',' ORDER BY tier) AS tiers FROM (SELECT topic, cluster_id, tier, count(*) AS n FROM c GROUP BY ALL) GROUP BY ALL)
         SELECT topic, cluster_id, count(*) AS members, count(DISTINCT source_domain) AS source_count, count(DISTINCT source_domain) AS distinct_domains, strftime(min(published_at), '%Y-%m-%d %H:%M:%S') AS earliest,
@@ -294,3 +299,10 @@ ORACLE: dict[str, str] = {
     "first_order_per_customer": "SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1",
     "supplier_coverage": "SELECT o_orderpriority, count(DISTINCT l_suppkey) AS suppliers, count(*) AS lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1",
 }
+
+ORACLE |= queries_state.ORACLE
+ORACLE["feed_items"] = queries_state.FEED_ITEMS.format(
+    host=host("url"), public=public("trim(x.url)", False), strip=strip("x.title"), domain=domain("url"), pages=queries_state.FEED_PAGES, most=queries_state.FEED_MOST
+)
+ORACLE["fetch_slots"] = queries_state.FETCH_SLOTS.format(host=host("url"), path=part("url", 3))
+ORACLE["artifact_shards"] = queries_state.ARTIFACT_SHARDS.format(clusters=CLUSTERS, owner=last_labels(owner("source_domain"), V.COVERAGE_SUFFIXES))

@@ -188,7 +188,8 @@ def _tokened(spark, sf):
 
 
 def title_similarity_edges(spark, sf):
-    return cluster.similar_pairs(_tokened(spark, sf), V.THETA)
+    """Pairs of classes of pages with equal title tokens, by their first pages; `title_classes` has the members."""
+    return cluster.similar_pairs(cluster.representatives(cluster.token_classes(_tokened(spark, sf))), V.THETA)
 
 
 def _clusters(spark, sf):
@@ -210,6 +211,12 @@ def cluster_projection(spark, sf):
     return cluster.projected(_clusters(spark, sf)).select(F.col("arrival").alias("page_id"), "cluster_id", "mentions", "velocity")
 
 
+def title_classes(spark, sf):
+    """Pages in classes of equal title tokens, and how many other pages each resembles; the pairs themselves are those of `title_similarity_edges`."""
+    classes = cluster.token_classes(_tokened(spark, sf))
+    return cluster.links(classes, cluster.similar_pairs(cluster.representatives(classes), V.THETA)).select("topic", "ord", "class", "size", "links")
+
+
 def verbatim_overlap(spark, sf):
     d = _t(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
     return facts.verbatim(d, _t(spark, sf, "benchmark")).select(F.col("id").alias("doc_id"))
@@ -410,8 +417,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         strip_markup, fingerprint_ids, split_title, url_normalize, owner_domains, blocked_hosts, content_hash, html_text, paywall_flag, cjk_word_count, dedup_first_wins, duplicates_removed,
-        cycle_window_counts, metric_key_screen, topic_coverage, global_coverage, claims, title_similarity_edges, leader_clusters, cluster_rollup, cluster_projection, verbatim_overlap, fact_rows,
+        cycle_window_counts, metric_key_screen, topic_coverage, global_coverage, claims, title_similarity_edges, title_classes, leader_clusters, cluster_rollup, cluster_projection, verbatim_overlap, fact_rows,
         wire_guard, etl_documents, etl_bodies, etl_facts, etl_guard, etl_warnings, artifact_all, fetch_budget, new_urls, new_domains, global_merge_topk, robots_longest_prefix, catalog_topics, error_codes, store_upsert, store_lookup, store_by_hash, store_freshness, interaction_metrics, run_summary, store_index, rss_parse, artifact, hermetic_artifact,
         customers_without_orders, first_order_per_customer, supplier_coverage,
     )
 }
+
+from . import queries_state  # noqa: E402  reads this module's tables and helpers
+
+QUERIES |= queries_state.QUERIES

@@ -36,8 +36,12 @@ def ingested(sources: DataFrame, folder: str, now: Column) -> tuple[DataFrame, D
 
     A search feed without a query (the topic 'all') has no items and no error; JSON sources are read as feeds.
     """
-    rows = sources.withColumn("source", F.concat_ws("|", "topic", "domain", "file"))
-    rows = scanned(rows, folder)
+    return items_of(scanned(sources, folder), now)
+
+
+def items_of(rows: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
+    """Raw items and states of sources' files as they were read: topic, domain, label, tier, kind, feed_url, query, file, error, xml."""
+    rows = rows.withColumn("source", F.concat_ws("|", "topic", "domain", "file"))
     refused = fetch_error(F.col("kind"), F.col("feed_url"), F.col("domain"), F.col("query"))
     silent = (F.col("kind") == "google-news-rss") & F.col("query").isNull()
     rows = rows.withColumn("error", F.when(~silent, F.coalesce(refused, F.col("error")))).withColumns({"ok": F.col("error").isNull(), "xml": F.when(F.col("error").isNull() & ~silent, F.col("xml"))})
