@@ -16,6 +16,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--floor", type=int, default=20, help="distinct owners that a topic needs")
     p.add_argument("--no-network", action="store_true", help="the empty artifact")
     p.add_argument("--with-facts", action="store_true", help="read article bodies and mine facts")
+    p.add_argument("--store", help="folder of a document store that cycles share (with --with-facts)")
+    p.add_argument("--shards", help="folder for the artifact as ordered shards of JSON lines with a manifest, instead of one file")
     p.add_argument("--describe", action="store_true", help="the schemas of what a run publishes")
     return p
 
@@ -37,7 +39,8 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
     from pyspark.sql import functions as F
 
-    from .plans import cycle, etl, queries
+    from .operators import bucketed
+    from .plans import cycle, etl, queries, sink
     from .sources import catalog
 
     spark = SparkSession.builder.appName("lodestream").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -49,11 +52,16 @@ def main(argv: list[str] | None = None) -> int:
         if args.with_facts:
             pages = spark.read.parquet(f"{args.tables}/pages.parquet").select("url", "html")
             nothing = spark.createDataFrame([], "id string, extraction string, access_policy string, word_count long, lang string, content_hash string, body string")
-            found = etl.run(items.withColumn("feed_body", F.lit(None).cast("string")), nothing, pages)
+            items = items.withColumn("feed_body", F.lit(None).cast("string"))
+            found = etl.run_with_store(items, bucketed.BucketedStore(spark, args.store, etl.STORED), pages) if args.store else etl.run(items, nothing, pages)
         if args.describe:
             print(json.dumps(json.loads(cycle.describe(items, found)), indent=2))
             return 0
-        row = cycle.artifact(spark, items, items.groupBy("topic", "source").agg(F.lit(True).alias("ok")), now, args.floor, found).first()
+        sources = items.groupBy("topic", "source").agg(F.lit(True).alias("ok"))
+        if args.shards:
+            sink.write(sink.sections(items, sources, args.floor), args.shards)
+            return 0 if found is None else cycle.exit_code([r["message"] for r in found.warnings.filter("kind = 'A5'").limit(1).collect()])
+        row = cycle.artifact(spark, items, sources, now, args.floor, found).first()
         for s in cycle.summary(items).collect():
             print(f"{s['topic']}: {s['items']} items, {s['clusters']} clusters, {s['domains']} domains", file=sys.stderr)
     warnings = cycle.checked(row["artifact"]) + json.loads(row["artifact"])["warnings"]

@@ -64,6 +64,7 @@ def looked_up(items: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def fresh_enough(etag: Column, stored_etag: Column, fetched: Column, now: Column, max_age: Column) -> Column:
-    """Equal etags decide; else the age, if one is given; else being stored."""
+    """Equal etags (not empty) are fresh; else the age decides, if a bound is given; else being stored."""
     age = F.unix_millis(now) - F.unix_millis(fetched)
-    return F.when(fetched.isNull(), False).when(etag.isNotNull() & stored_etag.isNotNull(), etag == stored_etag).when(max_age.isNotNull(), age < max_age).otherwise(True)
+    same = F.coalesce((etag != "") & (etag == stored_etag), F.lit(False))
+    return F.when(fetched.isNull(), False).when(same, True).when(max_age.isNotNull(), age < max_age).otherwise(True)

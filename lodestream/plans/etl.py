@@ -15,6 +15,7 @@ from ..functions import ids, text
 from ..functions import values as V
 from ..functions.urls import host
 from ..operators import dedup, extract, facts
+from ..operators.bucketed import DocumentStore
 from .staging import staged
 
 SEARCH_HOST = "news.google.com"
@@ -114,3 +115,21 @@ def run(items: DataFrame, stored: DataFrame, pages: DataFrame, provided: DataFra
         warnings = warnings.unionByName(p)
     clean = rows.filter("violation is null").drop("violation", "verbatim", "provenance_count")
     return Etl(docs.filter("id is not null"), clean, rows, warnings)
+
+
+#: The columns of a document store that cycles share, beside id and content_hash.
+STORED = "url string, extraction string, access_policy string, word_count long, lang string"
+
+
+def run_with_store(items: DataFrame, kept: DocumentStore, pages: DataFrame, provided: DataFrame | None = None, budget: int = V.BUDGET) -> Etl:
+    """`run` against a store that outlives the cycle (its columns: STORED): its documents are looked up by the items' ids, and what this cycle made is put into it.
+
+    A document that failed is put, too, and is tried again in the next cycle. Only the buckets of the items' ids are read or written.
+    """
+    wanted = staged(items.select(ids.doc_id(F.col("url")).alias("id")).filter("id is not null").distinct(), "etl-wanted")
+    known = kept.by_id(wanted).join(kept.bodies(wanted).hint("merge"), "id", "left")
+    known = staged(known.select("id", "extraction", "access_policy", "word_count", "lang", "content_hash", "body"), "etl-known")
+    got = run(items, known, pages, provided, budget)
+    fresh = got.documents.filter("origin <> 'store'").withColumn("arrival", F.struct("topic", "cluster_id", "url"))
+    kept.put(fresh.select("id", "content_hash", "url", "extraction", "access_policy", "word_count", "lang", "body", "arrival"))
+    return got

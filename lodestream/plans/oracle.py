@@ -219,7 +219,8 @@ ORACLE: dict[str, str] = {
     "url_normalize": f"SELECT url, {public('trim(url)', False)} AS https_only, {public('trim(url)', True)} AS http_too, {path_key('url')} AS path_key, {domain('url')} AS domain FROM {PAGE_URLS}",
     "owner_domains": f"""SELECT h, {last_labels(owner('h'), V.COVERAGE_SUFFIXES)} AS owner_a, {last_labels("regexp_replace(lower(h), '^www[.]', '')", V.CORROBORATION_SUFFIXES)} AS owner_b
         FROM (SELECT DISTINCT {host('url')} AS h FROM {PAGE_URLS})""",
-    "blocked_hosts": f"SELECT h, {blocked('h')} AS blocked FROM {table(Q.HOSTS, 'h')}",
+    "blocked_hosts": f"""WITH c AS (SELECT (client_id * 2654435761) % 4294967296 AS ip FROM clients),
+        h AS (SELECT {host('url')} AS h FROM pages UNION SELECT (ip >> 24) || '.' || ((ip >> 16) & 255) || '.' || ((ip >> 8) & 255) || '.' || (ip & 255) FROM c UNION SELECT h FROM {table(Q.HOSTS, 'h')}) SELECT h, {blocked('h')} AS blocked FROM h""",
     "content_hash": "SELECT sha256(text) AS content_hash, min(doc_id) AS first_id, count(*) AS n FROM documents GROUP BY 1",
     "html_text": f"""WITH t AS MATERIALIZED (SELECT page_id, html, {html('html')} AS t FROM pages),
         b AS (SELECT *, list_filter(list_transform(string_split_regex(t, '\\n{{2,}}|{WS}{{4,}}'), lambda p: trim(p)), lambda p: length(p) > 80) AS p FROM t),
@@ -257,44 +258,47 @@ ORACLE: dict[str, str] = {
     "fetch_budget": f"""WITH d AS (SELECT lang AS topic, doc_id % 17 AS cluster_ord, doc_id AS member_ord FROM documents QUALIFY row_number() OVER (PARTITION BY lang, doc_id % 17, sha256(text) ORDER BY doc_id) = 1)
         SELECT *, row_number() OVER (PARTITION BY topic ORDER BY cluster_ord, member_ord) AS nth FROM d QUALIFY nth <= {V.BUDGET}""",
     "new_urls": f"""WITH f AS (SELECT {public('trim(url)', True)} AS url, page_id % 2 AS provider_ord, page_id AS ord FROM pages UNION ALL SELECT {public('trim(url)', True)}, 5, page_id FROM pages)
-        SELECT url, provider_ord, ord, 9999::BIGINT AS feed_rank FROM f WHERE url <> '' AND url NOT IN (SELECT {public('trim(url)', True)} FROM pages WHERE page_id % 3 = 0) QUALIFY row_number() OVER (PARTITION BY url ORDER BY provider_ord, ord) = 1""",
+        SELECT url, provider_ord, ord, 9999::BIGINT AS feed_rank FROM f WHERE url <> '' AND url NOT IN (SELECT {public('trim(url)', True)} FROM pages WHERE starts_with({part('url', 3)}, '/de/')) QUALIFY row_number() OVER (PARTITION BY url ORDER BY provider_ord, ord) = 1""",
     "new_domains": f"""WITH d AS (SELECT DISTINCT {domain('url')} AS domain FROM pages UNION ALL SELECT * FROM (VALUES ('arxiv.org'), ('openai.com'), ('infoq.com'), ('threatpost.com'), ('www.arxiv.org')) t(domain))
         SELECT domain, CASE {' '.join(f"WHEN domain IN {names(d)} THEN '{t}'" for t, _, d in V.KNOWN_DOMAINS)} ELSE 'news' END AS tier, CAST(CASE {' '.join(f"WHEN domain IN {names(d)} THEN {c}" for _, c, d in V.KNOWN_DOMAINS)} ELSE 0.6 END AS DOUBLE) AS credibility
-        FROM d WHERE domain NOT IN (SELECT {domain('url')} FROM pages WHERE page_id % 4 = 0)""",
+        FROM d WHERE domain NOT IN (SELECT {domain('url')} FROM pages WHERE starts_with({part('url', 3)}, '/es/'))""",
     "global_merge_topk": """WITH d AS (SELECT sha256(text) AS id, lang AS topic, length(text) % 97 AS mentions, list_position(['de', 'en', 'es', 'fr'], lang) AS topic_ord, doc_id AS item_ord FROM documents),
         f AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY id ORDER BY mentions DESC, topic_ord, item_ord) = 1) SELECT id, mentions, topic, item_ord FROM f ORDER BY mentions DESC, topic_ord, item_ord LIMIT 100""",
     "robots_longest_prefix": f"""WITH r AS (SELECT * FROM (VALUES ('thther.example.org', 'disallow', '/en/'), ('thther.example.org', 'allow', '/en/7'), ('ththble.example.net', 'disallow', '/es/')) t(host, kind, prefix)),
         u AS (SELECT page_id, {host('url')} AS host, {part('url', 3)} AS path FROM pages)
         SELECT page_id, u.host, coalesce(arg_max(kind = 'allow', length(prefix) * 2 + CAST(kind = 'disallow' AS INT)), true) AS allowed FROM u LEFT JOIN r ON r.host = u.host AND starts_with(u.path, r.prefix) GROUP BY page_id, u.host""",
-    "catalog_topics": f"""WITH c AS (SELECT * FROM {table(Q.CATALOG, 'name, owner, category, tier, source_type, url, type, verified, checked')}), t AS (SELECT * FROM {table([(x[0], x[1]) for x in V.TOPICS], 'topic, label')}),
+    "catalog_topics": f"""WITH c AS (SELECT * FROM {table(Q.CATALOG, 'name, owner, category, tier, source_type, url, type, verified, checked')} UNION ALL SELECT name, 'o', {array(tuple(V.CATEGORY_TOPICS) + ('Other',))}[vendor_id % {len(V.CATEGORY_TOPICS) + 1} + 1], vendor_id % 3 + 1,
+          ['blog', 'press', 'preprint', 'press', 'blog'][vendor_id % 5 + 1], 'https://www.v' || vendor_id || '.example.com/feed', ['RSS', 'Atom', 'JSON', 'RSS'][vendor_id % 4 + 1], vendor_id % 7 <> 0, NULL FROM vendors WHERE vendor_id IS NOT NULL), t AS (SELECT * FROM {table([(x[0], x[1]) for x in V.TOPICS], 'topic, label')}),
         s AS (SELECT coalesce(nullif({domain('url')}, ''), substring(url, 1, 80)) AS domain, name AS label, CASE WHEN source_type = 'preprint' THEN 'paper' WHEN tier = 1 THEN 'primary' WHEN category = 'Security/Vulnerabilities' THEN 'security-news'
             WHEN tier = 2 AND source_type <> 'press' THEN 'technical-news' ELSE 'news' END AS tier, 'rss' AS kind, CASE tier WHEN 1 THEN 0.9 WHEN 2 THEN 0.75 ELSE 0.65 END::DOUBLE AS credibility,
             CASE category {' '.join(f"WHEN {q(k)} THEN {array(v)}" for k, v in V.CATEGORY_TOPICS.items())} ELSE ['platform'] END AS topics
           FROM c WHERE coalesce(verified, true) AND url LIKE 'https://%' AND type <> 'JSON')
         SELECT topic, domain, label, tier, kind, credibility FROM (SELECT unnest(topics) AS topic, * EXCLUDE (topics) FROM s) WHERE topic <> 'all'
         UNION ALL SELECT topic, 'news.google.com', 'News search: ' || label, 'news', 'google-news-rss', 0.75::DOUBLE FROM t WHERE topic <> 'all'""",
-    # what the two literal feeds say, written by hand: one entry is too old, one date unreadable
-    "rss_parse": """SELECT topic, title, source_name, source_domain, url, tier, published_at, summary_hint, feed_rank::INT AS feed_rank, feed_body, source FROM (VALUES
+    # what the two feeds by hand say: one entry is too old, one date unreadable; and the pages' feeds
+    "rss_parse": f"""SELECT topic, title, source_name, source_domain, url, tier, published_at, summary_hint, feed_rank::INT AS feed_rank, feed_body, source FROM (VALUES
         ('ai', 'First story', 'Paper', 'a.example.com', 'https://a.example.com/1', 'news', '2024-03-01 10:00:00', 'Short', 0, trim(repeat('Body words here. ', 20)), 'rss1'),
         ('ai', 'Second', 'Wire', 'a.example.com', 'https://a.example.com/2', 'news', '2024-03-01 12:34:56', 'Second', 1, NULL, 'rss1'),
         ('ai', 'Atom one', 'News source', 'b.example.com', 'https://b.example.com/1', 'primary', '2024-03-01 09:00:00', 'Sum', 0, NULL, 'atom1'))
-        t(topic, title, source_name, source_domain, url, tier, published_at, summary_hint, feed_rank, feed_body, source)""",
+        t(topic, title, source_name, source_domain, url, tier, published_at, summary_hint, feed_rank, feed_body, source)
+        UNION ALL SELECT 'ai', {strip('t')}, 'News source', coalesce(nullif({domain('u')}, ''), d), u, 'news', '2024-03-01 09:00:00', {hint('t')}, 0, CASE WHEN length({strip('t')}) >= {V.BODY_CHARS} THEN {strip('t')} END, 'page' || page_id
+        FROM (SELECT page_id, replace(regexp_extract(html, '<title>([^<]*)</title>', 1), ' - ', ' ') AS t, {public('trim(url)', False)} AS u, {domain('url')} AS d FROM pages) WHERE u <> '' AND {strip('t')} <> ''""",
     "hermetic_artifact": f"""SELECT '{{"artifact": "aggregation", "contractRevision": 4, "cycle": {{"id": "2024-03-01T12:00:00.000Z", "windowEnd": "2024-03-01T18:00:00.000Z", "windowStart": "2024-03-01T12:00:00.000Z"}}, '
         || '"data": {{"clustersByTopic": {{}}, "coverageByTopic": {{}}, "itemsByTopic": {{}}}}, "generatedAt": "2024-03-01T12:34:56.000Z", "runId": "' || substring(sha256('lodestream:{Q.NOW}'), 1, 32)
         || '", "schemaVersion": "lodestream-content/v1", "topics": [' || (SELECT string_agg('{{"id": "' || id || '", "label": "' || label || '"}}', ', ' ORDER BY i) FROM {table([(x[0], x[1], i) for i, x in enumerate(V.TOPICS)], 'id, label, i')})
         || '], "upstreamRunId": null, "warnings": ["no network: empty artifact"]}}' AS artifact""",
-    "error_codes": f"SELECT message, CASE WHEN regexp_matches(message, '(?i)fetch|ECONNREFUSED|ENOTFOUND|timeout|ETIMEDOUT') THEN 'NETWORK_ERROR' WHEN regexp_matches(message, '(?i)JSON|parse|Unexpected token') THEN 'PARSE_ERROR' WHEN regexp_matches(message, 'schema|Schema') THEN 'SCHEMA_ERROR' ELSE 'UNKNOWN_ERROR' END AS code FROM {table(Q.MESSAGES, 'message')}",
+    "error_codes": f"""WITH m AS (SELECT text AS message FROM conversations UNION SELECT 'parse of ' || raw FROM stamps UNION SELECT message FROM {table(Q.MESSAGES, 'message')}) SELECT md5(message) AS message_md5, CASE WHEN regexp_matches(message, '(?i)fetch|ECONNREFUSED|ENOTFOUND|timeout|ETIMEDOUT') THEN 'NETWORK_ERROR' WHEN regexp_matches(message, '(?i)JSON|parse|Unexpected token') THEN 'PARSE_ERROR' WHEN regexp_matches(message, 'schema|Schema') THEN 'SCHEMA_ERROR' ELSE 'UNKNOWN_ERROR' END AS code FROM m WHERE message IS NOT NULL""",
     "store_upsert": """WITH d AS (SELECT substring(sha256(source || '/' || doc_id), 1, 40) AS id, sha256(text) AS content_hash, n_chars AS words, doc_id AS arrival FROM documents)
         SELECT id, content_hash, words, arrival FROM d WHERE arrival % 2 = 0 AND arrival % 3 <> 0 AND arrival % 5 <> 0 UNION ALL
         SELECT id, content_hash, words + 1, arrival FROM d WHERE (arrival % 2 = 1 OR arrival % 3 = 0) AND arrival % 5 <> 0 UNION ALL SELECT id, content_hash, words + 2, arrival + 1000000 FROM d WHERE arrival % 5 = 0""",
-    "store_lookup": "SELECT page_id, page_id % 3 <> 0 AND page_id % 5 <> 0 AS hit FROM pages",
+    "store_lookup": "SELECT change_id, c.client_id IS NOT NULL AND c.segment IS NOT NULL AS hit FROM client_changes h LEFT JOIN clients c ON c.client_id = h.client_id",
     "store_by_hash": """WITH d AS (SELECT doc_id, sha256(text) AS h FROM documents), i AS (SELECT h, max(doc_id) AS doc_id FROM d GROUP BY h)
-        SELECT substring(sha256(CAST(doc_id AS VARCHAR)), 1, 40) AS id, doc_id FROM i WHERE doc_id % 2 = 0""",
+        SELECT substring(sha256(CAST(doc_id AS VARCHAR)), 1, 40) AS id, doc_id FROM i""",
     "store_freshness": f"""WITH e AS (SELECT event_id, ts, CASE WHEN event_id % 3 <> 0 THEN 'e' || event_id % 7 END AS etag, CASE WHEN event_id % 5 <> 0 THEN 'e' || event_id % 4 END AS known FROM events)
-        SELECT event_id, CASE WHEN event_id % 11 = 0 THEN false WHEN etag IS NOT NULL AND known IS NOT NULL THEN etag = known WHEN event_id % 2 = 1 THEN epoch_ms(TIMESTAMP '2024-03-01 12:34:56') - epoch_ms(ts) < 432000000 ELSE true END AS fresh FROM e""",
+        SELECT event_id, CASE WHEN event_id % 11 = 0 THEN false WHEN coalesce(etag = known, false) THEN true WHEN event_id % 2 = 1 THEN epoch_ms(TIMESTAMP '2024-03-01 12:34:56') - epoch_ms(ts) < 432000000 ELSE true END AS fresh FROM e""",
     "interaction_metrics": f"""SELECT event_id, (user_id + 3)::DOUBLE AS shares, CASE WHEN regexp_replace(lower(event_type), '[-_\\s]', '', 'g') IN {names(V.METRICS['comments'])} THEN (user_id + 1)::DOUBLE END AS comments, (user_id + 2)::DOUBLE AS reactions FROM events""",
     "run_summary": f"{CLUSTERS} SELECT topic, count(*) AS items, count(DISTINCT cluster_id) AS clusters, count(DISTINCT source_domain) AS domains FROM c GROUP BY topic",
-    "store_index": """WITH d AS (SELECT sha256(text) AS content_hash, doc_id FROM documents) SELECT content_hash, CAST(min(doc_id) AS VARCHAR) AS id FROM d WHERE doc_id % 5 <> 0 AND content_hash NOT IN (SELECT content_hash FROM d WHERE doc_id % 5 = 0) GROUP BY 1""",
+    "store_index": """WITH d AS (SELECT sha256(text) AS content_hash, doc_id, lang FROM documents) SELECT content_hash, CAST(min(doc_id) AS VARCHAR) AS id FROM d WHERE content_hash NOT IN (SELECT content_hash FROM d WHERE lang = 'en') GROUP BY 1""",
     "customers_without_orders": "SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
     "first_order_per_customer": "SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1",
     "supplier_coverage": "SELECT o_orderpriority, count(DISTINCT l_suppkey) AS suppliers, count(*) AS lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1",

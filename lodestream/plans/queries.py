@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, text, urls
 from ..functions import values as V
-from ..operators import cluster, dedup, extract, facts, metrics, store
+from ..operators import cluster, dedup, extract, facts, metrics, ranges, store
 from ..sources import catalog, feeds, robots
 from ..streaming import cycles
-from . import cycle, etl
+from . import cycle, etl, staging
 
 FLOOR = 20
 NOW = "2024-03-01T12:34:56Z"
@@ -117,7 +117,10 @@ def owner_domains(spark, sf):
 
 
 def blocked_hosts(spark, sf):
-    return _literal(spark, HOSTS, "h string").select("h", urls.blocked_host(F.col("h")).alias("blocked"))
+    """Hosts of all pages, and an address for each client."""
+    ip = ranges.dotted(F.expr("pmod(client_id * 2654435761, 4294967296)"))
+    hosts = _t(spark, sf, "pages").select(urls.host(F.col("url")).alias("h")).union(_t(spark, sf, "clients").select(ip)).union(_literal(spark, HOSTS, "h string"))
+    return hosts.distinct().select("h", urls.blocked_host(F.col("h")).alias("blocked"))
 
 
 def content_hash(spark, sf):
@@ -295,15 +298,15 @@ def fetch_budget(spark, sf):
 def new_urls(spark, sf):
     p = _t(spark, sf, "pages")
     found = p.select("url", (F.col("page_id") % 2).alias("provider_ord"), F.col("page_id").alias("ord")).union(p.select("url", F.lit(5).cast("long"), F.col("page_id")))
-    seen = p.filter("page_id % 3 = 0").select(urls.normalize_public_url(F.col("url"), True).alias("url"))
+    seen = p.filter(urls.part(F.col("url"), 3).startswith("/de/")).select(urls.normalize_public_url(F.col("url"), True).alias("url"))  # the German part is known
     return feeds.discovered(found, seen).select("url", F.col("provider_ord").cast("long").alias("provider_ord"), "ord", F.col("feed_rank").cast("long").alias("feed_rank"))
 
 
 def new_domains(spark, sf):
-    p = _t(spark, sf, "pages").select(urls.source_domain(F.col("url")).alias("domain"), "page_id")
+    p = _t(spark, sf, "pages").select(urls.source_domain(F.col("url")).alias("domain"), urls.part(F.col("url"), 3).alias("path"))
     tier, cred = urls.domain_class(F.col("domain"))
     extra = _literal(spark, ["arxiv.org", "openai.com", "infoq.com", "threatpost.com", "www.arxiv.org"], "domain string")
-    return p.select("domain").distinct().union(extra).join(p.filter("page_id % 4 = 0").select("domain").distinct(), "domain", "left_anti").select("domain", tier.alias("tier"), cred.alias("credibility"))
+    return p.select("domain").distinct().union(extra).join(p.filter(F.col("path").startswith("/es/")).select("domain").distinct(), "domain", "left_anti").select("domain", tier.alias("tier"), cred.alias("credibility"))
 
 
 def global_merge_topk(spark, sf):
@@ -327,12 +330,22 @@ CATALOG = (
 
 
 def catalog_topics(spark, sf):
-    found = catalog.with_meta_feeds(catalog.sources(_literal(spark, CATALOG, catalog.SCHEMA)), catalog.topics(spark))
+    """Vendors as sources of a catalogue, beside entries of every kind written by hand."""
+    n = F.col("vendor_id")
+    pick = lambda values: F.get(text.strings(values), (n % len(values)).cast("int"))
+    own = _t(spark, sf, "vendors").filter("vendor_id is not null").select(
+        F.col("name"), F.lit("o").alias("owner"), pick(tuple(V.CATEGORY_TOPICS) + ("Other",)).alias("category"), (n % 3 + 1).cast("int").alias("tier"), pick(("blog", "press", "preprint", "press", "blog")).alias("sourceType"),
+        F.concat(F.lit("https://www.v"), n.cast("string"), F.lit(".example.com/feed")).alias("feedUrl"), pick(("RSS", "Atom", "JSON", "RSS")).alias("type"), (n % 7 != 0).alias("verified"), F.lit(None).cast("string").alias("lastChecked"),
+    )
+    found = catalog.with_meta_feeds(catalog.sources(_literal(spark, CATALOG, catalog.SCHEMA).unionByName(own)), catalog.topics(spark))
     return catalog.by_topic(found).select("topic", "domain", "label", "tier", "kind", "credibility")
 
 
 def error_codes(spark, sf):
-    return _literal(spark, MESSAGES, "message string").select("message", cycle.error_code(F.col("message")).alias("code"))
+    """Whatever the conversations say, and each raw time, as messages of errors."""
+    said = _t(spark, sf, "conversations").select(F.col("text").alias("message")).union(_t(spark, sf, "stamps").select(F.concat(F.lit("parse of "), "raw"))).union(_literal(spark, MESSAGES, "message string"))
+    said = said.filter("message is not null").distinct()
+    return said.select(F.md5("message").alias("message_md5"), cycle.error_code(F.col("message")).alias("code"))
 
 
 def store_upsert(spark, sf):
@@ -345,16 +358,17 @@ def store_upsert(spark, sf):
 
 
 def store_lookup(spark, sf):
-    """Pages as items against a store of some of them, by id; and every document's text by its hash, through the index, as found or not."""
-    p = _t(spark, sf, "pages").select(ids.doc_id(F.col("url")).alias("id"), "page_id")
-    stored = p.filter("page_id % 3 <> 0").select("id", F.expr("if(page_id % 5 = 0, 'failed', 'full')").alias("extraction"))
-    return store.looked_up(p, stored).select("page_id", "hit")
+    """Changes of clients as items against the clients as a store, by id; a client without a segment counts as one whose extraction failed."""
+    ident = ids.doc_id(F.concat(F.lit("client/"), F.col("client_id").cast("string"))).alias("id")
+    stored = _t(spark, sf, "clients").select(ident, F.when(F.col("segment").isNull(), "failed").otherwise("full").alias("extraction"))
+    return store.looked_up(_t(spark, sf, "client_changes").select(ident, "change_id"), stored).select("change_id", "hit")
 
 
 def store_by_hash(spark, sf):
+    """All documents in a store whose index knows the last one of each text; every text is looked up."""
     d = _t(spark, sf, "documents").select(ids.doc_id(F.col("doc_id").cast("string")).alias("id"), ids.content_hash(F.col("text")).alias("content_hash"), "doc_id")
     index = store.current_index(d.withColumnRenamed("doc_id", "line"))
-    return store.by_hash(d, index, d.filter("doc_id % 2 = 0")).select("id", "doc_id")
+    return store.by_hash(d, index, d).select("id", "doc_id")
 
 
 def store_freshness(spark, sf):
@@ -376,15 +390,27 @@ def run_summary(spark, sf):
 
 
 def store_index(spark, sf):
-    d = _t(spark, sf, "documents").select(ids.content_hash(F.col("text")).alias("content_hash"), F.col("doc_id").cast("string").alias("id"), F.col("doc_id").alias("arrival"))
-    old = store.current_index(d.filter("arrival % 5 = 0").withColumnRenamed("arrival", "line"))
-    return store.index_additions(old, d.filter("arrival % 5 <> 0"))
+    """What all documents add to an index that knows the English ones."""
+    d = _t(spark, sf, "documents").select(ids.content_hash(F.col("text")).alias("content_hash"), F.col("doc_id").cast("string").alias("id"), F.col("doc_id").alias("arrival"), "lang")
+    old = store.current_index(d.filter("lang = 'en'").withColumnRenamed("arrival", "line"))
+    return store.index_additions(old, d)
+
+
+def _marked(c):
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        c = F.replace(c, F.lit(sign), F.lit(name))
+    return c
 
 
 def rss_parse(spark, sf):
+    """A feed of one entry for each page, and feeds written by hand with old, undated and broken entries."""
+    p = _t(spark, sf, "pages").select("page_id", "url", F.replace(F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.lit(" - "), F.lit(" ")).alias("t"), urls.source_domain(F.col("url")).alias("domain"))
+    entry = F.concat(F.lit("<feed><entry><title>"), _marked(F.col("t")), F.lit('</title><link href="'), _marked(F.col("url")), F.lit('"/><updated>2024-03-01T09:00:00Z</updated><summary>'), _marked(F.col("t")), F.lit("</summary></entry></feed>"))
+    p = staging.staged(p.select(F.concat(F.lit("page"), F.col("page_id").cast("string")).alias("source"), entry.alias("xml"), F.lit("ai").alias("topic"), F.lit(None).cast("string").alias("label"), "domain", F.lit("news").alias("tier")), "page-feeds")
     f = _literal(spark, [("rss1", RSS), ("atom1", ATOM), ("bad", "<html/>")], "source string, xml string")
     src = _literal(spark, [("rss1", "ai", "L", "a.example.com", "news"), ("atom1", "ai", "M", "b.example.com", "primary")], "source string, topic string, label string, domain string, tier string")
-    return feeds.raw_items(feeds.entries(f), src, F.lit(NOW).cast("timestamp")).withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
+    found = staging.staged(feeds.entries(f.unionByName(p.select("source", "xml"))), "entries")
+    return feeds.raw_items(found, src.unionByName(p.drop("xml")), F.lit(NOW).cast("timestamp")).withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 def artifact(spark, sf):

@@ -83,6 +83,22 @@ def test_a_hot_id_in_a_put(spark, tmp_path):
     assert s.documents().count() == 20_000 and s.by_id(spark.createDataFrame([(doc(1),)], "id string")).first()["title"] == "29997"
 
 
+def test_a_second_cycle_reads_what_the_first_stored(spark, sf, tmp_path):
+    from lodestream.plans import etl, queries
+
+    items, _, pages = queries.etl_inputs(spark, sf)
+    kept = bucketed.BucketedStore(spark, str(tmp_path / "kept"), etl.STORED, digits=1)
+    first = {(r["cluster_id"], r["url"]): r for r in etl.run_with_store(items, kept, pages).documents.collect()}
+    good = {r["id"] for r in first.values() if r["extraction"] != "failed"}
+    assert {r["origin"] for r in first.values()} >= {"feed", "hint", "fetch"} and {r["id"] for r in kept.documents().collect()} == {r["id"] for r in first.values()}
+    second = {(r["cluster_id"], r["url"]): r for r in etl.run_with_store(items, kept, pages).documents.collect()}
+    assert {r["id"] for r in second.values() if r["origin"] == "store"} == good
+    for key, r in second.items():
+        if r["origin"] == "store":
+            assert (r["body"], r["content_hash"], r["word_count"]) == (first[key]["body"], first[key]["content_hash"], first[key]["word_count"])
+    assert {r["generation"] for r in kept.documents().collect()} == {1, 2} or good == {r["id"] for r in first.values()}
+
+
 # --- the story graph
 
 
