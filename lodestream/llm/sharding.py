@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .base import partitions, staged
+from .base import hot_join, partitions, staged
 
 #: Row numbers inside a shard are dealt in so many strips, by two digits of a hash of id and text, so that no shard is one task.
 STRIPS = 256
