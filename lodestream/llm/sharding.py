@@ -90,13 +90,13 @@ def shard_by_size(docs: DataFrame, n_shards: int = 40, *, id_col: str = "doc_id"
         ),
         "shard-rows",
     )
-    groups = rows.groupBy("k").agg(F.sum("size").alias("load"))
+    groups = rows.groupBy("k").agg(F.sum("size").alias("load"), F.count("*").alias("n"))
     ranked = staged(
         groups.repartitionByRange(partitions(spark), F.desc("load"), "k")
         .sortWithinPartitions(F.desc("load"), "k")
-        .select("k", "load", F.monotonically_increasing_id().alias("at")),
+        .select("k", "load", "n", F.monotonically_increasing_id().alias("at")),
         "shard-groups",
-    ).select("k", "load", F.shiftright("at", _PER_PART).alias("part"), F.col("at").bitwiseAND(2**_PER_PART - 1).alias("nth"))
+    ).select("k", "load", "n", F.shiftright("at", _PER_PART).alias("part"), F.col("at").bitwiseAND(2**_PER_PART - 1).alias("nth"))
     before, total = [], 0
     for part, n in sorted((r[0], r[1]) for r in ranked.groupBy("part").count().collect()):  # one row a partition
         before.append((part, total))
@@ -106,15 +106,14 @@ def shard_by_size(docs: DataFrame, n_shards: int = 40, *, id_col: str = "doc_id"
     before_df = spark.createDataFrame(before, "part long, before long")
     kinds = {"load": pa.int64(), "first": pa.int64(), "ends": pa.list_(pa.int64()), "shards": pa.list_(pa.int32())}
     plan_df = spark.createDataFrame(pa.table({c: pa.array([run[i] for run in plan], kind) for i, (c, kind) in enumerate(kinds.items())}))
-    placed = (
-        ranked.join(before_df, "part")
-        .join(plan_df, "load")
-        .withColumn("r", F.col("before") + F.col("nth") - F.col("first"))
-        .select("k", F.expr("shards[size(filter(ends, e -> e <= r))]").alias("shard"))
-    )
-    dealt = staged(
-        rows.join(placed, "k").withColumn("strip", F.conv(F.substring(F.sha2(F.concat_ws(":", "doc_id", F.lower(F.hex("k"))), 256), 1, 2), 16, 10).cast("int")), "shard-dealt"
-    )
+    held = ranked.groupBy("load").count().join(plan_df.hint("merge"), "load").select("load", F.struct("first", "ends", "shards").alias("run"), F.col("count").alias("n"))
+    # a size that very many texts have, and a text that very many rows have, are in many tasks
+    sized = hot_join(ranked.withColumnRenamed("n", "copies"), held, "load", "run", total, F.xxhash64("k")).join(F.broadcast(before_df), "part")
+    placed = sized.withColumn("r", F.col("before") + F.col("nth") - F.col("run.first")).select("k", F.expr("run.shards[size(filter(run.ends, e -> e <= r))]").alias("shard"), F.col("copies").alias("n"))
+    placed = staged(placed, "shard-placed")
+    strip = F.conv(F.substring(F.sha2(F.concat_ws(":", "doc_id", F.lower(F.hex("k"))), 256), 1, 2), 16, 10).cast("int")
+    rows = hot_join(rows, placed, "k", "shard", placed.agg(F.sum("n")).first()[0] or 0, F.xxhash64("doc_id").cast("string").cast("binary"))
+    dealt = staged(rows.withColumn("strip", strip), "shard-dealt")
     strips = dealt.groupBy("shard", "strip").count()  # n_shards * STRIPS rows at most
     strips = strips.withColumn(
         "skip", F.sum("count").over(Window.partitionBy("shard").orderBy("strip").rowsBetween(Window.unboundedPreceding, 0)) - F.col("count")
