@@ -96,10 +96,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: in
     )
     held = classes.select("rep", F.explode("keys").alias("key"))
     full = held.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-    members = staged(held.join(full, "key"), "near-members")
+    # a band's value that very many sets have is in many tasks
+    total = bands * classes.count()
+    members = staged(hot_join(held, full.withColumn("n", F.col("m")), "key", "m", total, F.xxhash64("rep")).filter("m is not null"), "near-members")
     weight = members.groupBy("rep").agg(F.sum("m").alias("w"))
-    centre = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("w", -F.col("rep"))).alias("c")).select("key", (-F.col("c")["col2"]).alias("a"))
-    pairs = staged(members.join(centre, "key").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "near-pairs")
+    centre = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("w", -F.col("rep"))).alias("c"), F.count("*").alias("n")).select("key", (-F.col("c")["col2"]).alias("a"), "n")
+    pairs = staged(hot_join(members, centre, "key", "a", total, F.xxhash64("rep")).filter("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "near-pairs")
 
     need = weight.select(F.col("rep").alias("doc_id"))
     sets = staged(docs.join(need.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets(k), "id long, set array<long>"), "near-sets")
