@@ -35,7 +35,7 @@ RUN, FILE = 1 << 18, 1 << 27
 #: Characters that are encoded at once, whole texts.
 TEXT = 1 << 20
 #: Distinct stretches of text whose ids a worker keeps.
-CACHE = 400_000
+CACHE = 700_000
 _HEAD = struct.Struct("<IHBH")
 _FOOT = struct.Struct("<QQQ")
 
