@@ -130,6 +130,6 @@ def run_with_store(items: DataFrame, kept: DocumentStore, pages: DataFrame, prov
     known = kept.by_id(wanted).join(kept.bodies(wanted).hint("merge"), "id", "left")
     known = staged(known.select("id", "extraction", "access_policy", "word_count", "lang", "content_hash", "body"), "etl-known")
     got = run(items, known, pages, provided, budget)
-    fresh = got.documents.filter("origin <> 'store'").withColumn("arrival", F.struct("topic", "cluster_id", "url"))
+    fresh = got.documents.filter("origin <> 'store'").withColumn("arrival", F.struct(F.col("extraction") != "failed", "topic", "cluster_id", "url"))  # of equal ids one that failed comes first
     kept.put(fresh.select("id", "content_hash", "url", "extraction", "access_policy", "word_count", "lang", "body", "arrival"))
     return got
