@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 from .base import hot_join, partitions, small_batches, staged
 
 #: Bytes of text of a block, and of the pieces in which it is read. Longer texts are cut where a piece of the text ends.
-BLOCK, PIECE = 32 << 20, 1 << 18
+BLOCK, PIECE = 16 << 20, 1 << 18
 #: Bits of a place within its block, and of a block within its task.
 PLACES, BLOCKS = 28, 13
 #: The language of rows without one.
@@ -186,7 +186,7 @@ def _dealt(blocks: DataFrame, named: DataFrame) -> DataFrame:
     nothing = lambda kind, name: F.lit(None).cast(kind).alias(name)
     block = F.shiftright("place", PLACES).alias("block")
     both = named.select(block, "place", "id", nothing("binary", "seq")).unionByName(blocks.select(block, nothing("long", "place"), nothing("long", "id"), "seq"))
-    return both.repartition(partitions(blocks.sparkSession), "block").sortWithinPartitions("block", F.col("place").asc_nulls_last())
+    return both.repartition(2 * partitions(blocks.sparkSession), "block").sortWithinPartitions("block", F.col("place").asc_nulls_last())
 
 
 def _with(rows: DataFrame, parents: DataFrame, side: str) -> DataFrame:
