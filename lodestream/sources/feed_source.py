@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, StringStartsWith
 
+from ..functions import values as V
 from ..plans.staging import staged
 from . import feeds, landed
 
@@ -156,7 +157,18 @@ def read(spark: SparkSession, strategy: Strategy) -> DataFrame:
     return rows.select(*names)
 
 
-def ingested(sources: DataFrame, strategies: dict[str, Strategy], now: Column) -> tuple[DataFrame, DataFrame]:
+def searched(spark: SparkSession, providers: list[Strategy], now: Column) -> DataFrame:
+    """Search results (see `landed.search_results`) of all providers, in their order; a provider's rows are its feeds by topic (domain: the topic). A failed feed has none."""
+    whole = None
+    for i, p in enumerate(providers):
+        part = read(spark, p).select(F.col("domain").alias("topic"), F.lit(i).alias("provider_ord"), "file", "ok", "xml")
+        whole = part if whole is None else whole.unionByName(part)
+    if whole is None:
+        whole = spark.createDataFrame([], "topic string, provider_ord int, file string, ok boolean, xml string")
+    return landed.search_results(staged(whole, "search-feeds"), now)
+
+
+def ingested(sources: DataFrame, strategies: dict[str, Strategy], now: Column, max_age_hours: int = V.MAX_AGE_HOURS) -> tuple[DataFrame, DataFrame]:
     """Raw items of all sources and their states: each kind's sources (see `landed.ingested`, without file) are read by its strategy.
 
     A source without any file is an error, and so is one of a kind without a strategy. Each file of a source is a feed with ranks of its own.
@@ -172,4 +184,4 @@ def ingested(sources: DataFrame, strategies: dict[str, Strategy], now: Column) -
     other = other.withColumns({c: F.lit(None).cast(k) for c, k in none.items()})
     rows = other if rows is None else rows.unionByName(other)
     error = F.when(~F.col("kind").isin(*sorted(strategies)), "unknown strategy").when(F.col("_ok").isNull(), "file not found").otherwise(F.col("_error"))
-    return landed.items_of(staged(rows.withColumn("error", error).drop("_ok", "_error"), "feed-files"), now)  # a file is read once
+    return landed.items_of(staged(rows.withColumn("error", error).drop("_ok", "_error"), "feed-files"), now, max_age_hours)  # a file is read once

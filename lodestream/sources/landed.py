@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import values as V
 from ..functions.text import strip_markup
 from ..functions.urls import host, host_allowed, normalize_public_url, source_domain
 from . import feeds
@@ -39,19 +40,19 @@ def ingested(sources: DataFrame, folder: str, now: Column) -> tuple[DataFrame, D
     return items_of(scanned(sources, folder), now)
 
 
-def items_of(rows: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
+def items_of(rows: DataFrame, now: Column, max_age_hours: int = V.MAX_AGE_HOURS) -> tuple[DataFrame, DataFrame]:
     """Raw items and states of sources' files as they were read: topic, domain, label, tier, kind, feed_url, query, file, error, xml."""
     rows = rows.withColumn("source", F.concat_ws("|", "topic", "domain", "file"))
     refused = fetch_error(F.col("kind"), F.col("feed_url"), F.col("domain"), F.col("query"))
     silent = (F.col("kind") == "google-news-rss") & F.col("query").isNull()
     rows = rows.withColumn("error", F.when(~silent, F.coalesce(refused, F.col("error")))).withColumns({"ok": F.col("error").isNull(), "xml": F.when(F.col("error").isNull() & ~silent, F.col("xml"))})
-    items = feeds.raw_items(feeds.entries(rows.filter("xml is not null").select("source", "xml")), rows.select("source", "topic", "label", "domain", "tier"), now)
+    items = feeds.raw_items(feeds.entries(rows.filter("xml is not null").select("source", "xml")), rows.select("source", "topic", "label", "domain", "tier"), now, max_age_hours)
     return items, rows.select("topic", "domain", "kind", "ok", "error")
 
 
 def search_results(landed: DataFrame, now: Column) -> DataFrame:
-    """Search results (topic, url, title, domain, published_at, source_label, provider_ord, ord) of landed search feeds (topic, provider_ord, ok, xml); a failed one has none."""
-    rows = landed.filter("ok and xml is not null").withColumn("source", F.concat_ws("|", "topic", "provider_ord"))
+    """Search results (topic, url, title, domain, published_at, source_label, provider_ord, ord) of landed search feeds (topic, provider_ord, ok, xml, perhaps file); a failed one has none."""
+    rows = landed.filter("ok and xml is not null").withColumn("source", F.concat_ws("|", "topic", "provider_ord", *(["file"] if "file" in landed.columns else [])))
     found = feeds.entries(rows.select("source", "xml")).join(rows.select("source", "topic", "provider_ord"), "source")
     url = normalize_public_url(F.col("url"), allow_http=True)
     return found.select(

@@ -112,6 +112,39 @@ def test_a_users_reader_is_a_strategy(spark):
         feed_source.read(spark, feed_source.Strategy("one_feed", {"xml": "x", "whole": "no"}))
 
 
+def test_search_providers_in_their_order(spark, tmp_path):
+    feed_source.register(spark)
+    for name, topics in {"one": {"ai": [queries.ATOM], "big": ["<rss>" + "x" * 1_600_000]}, "two": {"ai": [queries.RSS, queries.ATOM]}}.items():
+        for topic, texts in topics.items():
+            os.makedirs(tmp_path / name / f"domain={topic}")
+            for i, t in enumerate(texts):
+                (tmp_path / name / f"domain={topic}" / f"{i}.xml").write_text(t)
+    providers = [feed_source.Strategy("landed_feeds", {"path": str(tmp_path / n)}) for n in ("one", "two", "none")]
+    got = [(r["topic"], r["provider_ord"], r["ord"], r["url"]) for r in feed_source.searched(spark, providers, F.lit(NOW).cast("timestamp")).orderBy("provider_ord", "ord", "url").collect()]
+    assert got == [("ai", 0, 0, "https://b.example.com/1"), ("ai", 1, 0, "https://a.example.com/1"), ("ai", 1, 0, "https://b.example.com/1"), ("ai", 1, 1, "https://a.example.com/2"), ("ai", 1, 2, "https://a.example.com/3")]
+    assert feed_source.searched(spark, [], F.lit(NOW).cast("timestamp")).count() == 0
+
+
+def test_a_cycle_from_landed_feeds(spark, feeds, tmp_path_factory, capsys):
+    from lodestream.__main__ import main, number
+
+    out = tmp_path_factory.mktemp("cli")
+    entry = {"name": "A", "owner": "o", "category": "AI/ML", "tier": 1, "sourceType": "blog", "feedUrl": "https://a.example.com/feed", "type": "RSS", "verified": True}
+    (out / "catalog.json").write_text(json.dumps([entry, entry | {"name": "B", "feedUrl": "https://b.example.com/feed"}]))
+    (out / "robots.json").write_text(json.dumps({"host": "a.example.com", "text": "User-agent: *\nDisallow: /2\nCrawl-delay: 3"}) + "\n")
+    common = ["--feeds", feeds, "--catalog", str(out / "catalog.json"), "--now", NOW, "--floor", "0", "--robots", str(out / "robots.json"), "--slots", str(out / "slots"), "--concurrency", "nan"]
+    assert main([*common, "--out", str(out / "a.json"), "--run-id", "mine", "--provider", "other", "--etl", "--etl-budget", "0"]) == 0
+    body = json.loads((out / "a.json").read_text())
+    assert body["runId"] == "mine" and [i["url"] for t, rows in body["data"]["itemsByTopic"].items() if t == "ai" for i in rows] and "facts by rules" in capsys.readouterr().err
+    assert {i["title"] for i in body["data"]["itemsByTopic"]["all"]} == {"First story", "Second", "Atom one"} and not body["data"]["factsByCluster"]
+    slots = [json.loads(x) for f in os.listdir(out / "slots") if f.endswith(".json") for x in (out / "slots" / f).read_text().splitlines()]
+    assert sorted((s["url"], s["end_ms"] - s["start_ms"]) for s in slots) == [("https://a.example.com/1", 3000), ("https://b.example.com/1", 1000)]
+    assert main([*common, "--shards", str(out / "shards"), "--max-age-hours", "1"]) == 0
+    assert {json.loads(r["value"])["title"] for r in sink.read(spark, str(out / "shards")).filter("section = 'items'").collect()} == {"Second"}
+    assert main(["--json-errors", "--now", NOW]) == 2 and json.loads(capsys.readouterr().out)["error"]["code"] == "INVALID_ARGUMENT"
+    assert [number(7)(x) for x in ("0", "nan", "x", "inf", "2.5")] == [0, 7, 7, 7, 2.5]
+
+
 # --- robots
 
 
