@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import gc
 import itertools
+import operator
 import struct
 from collections.abc import Iterator
 
@@ -35,7 +36,7 @@ RUN, FILE = 1 << 18, 1 << 27
 #: Characters that are encoded at once, whole texts.
 TEXT = 1 << 20
 #: Distinct stretches of text whose ids a worker keeps.
-CACHE = 700_000
+CACHE = 500_000
 _HEAD = struct.Struct("<IHBH")
 _FOOT = struct.Struct("<QQQ")
 
@@ -53,11 +54,18 @@ def _bits(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _values(rows: np.ndarray, n: int, width: int) -> np.ndarray:
-    """The ``n`` numbers of each row of `_bits`."""
-    size = 2 if width <= 16 else 4
-    bits = np.zeros((len(rows) * n, 8 * size), np.uint8)
-    bits[:, 8 * size - width :] = np.unpackbits(rows, axis=1, count=n * width).reshape(-1, width)
-    return np.packbits(bits, axis=1).view(f">u{size}").reshape(len(rows), n).astype(np.uint32)
+    """The ``n`` numbers of each row of `_bits`: each from the few bytes that hold it."""
+    size = 3 if width <= 16 else 5
+    kind = np.uint32 if width <= 16 else np.uint64
+    bit = np.arange(n) * width
+    wide = np.zeros((len(rows), rows.shape[1] + size), kind)
+    wide[:, : rows.shape[1]] = rows
+    out = wide[:, bit >> 3]
+    for k in range(1, size):
+        out <<= kind(8)
+        out |= wide[:, (bit >> 3) + k]
+    out >>= (8 * size - width - (bit & 7)).astype(kind)
+    return (out & kind((1 << width) - 1)).astype(np.uint32)
 
 
 def pack(ids: np.ndarray, share: float = SHARE) -> list[bytes]:
@@ -204,6 +212,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # equal words never come twice
         self.model, parted = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
         spans = [x for _, x in parted("a b.\nc1,")]
         if self.tokenizer.normalizer is not None or spans != [(0, 1), (1, 3), (3, 4), (4, 5), (5, 6), (6, 7), (7, 8)]:
@@ -225,36 +235,52 @@ class Encoder:
         # of each stretch: its second hash, where its ids are, whether it is a word
         self.second, self.flat, self.ends, self.lone = np.zeros(1 << 14, np.uint64), np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, bool)
 
-    def _word(self, word: str) -> list[int]:
-        shown = self.blank + word[1:] if word[0] == " " and self.blank and word.isascii() else word.translate(self.shown)
-        return [t.id for t in self.model.tokenize(shown)]
+    def _words(self, words: list[str]) -> tuple[list, list[int]]:
+        """The library's tokens of words, and how many each word has."""
+        plain = [w.isascii() for w in words] if self.blank else [False] * len(words)
+        # only the blank is shown otherwise in ASCII words
+        joined = iter("\0".join(itertools.compress(words, plain)).replace(" ", self.blank or " ").split("\0"))
+        found = list(map(self.model.tokenize, [next(joined) if p else w.translate(self.shown) for w, p in zip(words, plain)]))
+        return found, list(map(len, found))
 
-    def _tailed(self, stretch: str) -> list[int] | None:
-        m = self.tailed(stretch)
-        if m is None:
-            return None
-        if m[2] not in self.tails:
-            self.tails[m[2]] = self.tokenizer.encode(m[2], add_special_tokens=False).ids
-        return self._word(m[1]) + self.tails[m[2]]
+    def _tail(self, tail: str) -> list[int]:
+        if tail not in self.tails:
+            self.tails[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
+        return self.tails[tail]
 
     def _learn(self, new: list[str], second: np.ndarray) -> np.ndarray:
         """Numbers for new stretches, and their ids; arrays grow by doubling."""
-        at, to, word = self.size, self.size + len(new), self.word
+        at, to = self.size, self.size + len(new)
         if to + 1 > len(self.ends):
             grown = lambda x: np.concatenate((x, np.zeros(to + len(x), x.dtype)))
             self.second, self.ends, self.lone = grown(self.second), grown(self.ends), grown(self.lone)
-        got = [self._word(s) if word(s) else None for s in new]
-        self.lone[at:to] = [g is not None for g in got]
-        got = [self._tailed(s) if g is None else g for s, g in zip(new, got)]
-        hard = [i for i, g in enumerate(got) if g is None]
+        lone = np.fromiter((m is not None for m in map(self.word, new)), bool, len(new))
+        words = list(itertools.compress(new, lone))
+        tokens, sizes = self._words(words)
+        lens = np.zeros(len(new), np.int64)
+        lens[lone] = sizes
+        other: dict[int, list[int]] = {}
+        hard, tailed = [], []
+        for i in np.flatnonzero(~lone).tolist():
+            m = self.tailed(new[i])
+            (hard if m is None else tailed).append((i, m))
+        if tailed:
+            for (i, m), t in zip(tailed, self._words([m[1] for _, m in tailed])[0]):
+                other[i] = [x.id for x in t] + self._tail(m[2])
         for k in range(0, len(hard), 1000):
-            for i, e in zip(hard[k : k + 1000], self.tokenizer.encode_batch([new[i] for i in hard[k : k + 1000]], add_special_tokens=False)):
-                got[i] = e.ids
-        ends = self.ends[at] + np.cumsum(np.fromiter(map(len, got), np.int64, len(got)))
+            for (i, _), e in zip(hard[k : k + 1000], self.tokenizer.encode_batch([new[i] for i, _ in hard[k : k + 1000]], add_special_tokens=False)):
+                other[i] = e.ids
+        for i, ids in other.items():
+            lens[i] = len(ids)
+        ends = self.ends[at] + np.cumsum(lens)
         if ends[-1] > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros(int(ends[-1]), np.uint32)))
-        self.flat[self.ends[at] : ends[-1]] = np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(ends[-1] - self.ends[at]))
-        self.ends[at + 1 : to + 1], self.second[at:to], self.size = ends, second, to
+        own = np.repeat(lone, lens)
+        flat = self.flat[self.ends[at] : ends[-1]]
+        flat[own] = np.fromiter(map(operator.attrgetter("id"), itertools.chain.from_iterable(tokens)), np.uint32, int(own.sum()))
+        for i, ids in other.items():
+            flat[ends[i] - lens[i] - self.ends[at] : ends[i] - self.ends[at]] = ids
+        self.ends[at + 1 : to + 1], self.second[at:to], self.lone[at:to], self.size = ends, second, lone, to
         return np.arange(at, to)
 
     def _by_hash(self, data: bytes, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
