@@ -149,7 +149,8 @@ def verbatim(statements: DataFrame, bodies: DataFrame, n: int = V.GRAM_WORDS) ->
     filter_, words = bloom(theirs, theirs.count())
     mine = each(statements, "id").withColumn("part", F.pmod("a", F.lit(PARTS)).cast("int")).join(F.broadcast(filter_), "part")
     passed = mine.filter(F.get("words", word_of(F.col("a"), words)).bitwiseAND(_mask(F.col("b"))) == _mask(F.col("b")))
-    return passed.select("id", "a", "b").distinct().join(theirs.hint("merge"), ["a", "b"], "left_semi").select("id").distinct()
+    passed = staged(passed.select("id", "a", "b").distinct(), "grams-passed")  # else the semi-join would be pushed below the filter, and meet every gram
+    return passed.join(theirs.hint("merge"), ["a", "b"], "left_semi").select("id").distinct()
 
 
 def overlaps(statement: Column, body: Column, n: int = V.GRAM_WORDS) -> Column:
