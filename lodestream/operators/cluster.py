@@ -20,6 +20,8 @@ from .skew import with_value
 
 #: A token of more items than HOT is hot; parts of its join.
 HOT, SALTS = 10_000, 64
+#: Members of a class that meet those of another (or its own) as one row: two parts make PART * PART pairs, some of them more.
+PART = 500
 
 
 def seed_order(items: DataFrame) -> DataFrame:
@@ -58,6 +60,33 @@ def links(classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return rows.select("topic", "ord", "class", "size", (of_its_own + F.coalesce("near.more", F.lit(0))).cast("long").alias("links"))
 
 
+def expanded(classes: DataFrame, pairs: DataFrame, important=V.IMPORTANT_TOKENS) -> DataFrame:
+    """All pairs of items (as rows of `similar_pairs`) of ``classes`` (of `token_classes`), from the ``pairs`` between representatives: members resemble each other as these do.
+
+    Members are dealt to parts of some PART, and parts, not items, are joined; each two of them become their pairs in a task of their own choosing, so a class that
+    holds a third of all items is no single task. Time is linear in the number of pairs.
+    """
+    part = F.pmod(F.xxhash64("ord"), F.col("parts")).alias("part")
+    parts = F.ceil(F.col("size") / PART)
+    members = classes.filter(F.size("tokens") > 0).withColumn("parts", parts).groupBy("topic", "class", part).agg(F.collect_list("ord").alias("held"))
+    members = staged(members, "class-parts")
+    first = staged(representatives(classes).filter(F.size("tokens") > 0).select("topic", F.col("ord").alias("class"), "tokens", parts.alias("parts"), "size"), "class-heads")
+    n = F.size("tokens").cast("long")
+    weighted = F.size(F.array_intersect("tokens", strings(important))).cast("long")
+    own = first.filter("size > 1").select("topic", F.col("class").alias("x"), F.col("class").alias("y"), n.alias("overlap"), weighted.alias("weighted"), ((n + 1.5 * weighted) / F.size("tokens")).alias("sim"), F.col("parts").alias("px"), F.col("parts").alias("py"))
+    near = pairs.select("topic", F.col("i").alias("x"), F.col("j").alias("y"), "overlap", "weighted", "sim")
+    for c in ("x", "y"):
+        near = near.join(first.select("topic", F.col("class").alias(c), F.col("parts").alias(f"p{c}")).hint("merge"), ["topic", c])
+    rows = own.unionByName(near)
+    for c in ("x", "y"):
+        rows = rows.withColumn(f"p{c}", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"p{c}") - 1)))
+    for c in ("x", "y"):
+        rows = rows.join(members.select("topic", F.col("class").alias(c), F.col("part").alias(f"p{c}"), F.col("held").alias(f"h{c}")).hint("merge"), ["topic", c, f"p{c}"])
+    rows = rows.repartition("topic", "x", "px", "y", "py").withColumn("a", F.explode("hx")).withColumn("b", F.explode("hy"))
+    rows = rows.filter("x <> y or a < b")
+    return rows.select("topic", F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j"), "overlap", "weighted", "sim")
+
+
 def similar_pairs(items: DataFrame, theta: float, important=V.IMPORTANT_TOKENS) -> DataFrame:
     """topic, i, j, overlap, weighted, sim for i < j with sim >= theta; items: topic, ord, tokens (distinct).
 

@@ -191,8 +191,9 @@ def _tokened(spark, sf):
 
 
 def title_similarity_edges(spark, sf):
-    """Pairs of classes of pages with equal title tokens, by their first pages; `title_classes` has the members."""
-    return cluster.similar_pairs(cluster.representatives(cluster.token_classes(_tokened(spark, sf))), V.THETA)
+    """All pairs of pages with similar titles, copies among them; `title_classes` is the short form, with a row a page."""
+    classes = staging.staged(cluster.token_classes(_tokened(spark, sf)), "token-classes")
+    return cluster.expanded(classes, cluster.similar_pairs(cluster.representatives(classes), V.THETA))
 
 
 def _clusters(spark, sf):
@@ -215,7 +216,7 @@ def cluster_projection(spark, sf):
 
 
 def title_classes(spark, sf):
-    """Pages in classes of equal title tokens, and how many other pages each resembles; the pairs themselves are those of `title_similarity_edges`."""
+    """Pages in classes of equal title tokens, and how many other pages each resembles; `title_similarity_edges` has all pairs."""
     classes = cluster.token_classes(_tokened(spark, sf))
     return cluster.links(classes, cluster.similar_pairs(cluster.representatives(classes), V.THETA)).select("topic", "ord", "class", "size", "links")
 

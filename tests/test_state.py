@@ -116,6 +116,18 @@ def test_equal_titles_are_one_class(spark):
     assert all(linked[k]["links"] == 0 for k in (("t", n + 1), ("t", n + 2), ("t", n + 3), ("u", 0)))
 
 
+def test_pairs_of_classes_become_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "PART", 3)
+    r = random.Random(5)
+    words = ["moon", "lands", "probe", "again", "openai"]
+    rows = [(t, n, r.sample(words, r.randint(0, 5))) for t in ("t", "u") for n in range(60)] + [("t", 60 + n, ["hot", "story"]) for n in range(40)]
+    items = spark.createDataFrame(rows, "topic string, ord long, tokens array<string>")
+    classes = cluster.token_classes(items)
+    got = [tuple(x) for x in cluster.expanded(classes, cluster.similar_pairs(cluster.representatives(classes), V.THETA)).collect()]
+    assert sorted(got) == sorted(tuple(x) for x in cluster.similar_pairs(items, V.THETA).collect())
+    assert len(set(got)) == len(got) >= 40 * 39 // 2
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_classes_leave_leaders_as_they_are(spark, seed):
     r = random.Random(seed)
