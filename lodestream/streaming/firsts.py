@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -18,6 +20,8 @@ from ..functions import values as V
 
 #: Rows that a task keeps before it reduces them again.
 HELD = 200_000
+#: Buckets of keys whose state is one row each.
+BUCKETS = 1024
 _HOUR = 3_600_000_000
 
 
@@ -37,12 +41,14 @@ def first_sightings(rows: DataFrame, keys: list[str], order: list[str], time: st
     return rows.withColumn("_before", before).filter(f"_before is null or _cycle - _before > {hours // V.CYCLE_HOURS}").drop("_before", "_cycle")
 
 
-def stream_first_sightings(stream: DataFrame, keys: list[str], order: list[str], time: str, hours: int = V.MAX_AGE_HOURS) -> DataFrame:
+def stream_first_sightings(stream: DataFrame, keys: list[str], order: list[str], time: str, hours: int = V.MAX_AGE_HOURS, buckets: int = BUCKETS) -> DataFrame:
     """`first_sightings` over a stream. State: the last cycle of each key, dropped once the watermark is ``hours`` and a cycle past it.
 
-    Each task reduces what it reads to a row for each key and cycle before the shuffle. Rows later than the watermark are dropped.
+    Each task reduces what it reads to a row for each key and cycle before the shuffle. Rows later than the watermark are dropped. State is kept for ``buckets`` of
+    keys (by their hash) at a time, as one Arrow table each, so Python runs once a bucket and batch and not once a key; a stream's checkpoint keeps its number of buckets.
     """
     rows = _with_cycle(stream.withColumn(time, F.col(time).cast("timestamp")), time)
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     columns, by = rows.columns, [*keys, "_cycle"]
 
     def least(parts: list[pd.DataFrame]) -> pd.DataFrame:
@@ -65,25 +71,30 @@ def stream_first_sightings(stream: DataFrame, keys: list[str], order: list[str],
     limit = hours // V.CYCLE_HOURS
 
     def sighted(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        seen = pa.ipc.open_stream(state.get[0]).read_pandas() if state.exists else None
+        if not state.hasTimedOut:
+            mine = None
+            for p in parts:
+                mine = least([p] if mine is None else [mine, p])
+            # a key's cycles in order behind the one that was known: a row is new where the one before it is too far back
+            every = mine[by].assign(_at=range(len(mine)))
+            every = every if seen is None else pd.concat([seen.assign(_at=-1), every], ignore_index=True)
+            every = every.iloc[np.lexsort((every["_cycle"], every["_at"] >= 0))]
+            before = every.groupby(keys, dropna=False, sort=False)["_cycle"].shift()
+            new = (every["_at"] >= 0) & (before.isna() | (every["_cycle"] - before > limit))
+            yield mine.iloc[every.loc[new, "_at"].to_numpy()][columns]
+            seen = every[by].sort_values("_cycle", kind="stable").drop_duplicates(keys, keep="last")
+        ends, now = (seen["_cycle"] + 1 + limit) * V.CYCLE_HOURS * _HOUR // 1000, state.getCurrentWatermarkMs()
+        seen, ends = seen[ends > now], ends[ends > now]
+        if seen.empty:
             state.remove()
             return
-        mine: pd.DataFrame | None = None
-        for p in parts:
-            mine = least([p] if mine is None else [mine, p])
-        if mine is None:
-            return
-        mine = mine.sort_values("_cycle", kind="stable")
-        last = state.get[0] if state.exists else None
-        cycles = mine["_cycle"].tolist()
-        before = [last, *cycles[:-1]]
-        new = [b is None or c - b > limit for c, b in zip(cycles, before)]
-        last = cycles[-1] if last is None else max(last, cycles[-1])
-        state.update((last,))
-        ends = (last + 1 + limit) * V.CYCLE_HOURS * _HOUR // 1000
-        state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
-        yield mine[new][columns]
+        table, sink = pa.Table.from_pandas(seen, preserve_index=False), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        state.update((sink.getvalue().to_pybytes(),))
+        state.setTimeoutTimestamp(int(ends.min()))
 
     rows = rows.mapInPandas(reduced, rows.schema).withWatermark(time, f"{hours} hours")
-    out = rows.groupBy(*keys).applyInPandasWithState(sighted, rows.schema, "last long", "append", GroupStateTimeout.EventTimeTimeout)
-    return out.drop("_cycle")
+    out = rows.groupBy("_bucket").applyInPandasWithState(sighted, rows.schema, "seen binary", "append", GroupStateTimeout.EventTimeTimeout)
+    return out.drop("_cycle", "_bucket")

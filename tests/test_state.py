@@ -242,6 +242,22 @@ def test_first_sightings_over_two_passes(spark, tmp_path):
     assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
 
 
+def test_many_keys_are_few_python_calls_and_keep_their_ids(spark, tmp_path):
+    # keys of a bucket share a row of state; ids beyond 2^53 come out as they went in
+    big = (1 << 60) + 1
+    rows = [(f"k{n % 3000}", f"2024-01-{1 + d:02d} 0{n % 6}:00:00", big + n + d * 3000) for d in (0, 1, 4) for n in range(3000)]
+    lots = [rows[:3000], rows[3000:]]
+    for lot in lots:
+        clicks(spark, lot).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("k string, at timestamp, n long").parquet(str(tmp_path / "in"))
+        q = firsts.stream_first_sightings(stream, ["k"], ["at", "n"], "at", buckets=8).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+        q = q.outputMode("append").trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) <= 8
+    got = sorted(((x["k"], str(x["at"]), x["n"]) for x in spark.read.parquet(str(tmp_path / "out")).collect()), key=repr)
+    assert got == plain_firsts(rows) and len(got) == 6000
+
+
 def test_tasks_reduce_what_they_hold(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(firsts, "HELD", 10)
     rows = [(f"k{n % 40}", f"2024-01-01 {n % 24:02d}:00:00", n) for n in range(800)]
