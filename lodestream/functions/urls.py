@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import values as V
-from .text import strings
+from .text import let, strings
 
 PARTS = r"^([a-zA-Z][a-zA-Z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
 
@@ -42,9 +42,10 @@ def in_private_range(ip: Column) -> Column:
 
 def blocked_host(h: Column) -> Column:
     """Local names, names without a dot, hexadecimal or decimal literals, IPv6 and private IPv4 addresses."""
-    return (
-        h.isin(*V.LOCAL_HOSTS) | h.endswith(".localhost") | h.endswith(".local") | h.endswith(".internal") | ~F.contains(h, F.lit(".")) | h.startswith("[")
-        | h.rlike(r"^0x[0-9a-f]+$") | h.rlike(r"^[0-9]+$") | in_private_range(ip_number(h))
+    return let(
+        h,
+        lambda x: x.isin(*V.LOCAL_HOSTS) | x.endswith(".localhost") | x.endswith(".local") | x.endswith(".internal") | ~F.contains(x, F.lit(".")) | x.startswith("[")
+        | x.rlike(r"^0x[0-9a-f]+$") | x.rlike(r"^[0-9]+$") | let(ip_number(x), in_private_range),
     )
 
 

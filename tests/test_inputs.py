@@ -196,6 +196,18 @@ def test_slots_keep_their_distance(spark):
 # --- ranges
 
 
+def test_few_networks_are_looked_up_without_a_shuffle_of_addresses(spark, monkeypatch):
+    nets = spark.createDataFrame([(10 << 24, 8, "ten"), ((10 << 24) + (1 << 16), 16, "ten one"), (0, 0, "all"), (11 << 24, 8, None)], "network long, bits int, label string")
+    ips = spark.createDataFrame([(1, (10 << 24) + 5), (2, (10 << 24) + (1 << 16) + 7), (3, 11 << 24), (4, None), (5, 2**32 - 1)], "id long, ip long")
+    show = lambda df: sorted((x["id"], x["bits"], x["label"]) for x in df.collect())
+    few = ranges.located(ips, nets)
+    assert "SortMergeJoin" not in few._jdf.queryExecution().executedPlan().toString() and few.columns == ["id", "ip", "bits", "label"]
+    monkeypatch.setattr(ranges, "BROADCAST", 0)
+    many = ranges.located(ips, nets)
+    assert show(few) == show(many) == [(1, 8, "ten"), (2, 16, "ten one"), (3, 0, "all"), (4, None, None), (5, 0, "all")]
+    assert few.schema == many.schema
+
+
 def test_the_narrowest_network_holds_an_address(spark):
     r = random.Random(9)
     nets = [ipaddress.ip_network((r.getrandbits(32) >> (32 - b) << (32 - b), b)) for b in (0, 1, 8, 8, 12, 16, 24, 30, 32) for _ in range(3)]
