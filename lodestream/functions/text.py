@@ -7,6 +7,8 @@ White space is the ASCII kinds, U+00A0 and U+FEFF. Lengths and cuts count code p
 
 from __future__ import annotations
 
+from string import ascii_lowercase, digits
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -113,8 +115,15 @@ def trim_quote(c: Column, limit: int = V.QUOTE_WORDS) -> Column:
 
 
 def gram_words(c: Column) -> Column:
-    """Words for the verbatim screen: lower-cased, all but word characters, white space and four CJK ranges deleted."""
-    return tokens(F.regexp_replace(F.lower(c), rf"[^a-z0-9_\t\n\x0B\f\r \x{{a0}}\x{{feff}}{CJK}]", ""))
+    """Words for the verbatim screen: lower-cased, all but word characters, white space and four CJK ranges deleted.
+
+    Text of ASCII characters alone, before or after the deletion, takes plainer expressions with the same result.
+    """
+    plain = lambda t: F.octet_length(t) == F.char_length(t)
+    ascii_ = rf"[^{ascii_lowercase}{digits}_\t\n\x0B\f\r ]+"  # signs one by one are looked up in one table, ranges are tried in turn
+    kept = lambda t: F.when(plain(t), F.regexp_replace(t, ascii_, "")).otherwise(F.regexp_replace(t, rf"[^a-z0-9_\t\n\x0B\f\r \x{{a0}}\x{{feff}}{CJK}]+", ""))
+    cut = lambda t: F.when(plain(t), F.array_remove(F.split(t, r"[\t\n\x0B\f\r ]+"), "")).otherwise(tokens(t))
+    return let(let(F.lower(c), kept), cut)
 
 
 def word_grams(c: Column, n: int = V.GRAM_WORDS) -> Column:

@@ -92,3 +92,20 @@ def test_robots_lines():
 def test_hostile_titles(spark, value):
     assert one(spark, text.normalize_title(F.col("t")), t=value) == one(spark, text.normalize_title(F.col("t")), t=value)
     assert one(spark, text.truncate_hint(F.col("t")), t=value) is not None
+
+
+def test_gram_words_of_plain_and_other_text(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from lodestream.functions import text as T
+
+    r = random.Random(3)
+    signs = ["a", "B", "7", "_", ".", "-", " ", "\t", "\n", "\x0b", "\f", "\r", "\x00", "\x1f", "é", "İ", "K", "\xa0", "﻿", " ", "漢", "か", "안", "㐀", "豈", "😀"]
+    rows = [("".join(r.choices(signs[:14] if n % 3 else signs, k=r.randrange(40))),) for n in range(600)] + [("",), (" ",), (None,), ("\t a",), ("é",)]
+    before = T.tokens(F.regexp_replace(F.lower(F.col("t")), rf"[^a-z0-9_\t\n\x0B\f\r \x{{a0}}\x{{feff}}{T.CJK}]", ""))
+    got = spark.createDataFrame(rows, "t string").select("t", T.gram_words(F.col("t")).alias("got"), before.alias("want")).collect()
+    assert all(x["got"] == x["want"] for x in got) and any(x["got"] for x in got)
+    # ASCII text isn't cut by the expression with the CJK ranges
+    assert "split" in spark.range(1).select(T.gram_words(F.lit("x").cast("string"))).columns[0].lower()
