@@ -240,6 +240,14 @@ def test_good_and_bad_rows_are_all_rows(spark):
 # --- the sharded artifact
 
 
+def test_small_shards_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(400).select(F.lit("items").alias("section"), F.lit("t").alias("topic"), F.col("id").alias("pos"), F.to_json(F.struct(F.col("id").alias("pos"))).alias("value"))
+    sink.write(rows, str(tmp_path / "a"), 10)
+    files = [f for _, _, names in os.walk(tmp_path / "a/lines") for f in names if f.startswith("part")]
+    assert len(files) == 40 and len({f.split("-")[1] for f in files}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(r["pos"] for r in sink.read(spark, str(tmp_path / "a")).collect()) == list(range(400))
+
+
 def test_shards_are_ordered_and_checked(spark, tmp_path):
     rows = spark.range(1000).select(F.lit("items").alias("section"), F.when(F.col("id") < 900, "hot").alias("topic"), F.when(F.col("id") < 900, F.col("id")).otherwise(F.col("id") - 900).alias("pos"))
     rows = rows.withColumn("value", F.to_json(F.struct("pos", F.lit("é\n|").alias("text"))))
