@@ -7,7 +7,7 @@ pairs come from an exact prefix join on tokens, rarest first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -87,29 +87,45 @@ def expanded(classes: DataFrame, pairs: DataFrame, important=V.IMPORTANT_TOKENS)
     return rows.select("topic", F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j"), "overlap", "weighted", "sim")
 
 
-def similar_pairs(items: DataFrame, theta: float, important=V.IMPORTANT_TOKENS) -> DataFrame:
-    """topic, i, j, overlap, weighted, sim for i < j with sim >= theta; items: topic, ord, tokens (distinct).
+def marks(tokens: Column) -> Column:
+    """A bit of 64 for each token: a set lacks at least as many of another's tokens as it lacks bits."""
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(t), F.lit(64)).cast("int"))
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda held, t: held.bitwiseOR(bit(t)))
+
 
-    sim = (overlap + 1.5 * important overlap) / smaller size. An overlap weighs 2.5 at most, so the smaller set's first
-    size - ceil(theta * size / 2.5) + 1 tokens, rarest first, hold a shared one: only these are joined. A token that more than
-    HOT items of a topic have is joined in SALTS parts, by the larger sets' numbers. Every pair is a row: give it the `representatives` of classes where items repeat.
+def candidates(items: DataFrame, theta: float, important=V.IMPORTANT_TOKENS) -> DataFrame:
+    """topic, i, j for i < j: all pairs with sim >= theta, and few others; items: topic, ord, tokens (distinct).
+
+    sim = (overlap + 1.5 * important overlap) / smaller size: a shared token weighs 1, an important one 2.5. Of the smaller set's tokens, rarest first, those
+    from which on all weigh theta * size or more hold a shared one: only these are joined, to all tokens of the larger set. What meets there is compared by
+    64 bits of the sets in the same task (see `marks`). A token that more than HOT items of a topic have is joined in SALTS parts, by the larger sets' numbers.
     """
-    items = items.filter(F.size("tokens") > 0).select("topic", "ord", "tokens", F.size("tokens").alias("n"))
-    each = staged(items.select("topic", "ord", "n", F.explode("tokens").alias("token")), "tokens")
+    weight = F.size("tokens") + 1.5 * F.size(F.array_intersect("tokens", strings(important)))
+    needed = theta * F.size("tokens") - 1e-9
+    items = items.filter(F.size("tokens") > 0)
+    each = staged(items.select("topic", "ord", F.size("tokens").alias("n"), needed.alias("needed"), (weight - needed).alias("spare"), marks(F.col("tokens")).alias("marks"), F.explode("tokens").alias("token")), "tokens")
     df = each.groupBy("topic", "token").agg(F.count("*").alias("n")).withColumn("df", F.col("n"))
     ranked = with_value(each, df, ["topic", "token"], "df", each.count(), F.col("ord").cast("long"))
-    nth = F.row_number().over(Window.partitionBy("topic", "ord").orderBy("df", "token"))
-    prefix = ranked.withColumn("nth", nth).filter(F.col("nth") <= F.col("n") - F.ceil(theta * F.col("n") / 2.5 - 1e-9) + 1)
+    onward = F.sum(F.when(F.col("token").isin(*important), 2.5).otherwise(1.0)).over(Window.partitionBy("topic", "ord").orderBy(F.desc("df"), F.desc("token")).rowsBetween(Window.unboundedPreceding, 0))
+    prefix = ranked.withColumn("onward", onward).filter("onward >= needed")
     hot = F.col("df") > HOT
     salts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    a = prefix.select("topic", "token", F.col("ord").alias("a"), F.col("n").alias("na"), F.explode(salts).alias("salt"))
-    b = ranked.select("topic", "token", F.col("ord").alias("b"), F.col("n").alias("nb"), F.when(hot, F.pmod("ord", F.lit(SALTS)).cast("int")).otherwise(0).alias("salt"))
-    found = a.join(b, ["topic", "token", "salt"]).filter("a <> b and (na < nb or (na = nb and a < b))")
-    pairs = found.select("topic", F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).distinct()
+    a = prefix.select("topic", "token", F.col("ord").alias("a"), F.col("n").alias("na"), "spare", F.col("marks").alias("ma"), F.explode(salts).alias("salt"))
+    b = ranked.select("topic", "token", F.col("ord").alias("b"), F.col("n").alias("nb"), F.col("marks").alias("mb"), F.when(hot, F.pmod("ord", F.lit(SALTS)).cast("int")).otherwise(0).alias("salt"))
+    found = a.join(b, ["topic", "token", "salt"]).filter("a <> b and (na < nb or (na = nb and a < b)) and bit_count(ma & ~mb) <= spare")
+    return found.select("topic", F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).distinct()
+
+
+def similar_pairs(items: DataFrame, theta: float, important=V.IMPORTANT_TOKENS) -> DataFrame:
+    """topic, i, j, overlap, weighted, sim for i < j with sim >= theta; items: topic, ord, tokens (distinct).
+
+    The `candidates` are compared in full. Every pair is a row: give it the `representatives` of classes where items repeat.
+    """
+    items = items.filter(F.size("tokens") > 0).select("topic", "ord", "tokens")
     left = items.select("topic", F.col("ord").alias("i"), F.col("tokens").alias("ti"))
     right = items.select("topic", F.col("ord").alias("j"), F.col("tokens").alias("tj"))
     both = F.array_intersect("ti", "tj")
-    rows = pairs.join(left, ["topic", "i"]).join(right, ["topic", "j"]).withColumn("both", both)
+    rows = candidates(items, theta, important).join(left, ["topic", "i"]).join(right, ["topic", "j"]).withColumn("both", both)
     rows = rows.withColumn("overlap", F.size("both").cast("long")).withColumn("weighted", F.size(F.array_intersect("both", strings(important))).cast("long"))
     sim = (F.col("overlap") + 1.5 * F.col("weighted")) / F.least(F.size("ti"), F.size("tj"))
     return rows.withColumn("sim", sim).filter(F.col("sim") >= theta).select("topic", "i", "j", "overlap", "weighted", "sim")

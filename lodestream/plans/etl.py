@@ -21,6 +21,7 @@ from .staging import staged
 SEARCH_HOST = "news.google.com"
 PUBLIC = ["topic", "cluster_id", "id", "url", "source", "source_domain", "tier", "title", "published_at", "extraction", "access_policy", "word_count", "lang", "content_hash"]
 WARNING = ["topic", "cluster_id", "kind", "message"]
+ITEM = ["topic", "cluster_id", "url", "source", "source_domain", "tier", "title", "published_at", "summary_hint", "ord"]
 
 
 class Etl(NamedTuple):
@@ -61,10 +62,9 @@ def documents(within: DataFrame, feeds: DataFrame, stored: DataFrame, pages: Dat
     feeds: topic, url, feed_body, arrival; stored: id, extraction, access_policy, word_count, lang, content_hash, body; pages: url, html,
     and allowed (by robots), content_type, if there. A search feed's item without a hint of 50 characters has the origin none and no document.
     """
-    keep = ["topic", "cluster_id", "url", "source", "source_domain", "tier", "title", "published_at", "summary_hint", "ord"]
     known = stored.filter("extraction <> 'failed'").select(F.col("id").alias("s_id"), F.struct("extraction", "access_policy", "word_count", "lang", "content_hash", "body").alias("s"))
     bodies = dedup.first_wins(feeds.filter("feed_body is not null"), ["topic", "url"], ["arrival"]).select("topic", "url", "feed_body")
-    rows = within.select(*keep).withColumn("s_id", ids.doc_id(F.col("url"))).join(known, "s_id", "left").join(bodies, ["topic", "url"], "left")
+    rows = within.select(*ITEM).withColumn("s_id", ids.doc_id(F.col("url"))).join(known, "s_id", "left").join(bodies, ["topic", "url"], "left")
     hint = F.trim(F.coalesce("summary_hint", F.lit("")))
     origin = (
         F.when(F.col("s").isNotNull(), "store").when(F.length("feed_body") >= 100, "feed")
@@ -75,8 +75,10 @@ def documents(within: DataFrame, feeds: DataFrame, stored: DataFrame, pages: Dat
     store = rows.filter("origin = 'store'").select("*", F.col("s_id").alias("id"), "s.*")
     feed = _landed(rows.filter("origin = 'feed'"), F.col("feed_body"), F.when(F.length("body") >= 500, "full").otherwise("snippet"))
     brief = _landed(rows.filter("origin = 'hint'"), hint, F.lit("snippet"))
-    asked = rows.filter("origin = 'fetch'").join(pages, "url", "left")
-    fetched = extract.documents(asked, [*keep, "origin"])
+    asked = rows.filter("origin = 'fetch'")
+    pages = pages.join(asked.select("url").distinct(), "url", "left_semi")  # texts of other pages aren't moved
+    asked = asked.join(pages, "url", "left")
+    fetched = extract.documents(asked, [*ITEM, "origin"])
     none = rows.filter("origin = 'none'").select("*", *[F.lit(None).cast(k).alias(c) for c, k in (("id", "string"), ("extraction", "string"), ("access_policy", "string"), ("word_count", "long"), ("lang", "string"), ("content_hash", "string"), ("body", "string"))])
     whole = None
     for part in (store, feed, brief, fetched, none):
@@ -86,6 +88,7 @@ def documents(within: DataFrame, feeds: DataFrame, stored: DataFrame, pages: Dat
 
 def run(items: DataFrame, stored: DataFrame, pages: DataFrame, provided: DataFrame | None = None, budget: int = V.BUDGET) -> Etl:
     """The whole part. items: clustered, with feed_body and arrival; ``provided``: facts of another extractor (see `facts.chosen`)."""
+    items = staged(items.select(*ITEM, "n", "feed_body", "arrival"), "etl-items")  # read several times: without this, the clusters' joins run each time
     within = staged(budgeted(items, budget), "etl-within")
     docs = staged(documents(within, items.select("topic", "url", "feed_body", "arrival"), stored, pages), "etl-documents")
     # two addresses may be one once they are normalised: the first text counts

@@ -116,6 +116,32 @@ def test_equal_titles_are_one_class(spark):
     assert all(linked[k]["links"] == 0 for k in (("t", n + 1), ("t", n + 2), ("t", n + 3), ("u", 0)))
 
 
+def test_titles_with_common_words_are_not_compared(spark):
+    """Each title has two words that all have and four of its own, so no two are similar; comparing all that share a word would make 79,800 pairs."""
+    own = [F.concat(F.lit("own"), F.col("id").cast("string"), F.lit(c)) for c in "abcd"]
+    items = spark.range(400).select(F.lit("t").alias("topic"), F.col("id").alias("ord"), F.array(F.lit("hot"), F.lit("story"), *own).alias("tokens"))
+    near = spark.createDataFrame([("t", 400, ["hot", "story", "own0a", "own0b", "own0c", "new"])], "topic string, ord long, tokens array<string>")
+    assert [tuple(r) for r in cluster.candidates(items.unionByName(near), V.THETA).collect()] == [("t", 0, 400)]
+    assert [tuple(r)[:5] for r in cluster.similar_pairs(items.unionByName(near), V.THETA).collect()] == [("t", 0, 400, 5, 0)]
+
+
+@pytest.mark.parametrize("theta", [0.3, 0.5, 0.82, 1.0, 1.7])
+def test_no_similar_pair_is_missed(spark, theta):
+    r = random.Random(7)
+    words = [f"word{k}" for k in range(20)] + list(V.IMPORTANT_TOKENS[:6])
+    rows = [(t, n, r.sample(words[: r.choice((6, 26))], r.randint(0, 6))) for t in ("t", "u") for n in range(150)]
+    sets = [(t, n, set(w)) for t, n, w in rows if w]
+    want = {}
+    for t, i, a in sets:
+        for u, j, b in sets:
+            if t == u and i < j:
+                sim = (len(a & b) + 1.5 * len(a & b & set(V.IMPORTANT_TOKENS))) / min(len(a), len(b))
+                if sim >= theta and a & b:
+                    want[t, i, j] = (len(a & b), sim)
+    got = cluster.similar_pairs(spark.createDataFrame(rows, "topic string, ord long, tokens array<string>"), theta).collect()
+    assert len(got) == len(want) and {(x["topic"], x["i"], x["j"]): (x["overlap"], x["sim"]) for x in got} == want
+
+
 def test_pairs_of_classes_become_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(cluster, "PART", 3)
     r = random.Random(5)
