@@ -2,7 +2,7 @@
 
 The regular expressions are fixed values: results depend on them to the letter.
 
-White space is the ASCII kinds, U+00A0 and U+FEFF. Lengths and cuts count code points. A null gives a null.
+White space is the ASCII kinds, U+00A0 and U+FEFF; ends lose all of Unicode's space separators. Lengths and cuts count code points. A null gives a null.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ WS = r"[\t\n\x0B\f\r \x{a0}\x{feff}]"
 NOT_WS = r"[^\t\n\x0B\f\r \x{a0}\x{feff}]"
 CJK = r"\x{4e00}-\x{9fff}\x{3040}-\x{309f}\x{30a0}-\x{30ff}\x{ac00}-\x{d7a3}"
 CJK_MORE = r"\x{3400}-\x{4dbf}\x{f900}-\x{faff}"
+#: Unicode's space separators.
+BLANKS = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 TOKEN = rf"[{CJK}{CJK_MORE}]|[^\t\n\x0B\f\r \x{{a0}}\x{{feff}}{CJK}{CJK_MORE}]+"
 
 
@@ -30,8 +32,12 @@ def strings(words) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
 
+def trim_blanks(c: Column) -> Column:
+    return F.trim(c, F.lit(BLANKS))
+
+
 def collapsed(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, f"{WS}+", " "))
+    return trim_blanks(F.regexp_replace(c, f"{WS}+", " "))
 
 
 def strip_markup(c: Column) -> Column:

@@ -6,9 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import values as V
-from .text import let, strings
+from .text import let, strings, trim_blanks
 
-PARTS = r"^([a-zA-Z][a-zA-Z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
+PARTS = r"^([a-zA-Z][a-zA-Z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#[^\n]*)?\z"
 
 
 def part(url: Column, k: int) -> Column:
@@ -18,7 +18,7 @@ def part(url: Column, k: int) -> Column:
 
 def host(url: Column) -> Column:
     """Lower-cased host without userinfo and port."""
-    return F.lower(F.regexp_replace(F.regexp_replace(part(url, 2), "^.*@", ""), ":[0-9]*$", ""))
+    return F.lower(F.regexp_replace(F.regexp_replace(part(url, 2), r"^[^\n]*@", ""), r":[0-9]*\z", ""))
 
 
 def source_domain(url: Column) -> Column:
@@ -51,9 +51,9 @@ def blocked_host(h: Column) -> Column:
 
 def normalize_public_url(url: Column, allow_http: bool = False) -> Column:
     """The URL without its fragment, '' unless it is public: https (or http), no userinfo, default port, no blocked host."""
-    u = F.trim(url)
+    u = trim_blanks(url)
     scheme, authority = F.lower(part(u, 1)), part(u, 2)
-    port = F.regexp_extract(authority, ":([0-9]*)$", 1)
+    port = F.regexp_extract(authority, r":([0-9]*)\z", 1)
     good = scheme.isin("https", "http") if allow_http else (scheme == "https")
     good = good & ~F.contains(authority, F.lit("@")) & ((port == "") | ((port == "443") & (scheme == "https")) | ((port == "80") & (scheme == "http"))) & ~blocked_host(host(u)) & ~u.rlike(r"[\s|]")
     path = F.when(part(u, 3) == "", F.lit("/")).otherwise(part(u, 3))

@@ -168,10 +168,11 @@ def searched(spark: SparkSession, providers: list[Strategy], now: Column) -> Dat
     return landed.search_results(staged(whole, "search-feeds"), now)
 
 
-def ingested(sources: DataFrame, strategies: dict[str, Strategy], now: Column, max_age_hours: int = V.MAX_AGE_HOURS) -> tuple[DataFrame, DataFrame]:
+def ingested(sources: DataFrame, strategies: dict[str, Strategy], now: Column, max_age_hours: int = V.MAX_AGE_HOURS, whole_titles: bool = False) -> tuple[DataFrame, DataFrame]:
     """Raw items of all sources and their states: each kind's sources (see `landed.ingested`, without file) are read by its strategy.
 
     A source without any file is an error, and so is one of a kind without a strategy. Each file of a source is a feed with ranks of its own.
+    ``whole_titles``: see `feeds.raw_items`.
     """
     spark, rows = sources.sparkSession, None
     for kind in sorted(strategies):
@@ -184,4 +185,4 @@ def ingested(sources: DataFrame, strategies: dict[str, Strategy], now: Column, m
     other = other.withColumns({c: F.lit(None).cast(k) for c, k in none.items()})
     rows = other if rows is None else rows.unionByName(other)
     error = F.when(~F.col("kind").isin(*sorted(strategies)), "unknown strategy").when(F.col("_ok").isNull(), "file not found").otherwise(F.col("_error"))
-    return landed.items_of(staged(rows.withColumn("error", error).drop("_ok", "_error"), "feed-files"), now, max_age_hours)  # a file is read once
+    return landed.items_of(staged(rows.withColumn("error", error).drop("_ok", "_error"), "feed-files"), now, max_age_hours, whole_titles)  # a file is read once

@@ -47,11 +47,15 @@ def published_at(text: Column, now: Column) -> Column:
     return F.least(F.coalesce(*ways, iso, now), now)
 
 
-def raw_items(found: DataFrame, sources: DataFrame, now: Column, max_age_hours: int = V.MAX_AGE_HOURS) -> DataFrame:
-    """Entries of known sources (source, topic, label, domain, tier) that are young enough and have a title and a public URL."""
+def raw_items(found: DataFrame, sources: DataFrame, now: Column, max_age_hours: int = V.MAX_AGE_HOURS, whole_titles: bool = False) -> DataFrame:
+    """Entries of known sources (source, topic, label, domain, tier) that are young enough and have a title and a public URL.
+
+    With ``whole_titles`` a title that ends like 'Headline - Source' isn't cut.
+    """
     rows = found.join(sources, "source").withColumn("published_at", published_at(F.col("pub_date"), now))
     rows = rows.filter(F.col("published_at") >= now - F.expr(f"interval {max_age_hours} hours"))
     title, source = split_title(F.col("title"), F.col("source_label"))
+    title = strip_markup(F.col("title")) if whole_titles else title
     url = normalize_public_url(F.col("url"))
     body = strip_markup(F.coalesce("raw_content", F.lit("")))
     hint = F.coalesce(F.nullif("description", F.lit("")), F.nullif("raw_content", F.lit("")), F.col("title"))

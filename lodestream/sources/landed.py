@@ -40,13 +40,13 @@ def ingested(sources: DataFrame, folder: str, now: Column) -> tuple[DataFrame, D
     return items_of(scanned(sources, folder), now)
 
 
-def items_of(rows: DataFrame, now: Column, max_age_hours: int = V.MAX_AGE_HOURS) -> tuple[DataFrame, DataFrame]:
+def items_of(rows: DataFrame, now: Column, max_age_hours: int = V.MAX_AGE_HOURS, whole_titles: bool = False) -> tuple[DataFrame, DataFrame]:
     """Raw items and states of sources' files as they were read: topic, domain, label, tier, kind, feed_url, query, file, error, xml."""
     rows = rows.withColumn("source", F.concat_ws("|", "topic", "domain", "file"))
     refused = fetch_error(F.col("kind"), F.col("feed_url"), F.col("domain"), F.col("query"))
     silent = (F.col("kind") == "google-news-rss") & F.col("query").isNull()
     rows = rows.withColumn("error", F.when(~silent, F.coalesce(refused, F.col("error")))).withColumns({"ok": F.col("error").isNull(), "xml": F.when(F.col("error").isNull() & ~silent, F.col("xml"))})
-    items = feeds.raw_items(feeds.entries(rows.filter("xml is not null").select("source", "xml")), rows.select("source", "topic", "label", "domain", "tier"), now, max_age_hours)
+    items = feeds.raw_items(feeds.entries(rows.filter("xml is not null").select("source", "xml")), rows.select("source", "topic", "label", "domain", "tier"), now, max_age_hours, whole_titles)
     return items, rows.select("topic", "domain", "kind", "ok", "error")
 
 

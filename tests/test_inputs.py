@@ -4,6 +4,7 @@ import ipaddress
 import json
 import os
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -273,3 +274,45 @@ def test_page_feeds_are_landed_whole(spark, sf, tmp_path):
     queries_state.land_page_feeds(spark, sf, str(tmp_path / "f"))
     n = spark.read.format("landed_feeds").load(str(tmp_path / "f")).select(F.sum(F.size(F.split("xml", "<item>")) - 1)).first()[0] if feed_source.register(spark) is None else 0
     assert n == spark.read.parquet(f"{sf}/pages.parquet").count()
+
+
+def test_page_feeds_equal_their_sql_on_odd_pages(spark, tmp_path):
+    """Feeds about as large as the bound, and pages whose titles, URLs, hosts or ids a feed file doesn't hold as they are."""
+    import duckdb
+
+    from lodestream.plans import oracle
+
+    rows = []
+
+    def add(url, title, page=0):
+        rows.append((page if page is None else len(rows), url, None if title is None else f"<title>{title}</title>"))
+
+    for over in range(-4, 5):  # bytes beyond the bound, by 88 an item and 48 a feed
+        for n in (1, 3, 40):
+            left = queries_state.FEED_MOST + over - 48 - 88 * n
+            for i in range(n):
+                url = f"https://b{over + 4}-{n}.example.com/{i:02d}"
+                add(url, "t" * (left // n + (i < left % n) - len(url)))
+    for host, title in [
+        ("dash", "Headline - Some Paper"), ("own", "A - b - News source"), ("cut", "x <b>- y</b> z"), ("nul", "a\0b"), ("ctrl", "a\x01b\x0bc\x1f"), ("none", "a\ufffeb\uffff"), ("wide", "\u3000wide\u2003"), ("html", None),
+    ]:
+        for i, t in enumerate(("before", title, "after")):
+            add(f"https://t-{host}.example.com/{i}", t)
+    for i in range(40):  # pages without HTML have no bytes: just within the bound
+        add(f"https://t-full.example.com/{i:02d}", None if i % 4 == 1 else "t" * (((6500 - 48) // 30 - 88) - 30))
+    add("https://null.example.com/1", "no id", None)
+    add("https://null.example.com/2", "an id")
+    for end in ("\t", "\n", "\r", "\x0c", "\x0b", "\x01", "\0", "\u3000", " ", "#a\n", "#a\u2028", "|", "%7C"):
+        add(f"https://u{len(rows)}.example.com/x{end}", "some end")
+    for host in ("localhost", "10.0.0.1", "[::1]", "a b.example.com", "h(c):d.example.com", "h{a}.example.com", "中.example.com:x", "h\0.example.com", "l" * 300 + ".com", "www.", "..", "me@user.example.com", "p.example.com:443"):
+        add(f"https://{host}/1", "some host")
+    for i in range(40):
+        add(f"https://intranet/{i}", "word " * 30)
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.sql(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    columns = ["domain", "url", "title", "source_domain", "feed_rank", "error"]
+    want = Counter(con.sql(f"select {', '.join(columns)} from ({oracle.ORACLE['feed_items']})").fetchall())
+    got = Counter(tuple(r) for r in queries_state.feed_items(spark, str(tmp_path)).select(columns).collect())
+    assert (got - want, want - got) == (Counter(), Counter())
+    assert sum(r[5] is not None for r in want) == 3 * 4 + 1
