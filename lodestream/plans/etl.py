@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, text
 from ..functions import values as V
-from ..functions.urls import host
+from ..functions.urls import host, normalize_public_url
 from ..operators import dedup, extract, facts
 from ..operators.bucketed import DocumentStore
 from .staging import staged
@@ -127,9 +127,15 @@ STORED = "url string, extraction string, access_policy string, word_count long,
 def run_with_store(items: DataFrame, kept: DocumentStore, pages: DataFrame, provided: DataFrame | None = None, budget: int = V.BUDGET) -> Etl:
     """`run` against a store that outlives the cycle (its columns: STORED): its documents are looked up by the items' ids, and what this cycle made is put into it.
 
-    A document that failed is put, too, and is tried again in the next cycle. Only the buckets of the items' ids are read or written.
+    A document that failed is put, too, and is tried again in the next cycle. Only the buckets of the items' ids are read or written. Items and pages
+    go by the URL that a fetched document is stored under, without its fragment; of several pages with one such URL the one without a fragment counts, else the first.
     """
-    wanted = staged(items.select(ids.doc_id(F.col("url")).alias("id")).filter("id is not null").distinct(), "etl-wanted")
+    safe = normalize_public_url(F.col("url"))
+    address = F.when(safe != "", safe).otherwise(F.col("url"))
+    items = items.withColumn("url", address)
+    wanted = staged(items.select(ids.doc_id(F.col("url")).alias("id"), "url").filter("id is not null").distinct(), "etl-wanted")
+    pages = pages.withColumns({"_landed": F.col("url"), "url": address}).join(wanted.select("url"), "url", "left_semi")
+    pages = dedup.first_wins(pages, ["url"], [F.col("_landed") != F.col("url"), "_landed"]).drop("_landed")
     known = kept.by_id(wanted).join(kept.bodies(wanted).hint("merge"), "id", "left")
     known = staged(known.select("id", "extraction", "access_policy", "word_count", "lang", "content_hash", "body"), "etl-known")
     got = run(items, known, pages, provided, budget)
